@@ -181,6 +181,11 @@ def round2_java(x: Column) -> Column:
     return F.floor(x * 100 + F.lit(0.5)) / 100.0
 
 
+def pct2_java(numerator: Column, denominator: Column) -> Column:
+    """Math.round(num * 10000.0 / den) / 100.0 — a percentage with 2 decimals."""
+    return F.floor(numerator.cast("double") * 10000.0 / denominator + F.lit(0.5)) / 100.0
+
+
 def money_format(amount: Column) -> Column:
     """'%,.0f VND' — half-up to whole units, grouped thousands; null → '0 VND'."""
     rounded = F.round(amount.cast(MONEY), 0)

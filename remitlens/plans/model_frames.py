@@ -47,3 +47,18 @@ class Frames:
     @cached_property
     def fact(self) -> DataFrame:
         return facts.fact_geo_explode(self.geo)
+
+    @cached_property
+    def tx_fact(self) -> DataFrame:
+        """History transfers exploded the same way (years 1995..2001)."""
+        return facts.fact_geo_explode(self.tx_geo)
+
+    @cached_property
+    def tx_sides(self) -> DataFrame:
+        from remitlens.operators import history
+        return history.transfer_sides(self.tx, self.accounts)
+
+    @cached_property
+    def tx_parts(self) -> DataFrame:
+        from remitlens.operators import history
+        return history.participants(self.tx_sides)
