@@ -324,3 +324,6 @@ SELECT CAST(1997 AS BIGINT) AS year,
 FROM p WHERE a1 IS NOT NULL AND a2 IS NOT NULL""")
 def q_quarter_growth(spark, sf_dir):
     return growth.quarter_growth(growth.quarter_stats(Frames(spark, sf_dir).tx_fact, GROWTH_YEAR))
+
+
+from remitlens.plans import cat_users  # noqa: E402,F401
