@@ -327,3 +327,4 @@ def q_quarter_growth(spark, sf_dir):
 
 
 from remitlens.plans import cat_users  # noqa: E402,F401
+from remitlens.plans import cat_io, cat_ledger  # noqa: E402,F401

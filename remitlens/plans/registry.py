@@ -65,7 +65,7 @@ fact AS (
   FROM geo)"""
 
 
-def register(name: str, oracle: str | None = None):
+def register(name: str, oracle: str | None = None, recursive: bool = False):
     """Register a query builder; ``oracle`` is SQL over the model CTEs.
 
     An oracle starting with ',' adds further CTEs before its final SELECT.
@@ -76,8 +76,8 @@ def register(name: str, oracle: str | None = None):
         _QUERIES[name] = fn
         if oracle is not None:
             body = oracle.strip()
-            sep = "\n" if body.startswith(",") else "\n"
-            _ORACLES[name] = MODEL_CTES + sep + body
+            ctes = MODEL_CTES.replace("WITH ", "WITH RECURSIVE ", 1) if recursive else MODEL_CTES
+            _ORACLES[name] = ctes + "\n" + body
         return fn
     return deco
 
