@@ -330,3 +330,4 @@ from remitlens.plans import cat_users  # noqa: E402,F401
 from remitlens.plans import cat_io, cat_ledger  # noqa: E402,F401
 from remitlens.plans import cat_scalars  # noqa: E402,F401
 from remitlens.plans import cat_stream  # noqa: E402,F401
+from remitlens.plans import cat_extra  # noqa: E402,F401
