@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitlens.functions import scalars as S
-from remitlens.schemas import FACT_CSV_FILE_COLUMNS, FACT_CSV_SCHEMA, PARTITION_COLUMNS
+from remitlens.schemas import FACT_CSV_FILE_COLUMNS, PARTITION_COLUMNS
 
 PARTITION_SCHEMA = T.StructType([
     T.StructField("province", T.StringType()),
@@ -24,9 +24,6 @@ PARTITION_SCHEMA = T.StructType([
     T.StructField("quarter", T.StringType()),
 ])
 
-# Marker that never occurs in data: empty CSV fields then read as '' and only
-# missing trailing fields read as NULL (a short row).
-_NO_NULL_TOKEN = "\u0001"
 
 
 def _partition_safe(fact: DataFrame) -> DataFrame:
@@ -81,34 +78,35 @@ def read_fact_parquet(spark: SparkSession, path: str) -> DataFrame:
 def scan_fact_csv(spark: SparkSession, path: str) -> DataFrame:
     """Read the 13-column fact CSV, schema-on-read.
 
-    Lines are trimmed (leading/trailing whitespace ignored), blank lines and
-    header lines skipped, short rows (fewer than 13 fields) and rows whose
+    Lines are read as text and split on commas (keeping empty trailing
+    fields), like the text layout is written: lines are trimmed, blank lines
+    and header lines skipped, rows with fewer than 13 fields and rows whose
     amount does not parse dropped. created_at is parsed leniently (ISO local
-    date-time, optional seconds/fraction); the raw text is kept for a strict
+    date-time, optional seconds/fraction) and the raw text kept for a strict
     parse. The four partition columns come from the directory names.
     """
-    schema = T.StructType(list(FACT_CSV_SCHEMA.fields) + [
-        T.StructField(f.name, T.StringType()) for f in PARTITION_SCHEMA.fields])
-    raw = (spark.read.schema(schema)
-           .option("mode", "PERMISSIVE").option("header", "false")
-           .option("ignoreLeadingWhiteSpace", "true").option("ignoreTrailingWhiteSpace", "true")
-           .option("nullValue", _NO_NULL_TOKEN)
-           .option("basePath", path)
-           .csv(path))
-    t = {c: S.java_trim(F.col(c)) for c in FACT_CSV_FILE_COLUMNS}
-    typed = raw.where(F.col("month").isNotNull() & (t["transaction_id"] != "transaction_id")).select(
-        t["transaction_id"].alias("transaction_id"),
-        t["owner_user_id"].alias("owner_user_id"),
-        t["owner_account_id"].alias("owner_account_id"),
-        F.upper(t["direction"]).alias("direction"),
-        t["counterparty_account_id"].alias("counterparty_account_id"),
-        S.amount_parse(F.col("amount")).alias("amount"),
-        t["status"].alias("status"),
-        S.ts_parse(F.col("created_at")).alias("created_at"),
-        t["created_at"].alias("created_at_raw"),
-        F.col("province"), F.col("district"),
-        F.col("year").try_cast("int").alias("year"), F.col("quarter"),
-        t["month"].alias("month"))
+    schema = T.StructType([T.StructField("value", T.StringType())] + list(PARTITION_SCHEMA.fields))
+    raw = spark.read.schema(schema).option("basePath", path).text(path)
+    line = S.java_trim(F.col("value"))
+    parts = F.split(line, ",", -1)
+    rows = raw.where((line != "") & ~line.startswith("transaction_id") & (F.size(parts) >= len(FACT_CSV_FILE_COLUMNS)))
+
+    def field(i):
+        return S.java_trim(parts.getItem(i))
+
+    idx = {c: i for i, c in enumerate(FACT_CSV_FILE_COLUMNS)}
+    typed = rows.select(
+        field(idx["transaction_id"]).alias("transaction_id"),
+        field(idx["owner_user_id"]).alias("owner_user_id"),
+        field(idx["owner_account_id"]).alias("owner_account_id"),
+        F.upper(field(idx["direction"])).alias("direction"),
+        field(idx["counterparty_account_id"]).alias("counterparty_account_id"),
+        S.amount_parse(parts.getItem(idx["amount"])).alias("amount"),
+        field(idx["status"]).alias("status"),
+        S.ts_parse(parts.getItem(idx["created_at"])).alias("created_at"),
+        field(idx["created_at"]).alias("created_at_raw"),
+        F.col("province"), F.col("district"), F.col("year"), F.col("quarter"),
+        field(idx["month"]).alias("month"))
     return typed.where(F.col("amount").isNotNull())
 
 
