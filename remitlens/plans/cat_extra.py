@@ -123,3 +123,13 @@ def q_range_by_granularity(spark, sf_dir):
                              end.alias("range_end"))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@register("export_join", """
+SELECT transaction_id, from_user_id, from_account, from_name, from_province, from_district, to_user_id, to_account,
+       to_name, to_province, to_district, CAST(amount AS DOUBLE) AS amount, status, created_at FROM geo""")
+def q_export_join(spark, sf_dir):
+    g = Frames(spark, sf_dir).geo
+    return g.select("transaction_id", "from_user_id", "from_account", "from_name", "from_province", "from_district",
+                    "to_user_id", "to_account", "to_name", "to_province", "to_district",
+                    F.col("amount").cast("double").alias("amount"), "status", "created_at")
