@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import calendar
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,22 @@ LEVELS = {"HOUR_TOTAL": 0b0111, "HOUR_USER": 0b0100, "DAY_TOTAL": 0b1011, "DAY_U
 
 
 def month_rows(fact: DataFrame, month: str) -> DataFrame:
-    """Successful OUT rows of the stored month column (SUCCESS or COMPLETED)."""
-    return fact.where((F.upper(S.java_trim(F.col("direction"))) == "OUT")
+    """Successful OUT rows of the stored month column (SUCCESS or COMPLETED).
+
+    Like the reference, only the month's year/quarter partition is read; the
+    month is also stated as a literal created_at range (the stored month is
+    derived from created_at) so raw-table scans can skip row groups.
+    """
+    y, m = (int(x) for x in month.split("-"))
+    start = dt.datetime(y, m, 1)
+    end = dt.datetime(y + 1, 1, 1) if m == 12 else dt.datetime(y, m + 1, 1)
+    ts = F.col("created_at")
+    return fact.where((F.col("year") == y) & (F.col("quarter") == f"Q{(m - 1) // 3 + 1}")
+                      & (ts >= F.lit(start)) & (ts < F.lit(end))
+                      & (F.upper(S.java_trim(F.col("direction"))) == "OUT")
                       & S.is_success(F.col("status"))
                       & (S.java_trim(F.col("month")) == month)
-                      & F.col("amount").isNotNull() & F.col("created_at").isNotNull())
+                      & F.col("amount").isNotNull())
 
 
 def peak_totals(fact: DataFrame, month: str) -> DataFrame:
