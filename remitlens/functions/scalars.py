@@ -81,11 +81,14 @@ def normalize_location(c: Column) -> Column:
 
     null/blank → 'Unknown'; a value with no letters left becomes ''.
     """
-    t = java_trim(c)
-    letters = F.regexp_replace(strip_accents(t), r"[^a-zA-Z\s]", "")
+    src, dst = _latin_base_map()
+    # Decomposed combining marks need no separate pass: like every other
+    # non-ASCII character they fall to the [^a-zA-Z\s] removal.
+    letters = F.regexp_replace(F.translate(c, src, dst), r"[^a-zA-Z\s]", "")
     words = F.trim(F.regexp_replace(letters, r"\s+", " "))
-    pascal = F.regexp_replace(F.initcap(F.lower(words)), " ", "")
-    return F.when(t.isNull() | (t == ""), F.lit("Unknown")).otherwise(pascal)
+    pascal = F.replace(F.initcap(F.lower(words)), F.lit(" "), F.lit(""))
+    blank = c.isNull() | c.rlike(r"^[\x00-\x20]*$")
+    return F.when(blank, F.lit("Unknown")).otherwise(pascal)
 
 
 @lru_cache(maxsize=None)

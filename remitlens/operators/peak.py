@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlens.functions import scalars as S
+from remitlens.session import materialize
 
 NO_DATA = "Không có dữ liệu"
 
@@ -68,6 +69,7 @@ def _peak_key(totals: DataFrame, level: str, key: str) -> DataFrame:
 def peak_window(spark: SparkSession, totals: DataFrame) -> DataFrame:
     """One row per kind (HOUR, DAY): label, key, transactions, amount; a 'no data'
     row when the month has no transfers."""
+    totals = materialize(totals)  # read twice below
     hour = _peak_key(totals, "HOUR_TOTAL", "hour").select(F.lit("HOUR").alias("kind"), "p")
     day = _peak_key(totals, "DAY_TOTAL", "day").select(F.lit("DAY").alias("kind"), "p")
     both = hour.unionByName(day)
@@ -114,6 +116,7 @@ def top_users_peak(spark: SparkSession, totals: DataFrame, users: DataFrame, k:
     top-k is a TakeOrderedAndProject per kind; names are attached after the
     limit, so the user-dimension join touches at most 2·k rows.
     """
+    totals = materialize(totals)  # read four times below
     out = None
     for kind, level, user_level, key in (("HOUR", "HOUR_TOTAL", "HOUR_USER", "hour"),
                                          ("DAY", "DAY_TOTAL", "DAY_USER", "day")):

@@ -60,3 +60,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/remitlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage: a reliable checkpoint in the
+    shared checkpoint folder (survives executor loss; never localCheckpoint).
+    Used where a small intermediate is read several times in one plan."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
