@@ -40,8 +40,10 @@ def notification_query(notes: DataFrame, page: int = 0, size: int = 20, kind: st
     ``row_number() < (page+1)*size`` → WindowGroupLimit (bounded per user per task)."""
     rows = notes if kind is None else notes.where(F.col("type") == kind)
     w = Window.partitionBy("user_id").orderBy(F.desc("created_at"), F.desc("transaction_id"), "type")
-    ranked = rows.withColumn("position", (F.row_number().over(w) - 1).cast("bigint"))
-    return ranked.where((F.col("position") >= page * size) & (F.col("position") < (page + 1) * size))
+    # Filter on the row number itself so Spark plans a WindowGroupLimit.
+    ranked = rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= (page + 1) * size)
+    return (ranked.where(F.col("_rn") > page * size)
+            .withColumn("position", (F.col("_rn") - 1).cast("bigint")).drop("_rn"))
 
 
 def accounts_by_user_status(accounts: DataFrame, status: str = "ACTIVE") -> DataFrame:
@@ -129,8 +131,8 @@ def recent_receivers(saved: DataFrame, accounts: DataFrame, k: int = MAX_SAVED_R
     j = latest.join(owners, "target_account_id", "left").where(
         F.col("target_user_id").isNull() | (F.col("target_user_id") != F.col("user_id")))
     w = Window.partitionBy("user_id").orderBy(F.desc("updated_at"), F.desc("target_account_id"))
-    return (j.withColumn("position", F.row_number().over(w) - 1).where(F.col("position") < k)
-            .select("user_id", "target_account_id", "updated_at", F.col("position").cast("bigint")))
+    return (j.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+            .select("user_id", "target_account_id", "updated_at", (F.col("_rn") - 1).cast("bigint").alias("position")))
 
 
 def dup_contacts(batch: DataFrame, users: DataFrame, keys=("email", "phone", "identity_card"),
