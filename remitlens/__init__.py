@@ -7,6 +7,18 @@ checks) are plain ``DataFrame -> DataFrame`` functions built from Spark SQL
 expressions, so Catalyst plans every one of them.
 """
 
+import sys
+
 from remitlens.session import get_spark, scratch_path
 
+# Python functions run by executors (the settlement fold, the streaming state
+# function) are shipped by value, so Python workers need no installed copy of
+# this package; on a cluster it works without --py-files as well.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError):  # older pyspark: ship the package with --py-files
+    pass
+
 __all__ = ["get_spark", "scratch_path"]

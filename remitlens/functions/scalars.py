@@ -31,8 +31,14 @@ UNKNOWN = "UNKNOWN"
 
 
 def java_trim(c: Column) -> Column:
-    """Strip leading/trailing characters <= U+0020 (Java String.trim)."""
-    return F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    """Strip leading/trailing characters <= U+0020 (Java String.trim).
+
+    Most values are already clean, so the regex only runs when the first or
+    last character is <= U+0020 (two one-character comparisons); a clean
+    value passes through unchanged.
+    """
+    edge = (F.substring(c, 1, 1) <= F.lit(" ")) | (F.substring(c, -1, 1) <= F.lit(" "))
+    return F.when(edge, F.regexp_replace(c, r"^[\x00-\x20]+|[\x00-\x20]+$", "")).otherwise(c)
 
 
 def blank_to(c: Column, default: str) -> Column:

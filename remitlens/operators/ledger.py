@@ -25,10 +25,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitlens.schemas import MONEY
-from remitlens.session import checkpoint_root
+from remitlens.session import checkpoint_root, materialize
 
-SETTLED_SCHEMA = T.StructType([
+# Rows of tight senders go through the fold with their own columns, so the
+# decision never has to be joined back to the transfers.
+FOLD_SCHEMA = T.StructType([
     T.StructField("transaction_id", T.LongType()),
+    T.StructField("from_id", T.LongType()),
+    T.StructField("to_id", T.LongType()),
+    T.StructField("created_at", T.TimestampNTZType()),
+    T.StructField("to_known", T.BooleanType()),
+    T.StructField("amount_c", T.LongType()),
     T.StructField("accepted", T.BooleanType()),
 ])
 
@@ -54,7 +61,7 @@ def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 ok[i] = True
                 if known[i]:
                     bal -= int(amt[i])
-        yield pd.DataFrame({"transaction_id": pdf["transaction_id"].to_numpy(), "accepted": ok})
+        yield pdf[["transaction_id", "from_id", "to_id", "created_at", "to_known", "amount_c"]].assign(accepted=ok)
 
 
 def settle_batch(transfers: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -64,7 +71,10 @@ def settle_batch(transfers: DataFrame, accounts: DataFrame) -> DataFrame:
         "transaction_id", "from_id", "to_id", "amount", "created_at")
     opening = accounts.select(F.col("account_id").alias("from_id"), F.col("balance").alias("opening"))
     receivers = accounts.select(F.col("account_id").alias("to_id"), F.lit(True).alias("_known"))
-    rows = (pend.join(opening, "from_id", "left").join(receivers, "to_id", "left")
+    # Receiver lookup first, sender last: the rows leave the second join
+    # hash-partitioned by from_id, which the per-sender aggregate and the
+    # join back to it can reuse.
+    rows = (pend.join(receivers, "to_id", "left").join(opening, "from_id", "left")
             .withColumn("to_known", F.col("_known").isNotNull()).drop("_known"))
 
     # A sender is "safe" when its opening balance covers every debit that sticks
@@ -75,19 +85,27 @@ def settle_batch(transfers: DataFrame, accounts: DataFrame) -> DataFrame:
         F.first("opening", ignorenulls=True).alias("_open"))
     flagged = rows.join(per_sender, "from_id").withColumn(
         "_safe", F.col("_open").isNotNull() & (F.col("_open") >= F.col("_need") + F.col("_peak")))
+    # Both outcomes below read ``flagged``: a reliable checkpoint in the shared
+    # folder computes the lookups and the per-sender aggregate once (instead of
+    # once per branch) and keeps them after an executor loss.
+    flagged = materialize(flagged.select("transaction_id", "from_id", "to_id", "amount", "created_at",
+                                         "to_known", "opening", "_open", "_safe"))
 
+    cols = ["transaction_id", "from_id", "to_id", "amount", "created_at", "to_known"]
     safe = flagged.where(F.col("_safe") | F.col("_open").isNull()).select(
-        "transaction_id", F.col("_open").isNotNull().alias("accepted"))
+        *cols, F.col("_open").isNotNull().alias("accepted"))
     tight = (flagged.where(~F.col("_safe") & F.col("_open").isNotNull())
-             .select("transaction_id", "from_id", "created_at", "to_known",
+             .select("transaction_id", "from_id", "to_id", "created_at", "to_known",
                      (F.col("amount") * 100).cast("long").alias("amount_c"),
                      (F.col("opening") * 100).cast("long").alias("opening_c"))
              .repartition("from_id")
              .sortWithinPartitions("from_id", "created_at", "transaction_id"))
-    folded = tight.mapInPandas(_fold_partition, SETTLED_SCHEMA)
-    decided = safe.unionByName(folded)
+    folded = tight.mapInPandas(_fold_partition, FOLD_SCHEMA).select(
+        "transaction_id", "from_id", "to_id",
+        (F.col("amount_c").cast(T.DecimalType(18, 0)) * F.lit(0.01).cast(MONEY)).cast(MONEY).alias("amount"),
+        "created_at", "to_known", "accepted")
+    out = safe.unionByName(folded)
 
-    out = rows.join(decided, "transaction_id")
     reason = (F.when(~F.col("accepted"), F.lit("INSUFFICIENT_BALANCE"))
               .when(~F.col("to_known"), F.lit("RECEIVER_NOT_FOUND")))
     status = F.when(reason.isNull(), F.lit("SUCCESS")).otherwise(F.lit("FAILED"))

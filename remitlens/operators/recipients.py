@@ -34,6 +34,21 @@ def enrich_recipient_name(totals: DataFrame, accounts: DataFrame, users: DataFra
     return totals.join(names, "account_number", "left").withColumn("full_name", name).drop("_name")
 
 
+def recipient_candidates(totals: DataFrame, k: int = 5) -> DataFrame:
+    """The (sender, recipient) rows that can still be in a sender's top ``k``.
+
+    Exact pre-trim before the name lookup: the final order is count desc,
+    amount desc, then name, so a row whose ``rank()`` on (count, amount) is
+    above ``k`` already has at least ``k`` rows strictly ahead of it whatever
+    the names are. ``rank() <= k`` keeps every tie at the cut (no cap), and
+    Spark plans it as a WindowGroupLimit that trims each map task before the
+    shuffle. The name join then touches about k rows per sender instead of
+    every (sender, recipient) pair.
+    """
+    w = Window.partitionBy("user_id").orderBy(F.desc("transfer_count"), F.desc("total_amount"))
+    return totals.withColumn("_cand", F.rank().over(w)).where(F.col("_cand") <= k).drop("_cand")
+
+
 def top_recipients(named: DataFrame, k: int = 5) -> DataFrame:
     """Top ``k`` per sender: count desc, amount desc, name (case-insensitive) asc.
 

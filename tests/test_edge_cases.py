@@ -331,3 +331,18 @@ def test_top_recipients_bounded_per_user(spark):
                                      "total_amount decimal(18,2)").withColumn("full_name", F.col("account_number"))
     top = recipients.top_recipients(df, 5).collect()
     assert len(top) == 5 and [r["rank"] for r in top] == [1, 2, 3, 4, 5]
+
+
+def test_recipient_candidates_exact_with_ties(spark):
+    # Many rows tie on (count, amount) at the cut, so names decide the order:
+    # pre-trimming with rank() <= k must give the same top k as ranking all rows.
+    rows = [(u, f"acc{u}-{i}", [3, 2, 2, 2, 2, 2, 1][i % 7], D([9, 5, 5, 5, 5, 5, 1][i % 7]), f"Name {(i * 7) % 13}")
+            for u in (1, 2) for i in range(20)]
+    df = spark.createDataFrame(rows, "user_id long, account_number string, transfer_count long, "
+                                     "total_amount decimal(18,2), full_name string")
+    cand = recipients.recipient_candidates(df.drop("full_name"), 5).join(
+        df.select("user_id", "account_number", "full_name"), ["user_id", "account_number"])
+    assert cand.count() < df.count()
+    full = sorted(tuple(r) for r in recipients.top_recipients(df, 5).collect())
+    trimmed = sorted(tuple(r) for r in recipients.top_recipients(cand, 5).collect())
+    assert full == trimmed and len(full) == 10
