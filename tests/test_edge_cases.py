@@ -346,3 +346,13 @@ def test_recipient_candidates_exact_with_ties(spark):
     full = sorted(tuple(r) for r in recipients.top_recipients(df, 5).collect())
     trimmed = sorted(tuple(r) for r in recipients.top_recipients(cand, 5).collect())
     assert full == trimmed and len(full) == 10
+
+
+def test_percent_rank_global_hot_value_and_nulls(spark):
+    # A third of the rows share one value, a few are null (sorted first).
+    rows = [(i, 7.0 if i % 3 == 0 else (None if i % 50 == 1 else float(i % 23))) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, total double")
+    got = {r["id"]: r["pct_rank"] for r in ranking.percent_rank_global(df, "total", partitions=5).collect()}
+    exp = {r["id"]: r["p"] for r in df.select("id", F.percent_rank().over(Window.orderBy("total")).alias("p"))
+           .collect()}
+    assert len(got) == 600 and got == exp
