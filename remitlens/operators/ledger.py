@@ -138,24 +138,44 @@ def ledger_balance(accounts: DataFrame, movements: DataFrame) -> DataFrame:
 def running_sum_global(df: DataFrame, key: str, order_cols: list[str], value: str, out: str) -> DataFrame:
     """Cumulative ``value`` per ``key`` in ``order_cols`` order, skew-safe.
 
-    Rows are range-partitioned on (key, order...) so one key's history may span
-    several partitions; a per-(partition, key) subtotal table gives each slice
-    its starting offset, and the running sum inside a slice is a window over
-    (partition, key) only. The ranged frame is checkpointed to the shared
-    checkpoint folder so both reads see the same partitioning.
+    Rows are range-partitioned on (key, order...), so a hot key's history is
+    spread over several consecutive ranges. Inside a range the running sum is
+    a window over (range, key). Only the *first* key of a range can continue
+    from earlier ranges, so the carry-in is one value per range: the summed
+    tails of the preceding ranges that end with that key. That table has at
+    most one row per range partition (bounded by ``spark.sql.shuffle.partitions``)
+    and is broadcast, so the only shuffle of the rows is the window's.
+    The ranged frame is checkpointed to the shared checkpoint folder so every
+    read sees the same partitioning, also after an executor loss.
     """
     spark = df.sparkSession
     checkpoint_root(spark)
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n_parts, key, *order_cols)
+    k = F.col(key)
+    ranged = (df.repartitionByRange(n_parts, k.asc_nulls_first(), *order_cols)
               .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
-    sub = ranged.groupBy("_pid", key).agg(F.sum(value).alias("_sub"))
-    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sub.select("_pid", key, F.coalesce(F.sum("_sub").over(before), F.lit(0)).alias("_off"))
+    # First and last key of each non-empty range (nulls sort first).
+    bounds = ranged.groupBy("_pid").agg(
+        F.when(F.count_if(k.isNull()) > 0, F.lit(None)).otherwise(F.min(k)).alias("_first"),
+        F.max(k).alias("_last"))
+    tails = (ranged.join(F.broadcast(bounds), "_pid").where(k.eqNullSafe(F.col("_last")))
+             .groupBy("_pid", "_first", "_last").agg(F.sum(value).alias("_tail")))
+    # ≤ n_parts rows from here on: running tail per last key, then the carry of
+    # the previous non-empty range when it ends with this range's first key.
+    same_last = Window.partitionBy("_last").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    by_range = Window.orderBy("_pid")
+    carried = (tails.withColumn("_cum", F.sum("_tail").over(same_last))
+               .withColumn("_prev_last", F.lag("_last").over(by_range))
+               .withColumn("_prev_cum", F.lag("_cum").over(by_range)))
+    offsets = carried.select(
+        "_pid", "_first",
+        F.when(F.col("_prev_last").eqNullSafe(F.col("_first")) & F.col("_prev_cum").isNotNull(),
+               F.col("_prev_cum")).alias("_off"))
     w = Window.partitionBy("_pid", key).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    return (ranged.join(offsets, ["_pid", key])
-            .withColumn(out, F.col("_off") + F.sum(value).over(w))
-            .drop("_pid", "_off"))
+    carry = F.when(k.eqNullSafe(F.col("_first")), F.coalesce(F.col("_off"), F.lit(0))).otherwise(F.lit(0))
+    return (ranged.join(F.broadcast(offsets), "_pid")
+            .withColumn(out, carry + F.sum(value).over(w))
+            .drop("_pid", "_first", "_off"))
 
 
 def running_balance(accounts: DataFrame, movements: DataFrame) -> DataFrame:

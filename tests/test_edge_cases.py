@@ -356,3 +356,29 @@ def test_percent_rank_global_hot_value_and_nulls(spark):
     exp = {r["id"]: r["p"] for r in df.select("id", F.percent_rank().over(Window.orderBy("total")).alias("p"))
            .collect()}
     assert len(got) == 600 and got == exp
+
+
+def test_running_sum_global_hot_key_nulls_and_sparse_ranges(spark):
+    # One key spans many ranges, a null key sorts first, and the tiny second
+    # frame leaves empty range partitions between the rows of one key.
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        rng = random.Random(5)
+        rows = [(None if i % 97 == 0 else (7 if i % 3 else rng.randrange(20)),
+                 dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rng.randrange(10**4)), i,
+                 D(rng.randrange(-900, 900)) / 100) for i in range(900)]
+        small = [(1, dt.datetime(2024, 1, 1), 1, D("1.00")), (1, dt.datetime(2024, 1, 2), 2, D("2.00")),
+                 (1, dt.datetime(2024, 1, 3), 3, D("4.00"))]
+        for data in (rows, small):
+            df = spark.createDataFrame(data, "account_id long, created_at timestamp_ntz, transaction_id long, "
+                                             "delta decimal(18,2)")
+            got = {r["transaction_id"]: r["cum"] for r in
+                   ledger.running_sum_global(df, "account_id", ["created_at", "transaction_id"], "delta",
+                                             "cum").collect()}
+            w = Window.partitionBy("account_id").orderBy("created_at", "transaction_id")
+            exp = {r["transaction_id"]: r["cum"] for r in
+                   df.select("transaction_id", F.sum("delta").over(w).alias("cum")).collect()}
+            assert len(got) == len(data) and got == exp
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
