@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,12 @@ def quarter_stats(fact: DataFrame, year: int, quarters=("Q1", "Q2"), direction:
     """
     q = F.upper(S.java_trim(F.col("quarter")))
     q = F.when(q == "1", "Q1").when(q == "2", "Q2").otherwise(q)
-    rows = fact.where((S.java_trim(F.col("year").cast("string")) == str(year))
+    # The stored year is derived from created_at, so the year is also stated
+    # as a literal created_at range (rows without a parsable time are kept):
+    # scans of raw transfer tables can then skip row groups of other years.
+    ts = F.col("created_at")
+    in_year = ts.isNull() | ((ts >= F.lit(dt.datetime(year, 1, 1))) & (ts < F.lit(dt.datetime(year + 1, 1, 1))))
+    rows = fact.where((S.java_trim(F.col("year").cast("string")) == str(year)) & in_year
                       & F.col("amount").isNotNull()
                       & F.col("status").isNotNull() & (F.col("status") != ""))
     if direction:

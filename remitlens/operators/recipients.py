@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +66,18 @@ def top_recipients(named: DataFrame, k: int = 5) -> DataFrame:
                     F.col("total_amount").cast("double").alias("total_amount")))
 
 
+def month_window(rows: DataFrame, start_month: str, end_month: str, ts: str = "created_at") -> DataFrame:
+    """Rows whose time falls in the months ``start_month``..``end_month``
+    ('yyyy-MM', inclusive), as a literal half-open range on ``ts`` so the scan
+    of a raw transfer table can skip row groups (the month label is derived
+    from the same time, so the label filter keeps the same rows)."""
+    y0, m0 = (int(x) for x in start_month.split("-"))
+    y1, m1 = (int(x) for x in end_month.split("-"))
+    start = dt.datetime(y0, m0, 1)
+    end = dt.datetime(y1 + 1, 1, 1) if m1 == 12 else dt.datetime(y1, m1 + 1, 1)
+    return rows.where((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(end)))
+
+
 def total_by_account(monthly_rows: DataFrame) -> DataFrame:
     """Sum of amounts per sender account per month (no status filter).
 

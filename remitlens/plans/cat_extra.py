@@ -83,8 +83,8 @@ SELECT t.from_account AS user_id, coalesce(u.full_name, 'User ' || substr(CAST(t
 FROM top t LEFT JOIN users u ON u.user_id = t.from_account""")
 def q_enrich_user_name(spark, sf_dir):
     fr = Frames(spark, sf_dir)
-    monthly = fr.tx.select(F.date_format("created_at", "yyyy-MM").alias("month"),
-                           F.col("from_id").alias("from_account"), "amount")
+    monthly = recipients.month_window(fr.tx, "1997-01", "1997-12").select(
+        F.date_format("created_at", "yyyy-MM").alias("month"), F.col("from_id").alias("from_account"), "amount")
     top = recipients.top_accounts(recipients.total_by_account(monthly), "1997-01", "1997-12", k=10)
     # ≤ 10 ids: broadcast them to filter the user dimension, then join back.
     ids = top.select(F.col("from_account").alias("user_id"))
