@@ -66,15 +66,24 @@ def history_user(parts: DataFrame, start=None, end=None) -> DataFrame:
     return in_closed_range(parts, start, end)
 
 
-def history_account(tx: DataFrame, start=None, end=None) -> DataFrame:
-    """Transfers touching each account (from OR to), optional half-open [start, end)."""
+def history_account(tx: DataFrame, accounts: DataFrame | None = None, start=None, end=None) -> DataFrame:
+    """Transfers touching each account (from OR to), optional half-open [start, end).
+
+    The OR of the per-account lookup becomes one row per distinct party id
+    (explode), so all accounts are answered with equi-keys. With ``accounts``
+    given, only ids of existing accounts are kept (left-semi join), as a
+    lookup by account id would.
+    """
     rows = tx
     if start is not None:
         rows = rows.where(F.col("created_at") >= F.lit(start))
     if end is not None:
         rows = rows.where(F.col("created_at") < F.lit(end))
     ids = F.array_distinct(F.array(F.col("from_id"), F.col("to_id")))
-    return rows.select(F.explode(ids).alias("account_id"), *tx.columns)
+    out = rows.select(F.explode(ids).alias("account_id"), *tx.columns)
+    if accounts is not None:
+        out = out.join(accounts.select("account_id"), "account_id", "left_semi")
+    return out
 
 
 def history_status_filter(hist: DataFrame, status: str) -> DataFrame:

@@ -152,7 +152,8 @@ SELECT a.account_id, t.transaction_id, t.from_id, t.to_id, CAST(t.amount AS DOUB
 FROM tx t JOIN (SELECT DISTINCT account_id FROM accounts) a ON a.account_id = t.from_id OR a.account_id = t.to_id
 WHERE t.created_at >= TIMESTAMP '1998-01-01' AND t.created_at < TIMESTAMP '1999-01-01'""")
 def q_history_account(spark, sf_dir):
-    h = history.history_account(Frames(spark, sf_dir).tx, ACCT_START, ACCT_END)
+    fr = Frames(spark, sf_dir)
+    h = history.history_account(fr.tx, fr.accounts, ACCT_START, ACCT_END)
     return h.select("account_id", "transaction_id", "from_id", "to_id", _d("amount"), "status", "created_at")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from remitlens.functions import scalars as S
 from remitlens.functions import ranges
-from remitlens.operators import facts, flow, growth, ledger, peak, ranking, recipients, risk, vip
+from remitlens.operators import facts, flow, growth, history, ledger, peak, ranking, recipients, risk, vip
 from remitlens.session import scratch_path
 from remitlens.sources import fact_store
 from remitlens.streaming import events
@@ -382,3 +382,15 @@ def test_running_sum_global_hot_key_nulls_and_sparse_ranges(spark):
             assert len(got) == len(data) and got == exp
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_history_account_keeps_only_existing_accounts(spark):
+    t = dt.datetime(2024, 1, 1)
+    tx = spark.createDataFrame([(1, 10, 20, D("5.00"), "SUCCESS", t), (2, 10, 99, D("7.00"), "FAILED", t),
+                                (3, 10, 10, D("1.00"), "SUCCESS", t)],
+                               "transaction_id long, from_id long, to_id long, amount decimal(18,2), "
+                               "status string, created_at timestamp_ntz")
+    accounts = spark.createDataFrame([(10,), (20,)], "account_id long")
+    got = sorted((r["account_id"], r["transaction_id"]) for r in history.history_account(tx, accounts).collect())
+    # 99 is not an account; the self transfer appears once for its account.
+    assert got == [(10, 1), (10, 2), (10, 3), (20, 1)]
