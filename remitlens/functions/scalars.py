@@ -76,10 +76,17 @@ def _latin_base_map() -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
+def _translate_non_ascii(c: Column, src: str, dst: str) -> Column:
+    """``translate`` only where the value has a non-ASCII character: every
+    mapped letter is non-ASCII, and ``translate`` looks each character up in a
+    map, so ASCII-only values (most English text) skip it after one cheap scan."""
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(c, src, dst)).otherwise(c)
+
+
 def strip_accents(c: Column) -> Column:
     """Remove diacritics: precomposed letters by translate, decomposed marks by regex."""
     src, dst = _latin_base_map()
-    return F.regexp_replace(F.translate(c, src, dst), r"\p{InCombiningDiacriticalMarks}+", "")
+    return F.regexp_replace(_translate_non_ascii(c, src, dst), r"\p{InCombiningDiacriticalMarks}+", "")
 
 
 def normalize_location(c: Column) -> Column:
@@ -90,9 +97,12 @@ def normalize_location(c: Column) -> Column:
     src, dst = _latin_base_map()
     # Decomposed combining marks need no separate pass: like every other
     # non-ASCII character they fall to the [^a-zA-Z\s] removal.
-    letters = F.regexp_replace(F.translate(c, src, dst), r"[^a-zA-Z\s]", "")
-    words = F.trim(F.regexp_replace(letters, r"\s+", " "))
-    pascal = F.replace(F.initcap(F.lower(words)), F.lit(" "), F.lit(""))
+    letters = F.regexp_replace(_translate_non_ascii(c, src, dst), r"[^a-zA-Z\s]+", "")
+    # initcap lower-cases and starts a word after each ' ' only, so the other
+    # whitespace characters become spaces; runs of spaces and the ends need no
+    # collapsing or trimming because every space is removed afterwards.
+    spaced = F.regexp_replace(letters, r"[\t\n\x0B\f\r]+", " ")
+    pascal = F.replace(F.initcap(spaced), F.lit(" "), F.lit(""))
     blank = c.isNull() | c.rlike(r"^[\x00-\x20]*$")
     return F.when(blank, F.lit("Unknown")).otherwise(pascal)
 
@@ -123,7 +133,7 @@ def vietnamese_letter_map() -> tuple[str, str]:
 
 def non_accent(c: Column) -> Column:
     src, dst = vietnamese_letter_map()
-    return F.translate(c, src, dst)
+    return _translate_non_ascii(c, src, dst)
 
 
 def region_of_province(c: Column) -> Column:

@@ -69,7 +69,9 @@ def _peak_key(totals: DataFrame, level: str, key: str) -> DataFrame:
 def peak_window(spark: SparkSession, totals: DataFrame) -> DataFrame:
     """One row per kind (HOUR, DAY): label, key, transactions, amount; a 'no data'
     row when the month has no transfers."""
-    totals = materialize(totals)  # read twice below
+    # Read twice below; only the hour and day totals (≤ 24 + 31 rows) are
+    # needed, so just those are checkpointed, not the per-user rows.
+    totals = materialize(totals.where(F.col("level").isin("HOUR_TOTAL", "DAY_TOTAL")))
     hour = _peak_key(totals, "HOUR_TOTAL", "hour").select(F.lit("HOUR").alias("kind"), "p")
     day = _peak_key(totals, "DAY_TOTAL", "day").select(F.lit("DAY").alias("kind"), "p")
     both = hour.unionByName(day)
