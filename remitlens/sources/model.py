@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from remitlens.schemas import MONEY
 
@@ -26,8 +27,20 @@ TABLE_NAMES = [
 ACCOUNT_NUMBER_BASE = 100000000000
 
 
+# Schemas of the input tables, inferred once per process and path. Later reads
+# pass the schema, so they skip footer-based inference (files are still listed
+# on every read, so new files are seen).
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
