@@ -20,7 +20,7 @@ def Frames(spark: SparkSession, sf_dir: str) -> "_Frames":  # noqa: N802 (reads
     them shares the same DataFrame objects instead of rebuilding the joins and
     subqueries through py4j each time.
     """
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"))
     frames = _CACHE.get(key)
     if frames is None:
         frames = _CACHE[key] = _Frames(spark, sf_dir)
