@@ -42,14 +42,19 @@ def get_spark(cpus: int | str | None = None, shuffle_partitions: int | None = No
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read here.
-    When it is unset (unit tests on one machine) a private folder is created and
-    registered, so lineage cuts and intermediate tables still work.
+    On a cluster this setting points at shared storage and is only read here
+    (an unset value is an error there). When it is unset on a local master
+    (unit tests on one machine) a private folder is created and registered, so
+    lineage cuts and intermediate tables still work.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            # A machine-local folder would break lineage cuts on a cluster.
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         root = tempfile.mkdtemp(prefix="remitlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
