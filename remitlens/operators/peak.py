@@ -16,6 +16,9 @@ NO_DATA = "Không có dữ liệu"
 # grouping_id() values of the four grouping sets (bit set = column not grouped;
 # column order hour, day, owner_user_id, owner_account_id).
 LEVELS = {"HOUR_TOTAL": 0b0111, "HOUR_USER": 0b0100, "DAY_TOTAL": 0b1011, "DAY_USER": 0b1000}
+GROUPING_SETS = {"HOUR_TOTAL": ["hour"], "HOUR_USER": ["hour", "owner_user_id", "owner_account_id"],
+                 "DAY_TOTAL": ["day"], "DAY_USER": ["day", "owner_user_id", "owner_account_id"]}
+TOTAL_LEVELS = ("HOUR_TOTAL", "DAY_TOTAL")
 
 
 def month_rows(fact: DataFrame, month: str) -> DataFrame:
@@ -37,19 +40,19 @@ def month_rows(fact: DataFrame, month: str) -> DataFrame:
                       & F.col("amount").isNotNull())
 
 
-def peak_totals(fact: DataFrame, month: str) -> DataFrame:
+def peak_totals(fact: DataFrame, month: str, levels=tuple(LEVELS)) -> DataFrame:
     """count+sum by hour, hour×user×account, day, day×user×account — one scan.
 
     GROUPING SETS → a single Expand + hash aggregate (partial before the
-    shuffle), instead of four emissions per row through four jobs.
+    shuffle), instead of four emissions per row through four jobs. ``levels``
+    picks the sets to compute (the charts and the peak window need only the
+    hour and day totals, not the per-user rows); level ids stay the same.
     """
     rows = month_rows(fact, month).select(
         F.hour("created_at").alias("hour"), F.dayofmonth("created_at").alias("day"),
         "owner_user_id", "owner_account_id", "amount")
-    g = rows.groupingSets(
-        [["hour"], ["hour", "owner_user_id", "owner_account_id"],
-         ["day"], ["day", "owner_user_id", "owner_account_id"]],
-        "hour", "day", "owner_user_id", "owner_account_id")
+    g = rows.groupingSets([GROUPING_SETS[lv] for lv in levels],
+                          "hour", "day", "owner_user_id", "owner_account_id")
     agg = g.agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"),
                 F.grouping_id().alias("gid"))
     level = F.lit(None).cast("string")
@@ -71,7 +74,7 @@ def peak_window(spark: SparkSession, totals: DataFrame) -> DataFrame:
     row when the month has no transfers."""
     # Read twice below; only the hour and day totals (≤ 24 + 31 rows) are
     # needed, so just those are checkpointed, not the per-user rows.
-    totals = materialize(totals.where(F.col("level").isin("HOUR_TOTAL", "DAY_TOTAL")))
+    totals = materialize(totals.where(F.col("level").isin(*TOTAL_LEVELS)))
     hour = _peak_key(totals, "HOUR_TOTAL", "hour").select(F.lit("HOUR").alias("kind"), "p")
     day = _peak_key(totals, "DAY_TOTAL", "day").select(F.lit("DAY").alias("kind"), "p")
     both = hour.unionByName(day)

@@ -237,7 +237,7 @@ SELECT 'HOUR' AS kind, CAST(k AS BIGINT) AS key, printf('%02d:00 - %02d:59', k,
 UNION ALL
 SELECT 'DAY', CAST(k AS BIGINT), printf('Ngày %02d', k), CAST(n AS BIGINT), CAST(amount AS DOUBLE) FROM peak_day""")
 def q_peak_window(spark, sf_dir):
-    return peak.peak_window(spark, peak.peak_totals(Frames(spark, sf_dir).fact, PEAK_MONTH))
+    return peak.peak_window(spark, peak.peak_totals(Frames(spark, sf_dir).fact, PEAK_MONTH, peak.TOTAL_LEVELS))
 
 
 @register("hourly_chart", _PEAK + """
@@ -245,7 +245,7 @@ SELECT CAST(h.hour AS BIGINT) AS hour, printf('%02d:00 - %02d:59', h.hour, h.hou
        CAST(coalesce(t.n, 0) AS BIGINT) AS total_transactions, CAST(coalesce(t.amount, 0) AS DOUBLE) AS total_amount
 FROM range(24) h(hour) LEFT JOIN (SELECT hour, n, amount FROM tot WHERE level = 'HOUR_TOTAL') t USING (hour)""")
 def q_hourly_chart(spark, sf_dir):
-    return peak.hourly_chart(spark, peak.peak_totals(Frames(spark, sf_dir).fact, PEAK_MONTH))
+    return peak.hourly_chart(spark, peak.peak_totals(Frames(spark, sf_dir).fact, PEAK_MONTH, ("HOUR_TOTAL",)))
 
 
 @register("daily_chart", _PEAK + """
@@ -253,7 +253,8 @@ SELECT CAST(d.day AS BIGINT) AS day, printf('Ngày %02d', d.day) AS label,
        CAST(coalesce(t.n, 0) AS BIGINT) AS total_transactions, CAST(coalesce(t.amount, 0) AS DOUBLE) AS total_amount
 FROM range(1, 32) d(day) LEFT JOIN (SELECT day, n, amount FROM tot WHERE level = 'DAY_TOTAL') t USING (day)""")
 def q_daily_chart(spark, sf_dir):
-    return peak.daily_chart(spark, peak.peak_totals(Frames(spark, sf_dir).fact, PEAK_MONTH), PEAK_MONTH)
+    return peak.daily_chart(spark, peak.peak_totals(Frames(spark, sf_dir).fact, PEAK_MONTH, ("DAY_TOTAL",)),
+                            PEAK_MONTH)
 
 
 @register("top_users_peak", _PEAK + """
