@@ -81,3 +81,18 @@ def test_running_sum_global_matches_window(spark, rows, parts):
     exp = {r["transaction_id"]: r["cum"] for r in df.select("transaction_id", F.sum("delta").over(w).alias("cum"))
            .collect()}
     assert got == exp
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.sampled_from([1, 1, 1, 2]), st.integers(1, 4), st.integers(1, 3),
+                          st.sampled_from(["An", "an", "Bo", None, "Cu"])), min_size=1, max_size=50),
+       st.integers(1, 6))
+def test_recipient_candidates_keep_the_exact_top_k(spark, rows, k):
+    from remitlens.operators import recipients
+    data = [(u, f"acc{i:03d}", c, D(a), n) for i, (u, c, a, n) in enumerate(rows)]
+    df = spark.createDataFrame(data, "user_id long, account_number string, transfer_count long, "
+                                     "total_amount decimal(18,2), full_name string")
+    cand = recipients.recipient_candidates(df.drop("full_name"), k).join(
+        df.select("user_id", "account_number", "full_name"), ["user_id", "account_number"])
+    full = sorted(tuple(r) for r in recipients.top_recipients(df, k).collect())
+    assert sorted(tuple(r) for r in recipients.top_recipients(cand, k).collect()) == full
