@@ -6,12 +6,14 @@ amount; a rejected debit leaves the balance untouched (FAILED, no refund). A
 credit to an unknown receiver is refunded and the transfer FAILS. Credits of
 the same batch become spendable in the next batch.
 
-Scale plan: a sender whose opening balance covers the sum of all its pending
-amounts accepts everything — decided by one partial+final aggregate, no
-ordering needed. Only the remaining ("tight") senders need the ordered fold;
-their rows are hash-partitioned by sender, sorted inside each partition and
-folded by an Arrow-batched ``mapInPandas`` that streams the partition (state is
-one balance per sender; no group is ever materialised in memory).
+Scale plan: a sender whose opening balance covers all its pending debits (plus
+the largest refunded one) accepts everything — decided by one partial+final
+aggregate, no ordering needed. Only the remaining ("tight") senders need the
+ordered fold; their rows are hash-partitioned by sender, sorted inside each
+partition and folded by an Arrow-batched ``mapInPandas`` that streams the
+partition (state is one balance per sender; no group is ever materialised in
+memory) and passes the rows through, so no decision is joined back. The
+flagged rows are checkpointed once and read by both outcomes.
 """
 
 from __future__ import annotations
