@@ -115,14 +115,19 @@ SELECT granularity, label, CAST(s AS TIMESTAMP) AS range_start,
        CAST(s + step - INTERVAL 1 SECOND AS TIMESTAMP) AS range_end FROM labelled""")
 def q_range_by_granularity(spark, sf_dir):
     tx = Frames(spark, sf_dir).tx
-    out = None
-    for g in ("day", "week", "month", "quarter", "year"):
-        labels = tx.select(ranges.label_of(F.col("created_at"), g).alias("label")).distinct()
-        start, end = ranges.range_by_granularity(F.col("label"), g)
-        part = labels.select(F.lit(g).alias("granularity"), "label", start.alias("range_start"),
-                             end.alias("range_end"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    grains = ("day", "week", "month", "quarter", "year")
+    # One scan: every row emits its five labels, and one distinct (partially
+    # aggregated map-side) keeps each (granularity, label) once.
+    per_row = F.array(*[F.struct(F.lit(g).alias("granularity"), ranges.label_of(F.col("created_at"), g)
+                                 .alias("label")) for g in grains])
+    labels = tx.select(F.explode(per_row).alias("p")).select("p.granularity", "p.label").distinct()
+    start = end = None
+    for g in grains:
+        s, e = ranges.range_by_granularity(F.col("label"), g)
+        is_g = F.col("granularity") == g
+        start = F.when(is_g, s) if start is None else start.when(is_g, s)
+        end = F.when(is_g, e) if end is None else end.when(is_g, e)
+    return labels.select("granularity", "label", start.alias("range_start"), end.alias("range_end"))
 
 
 @register("export_join", """
