@@ -78,9 +78,14 @@ def shard_tag(transfers: DataFrame, users: DataFrame) -> DataFrame:
     t = (transfers
          .join(region.withColumnRenamed("user_id", "from_id").withColumnRenamed("region", "from_region"), "from_id")
          .join(region.withColumnRenamed("user_id", "to_id").withColumnRenamed("region", "to_region"), "to_id"))
-    home = t.select(*transfers.columns, F.col("from_region").alias("shard"))
-    copies = cross_region_copy(t, transfers.columns)
-    return home.unionByName(copies)
+    # One pass over the tagged transfers: each emits its home row and, when the
+    # regions differ, its copy (instead of two union branches re-running the joins).
+    home = F.struct(*[F.col(c) for c in transfers.columns], F.col("from_region").alias("shard"))
+    copy = F.when(F.col("from_region") != F.col("to_region"),
+                  F.struct(*[F.lit("SUCCESS").alias(c) if c == "status" else F.col(c) for c in transfers.columns],
+                           F.col("to_region").alias("shard")))
+    return (t.select(F.explode(F.array(home, copy)).alias("r")).where(F.col("r").isNotNull())
+            .select(*[F.col(f"r.{c}").alias(c) for c in transfers.columns], F.col("r.shard").alias("shard")))
 
 
 def cross_region_copy(tagged: DataFrame, columns: list[str]) -> DataFrame:
