@@ -20,6 +20,8 @@ _BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files (lineage cuts) are removed once their RDD is unreachable.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
