@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from remitlens.functions import scalars as S
 from remitlens.functions import ranges
-from remitlens.operators import facts, flow, growth, history, ledger, peak, ranking, recipients, risk, vip
+from remitlens.operators import flow, growth, history, ledger, peak, ranking, recipients, risk, vip
 from remitlens.session import scratch_path
 from remitlens.sources import fact_store
 from remitlens.streaming import events
