@@ -42,6 +42,49 @@ FOLD_SCHEMA = T.StructType([
 ])
 
 
+def _fold_rows(amt: np.ndarray, known: np.ndarray, bal: int, ok: np.ndarray) -> int:
+    """Fold one sender's rows (already in order) from balance ``bal``; marks the
+    accepted rows in ``ok`` and returns the closing balance.
+
+    Runs instead of single rows: in a window, the cumulative debit before each
+    row gives every row's balance if all earlier rows of the run were accepted,
+    so the first row that does not fit ends the accepted run; the rows the
+    unchanged balance cannot cover form the rejected run that follows. The
+    window doubles while whole windows are consumed. When runs alternate
+    quickly, a short plain loop is cheaper and takes over for a while.
+    """
+    m, j, w, burst = len(amt), 0, 64, 256
+    while j < m:
+        begin, e = j, min(m, j + w)
+        d = np.where(known[j:e], amt[j:e], 0)
+        c = np.cumsum(d)
+        fits = (bal - (c - d)) >= amt[j:e]
+        f = e - j if fits.all() else int(np.argmin(fits))
+        if f:
+            ok[j:j + f] = True
+            bal -= int(c[f - 1])
+            j += f
+        if j < e:
+            short = amt[j:e] > bal
+            j += e - j if short.all() else int(np.argmin(short))
+        if j == e:
+            w *= 2
+            continue
+        w = 64
+        if j - begin >= 8:
+            burst = 256
+            continue
+        stop = min(m, j + burst)
+        accepted = []
+        for a, k in zip(amt[j:stop].tolist(), known[j:stop].tolist()):
+            accepted.append(bal >= a)
+            if bal >= a and k:
+                bal -= a
+        ok[j:stop] = accepted
+        j, burst = stop, min(burst * 2, 8192)
+    return bal
+
+
 def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Streaming fold over (from_id, created_at, transaction_id)-sorted rows.
 
@@ -51,18 +94,18 @@ def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """
     cur, bal = None, 0
     for pdf in batches:
+        n = len(pdf)
         ids = pdf["from_id"].to_numpy()
         amt = pdf["amount_c"].to_numpy(dtype=np.int64)
         opening = pdf["opening_c"].to_numpy(dtype=np.int64)
         known = pdf["to_known"].to_numpy(dtype=bool)
-        ok = np.zeros(len(pdf), dtype=bool)
-        for i in range(len(pdf)):
-            if ids[i] != cur:
-                cur, bal = ids[i], int(opening[i])
-            if bal >= amt[i]:
-                ok[i] = True
-                if known[i]:
-                    bal -= int(amt[i])
+        ok = np.zeros(n, dtype=bool)
+        if n:
+            starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]).tolist() + [n]
+            for s, e in zip(starts[:-1], starts[1:]):
+                if ids[s] != cur:
+                    cur, bal = ids[s], int(opening[s])
+                bal = _fold_rows(amt[s:e], known[s:e], bal, ok[s:e])
         yield pdf[["transaction_id", "from_id", "to_id", "created_at", "to_known", "amount_c"]].assign(accepted=ok)
 
 

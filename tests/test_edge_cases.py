@@ -394,3 +394,23 @@ def test_history_account_keeps_only_existing_accounts(spark):
     got = sorted((r["account_id"], r["transaction_id"]) for r in history.history_account(tx, accounts).collect())
     # 99 is not an account; the self transfer appears once for its account.
     assert got == [(10, 1), (10, 2), (10, 3), (20, 1)]
+
+
+def test_fold_rows_matches_plain_loop():
+    # Long histories with accept runs, reject runs and quick alternation.
+    import numpy as np
+    rng = random.Random(3)
+    for trial in range(60):
+        m = rng.choice([1, 5, 70, 300, 3000])
+        hi = rng.choice([10, 100, 1000])
+        amt = np.array([rng.randrange(0, hi) for _ in range(m)], dtype=np.int64)
+        known = np.array([rng.random() > 0.2 for _ in range(m)], dtype=bool)
+        bal0 = rng.randrange(0, hi * rng.choice([1, 5, 50, 500]))
+        exp, bal = [], bal0
+        for a, k in zip(amt.tolist(), known.tolist()):
+            exp.append(bal >= a)
+            if bal >= a and k:
+                bal -= a
+        ok = np.zeros(m, dtype=bool)
+        assert ledger._fold_rows(amt, known, bal0, ok) == bal
+        assert ok.tolist() == exp
