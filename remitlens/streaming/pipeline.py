@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from remitlens.functions import scalars as S
 from remitlens.operators import facts
+from remitlens.operators.ledger import _fold_rows
 from remitlens.schemas import PARTITION_COLUMNS, TRANSFER_EVENT_SCHEMA
 from remitlens.streaming.events import event_to_fact
 
@@ -145,14 +147,12 @@ def _settle_group(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Itera
     folded in (created_at, transaction_id) order on top of the balance kept
     in state. Rows of a batch arrive in Arrow chunks and are ordered here."""
     pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["created_at", "transaction_id"])
-    bal = int(state.get[0]) if state.exists else int(pdf["opening_c"].iloc[0])
-    accepted, after = [], []
-    for amt, known in zip(pdf["amount_c"].to_numpy(), pdf["to_known"].to_numpy()):
-        ok = bal >= int(amt)
-        if ok and known:
-            bal -= int(amt)
-        accepted.append(ok)
-        after.append(bal)
+    start = int(state.get[0]) if state.exists else int(pdf["opening_c"].iloc[0])
+    amt = pdf["amount_c"].to_numpy(dtype=np.int64)
+    known = pdf["to_known"].to_numpy(dtype=bool)
+    accepted = np.zeros(len(pdf), dtype=bool)
+    bal = _fold_rows(amt, known, start, accepted)
+    after = start - np.cumsum(np.where(accepted & known, amt, 0))
     state.update((bal,))
     yield pd.DataFrame({"transaction_id": pdf["transaction_id"].to_numpy(),
                         "from_id": pdf["from_id"].to_numpy(),
