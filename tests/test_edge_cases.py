@@ -414,3 +414,31 @@ def test_fold_rows_matches_plain_loop():
         ok = np.zeros(m, dtype=bool)
         assert ledger._fold_rows(amt, known, bal0, ok) == bal
         assert ok.tolist() == exp
+
+
+def test_self_transfer_in_statistics_and_monthly(spark):
+    # Quirk q12: a self transfer counts in neither total_in nor total_out of the
+    # statistics, but on both sides of the monthly statement.
+    t = dt.datetime(1997, 3, 5, 10, 0)
+    tx = spark.createDataFrame([(1, 10, 10, D("7.00"), "SUCCESS", t), (2, 10, 20, D("3.00"), "SUCCESS", t)],
+                               "transaction_id long, from_id long, to_id long, amount decimal(18,2), "
+                               "status string, created_at timestamp_ntz")
+    accounts = spark.createDataFrame([(10, 1, "100000000010"), (20, 2, "100000000020")],
+                                     "account_id long, user_id long, account_number string")
+    sides = history.transfer_sides(tx, accounts)
+    stats = {r["user_id"]: r for r in history.stats_summary(history.participants(sides)).collect()}
+    assert stats[1]["total_transactions"] == 2
+    assert (stats[1]["total_in"], stats[1]["total_out"]) == (0.0, 3.0)
+    month = {r["user_id"]: r for r in history.monthly_summary(sides, "1997-03").collect()}
+    assert (month[1]["total_received"], month[1]["total_sent"]) == (7.0, 10.0)
+    assert month[2]["total_received"] == 3.0
+
+
+def test_empty_quarter_gives_empty_reports(spark):
+    t = dt.datetime(2024, 2, 1, 9, 0)
+    f = spark.createDataFrame([_fact_row("1", "OUT", "P", "d", "10.00", "FAILED", t)], FACT_SCHEMA)
+    q2 = risk.quarter_slice(f, 2024, "Q2")
+    assert q2.count() == 0
+    assert risk.district_risk(q2, large_threshold=5, large_min_per_hour=1).count() == 0
+    assert risk.district_risk(risk.quarter_slice(f, 2024, "Q1"), large_threshold=5,
+                              large_min_per_hour=1).count() == 1
