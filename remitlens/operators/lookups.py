@@ -110,8 +110,11 @@ def exists_semi(candidates: DataFrame, existing: DataFrame, key: str) -> DataFra
 
 
 def integrity_anti(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, rule: str) -> DataFrame:
-    """Child rows whose foreign key has no parent (left-anti join), tagged with the rule."""
-    p = parent.select(F.col(parent_key).alias(child_key)).distinct()
+    """Child rows whose foreign key has no parent (left-anti join), tagged with the rule.
+
+    Duplicate parent keys do not change an anti join, so the parent side is
+    not de-duplicated first (no extra aggregate over the parent table)."""
+    p = parent.select(F.col(parent_key).alias(child_key))
     return (child.where(F.col(child_key).isNotNull()).join(p, child_key, "left_anti")
             .select(F.lit(rule).alias("rule"), F.col(child_key).cast("string").alias("key_value"), *child.columns))
 
