@@ -149,18 +149,21 @@ def dup_contacts(batch: DataFrame, users: DataFrame, keys=("email", "phone", "id
     """Registration rows rejected for a duplicate contact: the key exists among
     users, or an earlier row of the same batch (first one wins) has it.
 
-    The in-batch check is ``min(seq)`` per key value (aggregate, partial before
-    the shuffle) joined back — no per-key sort.
+    Per key, the users' values and the batch's values go through ONE aggregate
+    by value — whether any user has it, and the batch's first ``seq`` —
+    partially aggregated before the shuffle (a hot value collapses map-side),
+    then one left join back: no per-key sort and one join per key.
     """
     flags = []
     out = batch
+    seq_type = batch.schema[seq].dataType
     for k in keys:
-        existing = users.select(F.col(k).alias("_v")).where(F.col("_v").isNotNull()).distinct() \
-            .withColumn(f"_exists_{k}", F.lit(True))
-        first = batch.where(F.col(k).isNotNull()).groupBy(F.col(k).alias("_v")).agg(F.min(seq).alias(f"_first_{k}"))
-        out = (out.join(existing, out[k] == existing["_v"], "left").drop("_v")
-               .join(first, out[k] == first["_v"], "left").drop("_v"))
-        flags.append(F.when(F.col(f"_exists_{k}").isNotNull(), F.lit(f"{k}_exists"))
+        known = users.select(F.col(k).alias("_v"), F.lit(True).alias("_u"), F.lit(None).cast(seq_type).alias("_s"))
+        mine = batch.select(F.col(k).alias("_v"), F.lit(False).alias("_u"), F.col(seq).alias("_s"))
+        per_value = (known.unionByName(mine).where(F.col("_v").isNotNull()).groupBy("_v")
+                     .agg(F.max("_u").alias(f"_exists_{k}"), F.min("_s").alias(f"_first_{k}")))
+        out = out.join(per_value, out[k] == per_value["_v"], "left").drop("_v")
+        flags.append(F.when(F.col(f"_exists_{k}"), F.lit(f"{k}_exists"))
                      .when(F.col(f"_first_{k}") < F.col(seq), F.lit(f"{k}_duplicate_in_batch")))
     drop = [c for c in out.columns if c.startswith("_exists_") or c.startswith("_first_")]
     any_flag = flags[0].isNotNull()

@@ -442,3 +442,16 @@ def test_empty_quarter_gives_empty_reports(spark):
     assert risk.district_risk(q2, large_threshold=5, large_min_per_hour=1).count() == 0
     assert risk.district_risk(risk.quarter_slice(f, 2024, "Q1"), large_threshold=5,
                               large_min_per_hour=1).count() == 1
+
+
+def test_dup_contacts_existing_first_wins_and_nulls(spark):
+    from remitlens.operators import lookups
+    batch = spark.createDataFrame(
+        [(1, "a@x.vn", "0901", "1"), (2, "b@x.vn", "0902", "2"), (3, "b@x.vn", "0901", "3"),
+         (4, None, None, "4"), (5, "b@x.vn", None, "5")],
+        "seq long, email string, phone string, identity_card string")
+    users = spark.createDataFrame([("a@x.vn", "0999", "9"), (None, None, None)],
+                                  "email string, phone string, identity_card string")
+    got = {r["seq"]: r["violations"] for r in lookups.dup_contacts(batch, users).collect()}
+    assert got == {1: ["email_exists"], 3: ["email_duplicate_in_batch", "phone_duplicate_in_batch"],
+                   5: ["email_duplicate_in_batch"]}
