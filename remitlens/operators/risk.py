@@ -85,16 +85,23 @@ def rapid_fire(fact: DataFrame, min_per_minute: int = RAPID_FIRE_MIN_PER_MINUTE)
             .groupBy("district").agg(F.sum("count").alias("rapid_fire")))
 
 
-def fan_out(fact: DataFrame, min_counterparties: int | None = None) -> DataFrame:
+def fan_out(fact: DataFrame, min_counterparties: int | None = None, approximate: bool = False,
+            rsd: float = 0.01) -> DataFrame:
     """Distinct (account, clock hour, counterparty) OUT combinations per district.
 
     Two-level distinct: the first aggregate removes duplicates map-side and
     shuffles on the full combination, so a hot district is spread over many
     tasks; the second counts per district. ``min_counterparties`` optionally
     keeps only (account, hour) buckets reaching that many counterparties (the
-    reference defines such a threshold but does not apply it).
+    reference defines such a threshold but does not apply it). ``approximate``
+    counts with HyperLogLog sketches instead (for very large inputs).
     """
     p = _prepared(fact).where((F.col("dir") == "OUT") & F.col("created_at").isNotNull())
+    if approximate and min_counterparties is None:
+        # One aggregate of HyperLogLog sketches per district (relative error
+        # about ``rsd``): no shuffle of the distinct combinations.
+        combo = F.struct("account", F.date_trunc("hour", "created_at").alias("h"), "counterparty")
+        return p.groupBy("district").agg(F.approx_count_distinct(combo, rsd).alias("fan_out"))
     combos = p.select("district", "account", F.date_trunc("hour", "created_at").alias("h"),
                       "counterparty").distinct()
     if min_counterparties is not None:

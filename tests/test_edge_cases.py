@@ -455,3 +455,13 @@ def test_dup_contacts_existing_first_wins_and_nulls(spark):
     got = {r["seq"]: r["violations"] for r in lookups.dup_contacts(batch, users).collect()}
     assert got == {1: ["email_exists"], 3: ["email_duplicate_in_batch", "phone_duplicate_in_batch"],
                    5: ["email_duplicate_in_batch"]}
+
+
+def test_fan_out_approximate_is_close(spark):
+    from remitlens.plans.model_frames import Frames
+    from .conftest import SF_SMALL
+    q = risk.quarter_slice(Frames(spark, SF_SMALL).fact, 2024, "Q1")
+    exact = {r["district"]: r["fan_out"] for r in risk.fan_out(q).collect()}
+    approx = {r["district"]: r["fan_out"] for r in risk.fan_out(q, approximate=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[d] - exact[d]) <= max(2, 0.05 * exact[d]) for d in exact)
