@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, fingerprints, line_dedup, packing, token_counts
+from remitlens.llm import bpe, fingerprints, line_dedup, packing, substring_dedup, token_counts, vp_search
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -70,3 +70,29 @@ def op8(spark, sf_dir):
 def op10(spark, sf_dir):
     return bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
                             digests=True)
+
+
+@query("op2_substring_dedup", """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+runs AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS run
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words)),
+firsts AS (SELECT run, min(doc_id) AS first FROM runs GROUP BY run),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM runs JOIN firsts USING (run) WHERE first < doc_id),
+dropped AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(ps), 0) AS n_removed,
+       sha256(coalesce(array_to_string(
+         [w[p] for p in range(1, len(w) + 1) if ps IS NULL OR NOT list_contains(ps, p)], ' '), '')) AS kept_sha256
+FROM words LEFT JOIN dropped USING (doc_id)""")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs, min_words=13, digest=True) \
+        .select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op3_vantage_search")
+def op3(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return vp_search.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20, factor=0.2)

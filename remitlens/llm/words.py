@@ -117,10 +117,9 @@ class Words:
         if n <= 0:
             return np.zeros(0, dtype=U64), np.zeros(0, dtype=bool)
         out = np.zeros(n, dtype=U64)
-        weight = _BASE
+        weights = mix(np.arange(1, k + 1, dtype=U64)) | U64(1)
         for j in range(k):
-            out += self.hash[j:j + n] * weight
-            weight = weight * _M1 + U64(2 * j)
+            out += self.hash[j:j + n] * weights[j]
         rows = self.row_of()
         return mix(out), rows[:n] == rows[k - 1:]
 
