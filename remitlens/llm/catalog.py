@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, fingerprints, line_dedup, packing, substring_dedup, token_counts, vp_search
+from remitlens.llm import bpe, fingerprints, jaccard_join, line_dedup, packing, substring_dedup, token_counts, vp_search
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -96,3 +96,26 @@ def op2(spark, sf_dir):
 def op3(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return vp_search.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20, factor=0.2)
+
+
+@query("op5_jaccard_join", """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 75 * (x.n + y.n - common)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id
+FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id, n""")
+def op5(spark, sf_dir):
+    found, _ = jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), percent=75, k=5)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
