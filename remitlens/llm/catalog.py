@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, fingerprints, jaccard_join, line_dedup, packing, substring_dedup, token_counts, vp_search
+from remitlens.llm import bpe, fingerprints, jaccard_join, line_dedup, packing, substring_dedup, token_counts, toxicity, vp_search
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -119,3 +119,11 @@ FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP
 def op5(spark, sf_dir):
     found, _ = jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), percent=75, k=5)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op9_toxicity")
+def op9(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fitted(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model, threshold=0.3) \
+        .select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

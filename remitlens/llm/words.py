@@ -37,6 +37,9 @@ def _letter_values(fold_case: bool) -> np.ndarray:
 _VALUES = {fold: _letter_values(fold) for fold in (False, True)}
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(_SPACES)] = True
+# for words of letters only: every ASCII byte but A-Z and a-z parts words
+_NO_LETTER = np.arange(256) < 128
+_NO_LETTER[[*range(65, 91), *range(97, 123)]] = False
 _POWERS = [np.ones(1, dtype=U64)]
 
 
@@ -76,10 +79,13 @@ class Words:
     places in ``flat``), ``hash``, and ``rows`` (word places where each row
     begins, and the total)."""
 
-    def __init__(self, column: pa.Array, fold_case: bool = False):
+    def __init__(self, column: pa.Array, fold_case: bool = False, letters_only: bool = False,
+                 prefixes: tuple[int, ...] = ()):
+        """``letters_only``: words are runs of letters and non-ASCII bytes.
+        ``prefixes``: also hash the first so many bytes of each word (``prefix_hash``)."""
         self.flat, ends = buffers(column)
         self.ends = ends
-        space = _IS_SPACE[self.flat]
+        space = (_NO_LETTER if letters_only else _IS_SPACE)[self.flat]
         cut = np.ones(len(self.flat) + 1, dtype=bool)
         cut[1:-1] = space[:-1]
         cut[ends] = True  # words do not run over rows
@@ -97,10 +103,15 @@ class Words:
             place = np.arange(len(self.flat))
             place[self.begin[0]:] -= np.repeat(self.begin, np.diff(np.append(self.begin, len(self.flat))))
             np.minimum(place, longest - 1, out=place)
-            self.hash = mix(np.add.reduceat(values * _powers(longest)[place], self.begin)
-                            + sizes.astype(U64))
+            values *= _powers(longest)[place]
+            if letters_only:
+                values[space] = 0
+            self.hash = mix(np.add.reduceat(values, self.begin) + sizes.astype(U64))
+            self.prefix_hash = [mix(np.add.reduceat(np.where(place < p, values, U64(0)), self.begin) + U64(1000 + p))
+                                for p in prefixes]
         else:
             self.hash = np.zeros(0, dtype=U64)
+            self.prefix_hash = [self.hash for _ in prefixes]
 
     @staticmethod
     def ends_of(column: pa.Array) -> np.ndarray:
