@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, fingerprints, jaccard_join, line_dedup, packing, substring_dedup, token_counts, toxicity, vp_search
+from remitlens.llm import bpe, fingerprints, jaccard_join, kneser_ney, line_dedup, packing, substring_dedup, token_counts, toxicity, vp_search
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -127,3 +127,8 @@ def op9(spark, sf_dir):
     model = toxicity.fitted(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(docs, model, threshold=0.3) \
         .select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op7_quality_perplexity")
+def op7(spark, sf_dir):
+    return kneser_ney.perplexities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
