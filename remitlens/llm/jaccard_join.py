@@ -25,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.llm.graph import components
@@ -269,3 +269,19 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "
         "id", F.col("n").alias("n_shingles"), "class",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
     return out, links
+
+
+def one_of_each(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row for each component of near duplicates: that with the
+    smallest key; of rows that repeat this key, the one with the smallest hashed
+    text. Rows without shingles stay. A row with a null key stays unless it is
+    linked with a row that has one. All columns stay as they are."""
+    found, _ = near_duplicates(docs, percent, k, key, text)
+    kept = materialize(found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id").count())
+    ids = kept.select(F.col("id").alias("__id"))
+    out = docs.join(ids, docs[key].eqNullSafe(ids["__id"]), "left_semi")
+    if kept.where("id is not null and count > 1").isEmpty():
+        return out
+    first = Window.partitionBy(key).orderBy(F.xxhash64(text))
+    return out.withColumn("__first", F.row_number().over(first)) \
+        .where(F.col(key).isNull() | (F.col("__first") == 1)).drop("__first")
