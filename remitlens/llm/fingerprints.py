@@ -18,23 +18,33 @@ ROWS_PER_RANGE, MOST_RANGES = 2_000, 10_000
 _EMPTY = "cast(array() as array<bigint>)"
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def shingle_hashes(text: Column, k: int = WORDS_PER_SHINGLE) -> Column:
     """Hashes of all runs of k words; of the whole sequence if there are fewer words."""
     words = F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", -1), lambda w: w != "")
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    n = F.size(hashed)
-    runs = F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.xxhash64(F.slice(hashed, i, k)))
-    return F.when(n >= k, runs).when(n > 0, F.array(F.xxhash64(hashed))).otherwise(F.expr(_EMPTY))
+
+    def runs(hashed):
+        n = F.size(hashed)
+        each = F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.xxhash64(F.slice(hashed, i, k)))
+        return F.when(n >= k, each).when(n > 0, F.array(F.xxhash64(hashed))).otherwise(F.expr(_EMPTY))
+
+    return bound(F.transform(words, lambda w: F.xxhash64(w)), runs)
 
 
 def sketch(shingles: Column, fraction: float = FRACTION) -> Column:
     """Sorted distinct hashes below ``fraction`` of the range; the smallest one
     where none is (so only a text without words has an empty sketch)."""
-    below = F.lit(int(-(2**63) + fraction * 2**64) if fraction < 1 else 2**63 - 1)
-    kept = F.filter(shingles, lambda h: h < below) if fraction < 1 else shingles
-    return F.array_sort(F.array_distinct(
-        F.when(F.size(kept) > 0, kept).when(F.size(shingles) > 0, F.array(F.array_min(shingles)))
-        .otherwise(F.expr(_EMPTY))))
+    limit = F.lit(min(int(-(2**63) + fraction * 2**64), 2**63 - 1))
+
+    def kept(all_):
+        return bound(F.filter(all_, lambda h: h <= limit), lambda below: F.when(
+            (F.size(below) > 0) | (F.size(all_) == 0), below).otherwise(F.array(F.array_min(all_))))
+
+    return F.array_sort(F.array_distinct(bound(shingles, kept)))
 
 
 def merged(a: Column, b: Column) -> Column:
@@ -65,8 +75,7 @@ def fingerprint(docs: DataFrame, text: str = "text", k: int = WORDS_PER_SHINGLE,
     column of that name is replaced). A null or empty text, or one without
     words, has the empty sketch; equal texts have equal sketches. Row by row:
     repeated rows, null keys, an empty table and very long texts need nothing more."""
-    return docs.withColumn("__shingles", shingle_hashes(F.col(text), k)) \
-        .withColumn(name, sketch(F.col("__shingles"), fraction)).drop("__shingles")
+    return docs.withColumn(name, sketch(shingle_hashes(F.col(text), k), fraction))
 
 
 def dealt_by_range(docs: DataFrame, key: str) -> DataFrame:

@@ -109,10 +109,10 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, t
         hits.alias("h"), F.col(f"d.{key}").eqNullSafe(F.col("h.id")) & (F.col("d.__at") == F.col("h.at")), "left")
     whole = split_lines(F.col(f"d.{text}"))
     gone = F.coalesce(F.col("h.__drop"), F.expr("cast(array() as array<int>)"))
-    # the kept stretches between dropped places, in one pass over the lines
-    stretches = F.zip_with(
-        F.concat(F.array(F.lit(-1)), gone), F.concat(gone, F.array(F.size(whole))),
-        lambda a, b: F.slice(whole, a + 2, b - a - 1))
+    # the kept stretches between dropped places, in one pass over the lines (split once, as a lambda's argument)
+    stretches = F.get(F.transform(F.array(whole), lambda lines: F.zip_with(
+        F.concat(F.array(F.lit(-1)), gone), F.concat(gone, F.array(F.size(lines))),
+        lambda a, b: F.slice(lines, a + 2, b - a - 1))), F.lit(0))
     kept = F.when(F.size(gone) == 0, F.coalesce(F.col(f"d.{text}"), F.lit(""))) \
         .otherwise(F.array_join(F.flatten(stretches), "\n"))
     keep = [F.col(f"d.`{c}`") for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
