@@ -141,6 +141,7 @@ class SignatureTree:
     bits, and the component if it is one."""
 
     def __init__(self, n: np.ndarray, bits: np.ndarray, comp: np.ndarray):
+        bits = bits.view(np.uint64)  # bits of a signed number are counted on its absolute value
         surplus = n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         self.levels = [(bits, n, n, surplus, comp, np.ones(len(n), bool))]
         while len(self.levels[-1][0]) > 1:
