@@ -11,7 +11,8 @@ a chance below 2 * 0.25^32 = 1e-19, less than that two 64-bit hashes are equal.
 1. Each class is compared with one class of every token group (its leader).
 2. What these links connect needs no more comparison. Token groups that still
    hold several components are searched by signature trees: rows sorted by
-   size, nodes with OR-combined bitmaps and size ranges; a dual traversal drops
+   size, nodes with OR-combined bitmaps (about two bits per token; the larger of
+   two neighbouring lengths is folded) and size ranges; a dual traversal drops
    node pairs whose largest possible overlap is too small or which lie in one
    component. Groups beyond ``GROUP_ROWS`` are split into pairs of parts.
 3. All pairs that remain are verified on their exact sets.
@@ -25,14 +26,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.llm.graph import components
 from remitlens.llm.words import Words, mix, slices
 from remitlens.session import materialize, scratch_path
 
-SENT, BITS, GROUP_ROWS, FANOUT = 32, 1024, 2_000, 8
+SENT, GROUP_ROWS, FANOUT = 32, 2_000, 8
+LEAST_BITS, MOST_BITS = 1_024, 1 << 17
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,8 +64,27 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
+def bitmaps(grams: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """A bitmap of each set, with a power of two of bits that is about twice its size."""
+    n = np.diff(ends)
+    width = np.clip(1 << np.ceil(np.log2(np.maximum(2 * n, 2))).astype(np.int64), LEAST_BITS, MOST_BITS)
+    begin = np.cumsum(width) - width
+    bits = np.zeros(int(width.sum()), dtype=bool)
+    bits[np.repeat(begin, n) + (grams & np.repeat(width - 1, n).astype(np.uint64)).astype(np.int64)] = True
+    data = np.packbits(bits).tobytes()
+    return [data[a // 8:(a + w) // 8] for a, w in zip(begin.tolist(), width.tolist(), strict=True)]
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps of ``words`` 64-bit words from longer ones."""
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] | bits[:, half:]
+    return bits
+
+
 def _described(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
-    """One row per document: (id, n, class, tokens, bits, packed text)."""
+    """One row per document: (id, at: the text's hash, n, class, tokens, bits, packed text)."""
     def run(batches):
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
@@ -71,25 +92,22 @@ def _described(docs: DataFrame, key: str, text: str, k: int, percent: int) -> Da
                 column = batch.column(1).slice(lo, hi - lo)
                 grams, ends = shingle_sets(column, k)
                 n = np.diff(ends)
-                bits = np.zeros((len(n), BITS), dtype=bool)
-                bits[np.repeat(np.arange(len(n)), n), (grams & np.uint64(BITS - 1)).astype(np.int64)] = True
-                bits = np.packbits(bits, axis=1).view(np.int64)
                 total = np.add.reduceat(np.append(mix(grams), np.uint64(0)), ends[:-1])
                 total[n == 0] = 0
                 sent = np.minimum(np.minimum(prefix_size(n, percent), SENT), n)
                 at = np.arange(len(grams)) - np.repeat(ends[:-1], n) < np.repeat(sent, n)
                 offsets = np.concatenate([[0], np.cumsum(sent)])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(lo, hi - lo), pa.array(n, pa.int64()),
+                    batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(n, pa.int64()),
                     pa.array((total + n.astype(np.uint64)).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(grams[at].view(np.int64))),
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * (BITS // 64), pa.int32()),
-                                             pa.array(bits.ravel())),
+                    pa.array(bitmaps(grams, ends), pa.binary()),
                     pa.array([packer.compress((t or "").encode()) for t in column.to_pylist()], pa.binary()),
-                ], names=["id", "n", "class", "tokens", "bits", "packed"])
+                ], names=["id", "at", "n", "class", "tokens", "bits", "packed"])
 
-    return docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text")).mapInArrow(
-        run, "id bigint, n bigint, class bigint, tokens array<bigint>, bits array<bigint>, packed binary")
+    return docs.select(docs[key].cast("long").alias("id"), docs[text].alias("text"),
+                       F.xxhash64(docs[text]).alias("at")).mapInArrow(
+        run, "id bigint, at bigint, n bigint, class bigint, tokens array<bigint>, bits binary, packed binary")
 
 
 def _stored(rows: DataFrame, name: str) -> DataFrame:
@@ -98,21 +116,32 @@ def _stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _may_link(a: str, b: str, percent: int) -> Column:
-    """Whether the largest overlap that two bitmaps allow is enough."""
-    lost = lambda x, y: F.aggregate(
-        F.zip_with(f"{x}_bits", f"{y}_bits", lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))),
-        F.lit(0), lambda s, v: s + v)
-    most = F.least(F.col(f"{a}_n") - lost(a, b), F.col(f"{b}_n") - lost(b, a))
-    return most * (100 + percent) >= (F.col(f"{a}_n") + F.col(f"{b}_n")) * percent
+def _may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose bitmaps and sizes allow enough overlap."""
+    side = lambda s: classes.select(F.col("class").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_n", "b_n", "a_bits", "b_bits")
+
+    def run(batches):
+        for batch in batches:
+            ok = []
+            for x, y, p, q in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+                p, q = (np.frombuffer(v, dtype=np.uint64)[None] for v in (p, q))
+                p, q = folded(p, q.shape[1]), folded(q, p.shape[1])
+                most = min(x - int(np.bitwise_count(p & ~q).sum()), y - int(np.bitwise_count(q & ~p).sum()))
+                ok.append(most * (100 + percent) >= (x + y) * percent)
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
+    return both.mapInArrow(run, "a bigint, b bigint")
 
-def _verified(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+
+def _verified(pairs: DataFrame, described: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose exact sets are linked."""
-    side = lambda s, *more: classes.select(F.col("class").alias(s), *(F.col(c).alias(f"{s}_{c}") for c in more))
-    near = _stored(pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
-                   .where(_may_link("a", "b", percent)).select("a", "b"), "near")
-    both = near.join(side("a", "packed"), "a").join(side("b", "packed"), "b").select("a", "b", "a_packed", "b_packed")
+    near = _stored(pairs, "near")
+    needed = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    texts = _stored(described.select("class", "packed").join(needed, "class", "left_semi")
+                    .dropDuplicates(["class"]), "texts")
+    side = lambda s: texts.select(F.col("class").alias(s), F.col("packed").alias(f"{s}_packed"))
+    both = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_packed", "b_packed")
 
     def run(batches):
         unpacker = zstandard.ZstdDecompressor()
@@ -141,7 +170,6 @@ class SignatureTree:
     bits, and the component if it is one."""
 
     def __init__(self, n: np.ndarray, bits: np.ndarray, comp: np.ndarray):
-        bits = bits.view(np.uint64)  # bits of a signed number are counted on its absolute value
         surplus = n - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
         self.levels = [(bits, n, n, surplus, comp, np.ones(len(n), bool))]
         while len(self.levels[-1][0]) > 1:
@@ -205,28 +233,35 @@ def _tree_pairs(rows: pa.Table, percent: int) -> pa.Table:
     """Row pairs of one token group, or of one pair of its parts, that may be linked."""
     rows = rows.combine_chunks()
     side = rows["side"].to_numpy()
-    trees, classes = [], []
-    for s in np.unique(side):
-        own = rows.filter(pa.array(side == s))
-        n, comp = own["n"].to_numpy(), own["label"].to_numpy()
-        order = np.lexsort((comp, n))
-        bits = own["bits"].combine_chunks().flatten().to_numpy().reshape(len(n), -1)
-        trees.append(SignatureTree(n[order], bits[order], comp[order]))
-        classes.append(own["class"].to_numpy()[order])
+    n, comp, classes = (rows[c].to_numpy() for c in ("n", "label", "class"))
+    data = rows["bits"].combine_chunks()
+    words = np.diff(np.frombuffer(data.buffers()[1], np.int32)[data.offset:data.offset + len(data) + 1]) // 8
+    bits = data.to_pylist()
     whole = rows["i"][0].as_py() == rows["j"][0].as_py()
-    if not whole and len(trees) == 1:
-        found = []
-    else:
-        found = list(trees[0].joined(trees[0] if whole else trees[1], percent))
-    a = np.concatenate([classes[0][x] for x, _ in found]) if found else np.zeros(0, np.int64)
-    b = np.concatenate([classes[-1][y] for _, y in found]) if found else np.zeros(0, np.int64)
+    sides = [side == rows[c][0].as_py() for c in ("i", "j")]
+    found = []
+    for w in np.unique(words).tolist():
+        # sets whose sizes are near enough have bitmaps of equal or neighbouring lengths
+        for x, y in ((w, w), (w, 2 * w)) if whole else ((w, w), (w, 2 * w), (2 * w, w)):
+            own = []
+            for s, width in ((0, x), (1, y)):
+                at = np.flatnonzero(sides[s] & (words == width))
+                own.append(at[np.lexsort((comp[at], n[at]))])
+            if not len(own[0]) or not len(own[1]):
+                continue
+            trees = [SignatureTree(n[at], folded(np.frombuffer(b"".join([bits[i] for i in at]), np.uint64)
+                                                 .reshape(len(at), -1), w), comp[at]) for at in own]
+            if whole and x == y:
+                trees[1] = trees[0]
+            found += [(classes[own[0][a]], classes[own[1][b]]) for a, b in trees[0].joined(trees[1], percent)]
+    a, b = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "doc_id",
                     text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents, links). Documents: one row per row of ``docs`` with ``id``,
-    ``n_shingles``, ``class`` (equal sets share one) and ``component_id``, the
+    ``at`` (hash of the text), ``n_shingles``, ``class`` (equal sets share one) and ``component_id``, the
     smallest key that links reach. Links: the verified links between classes
     (a, b) that connect the components.
 
@@ -237,13 +272,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "
     their row. Other columns are not read. Empty tables give no rows.
     """
     described = _stored(_described(docs, key, text, k, percent), "described")
-    classes = _stored(described.where("n > 0").dropDuplicates(["class"]).drop("id"), "classes")
+    classes = _stored(described.where("n > 0").select("class", "n", "tokens", "bits").dropDuplicates(["class"]), "classes")
     tokens = classes.select("class", F.explode("tokens").alias("token"))
     met = tokens.groupBy("token").agg(F.min("class").alias("leader"), F.max("class").alias("last")) \
         .where("leader < last").drop("last")
     rows = _stored(tokens.join(met, "token"), "met")
     first = rows.where("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
-    links = _stored(_verified(first, classes, k, percent), "links")
+    links = _stored(_verified(_may_link(first, classes, percent), described, k, percent), "links")
 
     # groups whose rows lie in several components
     labels = components(links)
@@ -259,15 +294,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "
         .join(classes.select("class", "n", "bits"), "class")
     second = split.groupBy("token", "i", "j").applyInArrow(lambda t: _tree_pairs(t, percent), "a bigint, b bigint") \
         .distinct().join(first, ["a", "b"], "left_anti")
-    more = _verified(second, classes, k, percent)
+    more = _verified(second, described, k, percent)
     links = _stored(links.union(more), "all-links")
 
     labels = components(links)
-    member = described.select("id", "n", "class").join(labels.withColumnRenamed("node", "class"), "class", "left") \
+    member = described.select("id", "at", "n", "class").join(labels.withColumnRenamed("node", "class"), "class", "left") \
         .withColumn("label", F.coalesce("label", "class"))
     least = member.where("n > 0").groupBy("label").agg(F.min("id").alias("component_id"))
     out = member.join(least, "label", "left").select(
-        "id", F.col("n").alias("n_shingles"), "class",
+        "id", "at", F.col("n").alias("n_shingles"), "class",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
     return out, links
 
@@ -278,11 +313,12 @@ def one_of_each(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "doc_
     text. Rows without shingles stay. A row with a null key stays unless it is
     linked with a row that has one. All columns stay as they are."""
     found, _ = near_duplicates(docs, percent, k, key, text)
-    kept = materialize(found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id").count())
-    ids = kept.select(F.col("id").alias("__id"))
-    out = docs.join(ids, docs[key].eqNullSafe(ids["__id"]), "left_semi")
-    if kept.where("id is not null and count > 1").isEmpty():
-        return out
-    first = Window.partitionBy(key).orderBy(F.xxhash64(text))
-    return out.withColumn("__first", F.row_number().over(first)) \
-        .where(F.col(key).isNull() | (F.col("__first") == 1)).drop("__first")
+    kept = materialize(found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id", "at").count())
+    first = kept.where("id is not null").groupBy("id").agg(F.min("at").alias("at"))
+    rows = first.unionByName(kept.where("id is null").select("id", "at")).toDF("__id", "__at")
+    out = docs.withColumn("__text_at", F.xxhash64(text))
+    out = out.join(rows, out[key].eqNullSafe(rows["__id"]) & (out["__text_at"] == rows["__at"]), "left_semi")
+    if not kept.where("id is not null and count > 1").isEmpty():  # rows that repeat key and text
+        turn = F.row_number().over(Window.partitionBy(key, "__text_at").orderBy(key))
+        out = out.withColumn("__turn", turn).where(F.col(key).isNull() | (F.col("__turn") == 1)).drop("__turn")
+    return out.drop("__text_at")
