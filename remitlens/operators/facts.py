@@ -27,11 +27,12 @@ def export_join(transfers: DataFrame, users: DataFrame) -> DataFrame:
     return transfers.join(s, "from_id").join(r, "to_id")
 
 
-def fact_geo_explode(geo: DataFrame, normalize_locations: bool = False) -> DataFrame:
+def fact_geo_explode(geo: DataFrame, normalize_locations: bool = True) -> DataFrame:
     """One transfer → an OUT row at the sender's location and an IN row at the receiver's.
 
     Single scan + ``explode`` of a two-element array (no self-union). Adds the
-    partition values year, quarter ('Qn') and month ('yyyy-MM').
+    partition values year, quarter ('Qn') and month ('yyyy-MM'). Provinces and
+    districts are normalised ('Hà Nội' → 'HaNoi') unless asked otherwise.
     """
     def loc(c):
         return S.normalize_location(F.col(c)) if normalize_locations else F.col(c)
@@ -57,17 +58,23 @@ def fact_geo_explode(geo: DataFrame, normalize_locations: bool = False) -> DataF
 def flow_join(fact: DataFrame) -> DataFrame:
     """OUT and IN sides of each transfer → (transaction_id, from_province, to_province, amount).
 
-    One shuffle on transaction_id instead of a two-sided join; a duplicated
-    side keeps its latest row (by created_at); transfers missing a side drop.
+    One shuffle and one sort on (transaction_id, direction) instead of a
+    two-sided join. A duplicated side keeps one whole row: the latest by
+    created_at (an unparsable time comes last), then the smallest province and
+    amount. Transfers that miss a side drop; the time itself is not needed.
     """
-    is_out = F.col("direction") == "OUT"
-    is_in = F.col("direction") == "IN"
-    joined = fact.groupBy("transaction_id").agg(
-        F.max_by(F.when(is_out, F.col("province")), F.when(is_out, F.col("created_at"))).alias("from_province"),
-        F.max_by(F.when(is_in, F.col("province")), F.when(is_in, F.col("created_at"))).alias("to_province"),
-        F.max_by(F.when(is_out, F.col("amount")), F.when(is_out, F.col("created_at"))).alias("amount"),
-        F.count_if(is_out).alias("_n_out"), F.count_if(is_in).alias("_n_in"))
-    return (joined.where((F.col("_n_out") > 0) & (F.col("_n_in") > 0))
+    sides = fact.where(F.col("direction").isin("OUT", "IN") & F.col("transaction_id").isNotNull()) \
+        .select("transaction_id", "direction", "created_at", "province", "amount")
+    ordered = Window.partitionBy("transaction_id").orderBy(
+        "direction", F.col("created_at").desc_nulls_last(), "province", "amount")
+    first = sides.withColumn("_before", F.lag("direction").over(ordered)) \
+        .where(F.col("_before").isNull() | (F.col("_before") != F.col("direction")))
+    by_side = Window.partitionBy("transaction_id").orderBy("direction")  # IN, then OUT
+    return (first.select("transaction_id", "direction", F.col("province").alias("to_province"),
+                         F.lead("province").over(by_side).alias("from_province"),
+                         F.lead("amount").over(by_side).alias("amount"),
+                         F.lead("direction").over(by_side).alias("_next"))
+            .where((F.col("direction") == "IN") & (F.col("_next") == "OUT"))
             .select("transaction_id", "from_province", "to_province", "amount"))
 
 
@@ -88,21 +95,24 @@ def shard_tag(transfers: DataFrame, users: DataFrame) -> DataFrame:
             .select(*[F.col(f"r.{c}").alias(c) for c in transfers.columns], F.col("r.shard").alias("shard")))
 
 
-def cross_region_copy(tagged: DataFrame, columns: list[str]) -> DataFrame:
-    """Copy of each cross-region transfer for the receiver's shard, status SUCCESS."""
-    return (tagged.where(F.col("from_region") != F.col("to_region"))
-            .select(*[F.lit("SUCCESS").alias(c) if c == "status" else F.col(c) for c in columns],
-                    F.col("to_region").alias("shard")))
+def cross_region_copy(tagged: DataFrame, columns: list[str], existing: DataFrame | None = None,
+                      key: str = "transaction_id") -> DataFrame:
+    """Copy of each cross-region transfer for the receiver's shard, status SUCCESS;
+    none for an id that the receiver's shard holds already (``existing``: key, shard)."""
+    copies = (tagged.where(F.col("from_region") != F.col("to_region"))
+              .select(*[F.lit("SUCCESS").alias(c) if c == "status" else F.col(c) for c in columns],
+                      F.col("to_region").alias("shard")))
+    return copies if existing is None else copies.join(existing.select(key, "shard"), [key, "shard"], "left_anti")
 
 
 def export_union_dedup(shards: DataFrame, shard_order: list[str], key: str = "transaction_id") -> DataFrame:
     """Union of regional extracts de-duplicated by id; the last shard in ``shard_order`` wins.
 
-    ``max_by(row, shard rank)`` per key: a hash aggregate with a map-side
-    partial step, so copies collapse before the shuffle and no sort is needed.
+    Top-1 per key (``row_number() = 1``): Spark trims each key map-side before
+    the one shuffle. Equal ids in one shard are ordered by their other columns.
     """
     rank = F.array_position(F.array(*[F.lit(s) for s in shard_order]), F.col("shard"))
     cols = [c for c in shards.columns if c != key]
-    return (shards.groupBy(key)
-            .agg(F.max_by(F.struct(*cols), rank).alias("_row"))
-            .select(key, *[F.col(f"_row.{c}").alias(c) for c in cols]))
+    w = Window.partitionBy(key).orderBy(rank.desc(), *cols)
+    return (shards.withColumn("_turn", F.row_number().over(w)).where(F.col("_turn") == 1)
+            .select(key, *cols))

@@ -113,6 +113,20 @@ def page_history(hist: DataFrame, page: int = 0, size: int = 20, key: str = "use
             .withColumn("position", (F.col("_rn") - 1).cast("bigint")).drop("_rn"))
 
 
+def page_after(hist: DataFrame, last: DataFrame, size: int = 20, key: str = "user_id") -> DataFrame:
+    """Keyset paging: each user's next ``size`` rows behind the last one seen.
+
+    ``last``: key, last_created_at, last_id, one row per user; a user without a
+    row there starts at the newest. No earlier page is ranked again."""
+    seen = last.select(key, "last_created_at", "last_id")
+    behind = (F.col("last_id").isNull() | (F.col("created_at") < F.col("last_created_at"))
+              | ((F.col("created_at") == F.col("last_created_at")) & (F.col("transaction_id") < F.col("last_id"))))
+    w = Window.partitionBy(key).orderBy(F.desc("created_at"), F.desc("transaction_id"))
+    return (hist.join(seen, key, "left").where(behind).drop("last_created_at", "last_id")
+            .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= size)
+            .withColumn("position", (F.col("_rn") - 1).cast("bigint")).drop("_rn"))
+
+
 def history_cards(hist: DataFrame, key: str = "user_id") -> DataFrame:
     """Success count, pending count and amount total over the whole filtered history."""
     st = S.status_norm(F.col("status"))

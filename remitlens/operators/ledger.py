@@ -1,19 +1,21 @@
 """Settlement, ledger balances, running balances and transfer status.
 
 Settlement rule (per sender, in created_at then id order): a PENDING transfer
-is accepted when the sender's balance covers it, and the balance drops by the
+whose amount is missing or not above zero FAILS and moves nothing. Any other is
+accepted when the sender's balance covers it, and the balance drops by the
 amount; a rejected debit leaves the balance untouched (FAILED, no refund). A
 credit to an unknown receiver is refunded and the transfer FAILS. Credits of
 the same batch become spendable in the next batch.
 
-Scale plan: a sender whose opening balance covers all its pending debits (plus
-the largest refunded one) accepts everything — decided by one partial+final
-aggregate, no ordering needed. Only the remaining ("tight") senders need the
+Scale plan: a sender whose opening balance covers the sum of all its pending
+amounts accepts everything, in any order. That is decided from slim rows by one
+partial+final aggregate, and the rows then meet their sender's verdict and
+their receiver in one join each. Only the remaining ("tight") senders need the
 ordered fold; their rows are hash-partitioned by sender, sorted inside each
 partition and folded by an Arrow-batched ``mapInPandas`` that streams the
 partition (state is one balance per sender; no group is ever materialised in
 memory) and passes the rows through, so no decision is joined back. The
-flagged rows are checkpointed once and read by both outcomes.
+flagged rows are checkpointed once and read by all outcomes.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitlens.schemas import MONEY
-from remitlens.session import checkpoint_root, materialize
+from remitlens.session import materialize, range_count
 
 # Rows of tight senders go through the fold with their own columns, so the
 # decision never has to be joined back to the transfers.
@@ -114,32 +116,24 @@ def settle_batch(transfers: DataFrame, accounts: DataFrame) -> DataFrame:
     status (SUCCESS / FAILED), reason."""
     pend = transfers.where(F.col("status") == "PENDING").select(
         "transaction_id", "from_id", "to_id", "amount", "created_at")
-    opening = accounts.select(F.col("account_id").alias("from_id"), F.col("balance").alias("opening"))
+    valid = F.coalesce(F.col("amount") > 0, F.lit(False))
+    # What a sender's valid debits need at most; a hot sender collapses map-side.
+    need = pend.where(valid).groupBy("from_id").agg(F.sum("amount").alias("_need"))
+    senders = (accounts.select(F.col("account_id").alias("from_id"), F.col("balance").alias("opening"))
+               .join(need, "from_id")
+               .withColumn("_safe", F.col("opening") >= F.col("_need")).drop("_need"))
     receivers = accounts.select(F.col("account_id").alias("to_id"), F.lit(True).alias("_known"))
-    # Receiver lookup first, sender last: the rows leave the second join
-    # hash-partitioned by from_id, which the per-sender aggregate and the
-    # join back to it can reuse.
-    rows = (pend.join(receivers, "to_id", "left").join(opening, "from_id", "left")
-            .withColumn("to_known", F.col("_known").isNotNull()).drop("_known"))
-
-    # A sender is "safe" when its opening balance covers every debit that sticks
-    # plus the largest refunded one: then every transfer is accepted in any order.
-    per_sender = rows.groupBy("from_id").agg(
-        F.coalesce(F.sum(F.when(F.col("to_known"), F.col("amount"))), F.lit(0)).alias("_need"),
-        F.coalesce(F.max(F.when(~F.col("to_known"), F.col("amount"))), F.lit(0)).alias("_peak"),
-        F.first("opening", ignorenulls=True).alias("_open"))
-    flagged = rows.join(per_sender, "from_id").withColumn(
-        "_safe", F.col("_open").isNotNull() & (F.col("_open") >= F.col("_need") + F.col("_peak")))
-    # Both outcomes below read ``flagged``: a reliable checkpoint in the shared
-    # folder computes the lookups and the per-sender aggregate once (instead of
-    # once per branch) and keeps them after an executor loss.
-    flagged = materialize(flagged.select("transaction_id", "from_id", "to_id", "amount", "created_at",
-                                         "to_known", "opening", "_open", "_safe"))
-
-    cols = ["transaction_id", "from_id", "to_id", "amount", "created_at", "to_known"]
-    safe = flagged.where(F.col("_safe") | F.col("_open").isNull()).select(
-        *cols, F.col("_open").isNotNull().alias("accepted"))
-    tight = (flagged.where(~F.col("_safe") & F.col("_open").isNotNull())
+    # Every outcome below reads ``flagged``: a reliable checkpoint in the shared
+    # folder computes the joins once and keeps them after an executor loss.
+    flagged = materialize(
+        pend.withColumn("valid", valid).join(receivers, "to_id", "left").join(senders, "from_id", "left")
+        .select("transaction_id", "from_id", "to_id", "amount", "created_at", "valid",
+                F.col("_known").isNotNull().alias("to_known"), "opening", "_safe"))
+
+    cols = ["transaction_id", "from_id", "to_id", "amount", "created_at", "valid", "to_known"]
+    ordered = F.col("valid") & F.col("opening").isNotNull() & ~F.coalesce(F.col("_safe"), F.lit(False))
+    plain = flagged.where(~ordered).select(*cols, (F.col("valid") & F.col("opening").isNotNull()).alias("accepted"))
+    tight = (flagged.where(ordered)
              .select("transaction_id", "from_id", "to_id", "created_at", "to_known",
                      (F.col("amount") * 100).cast("long").alias("amount_c"),
                      (F.col("opening") * 100).cast("long").alias("opening_c"))
@@ -148,10 +142,11 @@ def settle_batch(transfers: DataFrame, accounts: DataFrame) -> DataFrame:
     folded = tight.mapInPandas(_fold_partition, FOLD_SCHEMA).select(
         "transaction_id", "from_id", "to_id",
         (F.col("amount_c").cast(T.DecimalType(18, 0)) * F.lit(0.01).cast(MONEY)).cast(MONEY).alias("amount"),
-        "created_at", "to_known", "accepted")
-    out = safe.unionByName(folded)
+        "created_at", F.lit(True).alias("valid"), "to_known", "accepted")
+    out = plain.unionByName(folded)
 
-    reason = (F.when(~F.col("accepted"), F.lit("INSUFFICIENT_BALANCE"))
+    reason = (F.when(~F.col("valid"), F.lit("INVALID_AMOUNT"))
+              .when(~F.col("accepted"), F.lit("INSUFFICIENT_BALANCE"))
               .when(~F.col("to_known"), F.lit("RECEIVER_NOT_FOUND")))
     status = F.when(reason.isNull(), F.lit("SUCCESS")).otherwise(F.lit("FAILED"))
     return out.select("transaction_id", "from_id", "to_id", "amount", "created_at",
@@ -159,14 +154,14 @@ def settle_batch(transfers: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def ledger_movements(settled: DataFrame) -> DataFrame:
-    """±amount rows: debit of the sender and credit of the receiver for SUCCESS
-    transfers (a refunded debit nets to zero and is left out)."""
+    """±amount rows: debit (``side`` 0) of the sender and credit (1) of the receiver
+    for SUCCESS transfers (a refunded debit nets to zero and is left out)."""
     ok = settled.where(F.col("status") == "SUCCESS")
     moves = F.array(
-        F.struct(F.col("from_id").alias("account_id"), (-F.col("amount")).alias("delta")),
-        F.struct(F.col("to_id").alias("account_id"), F.col("amount").alias("delta")))
+        F.struct(F.col("from_id").alias("account_id"), F.lit(0).alias("side"), (-F.col("amount")).alias("delta")),
+        F.struct(F.col("to_id").alias("account_id"), F.lit(1).alias("side"), F.col("amount").alias("delta")))
     return ok.select("transaction_id", "created_at", F.explode(moves).alias("m")).select(
-        "transaction_id", "created_at", "m.account_id", F.col("m.delta").cast(MONEY).alias("delta"))
+        "transaction_id", "created_at", "m.account_id", "m.side", F.col("m.delta").cast(MONEY).alias("delta"))
 
 
 def ledger_balance(accounts: DataFrame, movements: DataFrame) -> DataFrame:
@@ -190,12 +185,12 @@ def running_sum_global(df: DataFrame, key: str, order_cols: list[str], value: st
     tails of the preceding ranges that end with that key. That table has at
     most one row per range partition (bounded by ``spark.sql.shuffle.partitions``)
     and is broadcast, so the only shuffle of the rows is the window's.
-    The ranged frame is checkpointed to the shared checkpoint folder so every
-    read sees the same partitioning, also after an executor loss.
+    The input is stored first (range partitioning samples it, and its cause may
+    be costly), and the ranged frame too, so every read sees the same
+    partitioning, also after an executor loss.
     """
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = materialize(df)
+    n_parts = range_count(df)
     k = F.col(key)
     ranged = (df.repartitionByRange(n_parts, k.asc_nulls_first(), *order_cols)
               .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
@@ -225,22 +220,31 @@ def running_sum_global(df: DataFrame, key: str, order_cols: list[str], value: st
 
 def running_balance(accounts: DataFrame, movements: DataFrame) -> DataFrame:
     """Balance after each ledger movement: opening + cumulative deltas in
-    (created_at, transaction_id) order per account."""
-    cum = running_sum_global(movements, "account_id", ["created_at", "transaction_id"], "delta", "_cum")
+    (created_at, transaction_id, side) order per account: a transfer to the own
+    account debits before it credits."""
+    cum = running_sum_global(movements, "account_id", ["created_at", "transaction_id", "side"], "delta", "_cum")
     opening = accounts.select("account_id", F.col("balance").alias("opening"))
     return (cum.join(opening, "account_id", "left")
-            .select("account_id", "transaction_id", "created_at", "delta",
+            .select("account_id", "transaction_id", "created_at", "side", "delta",
                     (F.coalesce(F.col("opening"), F.lit(0)) + F.col("_cum")).cast(T.DecimalType(20, 2))
                     .alias("balance_after")))
 
 
+STATUSES = ["PENDING", "PROCESSING", "SUCCESS", "FAILED"]
+
+
 def latest_status(status_events: DataFrame) -> DataFrame:
     """Current status per transfer from status-change events (PENDING →
-    PROCESSING → SUCCESS/FAILED): ``max_by(status, (event_ts, seq))`` — a hash
-    aggregate with partial aggregation."""
-    return status_events.groupBy("transaction_id").agg(
-        F.max_by("status", F.struct("event_ts", "seq")).alias("status"),
-        F.max("event_ts").alias("updated_at"))
+    PROCESSING → SUCCESS/FAILED): the event with the largest (event_ts, seq).
+
+    Time, sequence (0-7) and the status' place in ``STATUSES`` are packed into
+    one long, so the maximum is a hash aggregate with fixed-width buffers and a
+    map-side step. A status outside the list reads as NULL."""
+    code = F.array_position(F.array(*[F.lit(x) for x in STATUSES]), F.col("status"))
+    packed = F.unix_micros(F.col("event_ts").cast("timestamp")) * 64 + F.col("seq") * 8 + F.coalesce(code, F.lit(0))
+    latest = status_events.groupBy("transaction_id").agg(F.max(packed).alias("_p"), F.max("event_ts").alias("updated_at"))
+    return latest.select("transaction_id", F.get(F.array(*[F.lit(x) for x in STATUSES]),
+                                                 (F.pmod("_p", F.lit(8)) - 1).cast("int")).alias("status"), "updated_at")
 
 
 def status_events(settled: DataFrame) -> DataFrame:

@@ -17,7 +17,8 @@ MOBILE_PATTERN = (r"^(0|\+84)(\s|\.)?((3[2-9])|(5[689])|(7[06-9])|(8[1-689])|(9[
 EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 ACCOUNT_STATUSES = ["ACTIVE", "INACTIVE", "SUSPENDED"]
 NOTIFICATION_TYPES = ["ALERT", "MARKETING", "TRANSACTION"]
-ROLES = ["USER", "ADMIN"]
+ROLES = ["ADMIN", "CUSTOMER"]
+DEFAULT_ROLE = "CUSTOMER"
 MAX_SAVED_RECEIVERS = 6
 # ---------------------------------------------------------------------------
 
@@ -43,19 +44,22 @@ def audit_query(audit: DataFrame, transaction_id=None, account=None, status=None
 
 def notification_query(notes: DataFrame, page: int = 0, size: int = 20, kind: str | None = None) -> DataFrame:
     """Page ``page`` of each user's notifications, newest first, optional type.
-    ``row_number() < (page+1)*size`` → WindowGroupLimit (bounded per user per task)."""
+    ``row_number() < (page+1)*size`` → WindowGroupLimit (bounded per user per task).
+    Every row carries the user's total_elements and total_pages."""
     rows = notes if kind is None else notes.where(F.col("type") == kind)
     w = Window.partitionBy("user_id").orderBy(F.desc("created_at"), F.desc("transaction_id"), "type")
     # Filter on the row number itself so Spark plans a WindowGroupLimit.
     ranked = rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= (page + 1) * size)
-    return (ranked.where(F.col("_rn") > page * size)
+    totals = rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("total_elements"))
+    return (ranked.where(F.col("_rn") > page * size).join(totals, "user_id")
+            .withColumn("total_pages", F.ceil(F.col("total_elements") / F.lit(size)).cast("bigint"))
             .withColumn("position", (F.col("_rn") - 1).cast("bigint")).drop("_rn"))
 
 
 def accounts_by_user_status(accounts: DataFrame, status: str = "ACTIVE") -> DataFrame:
     """A user's accounts in a status; the transfer source is the earliest one
     (deterministic ``min_by`` instead of an arbitrary "first")."""
-    order = F.struct(F.coalesce(F.col("created_at"), F.lit("9999-12-31").cast("timestamp_ntz")), F.col("account_id")) \
+    order = _packed_order(F.col("created_at"), F.col("account_id"), 10**18, 1) \
         if "created_at" in accounts.columns else F.col("account_id")
     return (accounts.where(F.col("status") == status).groupBy("user_id")
             .agg(F.min_by("account_id", order).alias("account_id"),
@@ -123,11 +127,19 @@ def count_by_key(df: DataFrame, key: str, name: str = "n") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).cast("bigint").alias(name))
 
 
+def _packed_order(created_at: Column, account_id: Column, missing: int, direction: int) -> Column:
+    """(created_at, account_id) as one decimal, which has a fixed-width
+    aggregation buffer: microseconds in front, the id (ascending or, with
+    ``direction`` -1, descending) behind; ``missing`` stands for no time."""
+    micros = F.coalesce(F.unix_micros(created_at.cast("timestamp")), F.lit(missing)).cast("decimal(38,0)")
+    return micros * F.lit(10**18).cast("decimal(19,0)") + (account_id * direction).cast("decimal(18,0)")
+
+
 def account_primary(accounts: DataFrame) -> DataFrame:
-    """Each user's accounts newest first (nulls last); position 0 is primary.
-    Aggregate form of row_number()==1: ``max_by`` per user (partial aggregation)."""
-    order = F.struct(F.col("created_at").isNotNull().alias("has_ts"), F.col("created_at"),
-                     (-F.col("account_id")).alias("neg_id"))
+    """Each user's newest account (no time last, ties to the smallest id):
+    position 0 of the list newest first, as ``max_by`` over a fixed-width order
+    (hash aggregate with a map-side step)."""
+    order = _packed_order(F.col("created_at"), F.col("account_id"), -(10**18), -1)
     return accounts.groupBy("user_id").agg(F.max_by("account_id", order).alias("primary_account_id"))
 
 
@@ -220,13 +232,14 @@ def check_constraints(accounts: DataFrame, users: DataFrame, notifications: Data
 
 
 def rekey_backfill(users: DataFrame, children: DataFrame, old_key: str = "user_id", child_fk: str = "user_id",
-                   default_role: str = "USER", namespace: str = "remitlens-user") -> tuple[DataFrame, DataFrame]:
+                   default_role: str = DEFAULT_ROLE, namespace: str = "remitlens-user") -> tuple[DataFrame, DataFrame]:
     """New deterministic keys (sha2 of namespace + old key; stable across
     retries, unlike uuid()), children re-pointed by joining old → new key, blank
-    province/district → 'Unknown', missing role → default."""
+    province/district → 'Unknown', missing role and the old 'User' → default."""
     new_key = F.sha2(F.concat(F.lit(namespace + ":"), F.col(old_key).cast("string")), 256)
     mapping = users.select(F.col(old_key).alias("_old"), new_key.alias("_new"))
-    role = F.coalesce(F.col("role"), F.lit(default_role)) if "role" in users.columns else F.lit(default_role)
+    role = F.when(F.col("role").isNull() | (F.lower("role") == "user"), F.lit(default_role)).otherwise(F.col("role")) \
+        if "role" in users.columns else F.lit(default_role)
     new_users = users.select(
         new_key.alias("user_id"), F.col(old_key).alias("legacy_id"), "full_name",
         S.blank_to(F.col("province"), "Unknown").alias("province"),

@@ -25,17 +25,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from remitlens.session import checkpoint_root
+from remitlens.session import materialize, range_count
 
 
 def percent_rank_global(df: DataFrame, col: str, partitions: int | None = None) -> DataFrame:
     """Adds ``pct_rank`` = (rank − 1) / (N − 1) over ascending ``col``, nulls
     first like ``percent_rank()`` (0 when N = 1)."""
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The rows are read twice (value counts, join back): compute them once.
-    df = df.checkpoint(eager=True)
+    df = materialize(df)
+    n_parts = partitions or range_count(df)
     values = df.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     ranged = (values.repartitionByRange(n_parts, F.col("_v").asc_nulls_first())
               .withColumn("_pid", F.spark_partition_id())

@@ -11,9 +11,9 @@ from remitlens.plans.model_frames import Frames
 from remitlens.plans.registry import register
 from remitlens.session import scratch_path
 from remitlens.sources import fact_store, shards, sinks
-from remitlens.streaming import events
+from remitlens.streaming import events, pipeline
 
-SLICE = dict(province="NATION_19", district="BUILDING", year=2024, quarter="Q1")
+SLICE = dict(province="CanTho", district="Building", year=2024, quarter="Q1")
 REGION_ORDER = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 _FACT_OUT = """SELECT CAST(transaction_id AS BIGINT) AS transaction_id, CAST(owner_user_id AS BIGINT) AS owner_user_id,
@@ -51,15 +51,15 @@ def q_write_fact_partitioned(spark, sf_dir):
 
 
 @register("scan_partition", _FACT_OUT + """ FROM fact
-WHERE province = 'NATION_19' AND district = 'BUILDING' AND year = 2024 AND quarter = 'Q1'""")
+WHERE province = 'CanTho' AND district = 'Building' AND year = 2024 AND quarter = 'Q1'""")
 def q_scan_partition(spark, sf_dir):
     return _fact_out(fact_store.scan_partition(_parquet_store(spark, sf_dir), **SLICE))
 
 
 @register("scan_province_quarter", _FACT_OUT + """ FROM fact
-WHERE province = 'NATION_19' AND year = 2024 AND quarter = 'Q1'""")
+WHERE province = 'CanTho' AND year = 2024 AND quarter = 'Q1'""")
 def q_scan_province_quarter(spark, sf_dir):
-    return _fact_out(fact_store.scan_province_quarter(_parquet_store(spark, sf_dir), "NATION_19", 2024, "Q1"))
+    return _fact_out(fact_store.scan_province_quarter(_parquet_store(spark, sf_dir), "CanTho", 2024, "Q1"))
 
 
 @register("scan_quarter_glob", _FACT_OUT + " FROM fact WHERE year = 2024 AND quarter = 'Q1'")
@@ -76,16 +76,16 @@ def q_list_partitions(spark, sf_dir):
 
 @register("partition_exists", """
 SELECT count(*) > 0 AS "exists" FROM fact
-WHERE province = 'NATION_19' AND district = 'BUILDING' AND year = 2024 AND quarter = 'Q1'""")
+WHERE province = 'CanTho' AND district = 'Building' AND year = 2024 AND quarter = 'Q1'""")
 def q_partition_exists(spark, sf_dir):
     return fact_store.partition_exists(_parquet_store(spark, sf_dir), **SLICE)
 
 
-@register("replace_partitions", _FACT_OUT + " FROM fact WHERE province <> 'NATION_19' OR status = 'SUCCESS'")
+@register("replace_partitions", _FACT_OUT + " FROM fact WHERE province <> 'CanTho' OR status = 'SUCCESS'")
 def q_replace_partitions(spark, sf_dir):
     path = _store(spark, sf_dir)
     fact = Frames(spark, sf_dir).fact
-    fact_store.replace_partitions(fact.where((F.col("province") == "NATION_19") & (F.col("status") == "SUCCESS")),
+    fact_store.replace_partitions(fact.where((F.col("province") == "CanTho") & (F.col("status") == "SUCCESS")),
                                   path)
     return _fact_out(fact_store.read_fact_parquet(spark, path))
 
@@ -126,18 +126,16 @@ def _tagged_shards(spark, sf_dir):
 
 @register("shard_union", _SHARDS + f"SELECT {_SHARD_COLS} FROM shards")
 def q_shard_union(spark, sf_dir):
-    """Shards written as separate Parquet folders, read back and unioned."""
-    tagged = _tagged_shards(spark, sf_dir)
-    paths = {}
-    for region in REGION_ORDER:
-        p = scratch_path(spark, f"shard-{region.replace(' ', '_')}")
-        tagged.where(F.col("shard") == region).drop("shard").write.parquet(p)
-        paths[region] = p
+    """Shards written as one folder each by a single job, read back and unioned."""
+    path = scratch_path(spark, "shards")
+    tagged = _tagged_shards(spark, sf_dir).withColumn("folder", F.replace(F.col("shard"), F.lit(" "), F.lit("_")))
+    tagged.drop("shard").write.partitionBy("folder").parquet(path)
+    paths = {region: f"{path}/folder={region.replace(' ', '_')}" for region in REGION_ORDER}
     return _shard_out(shards.shard_scan_files(spark, paths))
 
 
 @register("cross_region_copy", _SHARDS + f"""
-SELECT {_SHARD_COLS} FROM shards WHERE status = 'SUCCESS' AND shard <> (
+SELECT {_SHARD_COLS} FROM shards WHERE status = 'SUCCESS' AND transaction_id % 3 <> 0 AND shard <> (
   SELECT region FROM users WHERE user_id = shards.from_id)""")
 def q_cross_region_copy(spark, sf_dir):
     fr = Frames(spark, sf_dir)
@@ -145,7 +143,11 @@ def q_cross_region_copy(spark, sf_dir):
     t = (fr.tx.join(region.withColumnRenamed("user_id", "from_id").withColumnRenamed("region", "from_region"),
                     "from_id")
          .join(region.withColumnRenamed("user_id", "to_id").withColumnRenamed("region", "to_region"), "to_id"))
-    return _shard_out(facts.cross_region_copy(t, fr.tx.columns))
+    # the receivers' shards hold every third transfer already; the copies are appended to their folders
+    held = t.where(F.col("transaction_id") % 3 == 0).select("transaction_id", F.col("to_region").alias("shard"))
+    path = scratch_path(spark, "shard-copies")
+    facts.cross_region_copy(t, fr.tx.columns, held).write.mode("append").partitionBy("shard").parquet(path)
+    return _shard_out(spark.read.parquet(path))
 
 
 @register("export_union_dedup", _SHARDS + f"""
@@ -168,7 +170,11 @@ def q_distinct_by_key(spark, sf_dir):
 
 
 @register("region_of_province", """
-SELECT user_id, province, CASE WHEN province IS NULL THEN 'CENTRAL' ELSE 'SOUTH' END AS shard FROM users""")
+SELECT user_id, province, CASE WHEN province IS NULL THEN 'CENTRAL'
+  WHEN province IN ('Hà Nội', 'Hải Phòng', 'Bắc Ninh', 'Hà Nam', 'Hải Dương', 'Hưng Yên', 'Nam Định', 'Ninh Bình',
+                    'Thái Bình', 'Vĩnh Phúc') THEN 'NORTH'
+  WHEN province IN ('Thanh Hóa', 'Nghệ An', 'Hà Tĩnh', 'Quảng Bình', 'Quảng Trị', 'Thừa Thiên Huế', 'Đà Nẵng',
+                    'Quảng Nam') THEN 'MID' ELSE 'SOUTH' END AS shard FROM users""")
 def q_region_of_province(spark, sf_dir):
     u = Frames(spark, sf_dir).users
     return u.select("user_id", "province", S.region_of_province(F.col("province")).alias("shard"))
@@ -190,11 +196,21 @@ def _results(spark, sf_dir):
     return events.result_events(Frames(spark, sf_dir).geo)
 
 
+def _streamed(spark, sf_dir, rows, name):
+    """Result events as files, read as a stream into a checkpointed Parquet sink."""
+    source, sink = scratch_path(spark, f"{name}-events"), scratch_path(spark, f"{name}-sink")
+    results = _results(spark, sf_dir)
+    results.write.parquet(source)
+    stream = rows(spark.readStream.schema(results.schema).parquet(source))
+    pipeline.stream_to_table(stream, sink, scratch_path(spark, f"{name}-ckpt"))
+    return spark.read.schema(stream.schema).parquet(sink)
+
+
 @register("stream_audit", _RESULTS + """
 SELECT transaction_id, from_account, to_account, CAST(amount AS DOUBLE) AS amount, status, description, fail_reason,
        processed_at, created_at FROM results""")
 def q_stream_audit(spark, sf_dir):
-    return events.audit_rows(_results(spark, sf_dir))
+    return _streamed(spark, sf_dir, events.audit_rows, "audit")
 
 
 @register("audit_csv_sink", _RESULTS + """
@@ -243,16 +259,17 @@ _NOTIF = _RESULTS + """
 @register("stream_notifications", _NOTIF + """
 SELECT transaction_id, user_id, type, message, created_at, false AS is_read FROM notif""")
 def q_stream_notifications(spark, sf_dir):
-    return events.notification_rows(_results(spark, sf_dir))
+    return _streamed(spark, sf_dir, events.notification_rows, "notifications")
 
 
 @register("notification_query", _NOTIF + """
-SELECT transaction_id, user_id, type, message, created_at, position FROM (
-  SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, transaction_id DESC, type)
+SELECT transaction_id, user_id, type, message, created_at, position, total_elements,
+       CAST(ceil(total_elements / 20.0) AS BIGINT) AS total_pages FROM (
+  SELECT *, count(*) OVER (PARTITION BY user_id) AS total_elements, CAST(row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, transaction_id DESC, type)
                  - 1 AS BIGINT) AS position
   FROM notif) WHERE position < 20""")
 def q_notification_query(spark, sf_dir):
     from remitlens.operators.lookups import notification_query
     n = events.notification_rows(_results(spark, sf_dir))
     return notification_query(n, page=0, size=20).select("transaction_id", "user_id", "type", "message",
-                                                         "created_at", "position")
+                                                         "created_at", "position", "total_elements", "total_pages")

@@ -12,40 +12,57 @@ from remitlens.plans.registry import register
 
 # Oracle: an ordered fold per sender as a recursive CTE (independent of the
 # Spark plan, which splits safe senders from tight ones).
+# Its input is the PENDING transfers with every awkward case among them: missing
+# and negative amounts, unknown senders and receivers, transfers to oneself.
 _SETTLE = """
-, pend AS (
-  SELECT e.transaction_id, e.from_id, e.to_id, e.amount, e.created_at,
-         row_number() OVER (PARTITION BY e.from_id ORDER BY e.created_at, e.transaction_id) AS rn,
-         EXISTS (SELECT 1 FROM accounts r WHERE r.account_id = e.to_id) AS to_known
-  FROM etx e WHERE e.status = 'PENDING'),
+, sx AS (
+  SELECT transaction_id, CASE WHEN transaction_id % 73 = 0 THEN -transaction_id ELSE from_id END AS from_id,
+         CASE WHEN transaction_id % 41 = 0 THEN -7 WHEN transaction_id % 43 = 0 THEN from_id ELSE to_id END AS to_id,
+         CASE WHEN transaction_id % 37 = 0 THEN NULL WHEN transaction_id % 31 = 0 THEN -amount ELSE amount END AS amount,
+         created_at
+  FROM etx WHERE status = 'PENDING'),
+pend AS (
+  SELECT s.*, row_number() OVER (PARTITION BY from_id ORDER BY created_at, transaction_id) AS rn,
+         coalesce(amount > 0, false) AS valid,
+         EXISTS (SELECT 1 FROM accounts r WHERE r.account_id = s.to_id) AS to_known
+  FROM sx s),
 fold AS (
-  SELECT p.from_id, p.rn, p.transaction_id, a.balance >= p.amount AS accepted,
-         CASE WHEN a.balance >= p.amount AND p.to_known THEN a.balance - p.amount ELSE a.balance END AS bal
+  SELECT p.from_id, p.rn, p.transaction_id, p.valid AND a.balance >= p.amount AS accepted,
+         CASE WHEN p.valid AND a.balance >= p.amount AND p.to_known THEN a.balance - p.amount ELSE a.balance END AS bal
   FROM pend p JOIN accounts a ON a.account_id = p.from_id WHERE p.rn = 1
   UNION ALL
-  SELECT p.from_id, p.rn, p.transaction_id, f.bal >= p.amount,
-         CASE WHEN f.bal >= p.amount AND p.to_known THEN f.bal - p.amount ELSE f.bal END
+  SELECT p.from_id, p.rn, p.transaction_id, p.valid AND f.bal >= p.amount,
+         CASE WHEN p.valid AND f.bal >= p.amount AND p.to_known THEN f.bal - p.amount ELSE f.bal END
   FROM fold f JOIN pend p ON p.from_id = f.from_id AND p.rn = f.rn + 1),
 settled AS (
   SELECT p.transaction_id, p.from_id, p.to_id, p.amount, p.created_at,
          CASE WHEN coalesce(f.accepted, false) AND p.to_known THEN 'SUCCESS' ELSE 'FAILED' END AS status,
-         CASE WHEN NOT coalesce(f.accepted, false) THEN 'INSUFFICIENT_BALANCE'
+         CASE WHEN NOT p.valid THEN 'INVALID_AMOUNT'
+              WHEN NOT coalesce(f.accepted, false) THEN 'INSUFFICIENT_BALANCE'
               WHEN NOT p.to_known THEN 'RECEIVER_NOT_FOUND' END AS reason
   FROM pend p LEFT JOIN fold f ON f.transaction_id = p.transaction_id),
 moves AS (
-  SELECT transaction_id, created_at, from_id AS account_id, -amount AS delta FROM settled WHERE status = 'SUCCESS'
+  SELECT transaction_id, created_at, from_id AS account_id, 0 AS side, -amount AS delta FROM settled
+  WHERE status = 'SUCCESS'
   UNION ALL
-  SELECT transaction_id, created_at, to_id, amount FROM settled WHERE status = 'SUCCESS')
+  SELECT transaction_id, created_at, to_id, 1, amount FROM settled WHERE status = 'SUCCESS')
 """
 
 
-def _recursive(sql: str) -> str:
-    return sql
+def settle_input(etx):
+    """PENDING transfers with missing and negative amounts, unknown parties and
+    transfers to oneself among them (the same rule as ``sx`` in the SQL)."""
+    at = lambda n: F.col("transaction_id") % n == 0
+    return etx.where(F.col("status") == "PENDING").select(
+        "transaction_id", F.when(at(73), -F.col("transaction_id")).otherwise(F.col("from_id")).alias("from_id"),
+        F.when(at(41), F.lit(-7)).when(at(43), F.col("from_id")).otherwise(F.col("to_id")).alias("to_id"),
+        F.when(at(37), F.lit(None)).when(at(31), -F.col("amount")).otherwise(F.col("amount")).alias("amount"),
+        "status", "created_at")
 
 
 def _settled(spark, sf_dir):
     fr = Frames(spark, sf_dir)
-    return ledger.settle_batch(fr.etx, fr.accounts)
+    return ledger.settle_batch(settle_input(fr.etx), fr.accounts)
 
 
 @register("settle_batch", recursive=True, oracle=_SETTLE + """
@@ -69,14 +86,14 @@ def q_ledger_balance(spark, sf_dir):
 
 
 @register("running_balance", recursive=True, oracle=_SETTLE + """
-SELECT m.account_id, m.transaction_id, m.created_at, CAST(m.delta AS DOUBLE) AS delta,
-       CAST(a.balance + sum(m.delta) OVER (PARTITION BY m.account_id ORDER BY m.created_at, m.transaction_id
+SELECT m.account_id, m.transaction_id, m.created_at, m.side, CAST(m.delta AS DOUBLE) AS delta,
+       CAST(a.balance + sum(m.delta) OVER (PARTITION BY m.account_id ORDER BY m.created_at, m.transaction_id, m.side
                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS balance_after
 FROM moves m JOIN accounts a ON a.account_id = m.account_id""")
 def q_running_balance(spark, sf_dir):
     fr = Frames(spark, sf_dir)
     r = ledger.running_balance(fr.accounts, ledger.ledger_movements(_settled(spark, sf_dir)))
-    return r.select("account_id", "transaction_id", "created_at", F.col("delta").cast("double").alias("delta"),
+    return r.select("account_id", "transaction_id", "created_at", "side", F.col("delta").cast("double").alias("delta"),
                     F.col("balance_after").cast("double").alias("balance_after"))
 
 
@@ -109,7 +126,7 @@ def q_balance_check(spark, sf_dir):
     return c.select("transaction_id", "from_id", F.col("amount").cast("double").alias("amount"), "reason", "ok")
 
 
-@register("transfer_validate", """
+@register("transfer_validate", _SETTLE.split("pend AS (")[0].rstrip().rstrip(",") + """
 SELECT t.transaction_id, t.from_id, t.to_id, CAST(t.amount AS DOUBLE) AS amount,
        CASE WHEN t.from_id IS NULL OR t.to_id IS NULL OR t.amount IS NULL THEN 'MISSING_FIELD'
             WHEN t.from_id = t.to_id THEN 'SAME_ACCOUNT'
@@ -117,10 +134,10 @@ SELECT t.transaction_id, t.from_id, t.to_id, CAST(t.amount AS DOUBLE) AS amount,
             WHEN r.account_id IS NULL THEN 'RECEIVER_NOT_FOUND'
             WHEN s.status IS NULL OR s.status <> 'ACTIVE' THEN 'NO_ACTIVE_ACCOUNT'
             WHEN s.balance < t.amount THEN 'INSUFFICIENT_BALANCE' END AS reject_reason
-FROM etx t LEFT JOIN accounts s ON s.account_id = t.from_id LEFT JOIN accounts r ON r.account_id = t.to_id""")
+FROM sx t LEFT JOIN accounts s ON s.account_id = t.from_id LEFT JOIN accounts r ON r.account_id = t.to_id""")
 def q_transfer_validate(spark, sf_dir):
     fr = Frames(spark, sf_dir)
-    v = lookups.transfer_validate(fr.etx, fr.accounts)
+    v = lookups.transfer_validate(settle_input(fr.etx), fr.accounts)
     return v.select("transaction_id", "from_id", "to_id", F.col("amount").cast("double").alias("amount"),
                     "reject_reason")
 
@@ -153,19 +170,19 @@ def q_exists_semi(spark, sf_dir):
 
 @register("integrity_anti", """
 SELECT 'tx.from_id->accounts' AS rule, CAST(transaction_id AS VARCHAR) AS key_value FROM tx
-WHERE from_id IS NOT NULL AND from_id NOT IN (SELECT account_id FROM accounts)
+WHERE from_id IS NOT NULL AND from_id NOT IN (SELECT account_id FROM accounts WHERE account_id % 97 <> 0)
 UNION ALL
 SELECT 'tx.to_id->accounts', CAST(transaction_id AS VARCHAR) FROM tx
-WHERE to_id IS NOT NULL AND to_id NOT IN (SELECT account_id FROM accounts)
+WHERE to_id IS NOT NULL AND to_id NOT IN (SELECT account_id FROM accounts WHERE account_id % 97 <> 0)
 UNION ALL
 SELECT 'lineitem.l_orderkey->orders', CAST(l_orderkey AS VARCHAR) || '/' || CAST(l_linenumber AS VARCHAR)
 FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders)
 UNION ALL
 SELECT 'lineitem.l_partkey->part', CAST(l_orderkey AS VARCHAR) || '/' || CAST(l_linenumber AS VARCHAR)
-FROM lineitem WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part)""")
+FROM lineitem WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 53 <> 0)""")
 def q_integrity_anti(spark, sf_dir):
     fr = Frames(spark, sf_dir)
-    acc = fr.accounts
+    acc = fr.accounts.where(F.col("account_id") % 97 != 0)  # some parents are gone
     parts = [
         lookups.integrity_anti(fr.tx.select("transaction_id", "from_id"), acc.withColumnRenamed("account_id", "a"),
                                "from_id", "a", "tx.from_id->accounts")
@@ -178,7 +195,7 @@ def q_integrity_anti(spark, sf_dir):
     line_key = F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     parts.append(lookups.integrity_anti(li, fr.table("orders"), "l_orderkey", "o_orderkey",
                                         "lineitem.l_orderkey->orders").select("rule", line_key.alias("key_value")))
-    parts.append(lookups.integrity_anti(li, fr.table("part"), "l_partkey", "p_partkey",
+    parts.append(lookups.integrity_anti(li, fr.table("part").where("p_partkey % 53 <> 0"), "l_partkey", "p_partkey",
                                         "lineitem.l_partkey->part").select("rule", line_key.alias("key_value")))
     out = parts[0]
     for p in parts[1:]:
@@ -193,9 +210,17 @@ def q_count_by_key(spark, sf_dir):
 
 
 @register("account_primary", """
-SELECT user_id, min(account_id) AS primary_account_id FROM accounts GROUP BY user_id""")
+SELECT user_id, account_id AS primary_account_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC NULLS LAST, account_id) AS rn FROM (
+    SELECT account_id // 4 AS user_id, account_id, CASE WHEN account_id % 5 > 0 THEN
+           TIMESTAMP '2024-01-01' + to_days(CAST(account_id % 3 AS INTEGER)) END AS created_at FROM accounts))
+WHERE rn = 1""")
 def q_account_primary(spark, sf_dir):
-    acc = Frames(spark, sf_dir).accounts.withColumn("created_at", F.lit(None).cast("timestamp_ntz"))
+    """Four accounts per user, opened on different days, some without a time."""
+    day = F.make_interval(days=(F.col("account_id") % 3).cast("int"))
+    acc = Frames(spark, sf_dir).accounts.select(
+        "account_id", F.floor(F.col("account_id") / 4).alias("user_id"),
+        F.when(F.col("account_id") % 5 > 0, F.lit("2024-01-01").cast("timestamp_ntz") + day).alias("created_at"))
     return lookups.account_primary(acc)
 
 
@@ -239,7 +264,7 @@ old AS (
 
 def _registrations(fr):
     c, n = fr.table("customer"), fr.table("nation")
-    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
+    return c.join(n, c.c_nationkey == n.n_nationkey).select(
         F.col("c_custkey").alias("seq"), F.col("c_name").alias("full_name"),
         F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("."))), F.lit("@mail.vn")).alias("email"),
         F.concat(F.lit("0"), F.lpad(((F.col("c_custkey") * 7919) % 1000000000).cast("string"), 9, "0"))
@@ -292,14 +317,22 @@ def q_dup_contacts(spark, sf_dir):
 
 @register("check_constraints", """
 SELECT 'account_status' AS rule, CAST(account_id AS VARCHAR) AS key_value FROM accounts
-WHERE status IS NULL OR status NOT IN ('ACTIVE', 'INACTIVE', 'SUSPENDED')
+WHERE account_id % 11 = 0 OR account_id % 13 = 0
+UNION ALL
+SELECT 'user_role', CAST(user_id AS VARCHAR) FROM users WHERE user_id % 3 = 1
+UNION ALL
+SELECT 'notification_type', CAST(transaction_id AS VARCHAR) FROM tx WHERE transaction_id % 5 = 0
 UNION ALL
 SELECT 'user_province_missing', CAST(user_id AS VARCHAR) FROM users WHERE province IS NULL
 UNION ALL
 SELECT 'transfer_pending', CAST(transaction_id AS VARCHAR) FROM tx WHERE status = 'PENDING'""")
 def q_check_constraints(spark, sf_dir):
     fr = Frames(spark, sf_dir)
-    return lookups.check_constraints(fr.accounts, fr.users, transfers=fr.tx)
+    status = F.when(F.col("account_id") % 11 == 0, F.lit("CLOSED")).when(F.col("account_id") % 13 != 0, F.col("status"))
+    role = F.when(F.col("user_id") % 3 == 0, "CUSTOMER").when(F.col("user_id") % 3 == 1, "USER").otherwise("ADMIN")
+    kind = F.when(F.col("transaction_id") % 5 == 0, "NEWS").otherwise("ALERT")
+    return lookups.check_constraints(fr.accounts.withColumn("status", status), fr.users.withColumn("role", role),
+                                     fr.tx.select("transaction_id", kind.alias("type")), transfers=fr.tx)
 
 
 @register("rekey_backfill", """
@@ -311,7 +344,26 @@ def q_rekey_backfill(spark, sf_dir):
     return children
 
 
-@register("random_sample")
+@register("rekey_users", """
+SELECT sha256('remitlens-user:' || CAST(user_id AS VARCHAR)) AS user_id, user_id AS legacy_id, full_name,
+       coalesce(province, 'Unknown') AS province, CASE WHEN user_id % 7 = 0 THEN 'Unknown' ELSE district END AS district,
+       CASE WHEN user_id % 4 = 3 THEN 'ADMIN' ELSE 'CUSTOMER' END AS role
+FROM users""")
+def q_rekey_users(spark, sf_dir):
+    """The re-keyed users: missing, 'User' and 'user' roles become CUSTOMER, blank places 'Unknown'."""
+    fr = Frames(spark, sf_dir)
+    role = F.get(F.array(F.lit(None), F.lit("User"), F.lit("user"), F.lit("ADMIN")), (F.col("user_id") % 4).cast("int"))
+    district = F.when(F.col("user_id") % 7 == 0, F.lit("  ")).otherwise(F.col("district"))
+    users, _ = lookups.rekey_backfill(fr.users.withColumns({"role": role, "district": district}), fr.accounts)
+    return users
+
+
+@register("random_sample", """
+SELECT 2 AS n_rows, true AS from_accounts""")
 def q_random_sample(spark, sf_dir):
-    """Two random accounts (row count only: the pick is random by design)."""
-    return lookups.random_sample(Frames(spark, sf_dir).accounts, 2, seed=7)
+    """Two random accounts: how many, and whether the accounts hold them."""
+    accounts = Frames(spark, sf_dir).accounts
+    picked = lookups.random_sample(accounts, 2, seed=7)
+    known = picked.join(accounts.select("account_id").distinct(), "account_id", "left_semi").select(
+        F.lit(1).alias("k"), "account_id")
+    return known.agg(F.count(F.lit(1)).cast("int").alias("n_rows"), (F.count_distinct("account_id") == 2).alias("from_accounts"))

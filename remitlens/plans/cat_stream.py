@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from remitlens.plans.cat_ledger import _SETTLE, settle_input
 from remitlens.plans.model_frames import Frames
 from remitlens.plans.registry import register
 from remitlens.session import scratch_path
@@ -97,35 +98,44 @@ def q_stream_fact_ingest(spark, sf_dir):
 SELECT 'RAPID_FIRE' AS kind, date_trunc('minute', created_at) AS window_start, district, owner_account_id,
        CAST(count(*) AS BIGINT) AS n
 FROM fact WHERE direction = 'OUT'
-GROUP BY district, owner_account_id, date_trunc('minute', created_at) HAVING count(*) >= 2""")
+GROUP BY district, owner_account_id, date_trunc('minute', created_at) HAVING count(*) >= 2
+UNION ALL
+SELECT 'LARGE_AMOUNT', date_trunc('hour', created_at), district, owner_account_id, CAST(count(*) AS BIGINT)
+FROM fact WHERE direction = 'OUT' AND amount >= 50
+GROUP BY district, owner_account_id, date_trunc('hour', created_at) HAVING count(*) >= 2
+UNION ALL
+SELECT 'FAN_OUT', date_trunc('hour', created_at), district, owner_account_id,
+       CAST(count(DISTINCT counterparty_account_id) AS BIGINT)
+FROM fact WHERE direction = 'OUT'
+GROUP BY district, owner_account_id, date_trunc('hour', created_at) HAVING count(DISTINCT counterparty_account_id) >= 2""")
 def q_stream_velocity(spark, sf_dir):
-    src = pipeline.transfer_source(spark, kind="files", path=_event_files(spark, sf_dir))
+    """All three rules, each its own stream; thresholds sized for this data."""
     from remitlens.operators import facts
-    fact = facts.fact_geo_explode(event_to_fact(src))
-    out = _run(spark, pipeline.velocity_alerts(fact), mode="update")
-    r = pipeline.latest_rows(spark, out, ["kind", "window_start", "district", "owner_account_id"])
+    path = _event_files(spark, sf_dir)
+    found = []
+    for kind in ("RAPID_FIRE", "LARGE_AMOUNT", "FAN_OUT"):
+        fact = facts.fact_geo_explode(event_to_fact(pipeline.transfer_source(spark, kind="files", path=path)))
+        alerts = pipeline.velocity_alerts(fact, large_threshold=50, large_min_per_hour=2, min_counterparties=2)
+        out = _run(spark, alerts[kind], mode="update")
+        found.append(pipeline.latest_rows(spark, out, ["kind", "window_start", "district", "owner_account_id"]))
+    r = found[0].unionByName(found[1]).unionByName(found[2])
     return r.select("kind", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "district",
                     "owner_account_id", "n")
 
 
-@register("stream_settle", recursive=True, oracle="""
-, pend AS (
-  SELECT e.transaction_id, e.from_id, e.to_id, e.amount, e.created_at,
-         row_number() OVER (PARTITION BY e.from_id ORDER BY e.created_at, e.transaction_id) AS rn,
-         EXISTS (SELECT 1 FROM accounts r WHERE r.account_id = e.to_id) AS to_known
-  FROM etx e WHERE e.status = 'PENDING' AND e.from_id IN (SELECT account_id FROM accounts)),
-fold AS (
-  SELECT p.from_id, p.rn, p.transaction_id, a.balance >= p.amount AS accepted,
-         CASE WHEN a.balance >= p.amount AND p.to_known THEN a.balance - p.amount ELSE a.balance END AS bal
-  FROM pend p JOIN accounts a ON a.account_id = p.from_id WHERE p.rn = 1
-  UNION ALL
-  SELECT p.from_id, p.rn, p.transaction_id, f.bal >= p.amount,
-         CASE WHEN f.bal >= p.amount AND p.to_known THEN f.bal - p.amount ELSE f.bal END
-  FROM fold f JOIN pend p ON p.from_id = f.from_id AND p.rn = f.rn + 1)
-SELECT transaction_id, from_id, accepted, CAST(bal AS DOUBLE) AS balance_after FROM fold""")
+@register("stream_settle", recursive=True, oracle=_SETTLE + """
+SELECT transaction_id, from_id, to_id, CAST(amount AS DOUBLE) AS amount, created_at, status, reason FROM settled""")
 def q_stream_settle(spark, sf_dir):
-    src = pipeline.transfer_source(spark, kind="files", path=_event_files(spark, sf_dir))
-    out = _run(spark, pipeline.stream_settle(src, Frames(spark, sf_dir).accounts))
-    r = spark.read.parquet(out)
-    return r.select("transaction_id", "from_id", "accepted",
-                    (F.col("balance_after_c") / 100.0).alias("balance_after"))
+    """Every event delivered twice; the decisions equal the batch settlement."""
+    fr = Frames(spark, sf_dir)
+    events = settle_input(fr.etx).select(
+        F.col("transaction_id").cast("string").alias("transactionId"), F.col("from_id").cast("string").alias("fromAccountId"),
+        F.col("to_id").cast("string").alias("toAccountId"), "amount", "status",
+        F.to_utc_timestamp(F.col("created_at").cast("timestamp"), "UTC").alias("timestamp"))
+    path, store = scratch_path(spark, "pending-events"), scratch_path(spark, "settle-store")
+    pipeline.write_event_files(events.unionByName(events), path)
+    src = pipeline.transfer_source(spark, kind="files", path=path)
+    pipeline.stream_settle(src, fr.accounts, store, scratch_path(spark, "settle-ckpt")).awaitTermination()
+    r = spark.read.schema(pipeline.DECISIONS + ", batch bigint").parquet(f"{store}/decisions")
+    return r.select("transaction_id", "from_id", "to_id", F.col("amount").cast("double").alias("amount"),
+                    "created_at", "status", "reason")

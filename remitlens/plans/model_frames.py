@@ -10,25 +10,10 @@ from remitlens.operators import facts
 from remitlens.sources import model
 
 
-_CACHE: dict[tuple, "_Frames"] = {}
+class Frames:
+    """users / accounts / tx / etx / geo / fact as lazy DataFrames (no actions).
 
-
-def Frames(spark: SparkSession, sf_dir: str) -> "_Frames":  # noqa: N802 (reads like the class it returns)
-    """The model frames of ``sf_dir`` for this session, built once and reused.
-
-    They are lazy plans (no data is held), so every query that starts from
-    them shares the same DataFrame objects instead of rebuilding the joins and
-    subqueries through py4j each time.
-    """
-    key = (id(spark), spark.conf.get("spark.app.id", ""), sf_dir.rstrip("/"))
-    frames = _CACHE.get(key)
-    if frames is None:
-        frames = _CACHE[key] = _Frames(spark, sf_dir)
-    return frames
-
-
-class _Frames:
-    """users / accounts / tx / etx / geo / fact as lazy DataFrames (no actions)."""
+    Made anew for every query, so files that were added since are read."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark

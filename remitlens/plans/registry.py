@@ -16,11 +16,19 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, QueryFn] = {}
 _ORACLES: dict[str, str] = {}
 
+# The provinces of nations 0 to 23 (nation 24 has none), as written and normalised.
+PROVINCES_SQL = """['Hà Nội', 'Hải Phòng', 'Bắc Ninh', 'Hà Nam', 'Hải Dương', 'Hưng Yên', 'Nam Định', 'Ninh Bình',
+  'Thái Bình', 'Vĩnh Phúc', 'Thanh Hóa', 'Nghệ An', 'Hà Tĩnh', 'Quảng Bình', 'Quảng Trị', 'Thừa Thiên Huế', 'Đà Nẵng',
+  'Quảng Nam', 'Hồ Chí Minh', 'Cần Thơ', 'An Giang', 'Bến Tre', 'Cà Mau', 'Long An']"""
+NORMALISED_SQL = """['HaNoi', 'HaiPhong', 'BacNinh', 'HaNam', 'HaiDuong', 'HungYen', 'NamDinh', 'NinhBinh',
+  'ThaiBinh', 'VinhPhuc', 'ThanhHoa', 'NgheAn', 'HaTinh', 'QuangBinh', 'QuangTri', 'ThuaThienHue', 'DaNang',
+  'QuangNam', 'HoChiMinh', 'CanTho', 'AnGiang', 'BenTre', 'CaMau', 'LongAn']"""
+
 # The driver-table → transfer-model mapping, as DuckDB SQL (mirrors
 # remitlens.sources.model and remitlens.operators.facts).
 MODEL_CTES = """WITH users AS (
   SELECT c_custkey AS user_id, c_name AS full_name, CAST(100000000000 + c_custkey AS VARCHAR) AS account_number,
-         c_acctbal AS balance, n_name AS province, c_mktsegment AS district, r_name AS region
+         c_acctbal AS balance, (@RAW@)[c_nationkey + 1] AS province, c_mktsegment AS district, r_name AS region
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 accounts AS (
   SELECT c_custkey AS account_id, c_custkey AS user_id, CAST(100000000000 + c_custkey AS VARCHAR) AS account_number,
@@ -55,14 +63,16 @@ geo AS (
 fact AS (
   SELECT transaction_id, from_user_id AS owner_user_id, from_account AS owner_account_id, 'OUT' AS direction,
          to_account AS counterparty_account_id, amount, status, created_at,
-         from_province AS province, from_district AS district,
+         coalesce((@NORM@)[list_position(@RAW@, from_province)], 'Unknown') AS province,
+         upper(from_district[1]) || lower(from_district[2:]) AS district,
          year(created_at) AS year, 'Q' || quarter(created_at) AS quarter, strftime(created_at, '%Y-%m') AS month
   FROM geo
   UNION ALL
   SELECT transaction_id, to_user_id, to_account, 'IN', from_account, amount, status, created_at,
-         to_province, to_district,
+         coalesce((@NORM@)[list_position(@RAW@, to_province)], 'Unknown'),
+         upper(to_district[1]) || lower(to_district[2:]),
          year(created_at), 'Q' || quarter(created_at), strftime(created_at, '%Y-%m')
-  FROM geo)"""
+  FROM geo)""".replace("@RAW@", PROVINCES_SQL).replace("@NORM@", NORMALISED_SQL)
 
 
 def register(name: str, oracle: str | None = None, recursive: bool = False):

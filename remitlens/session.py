@@ -75,3 +75,13 @@ def materialize(df):
     Used where a small intermediate is read several times in one plan."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+ROWS_PER_RANGE = 1_000_000
+
+
+def range_count(rows) -> int:
+    """Number of key ranges for rows that are stored already: the session's
+    shuffle partitions, or more when a range would exceed ``ROWS_PER_RANGE``."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-rows.count() // ROWS_PER_RANGE))

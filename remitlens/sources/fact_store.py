@@ -10,12 +10,14 @@ string, ``''`` never appears because blanks are written as ``Unknown``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from remitlens.functions import scalars as S
-from remitlens.schemas import FACT_CSV_FILE_COLUMNS, PARTITION_COLUMNS
+from remitlens.schemas import FACT_CSV_FILE_COLUMNS, MONTHLY_CSV_SCHEMA, PARTITION_COLUMNS
 
 PARTITION_SCHEMA = T.StructType([
     T.StructField("province", T.StringType()),
@@ -32,38 +34,53 @@ def _partition_safe(fact: DataFrame) -> DataFrame:
     return fact.withColumn("province", fix("province")).withColumn("district", fix("district"))
 
 
-def write_fact_partitioned(fact: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
+def write_fact_partitioned(fact: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
+                           overwrite: str | None = None) -> None:
     """Append fact rows under their partition directory (new files, never
     overwriting existing ones); ``fmt='csv'`` writes the 13-column text layout."""
     df = _partition_safe(fact)
     if fmt == "csv":
-        df = df.select(
-            *[F.col(c).cast("string").alias(c) for c in FACT_CSV_FILE_COLUMNS[:5]],
-            F.col("amount").cast("string").alias("amount"),
-            F.col("status"),
-            F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"),
-            F.col("province").alias("f_province"), F.col("district").alias("f_district"),
-            F.col("year").cast("string").alias("f_year"), F.col("quarter").alias("f_quarter"),
-            F.col("month"), *PARTITION_COLUMNS)
+        df = df.select(fact_line(df).alias("value"), *PARTITION_COLUMNS)
     writer = (df.hint("rebalance", *PARTITION_COLUMNS)
               .write.mode(mode).partitionBy(*PARTITION_COLUMNS))
+    if overwrite:
+        writer = writer.option("partitionOverwriteMode", overwrite)
     if fmt == "csv":
-        writer.option("header", "false").csv(path)
+        writer.text(path)
     else:
         writer.parquet(path)
 
 
+def fact_line(fact: DataFrame) -> Column:
+    """A fact row as a line of the 13-column text layout, which knows no quoting:
+    NULL is an empty field, and a comma or line end inside a field becomes a
+    space (directory names keep province and district as they are)."""
+    fields = [F.col(c) for c in FACT_CSV_FILE_COLUMNS[:5]]
+    fields += [F.col("amount"), F.col("status"), F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")]
+    fields += [F.col(c) for c in PARTITION_COLUMNS] + [F.col("month")]
+    text = [F.translate(F.coalesce(f.cast("string"), F.lit("")), ",\n\r", "   ") for f in fields]
+    return F.concat_ws(",", *text)
+
+
 def replace_partitions(fact: DataFrame, path: str, fmt: str = "parquet", all_partitions: bool = False) -> None:
     """Rewrite the partitions present in ``fact`` (dynamic overwrite), or clear
-    and rewrite the whole store with ``all_partitions=True`` (static)."""
-    spark = fact.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "static" if all_partitions else "dynamic")
-    try:
-        write_fact_partitioned(fact, path, fmt=fmt, mode="overwrite")
-    finally:
-        spark.conf.set(key, old)
+    and rewrite the whole store with ``all_partitions=True`` (static). The mode
+    is an option of this write; the session's setting stays."""
+    write_fact_partitioned(fact, path, fmt=fmt, mode="overwrite",
+                           overwrite="static" if all_partitions else "dynamic")
+
+
+def delete_partition(spark: SparkSession, path: str, keep: DataFrame | None, province: str, district: str, year: int,
+                     quarter: str) -> str:
+    """Clear one slice (or rewrite it with the rows to ``keep``): the rest of the
+    store is copied to a fresh folder beside it, whose path is returned, so a
+    failure half-way leaves the old store whole."""
+    rest = read_fact_parquet(spark, path).where(~(
+        (F.col("province") == province) & (F.col("district") == district)
+        & (F.col("year") == year) & (F.col("quarter") == quarter)))
+    fresh = f"{path.rstrip('/')}-{uuid.uuid4().hex[:12]}"
+    write_fact_partitioned(rest if keep is None else rest.unionByName(keep), fresh)
+    return fresh
 
 
 def read_fact_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -110,6 +127,22 @@ def scan_fact_csv(spark: SparkSession, path: str) -> DataFrame:
     return typed.where(F.col("amount").isNotNull())
 
 
+def scan_monthly_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the monthly transactions text files (month=.../): id,
+    from_account, to_account, amount, status, date.
+
+    Lines are trimmed; blank lines, header lines (starting with ``id``), lines
+    with fewer than four fields and lines whose amount does not parse drop."""
+    raw = spark.read.schema("value string, month string").option("basePath", path).text(path)
+    line = S.java_trim(F.col("value"))
+    parts = F.split(line, ",", -1)
+    rows = raw.where((line != "") & ~F.lower(line).startswith("id") & (F.size(parts) >= 4))
+    fields = [S.java_trim(F.get(parts, F.lit(i))).alias(c) for i, c in enumerate(MONTHLY_CSV_SCHEMA.fieldNames())
+              if c != "amount"]
+    return rows.select("month", *fields, S.amount_parse(F.get(parts, F.lit(3))).alias("amount")) \
+        .where(F.col("amount").isNotNull())
+
+
 def scan_partition(fact: DataFrame, province: str, district: str, year: int, quarter: str) -> DataFrame:
     """One (province, district, year, quarter) slice — pruned to one directory."""
     return fact.where((F.col("province") == province) & (F.col("district") == district)
@@ -126,8 +159,8 @@ def scan_quarter_glob(fact: DataFrame, year: int, quarter: str) -> DataFrame:
 
 
 def list_partitions(fact: DataFrame) -> DataFrame:
-    """Existing (province, district, year, quarter) values. On a partitioned
-    file source only the partition columns are read (metadata-only scan)."""
+    """Existing (province, district, year, quarter) values. No data column is
+    read, but the scan opens every file for its row count."""
     return fact.select(*PARTITION_COLUMNS).distinct()
 
 

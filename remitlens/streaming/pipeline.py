@@ -1,8 +1,9 @@
 """Structured Streaming jobs: ingest, dedup, settlement, velocity alerts.
 
 The source is built in one place (``transfer_source``): Kafka in production
-(``startingOffsets=earliest``, at most 1000 records per trigger, 60 s trigger,
-matching the reference's consumer settings) or a JSON file folder for tests.
+(``startingOffsets=earliest``) or a JSON file folder for tests. How many
+records a micro-batch takes and how often one starts are parameters without a
+limit by default.
 Everything after it is source-agnostic and identical to the batch code.
 Every sink has a checkpoint location in the shared checkpoint folder, so a
 restarted query resumes exactly where it stopped (file sinks are exactly-once).
@@ -10,25 +11,18 @@ restarted query resumes exactly where it stopped (file sinks are exactly-once).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from remitlens.functions import scalars as S
-from remitlens.operators import facts
-from remitlens.operators.ledger import _fold_rows
-from remitlens.schemas import PARTITION_COLUMNS, TRANSFER_EVENT_SCHEMA
+from remitlens.operators import facts, ledger
+from remitlens.schemas import MONEY, PARTITION_COLUMNS, TRANSFER_EVENT_SCHEMA
 from remitlens.streaming.events import event_to_fact
 
-# Fixed values of the reference's consumer configuration.
+# Fixed values of the consumer configuration and the velocity rules.
 TRANSFER_TOPIC = "transfer-topic"
-MAX_RECORDS_PER_POLL = 1000
-TRIGGER_INTERVAL = "60 seconds"
+LARGE_AMOUNT = 500_000_000
 # Event files keep microseconds (Spark's JSON default stops at milliseconds).
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -57,15 +51,18 @@ def transfer_events(geo: DataFrame) -> DataFrame:
 
 def transfer_source(spark: SparkSession, kind: str = "kafka", path: str | None = None,
                     bootstrap: str | None = None, topic: str = TRANSFER_TOPIC,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of TransferEvent rows."""
+                    max_files_per_trigger: int | None = None,
+                    max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame of TransferEvent rows; the two ``max_...`` bounds of a
+    micro-batch are unset by default."""
     if kind == "kafka":
         raw = (spark.readStream.format("kafka")
                .option("kafka.bootstrap.servers", bootstrap)
                .option("subscribe", topic)
-               .option("startingOffsets", "earliest")
-               .option("maxOffsetsPerTrigger", MAX_RECORDS_PER_POLL)
-               .load())
+               .option("startingOffsets", "earliest"))
+        if max_offsets_per_trigger:
+            raw = raw.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        raw = raw.load()
         value = S.json_unwrap(F.col("value").cast("string"))
         return raw.select(F.from_json(value, TRANSFER_EVENT_SCHEMA).alias("e")).select("e.*")
     reader = spark.readStream.schema(TRANSFER_EVENT_SCHEMA).option("timestampFormat", JSON_TS_FORMAT)
@@ -80,103 +77,115 @@ def stream_dedup(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return events.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["transactionId"])
 
 
-def stream_fact_ingest(events: DataFrame, out_path: str, checkpoint: str, available_now: bool = False):
-    """Transfer events → OUT/IN fact rows → append to the partitioned Parquet store.
+def stream_fact_ingest(events: DataFrame, out_path: str, checkpoint: str, available_now: bool = False,
+                       trigger: str | None = None, delay: str = "10 minutes"):
+    """Transfer events → dedup → OUT/IN fact rows → append to the partitioned store.
 
-    Rows are hash-partitioned by the partition columns before the sink, so a
-    micro-batch writes one file per partition folder instead of one per task
-    and folder (no small-file build-up). A folder's rows of one batch land in
-    one task; the trigger bounds the batch, so a hot province stays bounded.
+    A repeated event is dropped before it is exploded (``stream_dedup``). Rows
+    are dealt by the partition columns and a part of the transaction id, so a
+    hot folder's rows of one micro-batch spread over several tasks (and files)
+    while other folders get few.
     """
-    fact = facts.fact_geo_explode(event_to_fact(events)).repartition(*PARTITION_COLUMNS)
+    fact = facts.fact_geo_explode(event_to_fact(stream_dedup(events, delay)))
+    fact = fact.repartition(*PARTITION_COLUMNS, F.pmod(F.xxhash64("transaction_id"), F.lit(4)))
     w = (fact.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy(*PARTITION_COLUMNS))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=TRIGGER_INTERVAL)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger:
+        w = w.trigger(processingTime=trigger)
     return w.start(out_path)
 
 
 def velocity_alerts(fact: DataFrame, delay: str = "10 minutes", min_per_minute: int = 2,
-                    large_threshold=None, large_min_per_hour: int = 3) -> DataFrame:
-    """Live velocity checks over OUT rows: per (district, account) 1-minute
-    windows with ≥ ``min_per_minute`` transfers (rapid fire), and, when a
-    threshold is given, 1-hour windows with ≥ ``large_min_per_hour`` large
-    transfers, plus approximate distinct counterparties per hour (fan-out)."""
+                    large_threshold=LARGE_AMOUNT, large_min_per_hour: int = 3,
+                    min_counterparties: int = 5) -> dict[str, DataFrame]:
+    """Live velocity checks over OUT rows, one stream for each kind: 1-minute
+    windows of a (district, account) with ≥ ``min_per_minute`` transfers
+    (RAPID_FIRE), 1-hour windows with ≥ ``large_min_per_hour`` transfers of at
+    least ``large_threshold`` (LARGE_AMOUNT), and 1-hour windows with ≥
+    ``min_counterparties`` different counterparties (FAN_OUT, the exact set of
+    one account's hour)."""
     out = (fact.where(F.col("direction") == "OUT")
            .withColumn("event_ts", F.col("created_at").cast("timestamp"))
            .withWatermark("event_ts", delay))
-    rapid = (out.groupBy(F.window("event_ts", "1 minute"), "district", "owner_account_id")
-             .agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") >= min_per_minute)
-             .select(F.lit("RAPID_FIRE").alias("kind"), F.col("window.start").alias("window_start"),
-                     "district", "owner_account_id", F.col("n").cast("bigint").alias("n")))
-    if large_threshold is None:
-        return rapid
-    large = (out.where(F.col("amount") >= F.lit(large_threshold))
-             .groupBy(F.window("event_ts", "1 hour"), "district", "owner_account_id")
-             .agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") >= large_min_per_hour)
-             .select(F.lit("LARGE_AMOUNT").alias("kind"), F.col("window.start").alias("window_start"),
-                     "district", "owner_account_id", F.col("n").cast("bigint").alias("n")))
-    return rapid.unionByName(large)
-
-
-def fan_out_alerts(fact: DataFrame, delay: str = "10 minutes", min_counterparties: int = 5) -> DataFrame:
-    """Per (district, account, hour): approximate distinct counterparties
-    (exact distinct is not supported in streaming aggregations)."""
-    out = (fact.where(F.col("direction") == "OUT")
-           .withColumn("event_ts", F.col("created_at").cast("timestamp"))
-           .withWatermark("event_ts", delay))
-    return (out.groupBy(F.window("event_ts", "1 hour"), "district", "owner_account_id")
-            .agg(F.approx_count_distinct("counterparty_account_id").alias("counterparties"))
-            .where(F.col("counterparties") >= min_counterparties))
+
+    def alerts(kind, rows, width, measure, least):
+        return (rows.groupBy(F.window("event_ts", width), "district", "owner_account_id")
+                .agg(measure.cast("bigint").alias("n")).where(F.col("n") >= least)
+                .select(F.lit(kind).alias("kind"), F.col("window.start").alias("window_start"),
+                        "district", "owner_account_id", "n"))
+
+    return {
+        "RAPID_FIRE": alerts("RAPID_FIRE", out, "1 minute", F.count(F.lit(1)), min_per_minute),
+        "LARGE_AMOUNT": alerts("LARGE_AMOUNT", out.where(F.col("amount") >= F.lit(large_threshold)), "1 hour",
+                               F.count(F.lit(1)), large_min_per_hour),
+        "FAN_OUT": alerts("FAN_OUT", out, "1 hour", F.size(F.collect_set("counterparty_account_id")),
+                          min_counterparties),
+    }
 
 
 # ---------------------------------------------------------------- settlement
 
-SETTLE_OUT = T.StructType([
-    T.StructField("transaction_id", T.LongType()),
-    T.StructField("from_id", T.LongType()),
-    T.StructField("accepted", T.BooleanType()),
-    T.StructField("balance_after_c", T.LongType()),
-])
-SETTLE_STATE = T.StructType([T.StructField("balance_c", T.LongType())])
-
-
-def _settle_group(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One sender's rows of one micro-batch (bounded by the trigger size),
-    folded in (created_at, transaction_id) order on top of the balance kept
-    in state. Rows of a batch arrive in Arrow chunks and are ordered here."""
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["created_at", "transaction_id"])
-    start = int(state.get[0]) if state.exists else int(pdf["opening_c"].iloc[0])
-    amt = pdf["amount_c"].to_numpy(dtype=np.int64)
-    known = pdf["to_known"].to_numpy(dtype=bool)
-    accepted = np.zeros(len(pdf), dtype=bool)
-    bal = _fold_rows(amt, known, start, accepted)
-    after = start - np.cumsum(np.where(accepted & known, amt, 0))
-    state.update((bal,))
-    yield pd.DataFrame({"transaction_id": pdf["transaction_id"].to_numpy(),
-                        "from_id": pdf["from_id"].to_numpy(),
-                        "accepted": accepted, "balance_after_c": after})
-
-
-def stream_settle(events: DataFrame, accounts: DataFrame) -> DataFrame:
-    """PENDING transfer events → accept/reject per sender with the running
-    balance in state (keyed by sender account). The opening balance comes from
-    a stream-static join with the accounts table."""
-    pend = events.where(F.col("status") == "PENDING").select(
+def pending_transfers(events: DataFrame) -> DataFrame:
+    """PENDING transfer events in the columns of the batch settlement."""
+    return events.where(F.col("status") == "PENDING").select(
         F.col("transactionId").cast("long").alias("transaction_id"),
         F.col("fromAccountId").cast("long").alias("from_id"),
-        F.col("toAccountId").cast("long").alias("to_id"), "amount",
+        F.col("toAccountId").cast("long").alias("to_id"), "amount", "status",
         F.to_timestamp_ntz(F.date_format(F.col("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("created_at"))
-    opening = accounts.select(F.col("account_id").alias("from_id"),
-                              (F.col("balance") * 100).cast("long").alias("opening_c"))
-    known = accounts.select(F.col("account_id").alias("to_id"), F.lit(True).alias("_k"))
-    rows = (pend.join(opening, "from_id").join(known, "to_id", "left")
-            .withColumn("to_known", F.col("_k").isNotNull()).drop("_k")
-            .withColumn("amount_c", (F.col("amount") * 100).cast("long")))
-    return (rows.groupBy("from_id")
-            .applyInPandasWithState(_settle_group, SETTLE_OUT, SETTLE_STATE, "append",
-                                    GroupStateTimeout.NoTimeout))
+
+
+def settle_micro_batch(pending: DataFrame, accounts: DataFrame, store: str, batch_id: int) -> None:
+    """Settle one micro-batch against the ledger in ``store`` and add its decisions.
+
+    A transfer that an earlier batch decided, or that this batch repeats, is
+    decided once. Balances are the accounts plus the net movements of earlier
+    batches, so credits are spendable from the next batch on. Decisions and net
+    movements go to this batch's own folders, written anew when the batch is
+    repeated after a failure, so a retry changes nothing.
+    """
+    spark = pending.sparkSession
+    decided, net = (_earlier(spark, f"{store}/{name}", schema, batch_id) for name, schema in
+                    (("decisions", DECISIONS), ("net", NET)))
+    new = pending.dropDuplicates(["transaction_id"]).join(decided.select("transaction_id"), "transaction_id", "left_anti")
+    balances = accounts.select("account_id", "balance").join(
+        net.groupBy("account_id").agg(F.sum("delta").alias("_net")), "account_id", "left").select(
+        "account_id", (F.col("balance") + F.coalesce("_net", F.lit(0))).cast("decimal(20,2)").alias("balance"))
+    path = f"{store}/decisions/batch={batch_id}"
+    ledger.settle_batch(new, balances).write.mode("overwrite").parquet(path)
+    settled = spark.read.schema(DECISIONS).parquet(path)
+    (ledger.ledger_movements(settled).groupBy("account_id").agg(F.sum("delta").cast("decimal(28,2)").alias("delta"))
+     .write.mode("overwrite").parquet(f"{store}/net/batch={batch_id}"))
+
+
+DECISIONS = (f"transaction_id bigint, from_id bigint, to_id bigint, amount {MONEY.simpleString()}, "
+             "created_at timestamp_ntz, status string, reason string")
+NET = "account_id bigint, delta decimal(28,2)"
+
+
+def _earlier(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+    """Rows that batches before ``batch_id`` stored (partition pruning)."""
+    try:
+        rows = spark.read.schema(schema + ", batch bigint").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return rows.where(F.col("batch") < batch_id).drop("batch")
+
+
+def stream_settle(events: DataFrame, accounts: DataFrame, store: str, checkpoint: str, available_now: bool = True):
+    """PENDING transfer events → SUCCESS / FAILED with the batch settlement's
+    rules, idempotent by transaction id: debits, credits to the receiver, refund
+    for an unknown receiver, FAILED for an unknown sender or a bad amount. The
+    decisions are the rows of ``store``/decisions; ``ledger.status_events`` makes
+    their status events, ``ledger.ledger_movements`` their ledger."""
+    def settle(batch: DataFrame, batch_id: int) -> None:
+        settle_micro_batch(batch, accounts, store, batch_id)
+
+    w = pending_transfers(events).writeStream.option("checkpointLocation", checkpoint).foreachBatch(settle)
+    return (w.trigger(availableNow=True) if available_now else w).start()
 
 
 def stream_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
@@ -197,6 +206,5 @@ def stream_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "appe
 def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """Final value per key of an update-mode table: the row of the last batch."""
     df = spark.read.parquet(path)
-    cols = [c for c in df.columns if c not in keys and c != "_batch"]
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), "_batch").alias("_r"))
-            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]))
+    w = Window.partitionBy(*keys).orderBy(F.desc("_batch"))
+    return df.withColumn("_turn", F.row_number().over(w)).where(F.col("_turn") == 1).drop("_turn", "_batch")
