@@ -19,6 +19,8 @@ from remitlens.session import scratch_path
 from remitlens.sources import fact_store
 from remitlens.streaming import events
 
+from .conftest import SF_SMALL
+
 D = decimal.Decimal
 
 
@@ -465,3 +467,81 @@ def test_fan_out_approximate_is_close(spark):
     approx = {r["district"]: r["fan_out"] for r in risk.fan_out(q, approximate=True).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[d] - exact[d]) <= max(2, 0.05 * exact[d]) for d in exact)
+
+
+# ---------------------------------------------------------------- store, joins, lookups
+
+FACT = ("transaction_id string, owner_user_id string, owner_account_id string, direction string, "
+        "counterparty_account_id string, amount decimal(18,2), status string, created_at timestamp_ntz, "
+        "province string, district string, year int, quarter string, month string")
+
+
+def test_text_store_round_trip(spark):
+    t = dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    rows = [("1", "u", "a", "OUT", "b", D("1.50"), "SUCCESS", t, "Ho Chi Minh, VN", 'D "1"', 2024, "Q1", "2024-01"),
+            ("2", None, "a", "IN", None, D("2.00"), "", t, None, " ", 2024, "Q1", "2024-01"),
+            ("3", 'say "x", y', "a", "IN", "c\nd", D("3.00"), None, None, "HaNoi", "B", 2024, "Q1", None)]
+    path = scratch_path(spark, "round-trip")
+    fact_store.write_fact_partitioned(spark.createDataFrame(rows, FACT), path, fmt="csv")
+    got = {r["transaction_id"]: r for r in fact_store.scan_fact_csv(spark, path).collect()}
+    assert len(got) == 3
+    assert (got["1"]["province"], got["1"]["district"], got["1"]["month"]) == ("Ho Chi Minh, VN", 'D "1"', "2024-01")
+    assert got["1"]["created_at"] == t and got["1"]["amount"] == D("1.50")
+    assert (got["2"]["province"], got["2"]["status"], got["2"]["owner_user_id"]) == ("Unknown", "", "")
+    assert (got["3"]["owner_user_id"], got["3"]["counterparty_account_id"]) == ('say "x"  y', "c d")
+    assert got["3"]["status"] == "" and got["3"]["created_at"] is None
+
+
+def test_replace_keeps_the_session_mode_and_delete_clears_a_slice(spark):
+    t = dt.datetime(2024, 1, 2)
+    row = lambda i, p: (str(i), "u", "a", "OUT", "b", D("1.00"), "SUCCESS", t, p, "B", 2024, "Q1", "2024-01")
+    path, key = scratch_path(spark, "replace"), "spark.sql.sources.partitionOverwriteMode"
+    fact_store.write_fact_partitioned(spark.createDataFrame([row(1, "X"), row(2, "Y")], FACT), path)
+    before = spark.conf.get(key)
+    fact_store.replace_partitions(spark.createDataFrame([row(3, "Y")], FACT), path)
+    assert spark.conf.get(key) == before
+    fresh = fact_store.delete_partition(spark, path, None, "X", "B", 2024, "Q1")
+    ids = lambda p: sorted(r["transaction_id"] for r in fact_store.read_fact_parquet(spark, p).collect())
+    assert ids(path) == ["1", "3"] and ids(fresh) == ["3"]
+
+
+def test_flow_join_without_times_and_with_ties(spark):
+    from remitlens.operators import facts
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, "OUT", None, "A", D("5.00")), (1, "IN", None, "B", D("5.00")),
+            (2, "OUT", t, "C", D("7.00")), (2, "OUT", t, "A", D("9.00")), (2, "IN", t, "D", D("1.00")),
+            (2, "IN", None, "E", D("2.00")), (3, "IN", t, "F", D("1.00")), (4, "OUT", t, "F", D("1.00")),
+            (None, "OUT", t, "F", D("1.00")), (None, "IN", t, "F", D("1.00")), (5, "SIDE", t, "F", D("1.00"))]
+    df = spark.createDataFrame(rows, "transaction_id long, direction string, created_at timestamp_ntz, "
+                                     "province string, amount decimal(18,2)")
+    got = sorted(tuple(r) for r in facts.flow_join(df).collect())
+    assert got == [(1, "A", "B", D("5.00")), (2, "A", "D", D("9.00"))]
+
+
+def test_queries_see_files_added_since(spark, tmp_path):
+    from remitlens.plans.model_frames import Frames
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    for name in ("orders", "customer"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    n = Frames(spark, str(tmp_path)).tx.count()
+    orders.write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    assert Frames(spark, str(tmp_path)).tx.count() == 2 * n > 0
+
+
+def test_self_transfer_debits_before_it_credits(spark):
+    t = dt.datetime(2024, 1, 1)
+    accounts = spark.createDataFrame([(1, D("10.00"))], "account_id long, balance decimal(18,2)")
+    settled = spark.createDataFrame([(5, 1, 1, D("4.00"), t, "SUCCESS", None)],
+                                    "transaction_id long, from_id long, to_id long, amount decimal(18,2), "
+                                    "created_at timestamp_ntz, status string, reason string")
+    got = ledger.running_balance(accounts, ledger.ledger_movements(settled)).orderBy("side").collect()
+    assert [(r["side"], r["balance_after"]) for r in got] == [(0, D("6.00")), (1, D("10.00"))]
+
+
+def test_monthly_files_keep_only_good_lines(spark):
+    path = scratch_path(spark, "monthly-lines")
+    lines = ["id,from,to,amount,status,date", " 1, 7 ,8, 2.50 ,SUCCESS,2024-01-01 ", "2,7,8", "3,7,8,x", "", "4,9,8,1"]
+    spark.createDataFrame([("2024-01", x) for x in lines], "month string, value string") \
+        .write.partitionBy("month").text(path)
+    got = sorted((r["id"], r["from_account"], r["amount"], r["month"]) for r in fact_store.scan_monthly_csv(spark, path).collect())
+    assert got == [("1", "7", D("2.50"), "2024-01"), ("4", "9", D("1.00"), "2024-01")]
