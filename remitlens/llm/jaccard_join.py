@@ -11,11 +11,14 @@ a chance below 2 * 0.25^32 = 1e-19, less than that two 64-bit hashes are equal.
 1. Each class is compared with one class of every token group (its leader).
 2. What these links connect needs no more comparison. Token groups that still
    hold several components are searched by signature trees: rows sorted by
-   size, nodes with OR-combined bitmaps (about two bits per token; the larger of
+   size, nodes with OR-combined bitmaps (about four bits per token; the larger of
    two neighbouring lengths is folded) and size ranges; a dual traversal drops
    node pairs whose largest possible overlap is too small or which lie in one
    component. Groups beyond ``GROUP_ROWS`` are split into pairs of parts.
-3. All pairs that remain are verified on their exact sets.
+   ``FOREST_ROUNDS`` times a group gives only as many pairs as would connect all
+   its components that may be linked (a forest), which merges near copies by the
+   thousand; then once every pair that is left between different components.
+3. All these pairs are verified on their exact sets.
 
 So near copies by the thousand cost one link each instead of all pairs, and no
 link between components is lost.
@@ -35,6 +38,7 @@ from remitlens.session import materialize, scratch_path
 
 SENT, GROUP_ROWS, FANOUT = 32, 2_000, 8
 LEAST_BITS, MOST_BITS = 1_024, 1 << 17
+FOREST_ROUNDS, FOREST_TOKENS = 2, 8
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,9 +69,9 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def bitmaps(grams: np.ndarray, ends: np.ndarray) -> list[bytes]:
-    """A bitmap of each set, with a power of two of bits that is about twice its size."""
+    """A bitmap of each set, with a power of two of bits from three to six times its size."""
     n = np.diff(ends)
-    width = np.clip(1 << np.ceil(np.log2(np.maximum(2 * n, 2))).astype(np.int64), LEAST_BITS, MOST_BITS)
+    width = np.clip(1 << np.ceil(np.log2(np.maximum(3 * n, 2))).astype(np.int64), LEAST_BITS, MOST_BITS)
     begin = np.cumsum(width) - width
     bits = np.zeros(int(width.sum()), dtype=bool)
     bits[np.repeat(begin, n) + (grams & np.repeat(width - 1, n).astype(np.uint64)).astype(np.int64)] = True
@@ -229,8 +233,36 @@ class SignatureTree:
         return np.where(child < below, child, -1)
 
 
-def _tree_pairs(rows: pa.Table, percent: int) -> pa.Table:
-    """Row pairs of one token group, or of one pair of its parts, that may be linked."""
+class Forest:
+    """Components of a group's rows while pairs are taken as links."""
+
+    def __init__(self, labels: np.ndarray):
+        self.node = np.unique(labels, return_inverse=True)[1]
+        self.root = np.arange(int(self.node.max()) + 1)
+
+    def take(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Places of pairs of rows that connect different components, one after
+        the other; the components are merged."""
+        taken, left = [], np.arange(len(a))
+        while True:
+            x, y = self.root[self.node[a[left]]], self.root[self.node[b[left]]]
+            apart = x != y
+            left, x, y = left[apart], x[apart], y[apart]
+            if not len(left):
+                return np.array(taken, dtype=np.int64)
+            # the first pair of each component on the left, and of these the first of each on the right
+            first = np.unique(x, return_index=True)[1]
+            first = first[np.unique(y[first], return_index=True)[1]]
+            for i in first.tolist():
+                p, q = self.root[self.node[a[left[i]]]], self.root[self.node[b[left[i]]]]
+                if p != q:
+                    self.root[self.root == max(p, q)] = min(p, q)
+                    taken.append(int(left[i]))
+
+
+def _tree_pairs(rows: pa.Table, percent: int, forest: bool) -> pa.Table:
+    """Row pairs of one token group, or of one pair of its parts, that may be
+    linked: all of them, or a forest that would connect their components."""
     rows = rows.combine_chunks()
     side = rows["side"].to_numpy()
     n, comp, classes = (rows[c].to_numpy() for c in ("n", "label", "class"))
@@ -239,7 +271,7 @@ def _tree_pairs(rows: pa.Table, percent: int) -> pa.Table:
     bits = data.to_pylist()
     whole = rows["i"][0].as_py() == rows["j"][0].as_py()
     sides = [side == rows[c][0].as_py() for c in ("i", "j")]
-    found = []
+    found, merging = [], Forest(comp) if forest else None
     for w in np.unique(words).tolist():
         # sets whose sizes are near enough have bitmaps of equal or neighbouring lengths
         for x, y in ((w, w), (w, 2 * w)) if whole else ((w, w), (w, 2 * w), (2 * w, w)):
@@ -253,11 +285,36 @@ def _tree_pairs(rows: pa.Table, percent: int) -> pa.Table:
                                                  .reshape(len(at), -1), w), comp[at]) for at in own]
             if whole and x == y:
                 trees[1] = trees[0]
-            found += [(classes[own[0][a]], classes[own[1][b]]) for a, b in trees[0].joined(trees[1], percent)]
+            for a, b in trees[0].joined(trees[1], percent):
+                a, b = own[0][a], own[1][b]
+                if forest:
+                    taken = merging.take(a, b)
+                    a, b = a[taken], b[taken]
+                found.append((classes[a], classes[b]))
     a, b = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
+def _between_components(rows: DataFrame, classes: DataFrame, links: DataFrame, percent: int,
+                        forest: bool) -> DataFrame:
+    """Pairs (a, b) that may be linked, of token groups whose rows (place, class,
+    token) lie in several components of ``links``. A forest is a shortcut, so it
+    takes the groups of each class's first ``FOREST_TOKENS`` tokens only."""
+    some = rows.where(F.col("place") < FOREST_TOKENS) if forest else rows
+    labelled = some.join(components(links).withColumnRenamed("node", "class"), "class", "left") \
+        .select("token", "class", F.coalesce("label", "class").alias("label"))
+    open_ = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                          F.count(F.lit(1)).alias("m")).where("low < high").select("token", "m")
+    parts = F.ceil(F.col("m") / GROUP_ROWS).cast("int")
+    split = labelled.join(open_, "token").withColumn("side", F.pmod(F.xxhash64("class"), parts).cast("int")).select(
+        "token", "class", "label", "side", F.explode(F.sequence(F.lit(0), parts - 1)).alias("with")) \
+        .select("token", "class", "label", "side", F.least("side", "with").alias("i"),
+                F.greatest("side", "with").alias("j")) \
+        .join(classes.select("class", "n", "bits"), "class")
+    return split.groupBy("token", "i", "j").applyInArrow(
+        lambda group: _tree_pairs(group, percent, forest), "a bigint, b bigint").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "doc_id",
                     text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents, links). Documents: one row per row of ``docs`` with ``id``,
@@ -273,29 +330,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "
     """
     described = _stored(_described(docs, key, text, k, percent), "described")
     classes = _stored(described.where("n > 0").select("class", "n", "tokens", "bits").dropDuplicates(["class"]), "classes")
-    tokens = classes.select("class", F.explode("tokens").alias("token"))
+    tokens = classes.select("class", F.posexplode("tokens").alias("place", "token"))
     met = tokens.groupBy("token").agg(F.min("class").alias("leader"), F.max("class").alias("last")) \
         .where("leader < last").drop("last")
-    rows = _stored(tokens.join(met, "token"), "met")
+    rows = _stored(tokens.join(met, "token"), "met")  # place, class, token, leader
     first = rows.where("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
     links = _stored(_verified(_may_link(first, classes, percent), described, k, percent), "links")
 
-    # groups whose rows lie in several components
-    labels = components(links)
-    labelled = rows.join(labels.withColumnRenamed("node", "class"), "class", "left") \
-        .select("token", "class", F.coalesce("label", "class").alias("label"))
-    open_ = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"),
-                                          F.count(F.lit(1)).alias("m")).where("low < high").select("token", "m")
-    parts = F.ceil(F.col("m") / GROUP_ROWS).cast("int")
-    side = F.pmod(F.xxhash64("class"), parts).cast("int")
-    split = labelled.join(open_, "token").withColumn("side", side).select(
-        "token", "class", "label", "side", F.explode(F.sequence(F.lit(0), parts - 1)).alias("with")) \
-        .select("token", "class", "label", "side", F.least("side", "with").alias("i"), F.greatest("side", "with").alias("j")) \
-        .join(classes.select("class", "n", "bits"), "class")
-    second = split.groupBy("token", "i", "j").applyInArrow(lambda t: _tree_pairs(t, percent), "a bigint, b bigint") \
-        .distinct().join(first, ["a", "b"], "left_anti")
-    more = _verified(second, described, k, percent)
-    links = _stored(links.union(more), "all-links")
+    for turn in range(FOREST_ROUNDS + 1):
+        forest = turn < FOREST_ROUNDS
+        more = _between_components(rows, classes, links, percent, forest)
+        links = _stored(links.union(_verified(more if forest else more.join(first, ["a", "b"], "left_anti"),
+                                              described, k, percent)).distinct(), "links")
 
     labels = components(links)
     member = described.select("id", "at", "n", "class").join(labels.withColumnRenamed("node", "class"), "class", "left") \
