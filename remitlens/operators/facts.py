@@ -34,25 +34,25 @@ def fact_geo_explode(geo: DataFrame, normalize_locations: bool = True) -> DataFr
     partition values year, quarter ('Qn') and month ('yyyy-MM'). Provinces and
     districts are normalised ('Hà Nội' → 'HaNoi') unless asked otherwise.
     """
-    def loc(c):
-        return S.normalize_location(F.col(c)) if normalize_locations else F.col(c)
-
     out_row = F.struct(
         F.col("from_user_id").alias("owner_user_id"), F.col("from_account").alias("owner_account_id"),
         F.lit("OUT").alias("direction"), F.col("to_account").alias("counterparty_account_id"),
-        loc("from_province").alias("province"), loc("from_district").alias("district"))
+        F.col("from_province").alias("province"), F.col("from_district").alias("district"))
     in_row = F.struct(
         F.col("to_user_id").alias("owner_user_id"), F.col("to_account").alias("owner_account_id"),
         F.lit("IN").alias("direction"), F.col("from_account").alias("counterparty_account_id"),
-        loc("to_province").alias("province"), loc("to_district").alias("district"))
-    return (geo
-            .select("transaction_id", "amount", "status", "created_at",
-                    F.explode(F.array(out_row, in_row)).alias("side"))
-            .select("transaction_id", "side.owner_user_id", "side.owner_account_id", "side.direction",
-                    "side.counterparty_account_id", "amount", "status", "created_at",
-                    "side.province", "side.district",
-                    F.year("created_at").alias("year"), S.quarter_of(F.col("created_at")).alias("quarter"),
-                    S.month_of(F.col("created_at")).alias("month")))
+        F.col("to_province").alias("province"), F.col("to_district").alias("district"))
+    sides = geo.select("transaction_id", "amount", "status", "created_at",
+                       F.explode(F.array(out_row, in_row)).alias("side"))
+
+    def loc(c):  # after the explode, so each row is normalised once
+        return S.normalize_location(F.col(f"side.{c}")) if normalize_locations else F.col(f"side.{c}")
+
+    return sides.select("transaction_id", "side.owner_user_id", "side.owner_account_id", "side.direction",
+                        "side.counterparty_account_id", "amount", "status", "created_at",
+                        loc("province").alias("province"), loc("district").alias("district"),
+                        F.year("created_at").alias("year"), S.quarter_of(F.col("created_at")).alias("quarter"),
+                        S.month_of(F.col("created_at")).alias("month"))
 
 
 def flow_join(fact: DataFrame) -> DataFrame:

@@ -160,16 +160,19 @@ def stats_summary(parts: DataFrame, key: str | None = "user_id") -> DataFrame:
 
 
 def stats_points(parts: DataFrame, group_by: str = "day", key: str | None = "user_id") -> DataFrame:
-    """Totals per time label (day / month / quarter / year), chronological."""
+    """Totals per period (day / month / quarter / year) with its label,
+    chronological within each user: grouped by the period's start alone, the
+    label is formatted last, and no sort runs over all users."""
     d = F.col("direction") if key else F.lit(None).cast("string")
-    keys = ([key] if key else []) + [S.period_start(F.col("created_at"), group_by).alias("period_start"),
-                                     S.period_label(F.col("created_at"), group_by).alias("label")]
+    keys = ([key] if key else []) + [S.period_start(F.col("created_at"), group_by).alias("period_start")]
     g = parts.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("bigint").alias("total_transactions"),
         F.coalesce(F.sum(F.when(d == "IN", F.col("amount"))), F.lit(0)).cast("double").alias("total_in"),
         F.coalesce(F.sum(F.when(d == "OUT", F.col("amount"))), F.lit(0)).cast("double").alias("total_out"),
         F.sum("amount").cast("double").alias("total_amount"))
-    return g.orderBy(*([key] if key else []), "period_start")
+    g = g.select(*([key] if key else []), "period_start", S.period_label(F.col("period_start"), group_by).alias("label"),
+                 "total_transactions", "total_in", "total_out", "total_amount")
+    return g.repartition(key).sortWithinPartitions(key, "period_start") if key else g.orderBy("period_start")
 
 
 def status_breakdown(tx: DataFrame) -> DataFrame:
@@ -196,7 +199,8 @@ def monthly_summary(sides: DataFrame, month: str) -> DataFrame:
 
 
 def monthly_range(sides: DataFrame, start, end) -> DataFrame:
-    """The same per (user, yyyy-MM) over a closed range, chronological."""
+    """The same per (user, yyyy-MM) over a closed range, chronological within
+    each user (no sort over all users)."""
     rows = in_closed_range(sides, start, end)
     return (rows.groupBy("user_id", S.month_of(F.col("created_at")).alias("month")).agg(
         F.coalesce(F.sum(F.when(F.col("side") == "IN", F.col("amount"))), F.lit(0)).alias("_in"),
@@ -204,4 +208,4 @@ def monthly_range(sides: DataFrame, start, end) -> DataFrame:
         .select("user_id", "month", F.col("_in").cast("double").alias("total_received"),
                 F.col("_out").cast("double").alias("total_sent"),
                 (F.col("_in") - F.col("_out")).cast("double").alias("profit"))
-        .orderBy("user_id", "month"))
+        .repartition("user_id").sortWithinPartitions("user_id", "month"))

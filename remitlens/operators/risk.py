@@ -2,16 +2,18 @@
 
 Every measure is an aggregate keyed by district. The single measures are
 available one by one (two-level aggregates where a bucket threshold applies);
-the full report (``district_measures``) computes all six from one scan with
-tagged keys, one partially-aggregated shuffle and a tiny per-district final
-aggregate. No join, no global window.
+the full report (``district_measures``) computes all six from one scan and one
+wide shuffle, rolled up inside its partitions. No join, no global window.
+
+After ``strict_times`` the pattern measures take only times that the strict
+rule parses (``created_at_raw``, as the text store's scan keeps it).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.functions import scalars as S
@@ -46,6 +48,12 @@ def quarter_slice(fact: DataFrame, year: int, quarter: str) -> DataFrame:
                       & (ts.isNull() | ((ts >= F.lit(start)) & (ts < F.lit(end)))))
 
 
+def strict_times(fact: DataFrame) -> DataFrame:
+    """The rows of a text store with ``created_at`` read by the strict rule: a
+    time in any other form becomes NULL, so the row counts in totals only."""
+    return fact.withColumn("created_at", S.ts_parse(F.col("created_at_raw"), strict=True))
+
+
 def _prepared(fact: DataFrame) -> DataFrame:
     return fact.select(
         S.blank_to(F.col("district"), S.UNKNOWN).alias("district"),
@@ -96,8 +104,10 @@ def fan_out(fact: DataFrame, min_counterparties: int | None = None, approximate:
     reference defines such a threshold but does not apply it). ``approximate``
     counts with HyperLogLog sketches instead (for very large inputs).
     """
+    if approximate and min_counterparties is not None:
+        raise ValueError("the approximate count has no counterparty threshold")
     p = _prepared(fact).where((F.col("dir") == "OUT") & F.col("created_at").isNotNull())
-    if approximate and min_counterparties is None:
+    if approximate:
         # One aggregate of HyperLogLog sketches per district (relative error
         # about ``rsd``): no shuffle of the distinct combinations.
         combo = F.struct("account", F.date_trunc("hour", "created_at").alias("h"), "counterparty")
@@ -114,49 +124,37 @@ def fan_out(fact: DataFrame, min_counterparties: int | None = None, approximate:
 def district_measures(fact: DataFrame, large_threshold=LARGE_AMOUNT_THRESHOLD,
                       large_min_per_hour: int = LARGE_AMOUNT_MIN_PER_HOUR,
                       rapid_min_per_minute: int = RAPID_FIRE_MIN_PER_MINUTE) -> DataFrame:
-    """All six measures from ONE scan of the fact rows.
-
-    Each row emits up to four tagged keys (TOTAL; LARGE per account-hour;
-    RAPID per account-minute; FAN per account-hour-counterparty). A single
-    aggregate over (kind, district, account, bucket, counterparty) — partially
-    aggregated map-side, so even a district holding a third of all rows
-    collapses to a few rows per task before the shuffle — is followed by a
-    small per-district aggregate that applies the bucket thresholds.
+    """All six measures from one scan and one wide shuffle of narrow rows.
+
+    Rows are dealt by (district, account, hour), so a hot district or account
+    spreads. Everything below rolls up inside these partitions: the combinations
+    of minute and counterparty, each minute's total, each counterparty's first
+    row of the hour, then the account's hour. Only one small row per district
+    and task is shuffled again.
     """
     p = _prepared(fact)
     out = (F.col("dir") == "OUT") & F.col("created_at").isNotNull()
-    hour = F.date_trunc("hour", "created_at")
-    minute = F.date_trunc("minute", "created_at")
-    null_ts = F.lit(None).cast("timestamp_ntz")
-    null_s = F.lit(None).cast("string")
-
-    def emit(kind, account, bucket, cp):
-        return F.struct(F.lit(kind).alias("kind"), account.alias("account"), bucket.alias("bucket"),
-                        cp.alias("cp"))
-
-    keys = F.array(
-        emit("TOTAL", null_s, null_ts, null_s),
-        F.when(out & (F.col("amount") >= F.lit(large_threshold)), emit("LARGE", F.col("account"), hour, null_s)),
-        F.when(out, emit("RAPID", F.col("account"), minute, null_s)),
-        F.when(out, emit("FAN", F.col("account"), hour, F.col("counterparty"))))
-    # Explode all four slots and drop the empty ones afterwards: Generate and
-    # Filter stay in generated code (a lambda ``filter`` on the array would not).
-    tagged = p.select("district", "st", F.explode(keys).alias("k")).where(F.col("k").isNotNull())
-    level1 = tagged.groupBy("district", "k.kind", "k.account", "k.bucket", "k.cp").agg(
-        F.count(F.lit(1)).alias("c"),
-        F.count_if(F.col("st").isin("FAILED", "REVERSED")).alias("f"),
-        F.count_if(F.col("st") == "REVERSED").alias("r"))
-    kind = F.col("kind")
-    return (level1.groupBy("district").agg(
-        F.coalesce(F.sum(F.when(kind == "TOTAL", F.col("c"))), F.lit(0)).cast("bigint").alias("total"),
-        F.coalesce(F.sum(F.when(kind == "TOTAL", F.col("f"))), F.lit(0)).cast("bigint").alias("failed"),
-        F.coalesce(F.sum(F.when(kind == "TOTAL", F.col("r"))), F.lit(0)).cast("bigint").alias("reversed"),
-        F.coalesce(F.sum(F.when((kind == "LARGE") & (F.col("c") >= large_min_per_hour), F.col("c"))), F.lit(0))
-        .cast("bigint").alias("large_amount"),
-        F.coalesce(F.sum(F.when((kind == "RAPID") & (F.col("c") >= rapid_min_per_minute), F.col("c"))), F.lit(0))
-        .cast("bigint").alias("rapid_fire"),
-        F.count_if(kind == "FAN").cast("bigint").alias("fan_out"))
-        .where(F.col("total") > 0))
+    hour = ["district", "account", "h"]
+    rows = p.select(
+        "district", "account", F.date_trunc("hour", "created_at").alias("h"),
+        F.date_trunc("minute", "created_at").alias("m"), F.when(out, F.col("counterparty")).alias("cp"),
+        F.col("st").isin("FAILED", "REVERSED").alias("is_f"), (F.col("st") == "REVERSED").alias("is_r"),
+        out.alias("is_out"), (out & (F.col("amount") >= F.lit(large_threshold))).alias("is_l")).repartition(*hour)
+    combos = rows.groupBy(*hour, "m", "is_out", "cp").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("is_f").alias("f"), F.count_if("is_r").alias("r"),
+        F.count_if("is_l").alias("l"))
+    minute = Window.partitionBy(*hour, "m", "is_out")
+    other = Window.partitionBy(*hour, "is_out", "cp").orderBy("m")
+    combos = combos.withColumns({"in_minute": F.sum("n").over(minute), "turn": F.row_number().over(other)})
+    hours = combos.groupBy(*hour).agg(
+        F.sum("n").alias("n"), F.sum("f").alias("f"), F.sum("r").alias("r"), F.sum("l").alias("l"),
+        F.sum(F.when(F.col("is_out") & (F.col("in_minute") >= rapid_min_per_minute), F.col("n"))).alias("rapid"),
+        F.count_if(F.col("is_out") & (F.col("turn") == 1)).alias("fan"))
+    whole = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return hours.groupBy("district").agg(
+        whole("n").alias("total"), whole("f").alias("failed"), whole("r").alias("reversed"),
+        whole(F.when(F.col("l") >= large_min_per_hour, F.col("l"))).alias("large_amount"),
+        whole("rapid").alias("rapid_fire"), whole("fan").alias("fan_out"))
 
 
 def district_risk(fact: DataFrame, **kw) -> DataFrame:

@@ -73,15 +73,15 @@ counts AS (
 large AS (
   SELECT district, sum(c) AS large_amount FROM (
     SELECT district, account, date_trunc('hour', created_at) AS h, count(*) AS c
-    FROM base WHERE dir = 'OUT' AND amount >= 50 GROUP BY district, account, h) WHERE c >= 2 GROUP BY district),
+    FROM base WHERE dir = 'OUT' AND amount >= 50 AND created_at IS NOT NULL GROUP BY district, account, h) WHERE c >= 2 GROUP BY district),
 rapid AS (
   SELECT district, sum(c) AS rapid_fire FROM (
     SELECT district, account, date_trunc('minute', created_at) AS m, count(*) AS c
-    FROM base WHERE dir = 'OUT' GROUP BY district, account, m) WHERE c >= 2 GROUP BY district),
+    FROM base WHERE dir = 'OUT' AND created_at IS NOT NULL GROUP BY district, account, m) WHERE c >= 2 GROUP BY district),
 fan AS (
   SELECT district, count(*) AS fan_out FROM (
     SELECT DISTINCT district, account, date_trunc('hour', created_at) AS h, counterparty
-    FROM base WHERE dir = 'OUT') GROUP BY district),
+    FROM base WHERE dir = 'OUT' AND created_at IS NOT NULL) GROUP BY district),
 measures AS (
   SELECT c.district, c.total, c.failed, c.reversed, coalesce(l.large_amount, 0) AS large_amount,
          coalesce(r.rapid_fire, 0) AS rapid_fire, coalesce(f.fan_out, 0) AS fan_out
@@ -148,6 +148,24 @@ def q_district_risk(spark, sf_dir):
     return risk.district_risk(_risk_fact(spark, sf_dir), **RISK_PARAMS)
 
 
+@register("district_risk_csv", _RISK_BASE.replace(
+    "amount, created_at\n", "amount, CASE WHEN transaction_id % 4 > 0 THEN date_trunc('second', created_at) END AS created_at\n"
+) + "SELECT * FROM risk")
+def q_district_risk_csv(spark, sf_dir):
+    """The report from the text store by the strict time rule: every fourth
+    transfer has a fraction of a second, which the rule doesn't read."""
+    from remitlens.session import scratch_path
+    from remitlens.sources import fact_store
+    second = F.date_trunc("second", "created_at")
+    fraction = F.when(F.col("transaction_id") % 4 == 0, F.expr("interval 5 microseconds")).otherwise(
+        F.expr("interval 0 microseconds"))
+    path = scratch_path(spark, "strict-times")
+    fact_store.write_fact_partitioned(
+        Frames(spark, sf_dir).fact.withColumn("created_at", second + fraction), path, fmt="csv")
+    fact = fact_store.scan_fact_csv(spark, path).where((F.col("year") == RISK_YEAR) & (F.col("quarter") == RISK_QUARTER))
+    return risk.district_risk(risk.strict_times(fact), **RISK_PARAMS)
+
+
 @register("risk_sort", _RISK_BASE + """
 SELECT district, risk_level, fail_rate,
        CAST(row_number() OVER (ORDER BY CASE risk_level WHEN 'CAO' THEN 3 WHEN 'TRUNG_BINH' THEN 2 ELSE 1 END DESC,

@@ -56,7 +56,10 @@ def fact_line(fact: DataFrame) -> Column:
     NULL is an empty field, and a comma or line end inside a field becomes a
     space (directory names keep province and district as they are)."""
     fields = [F.col(c) for c in FACT_CSV_FILE_COLUMNS[:5]]
-    fields += [F.col("amount"), F.col("status"), F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")]
+    whole = F.date_trunc("second", "created_at") == F.col("created_at")
+    second = "yyyy-MM-dd'T'HH:mm:ss"  # a fraction is written only where there is one
+    fields += [F.col("amount"), F.col("status"),
+               F.when(whole, F.date_format("created_at", second)).otherwise(F.date_format("created_at", second + ".SSSSSS"))]
     fields += [F.col(c) for c in PARTITION_COLUMNS] + [F.col("month")]
     text = [F.translate(F.coalesce(f.cast("string"), F.lit("")), ",\n\r", "   ") for f in fields]
     return F.concat_ws(",", *text)
