@@ -113,22 +113,31 @@ def fallback_user_name(user_id) -> F.Column:
             .otherwise(F.concat(F.lit("User "), F.substring(uid, 1, 8))))
 
 
-def top_users_peak(spark: SparkSession, totals: DataFrame, users: DataFrame, k: int = 10) -> DataFrame:
+def top_users_peak(spark: SparkSession, fact: DataFrame, month: str, users: DataFrame, k: int = 10) -> DataFrame:
     """Top ``k`` users in the peak hour and in the peak day (count desc, amount
     desc, user id asc), with the user's name or a fallback label.
 
-    The peak key is a one-row frame (bounded) joined to the per-user rows; the
-    top-k is a TakeOrderedAndProject per kind; names are attached after the
+    The peak hour and day come from the hour and day totals (≤ 24 + 31 rows,
+    stored once); users are then counted only inside them, in one scan, and the
+    top-k is a TakeOrderedAndProject per kind. Names are attached after the
     limit, so the user-dimension join touches at most 2·k rows.
     """
-    totals = materialize(totals)  # read four times below
+    totals = materialize(peak_totals(fact, month, ("HOUR_TOTAL", "DAY_TOTAL")))
+    peak_of = lambda level, key: _peak_key(totals, level, key).select("p.k").scalar()
+    inside = F.array(*[F.when(F.col(key) == peak_of(level, key), F.struct(F.lit(kind).alias("kind"), F.col(key).alias("key")))
+                       for kind, level, key in (("HOUR", "HOUR_TOTAL", "hour"), ("DAY", "DAY_TOTAL", "day"))])
+    rows = month_rows(fact, month).select(
+        F.hour("created_at").alias("hour"), F.dayofmonth("created_at").alias("day"),
+        "owner_user_id", "owner_account_id", "amount")
+    counted = (rows.select("owner_user_id", "owner_account_id", "amount", F.explode(inside).alias("in"))
+               .where(F.col("in").isNotNull())
+               .groupBy("in.kind", "in.key", "owner_user_id", "owner_account_id")
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")))
     out = None
-    for kind, level, user_level, key in (("HOUR", "HOUR_TOTAL", "HOUR_USER", "hour"),
-                                         ("DAY", "DAY_TOTAL", "DAY_USER", "day")):
-        peak = _peak_key(totals, level, key).select(F.col("p.k").alias(key))
-        rows = totals.where(F.col("level") == user_level).join(F.broadcast(peak), key)
-        top = (rows.orderBy(F.desc("n"), F.desc("amount"), F.asc("owner_user_id"))
-               .limit(k).select(F.lit(kind).alias("kind"), F.col(key).cast("bigint").alias("key"),
+    for kind in ("HOUR", "DAY"):
+        top = (counted.where(F.col("kind") == kind)
+               .orderBy(F.desc("n"), F.desc("amount"), F.asc("owner_user_id"))
+               .limit(k).select("kind", F.col("key").cast("bigint").alias("key"),
                                 "owner_user_id", "owner_account_id", "n", "amount"))
         out = top if out is None else out.unionByName(top)
     # At most 2·k ids: broadcasting them filters the user dimension map-side,

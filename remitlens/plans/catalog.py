@@ -289,7 +289,7 @@ SELECT x.kind, CAST(x.key AS BIGINT) AS key, x.owner_user_id AS user_id,
 FROM (SELECT * FROM hu UNION ALL SELECT * FROM du) x LEFT JOIN users u ON u.user_id = x.owner_user_id""")
 def q_top_users_peak(spark, sf_dir):
     fr = Frames(spark, sf_dir)
-    return peak.top_users_peak(spark, peak.peak_totals(fr.fact, PEAK_MONTH), fr.users)
+    return peak.top_users_peak(spark, fr.fact, PEAK_MONTH, fr.users)
 
 
 # ---------------------------------------------------------------- quarterly growth (history data)
