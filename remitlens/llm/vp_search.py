@@ -149,7 +149,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     """
     spark = vectors.sparkSession
     base = usable(vectors, key, vector)
-    stats = base.agg(F.mode(F.size("v")).alias("dim"), F.count(F.lit(1)).alias("n"),
+    stats = base.agg(F.mode(F.size("v"), True).alias("dim"), F.count(F.lit(1)).alias("n"),
                      F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("m")).first()
     asked = usable(queries, key, vector).where(F.size("v") == F.lit(stats["dim"] or 0)).distinct()
     base = base.where(F.size("v") == F.lit(stats["dim"] or 0)).distinct()
