@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from remitlens.llm.words import Words, buffers
 from remitlens.session import scratch_path
 
-SEED_WORDS, BLOCK_BYTES, SHARD_BYTES = 5, 4 << 20, 16 << 20
+SEED_WORDS, BLOCK_BYTES, ROW_BYTES, SHARD_BYTES = 5, 4 << 20, 64, 16 << 20
 LAST_KEY = np.iinfo(np.int64).max
 
 
@@ -58,7 +58,8 @@ def packed_blocks(docs: DataFrame, text: str) -> DataFrame:
                  pa.array([size], pa.int64())], names=["block", "rows", "n_bytes"])
 
         for batch in batches:
-            ends = buffers(batch.column(place))[1]
+            # a row counts with its text and some bytes more, so many empty texts fill a block too
+            ends = buffers(batch.column(place))[1] + ROW_BYTES * np.arange(batch.num_rows + 1)
             lo = 0
             while lo < batch.num_rows:
                 hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + BLOCK_BYTES - size, side="right")) - 1)
