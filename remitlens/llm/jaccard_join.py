@@ -184,8 +184,10 @@ class SignatureTree:
                 np.maximum.reduceat(surplus, at), np.minimum.reduceat(comp, at),
                 np.logical_and.reduceat(one, at) & (np.minimum.reduceat(comp, at) == np.maximum.reduceat(comp, at))))
 
-    def possible(self, other: SignatureTree, level: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-        """Which node pairs of a level may hold a linked pair of two components."""
+    def possible(self, other: SignatureTree, level: int, a: np.ndarray, b: np.ndarray,
+                 percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which node pairs of a level may hold a linked pair of two components,
+        and the largest possible overlap of these as a share of their sizes."""
         bits, low, high, surplus, comp, one = self.levels[level]
         bits2, low2, high2, surplus2, comp2, one2 = other.levels[level]
         ok = (high[a] * 100 >= low2[b] * percent) & (high2[b] * 100 >= low[a] * percent)
@@ -193,11 +195,13 @@ class SignatureTree:
         a, b = a[ok], b[ok]
         common = np.bitwise_count(bits[a] & bits2[b]).sum(axis=1, dtype=np.int64)
         most = np.minimum(np.minimum(surplus[a], surplus2[b]) + common, np.minimum(high[a], high2[b]))
-        ok[ok] = most * (100 + percent) >= (low[a] + low2[b]) * percent
-        return ok
+        enough = most * (100 + percent) >= (low[a] + low2[b]) * percent
+        ok[ok] = enough
+        return ok, most[enough] / (low[a] + low2[b])[enough]
 
     def joined(self, other: SignatureTree, percent: int, chunk: int = 50_000):
-        """Row pairs (of this tree, of the other) that may be linked."""
+        """Row pairs (of this tree, of the other) that may be linked, with the
+        largest possible overlap as a share of both sizes."""
         same = other is self
         top = max(len(self.levels), len(other.levels)) - 1
         for tree in (self, other):  # equal heights: a single node is its own parent
@@ -209,14 +213,15 @@ class SignatureTree:
             if len(a) > chunk:
                 stack += [(level, a[i:i + chunk], b[i:i + chunk]) for i in range(0, len(a), chunk)]
                 continue
-            ok = self.possible(other, level, a, b, percent)
             if same:
-                ok &= (a < b) if level == 0 else (a <= b)
+                once = (a < b) if level == 0 else (a <= b)
+                a, b = a[once], b[once]
+            ok, share = self.possible(other, level, a, b, percent)
             a, b = a[ok], b[ok]
             if not len(a):
                 continue
             if level == 0:
-                yield a, b
+                yield a, b, share
                 continue
             for part in np.array_split(np.arange(len(a)), 1 + len(a) * FANOUT**2 // (4 * chunk)):
                 x, y = self._children(level, a[part]), other._children(level, b[part])
@@ -260,9 +265,10 @@ class Forest:
                     taken.append(int(left[i]))
 
 
-def _tree_pairs(rows: pa.Table, percent: int, forest: bool) -> pa.Table:
+def _tree_pairs(rows: pa.Table, percent: int, forest: int) -> pa.Table:
     """Row pairs of one token group, or of one pair of its parts, that may be
-    linked: all of them, or a forest that would connect their components."""
+    linked: all of them, or (``forest`` 1, 2, ...) a forest that would connect
+    their components, first of the likeliest pairs and then of any."""
     rows = rows.combine_chunks()
     side = rows["side"].to_numpy()
     n, comp, classes = (rows[c].to_numpy() for c in ("n", "label", "class"))
@@ -285,9 +291,12 @@ def _tree_pairs(rows: pa.Table, percent: int, forest: bool) -> pa.Table:
                                                  .reshape(len(at), -1), w), comp[at]) for at in own]
             if whole and x == y:
                 trees[1] = trees[0]
-            for a, b in trees[0].joined(trees[1], percent):
+            for a, b, share in trees[0].joined(trees[1], percent):
                 a, b = own[0][a], own[1][b]
                 if forest:
+                    order = np.argsort(-share, kind="stable") if forest == 1 \
+                        else np.random.default_rng(forest).permutation(len(a))
+                    a, b = a[order], b[order]
                     taken = merging.take(a, b)
                     a, b = a[taken], b[taken]
                 found.append((classes[a], classes[b]))
@@ -296,7 +305,7 @@ def _tree_pairs(rows: pa.Table, percent: int, forest: bool) -> pa.Table:
 
 
 def _between_components(rows: DataFrame, classes: DataFrame, links: DataFrame, percent: int,
-                        forest: bool) -> DataFrame:
+                        forest: int) -> DataFrame:
     """Pairs (a, b) that may be linked, of token groups whose rows (place, class,
     token) lie in several components of ``links``. A forest is a shortcut, so it
     takes the groups of each class's first ``FOREST_TOKENS`` tokens only."""
@@ -337,8 +346,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "
     first = rows.where("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
     links = _stored(_verified(_may_link(first, classes, percent), described, k, percent), "links")
 
-    for turn in range(FOREST_ROUNDS + 1):
-        forest = turn < FOREST_ROUNDS
+    for forest in [*range(1, FOREST_ROUNDS + 1), 0]:
         more = _between_components(rows, classes, links, percent, forest)
         links = _stored(links.union(_verified(more if forest else more.join(first, ["a", "b"], "left_anti"),
                                               described, k, percent)).distinct(), "links")
