@@ -80,7 +80,7 @@ def test_tree_finds_every_pair_that_may_link():
     n = np.array([len(s) for s in sets])
     order = np.argsort(n)
     tree = jaccard_join.SignatureTree(n[order], bits[order], np.arange(len(sets)))
-    found = {frozenset((order[a], order[b])) for x, y in tree.joined(tree, 75, chunk=300) for a, b in zip(x, y, strict=True)}
+    found = {frozenset((order[a], order[b])) for x, y, _ in tree.joined(tree, 75, chunk=300) for a, b in zip(x, y, strict=True)}
     linked = {frozenset((i, j)) for i, j in itertools.combinations(range(len(sets)), 2)
               if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
     assert linked and linked <= found and len(found) < len(sets) ** 2 / 20
