@@ -1,12 +1,18 @@
 """N-gram Jaccard join (operator 5) with signature trees.
 
 A document's set holds its distinct word shingles. Documents with equal sets
-are one class. Classes meet through tokens: every class sends the smallest
-hashes of its set, as many as the prefix filter asks for (two linked sets share
-one of their |x| - ceil(t |x|) + 1 smallest), but at most ``SENT``. Of a linked
-pair the ``SENT`` smallest of one set would all have to be missing in the other
-to lose it; each is there with a chance of at least t, so for t = 0.75 that has
-a chance below 2 * 0.25^32 = 1e-19, less than that two 64-bit hashes are equal.
+are one class. Classes meet through keys made of the smallest hashes of a set:
+
+- Sets of up to ``NARROW`` / t shingles send the tokens of the prefix filter: two
+  linked sets share one of their |x| - ceil(t |x|) + 1 smallest.
+- Sets of ``NARROW`` shingles or more send pairs of neighbours among their
+  smallest hashes, ``paired(t)`` of them. Of the union's smallest hashes each is in
+  both sets with a chance of at least t, and two such in a row are neighbours in
+  both. That none are in a row has a chance below 1e-19 (80 pairs for t = 0.75),
+  less than that two 64-bit hashes are equal. A passage that unlike documents
+  share rarely makes a pair, which keeps such documents apart from the start.
+
+Linked sets differ in size by t at most, so they send keys of one kind in common.
 
 1. Each class is compared with one class of every token group (its leader).
 2. What these links connect needs no more comparison. Token groups that still
@@ -26,6 +32,8 @@ link between components is lost.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -36,7 +44,7 @@ from remitlens.llm.graph import components
 from remitlens.llm.words import Words, mix, slices
 from remitlens.session import materialize, scratch_path
 
-SENT, GROUP_ROWS, FANOUT = 32, 2_000, 8
+NARROW, GROUP_ROWS, FANOUT = 124, 2_000, 8
 LEAST_BITS, MOST_BITS = 1_024, 1 << 17
 FOREST_ROUNDS, FOREST_TOKENS = 2, 8
 
@@ -68,6 +76,32 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
+def paired(percent: int, chance: float = 1e-19) -> int:
+    """So many neighbours that two common ones in a row are missing with less than
+    ``chance``, if each is common with the share ``percent``."""
+    t = percent / 100
+    if t >= 1:
+        return 1
+    rate = ((1 - t) + ((1 - t) ** 2 + 4 * t * (1 - t)) ** 0.5) / 2  # per hash, of having none in a row
+    return math.ceil(math.log(chance) / math.log(rate))
+
+
+def sent_keys(grams: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys that sets send, ends of each set's keys with a leading 0)."""
+    n = np.diff(ends)
+    row = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(grams)) - np.repeat(ends[:-1], n)
+    pairs = paired(percent)
+    narrow = max(NARROW, 2 * pairs // 3 * 2)
+    single = np.where(n * percent <= narrow * 100, np.minimum(prefix_size(n, percent), n), 0)
+    double = np.where(n >= narrow, np.minimum(n - 1, pairs), 0)
+    one = at < single[row]
+    two = np.flatnonzero(at < double[row])
+    key = np.concatenate([grams[one], mix(grams[two] * np.uint64(3) + mix(grams[two + 1]))])
+    of = np.concatenate([row[one], row[two]])
+    return key[np.argsort(of, kind="stable")], np.concatenate([[0], np.cumsum(single + double)])
+
+
 def bitmaps(grams: np.ndarray, ends: np.ndarray) -> list[bytes]:
     """A bitmap of each set, with a power of two of bits from three to six times its size."""
     n = np.diff(ends)
@@ -98,13 +132,11 @@ def _described(docs: DataFrame, key: str, text: str, k: int, percent: int) -> Da
                 n = np.diff(ends)
                 total = np.add.reduceat(np.append(mix(grams), np.uint64(0)), ends[:-1])
                 total[n == 0] = 0
-                sent = np.minimum(np.minimum(prefix_size(n, percent), SENT), n)
-                at = np.arange(len(grams)) - np.repeat(ends[:-1], n) < np.repeat(sent, n)
-                offsets = np.concatenate([[0], np.cumsum(sent)])
+                keys, offsets = sent_keys(grams, ends, percent)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.array(n, pa.int64()),
                     pa.array((total + n.astype(np.uint64)).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(grams[at].view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.view(np.int64))),
                     pa.array(bitmaps(grams, ends), pa.binary()),
                     pa.array([packer.compress((t or "").encode()) for t in column.to_pylist()], pa.binary()),
                 ], names=["id", "at", "n", "class", "tokens", "bits", "packed"])
