@@ -41,9 +41,10 @@ def _schema(fields) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
 
-def packed_blocks(docs: DataFrame, text: str) -> DataFrame:
-    """The rows of ``docs`` in compressed blocks (block, rows, n_bytes), stored."""
-    place = docs.columns.index(text)
+def packed_blocks(docs: DataFrame, text: str, size_of: int | None = None, level: int = 3) -> DataFrame:
+    """The rows of ``docs`` in compressed blocks (block, rows, n_bytes) of about
+    ``size_of`` bytes of text, stored."""
+    place, most = docs.columns.index(text), size_of or BLOCK_BYTES
 
     def run(batches):
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
@@ -54,7 +55,7 @@ def packed_blocks(docs: DataFrame, text: str) -> DataFrame:
             with pa.ipc.new_stream(sink, table.schema) as writer:
                 writer.write_table(table)
             return pa.RecordBatch.from_arrays(
-                [pa.array([number]), pa.array([zstandard.compress(sink.getvalue(), 3)], pa.binary()),
+                [pa.array([number]), pa.array([zstandard.compress(sink.getvalue(), level)], pa.binary()),
                  pa.array([size], pa.int64())], names=["block", "rows", "n_bytes"])
 
         for batch in batches:
@@ -62,11 +63,11 @@ def packed_blocks(docs: DataFrame, text: str) -> DataFrame:
             ends = buffers(batch.column(place))[1] + ROW_BYTES * np.arange(batch.num_rows + 1)
             lo = 0
             while lo < batch.num_rows:
-                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + BLOCK_BYTES - size, side="right")) - 1)
+                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + most - size, side="right")) - 1)
                 held.append(batch.slice(lo, hi - lo))
                 size += int(ends[hi] - ends[lo])
                 lo = hi
-                if size >= BLOCK_BYTES or lo < batch.num_rows:
+                if size >= most or lo < batch.num_rows:
                     yield block()
                     number, held, size = number + 1, [], 0
         if held:
