@@ -68,6 +68,25 @@ def test_borderline_chains_and_passages(spark, monkeypatch, group_rows):
     compare(spark, rows)
 
 
+def test_long_texts_around_the_threshold(spark):
+    """Sets that send tokens, pairs of neighbours or both, in chains of edits."""
+    rng = random.Random(11)
+    rows, key = [], 0
+    passage = sentence(rng, 60, 10**6)
+    for size in (110, 130, 160, 170, 220, 400):
+        text = sentence(rng, size, 10**6).split()
+        for _ in range(7):
+            rows.append((key := key + 1, " ".join(text)))
+            for _ in range(rng.randint(1, max(2, size // 22))):
+                text[rng.randrange(len(text))] = f"e{rng.randrange(10**6)}"
+    rows += [(key + 1 + i, passage + " " + sentence(rng, rng.randint(90, 300), 10**6)) for i in range(10)]
+    compare(spark, rows)
+
+
+def test_number_of_pairs():
+    assert jaccard_join.paired(75) == 80 and jaccard_join.paired(90) < 80 < jaccard_join.paired(50)
+
+
 def test_tree_finds_every_pair_that_may_link():
     rng = np.random.default_rng(0)
     sets = [set(rng.integers(0, 4000, rng.integers(5, 120)).tolist()) for _ in range(60)]
