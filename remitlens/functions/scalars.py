@@ -83,12 +83,6 @@ def _translate_non_ascii(c: Column, src: str, dst: str) -> Column:
     return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(c, src, dst)).otherwise(c)
 
 
-def strip_accents(c: Column) -> Column:
-    """Remove diacritics: precomposed letters by translate, decomposed marks by regex."""
-    src, dst = _latin_base_map()
-    return F.regexp_replace(_translate_non_ascii(c, src, dst), r"\p{InCombiningDiacriticalMarks}+", "")
-
-
 def normalize_location(c: Column) -> Column:
     """'Hà Nội' → 'HaNoi': strip accents, keep ASCII letters/whitespace, PascalCase-join.
 

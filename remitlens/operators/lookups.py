@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from remitlens.functions import scalars as S
 
 # ---------------------------------------------------------------------------
-# Fixed values of the reference's validation rules.
+# Fixed values of the validation rules.
 ACCOUNT_NUMBER_PATTERN = r"^\d{6,20}$"
 IDENTITY_CARD_PATTERN = r"^\d{12}$"
 MOBILE_PATTERN = (r"^(0|\+84)(\s|\.)?((3[2-9])|(5[689])|(7[06-9])|(8[1-689])|(9[0-46-9]))(\d)(\s|\.)?"

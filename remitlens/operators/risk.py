@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from remitlens.functions import scalars as S
 
-# Fixed values of the reference's rules.
+# Fixed values of the rules.
 LARGE_AMOUNT_THRESHOLD = 500_000_000
 LARGE_AMOUNT_MIN_PER_HOUR = 3
 RAPID_FIRE_MIN_PER_MINUTE = 2

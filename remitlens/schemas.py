@@ -12,22 +12,6 @@ FACT_COLUMNS = [
 ]
 PARTITION_COLUMNS = ["province", "district", "year", "quarter"]
 
-FACT_SCHEMA = T.StructType([
-    T.StructField("transaction_id", T.StringType()),
-    T.StructField("owner_user_id", T.StringType()),
-    T.StructField("owner_account_id", T.StringType()),
-    T.StructField("direction", T.StringType()),
-    T.StructField("counterparty_account_id", T.StringType()),
-    T.StructField("amount", MONEY),
-    T.StructField("status", T.StringType()),
-    T.StructField("created_at", T.TimestampNTZType()),
-    T.StructField("province", T.StringType()),
-    T.StructField("district", T.StringType()),
-    T.StructField("year", T.IntegerType()),
-    T.StructField("quarter", T.StringType()),
-    T.StructField("month", T.StringType()),
-])
-
 # Text layout of the fact CSV: every field is read as a string and typed with
 # try_cast afterwards, so a malformed value drops its row instead of the job.
 # The four partition columns also appear inside each line; they get file-side
@@ -37,7 +21,6 @@ FACT_CSV_FILE_COLUMNS = [
     "counterparty_account_id", "amount", "status", "created_at",
     "f_province", "f_district", "f_year", "f_quarter", "month",
 ]
-FACT_CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in FACT_CSV_FILE_COLUMNS])
 
 # Monthly transactions CSV: id, from_account, to_account, amount, status, date.
 MONTHLY_CSV_SCHEMA = T.StructType([
@@ -65,20 +48,6 @@ TRANSFER_EVENT_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-RESULT_EVENT_SCHEMA = T.StructType([
-    T.StructField("transactionId", T.StringType()),
-    T.StructField("fromAccountId", T.StringType()),
-    T.StructField("toAccountId", T.StringType()),
-    T.StructField("fromUserId", T.StringType()),
-    T.StructField("toUserId", T.StringType()),
-    T.StructField("fromUserEmail", T.StringType()),
-    T.StructField("amount", MONEY),
-    T.StructField("description", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("failReason", T.StringType()),
-    T.StructField("processedAt", T.TimestampNTZType()),
-])
-
 AUDIT_COLUMNS = [
     "transaction_id", "from_account", "to_account", "amount", "status",
     "description", "fail_reason", "processed_at", "created_at",

@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SHARD_ORDER = ["NORTH", "MID", "SOUTH"]
-
 
 def shard_scan_jdbc(spark: SparkSession, urls: dict[str, str], table: str, props: dict | None = None,
                     partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
@@ -38,7 +36,3 @@ def shard_scan_files(spark: SparkSession, paths: dict[str, str], fmt: str = "par
 def shard_union(frames: list[DataFrame]) -> DataFrame:
     """Union by column name (shards may list columns in different orders)."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-def split_shards(tagged: DataFrame) -> dict[str, DataFrame]:
-    return {s: tagged.where(F.col("shard") == s) for s in SHARD_ORDER}
