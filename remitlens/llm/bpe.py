@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from remitlens.llm.workers import kept
 from remitlens.llm.words import Words, slices
 
-CACHE_PIECES = 1_500_000
-SLICE_BYTES = 4 << 20
+CACHE_PIECES = 500_000
+SLICE_BYTES = 2 << 20
 NEVER = np.int64(1 << 62)
 
 
@@ -223,7 +223,7 @@ def encode_texts(docs: DataFrame, path: str, text: str = "text", keep: tuple[str
     Null and empty texts, and texts of white space, give no ids and an empty
     decoded text. Special strings inside a text give their special id. Null
     keys and repeated rows are kept as they are, other columns are not read; an
-    empty table gives no rows. One slice of about 4 MB (or one longer text) is
+    empty table gives no rows. One slice of about 2 MB (or one longer text) is
     held at a time.
     """
     schema = [(k, docs.schema[k].dataType.simpleString()) for k in keep]

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from remitlens.llm.words import Words, buffers
 from remitlens.session import scratch_path
 
-SEED_WORDS, BLOCK_BYTES, ROW_BYTES, SHARD_BYTES = 5, 4 << 20, 64, 16 << 20
+SEED_WORDS, BLOCK_BYTES, ROW_BYTES, SHARD_BYTES = 5, 2 << 20, 64, 16 << 20
 LAST_KEY = np.iinfo(np.int64).max
 
 

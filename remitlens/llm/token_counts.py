@@ -23,7 +23,7 @@ from remitlens.llm.bpe import Bpe, PieceCache, byte_letters
 from remitlens.llm.workers import kept
 from remitlens.llm.words import Words, slices
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 # The byte-level pre-token pattern, its white space, and all other white space of Unicode.
 _PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
             r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")

@@ -175,9 +175,11 @@ def scored(docs: DataFrame, model: Model, text: str = "text", threshold: float =
 
     def run(batches):
         for batch in batches:
-            score = model.score(batch.column(place)) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))],
-                names=[*batch.schema.names, "score", "predicted"])
+            for lo, hi in slices(batch.column(place)):
+                part = batch.slice(lo, hi - lo)
+                score = model.score(part.column(place))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))],
+                    names=[*part.schema.names, "score", "predicted"])
 
     return docs.mapInArrow(run, schema + ", score double, predicted int")

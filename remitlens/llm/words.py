@@ -100,8 +100,8 @@ class Words:
             sizes = self.end - self.begin
             longest = int(sizes.max())
             # the place inside the word; white space has the value 0, so its place only has to be in range
-            place = np.arange(len(self.flat))
-            place[self.begin[0]:] -= np.repeat(self.begin, np.diff(np.append(self.begin, len(self.flat))))
+            place = np.arange(len(self.flat), dtype=np.int32)
+            place[self.begin[0]:] -= np.repeat(self.begin.astype(np.int32), np.diff(np.append(self.begin, len(self.flat))))
             np.minimum(place, longest - 1, out=place)
             values *= _powers(longest)[place]
             if letters_only:
