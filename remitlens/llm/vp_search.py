@@ -1,13 +1,20 @@
 """Approximate nearest neighbours (operator 3): vantage-point trees per shard.
 
 Largest inner product becomes smallest distance with one more coordinate: with
-M the largest norm, a vector x gets sqrt(M^2 - |x|^2) and a query gets 0; then
-distance^2 = |q|^2 + M^2 - 2 q.x. Each shard of the vectors gets one tree: a
-node keeps a vantage point and the median distance to it; points within the
-median go left, the others right. A search with current k-th distance t skips
-the left side if d - f*t > median and the right side if d + f*t < median. With
-f = 1 that is the triangle inequality and the search is exact; a smaller f
-prunes more and may miss neighbours.
+M the largest norm of some vectors, x gets sqrt(M^2 - |x|^2) and a query gets 0.
+Divided by M and, for the query, by its own norm, all lie on the unit sphere and
+distance^2 = 2 - 2 q.x / (M |q|), so neither scale moves the distances.
+
+Each shard is split into bands of norms, the largest first. A band of more than
+``LEAF`` vectors has norms of at most ``BAND`` : 1, so its own M lifts no vector
+far from the rest, and one long vector changes only its own band. A band has one
+tree: a node keeps a vantage point and the median distance to it; points within
+the median go left, the others right. A search with current k-th distance t skips
+the left side if d - f*t > median and the right side if d + f*t < median, and a
+band whose M |q| is below the k-th product. With f = 1 that is the triangle
+inequality and the search is exact; a smaller f prunes more and may miss
+neighbours. For ``TRIED`` queries of a block the shard's exact answer is computed;
+if the smaller f finds less than ``LEAST_RECALL`` of it, the block takes f = 1.
 
 Equal vectors are one entry of the index with their k + 1 smallest ids (no
 query can need more), so a vector that a third of the rows share costs no more
@@ -22,6 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SHARD_ROWS, BLOCK_QUERIES, LEAF = 8_192, 1_024, 256
+BAND, TRIED, LEAST_RECALL = 1.1, 64, 0.95
+SLACK = 1e-7  # of distances on the unit sphere, for rounding
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -67,29 +76,68 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square, 0))
 
 
+def lengths(points: np.ndarray) -> np.ndarray:
+    """Norms of vectors that are not all zero, without over- or underflow of squares."""
+    most = np.abs(points).max(axis=1, initial=0)
+    return most * np.sqrt(((points / most[:, None])**2).sum(axis=1))
+
+
+def bands(norms: np.ndarray) -> list[np.ndarray]:
+    """Places of vectors by norm, the largest first, cut where a band has ``LEAF``
+    or more and the next norm is below 1 / ``BAND`` of its largest."""
+    order = np.argsort(-norms, kind="stable")
+    falling, out, begin = norms[order], [], 0
+    while begin < len(order):
+        near = int(np.searchsorted(-falling, -falling[begin] / BAND, side="right"))
+        end = min(max(near, begin + LEAF), len(order))
+        out.append(order[begin:end])
+        begin = end
+    return out
+
+
+class Band:
+    """A tree over vectors of similar norms (``points``, at ``places`` of the shard)."""
+
+    def __init__(self, points: np.ndarray, norms: np.ndarray, places: np.ndarray, seed: int):
+        self.largest = max(float(norms.max()), np.finfo(float).tiny)
+        unit = points / self.largest
+        lift = np.sqrt(np.maximum(1 - (unit**2).sum(1), 0))
+        lifted = np.hstack([unit, lift[:, None]])
+        tree = Tree(lifted, seed=seed)
+        vantage = sorted({n[2] for n in tree.nodes if n[2] >= 0})
+        renamed = {v: i for i, v in enumerate(vantage)}
+        self.nodes = [(*n[:2], renamed.get(n[2], -1), *n[3:]) for n in tree.nodes]
+        self.vantages = lifted[vantage]
+        self.points, self.places = points[tree.order], places[tree.order]
+
+
 class Search:
-    """The k nearest points of a tree for a block of queries, all at once."""
+    """The k vectors with the largest products of a shard's bands for a block of
+    queries of norm 1, all at once."""
 
-    def __init__(self, tree: Tree, vantages: np.ndarray, queries: np.ndarray, k: int, factor: float):
-        self.tree, self.q, self.k, self.factor = tree, queries, k, factor
-        self.vantage_distance = distances(queries, vantages) if len(vantages) else None
-        self.best = np.full((len(queries), k), np.inf)
+    def __init__(self, some: list[Band], queries: np.ndarray, k: int, factor: float):
+        self.q, self.k, self.factor = queries, k, factor
+        self.best = np.full((len(queries), k), -np.inf)
         self.found = np.full((len(queries), k), -1)
         self.visited = 0
-        if tree.nodes:
-            self._visit(0, np.arange(len(queries)))
+        for band in some:
+            self.band = band
+            rows = np.flatnonzero(self.best.min(axis=1) <= band.largest * (1 + SLACK))
+            if len(band.vantages):
+                lifted = np.hstack([queries, np.zeros((len(queries), 1))])
+                self.vantage_distance = distances(lifted, band.vantages)
+            self._visit(0, rows)
 
     def _visit(self, node: int, rows: np.ndarray):
-        begin, end, vantage, median, left, right = self.tree.nodes[node]
+        begin, end, vantage, median, left, right = self.band.nodes[node]
         if not len(rows):
             return
         if vantage < 0:
             self.visited += len(rows) * (end - begin)
-            d = distances(self.q[rows], self.tree.points[begin:end])
-            both = np.concatenate([self.best[rows], d], axis=1)
-            ids = np.concatenate([self.found[rows], np.broadcast_to(np.arange(begin, end), d.shape)], axis=1)
-            top = np.argpartition(both, self.k - 1, axis=1)[:, :self.k] if both.shape[1] > self.k \
-                else np.broadcast_to(np.arange(self.k), (len(rows), self.k))
+            score = self.q[rows] @ self.band.points[begin:end].T
+            both = np.concatenate([self.best[rows], score], axis=1)
+            ids = np.concatenate([self.found[rows], np.broadcast_to(self.band.places[begin:end], score.shape)], axis=1)
+            top = np.argpartition(-both, self.k - 1, axis=1)[:, :self.k]
             self.best[rows] = np.take_along_axis(both, top, 1)
             self.found[rows] = np.take_along_axis(ids, top, 1)
             return
@@ -98,26 +146,36 @@ class Search:
         for side in (True, False):  # each query first takes its own side, then, with a smaller radius, the other
             near = rows[inner == side]
             self._visit(left if side else right, near)
-            radius = self.factor * self.best[near].max(axis=1)
+            share = np.minimum(self.best[near].min(axis=1) / self.band.largest, 1)
+            radius = self.factor * np.sqrt(2 - 2 * share) + SLACK
             reach = d[near] - radius <= median if not side else d[near] + radius >= median
             self._visit(right if side else left, near[reach])
 
 
+def held_factor(some: list[Band], points: np.ndarray, queries: np.ndarray, k: int, factor: float) -> float:
+    """``factor`` if it finds ``LEAST_RECALL`` of the exact answer of ``TRIED`` queries, else 1."""
+    if factor >= 1 or len(points) <= k or not len(queries):
+        return factor
+    tried = queries[np.linspace(0, len(queries) - 1, min(TRIED, len(queries))).astype(int)]
+    kth = np.partition(tried @ points.T, len(points) - k, axis=1)[:, len(points) - k]
+    got = Search(some, tried, k, factor).best >= kth[:, None] - 1e-12
+    return factor if got.mean() >= LEAST_RECALL else 1.0
+
+
 def search_shard(points: np.ndarray, ids: list[np.ndarray], queries: np.ndarray, query_ids: np.ndarray, k: int,
-                 factor: float, largest: float, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                 factor: float, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query id, id, inner product) of the k best ids of each query in a shard."""
-    lift = np.sqrt(np.maximum(largest**2 - (points**2).sum(1), 0))
-    tree = Tree(np.hstack([points, lift[:, None]]), seed=seed)
-    vantage = sorted({n[2] for n in tree.nodes if n[2] >= 0})
-    renamed = {v: i for i, v in enumerate(vantage)}
-    lifted = np.hstack([points, lift[:, None]])
-    tree.nodes = [(*n[:2], renamed.get(n[2], -1), *n[3:]) for n in tree.nodes]
+    norms = lengths(points)
+    largest = norms.max(initial=0)
+    scaled = points / largest if largest else points
+    some = [Band(scaled[at], norms[at] / largest, at, seed) for at in bands(norms)]
+    unit = queries / lengths(queries)[:, None]
     # an entry may hold the query itself, and rounding may swap ties: look for k + 2 entries
-    found = Search(tree, lifted[vantage], np.hstack([queries, np.zeros((len(queries), 1))]),
-                   min(k + 2, max(1, len(points))), factor).found
+    most = min(k + 2, max(1, len(points)))
+    found = Search(some, unit, most, held_factor(some, scaled, unit, most, factor)).found
     out_q, out_id, out_score = [], [], []
     for i, places in enumerate(found):
-        entries = tree.order[places[places >= 0]]
+        entries = places[places >= 0]
         score = (points[entries] * queries[i]).sum(axis=1)  # the same order of sums for every pair
         own = [ids[e] for e in entries.tolist()]
         flat = np.concatenate(own) if own else np.zeros(0, np.int64)
@@ -149,14 +207,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
     """
     spark = vectors.sparkSession
     base = usable(vectors, key, vector)
-    stats = base.agg(F.mode(F.size("v"), True).alias("dim"), F.count(F.lit(1)).alias("n"),
-                     F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("m")).first()
+    stats = base.agg(F.mode(F.size("v"), True).alias("dim"), F.count(F.lit(1)).alias("n")).first()
     asked = usable(queries, key, vector).where(F.size("v") == F.lit(stats["dim"] or 0)).distinct()
     base = base.where(F.size("v") == F.lit(stats["dim"] or 0)).distinct()
     n_queries = asked.count()
     shards = max(1, -(-stats["n"] // shard_rows))
     blocks = max(1, -(-n_queries // block_queries))
-    largest = float(stats["m"] or 0.0) ** 0.5
     # an entry is a vector with its k + 1 smallest ids
     first = Window.partitionBy("v").orderBy("id")
     entries = base.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1) \
@@ -178,7 +234,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, factor: float =
                 ids = rows.field("ids")
                 ends = ids.offsets.to_numpy() - ids.offsets[0].as_py()
                 groups = np.split(ids.flatten().to_numpy(), ends[1:-1])
-                got = search_shard(_matrix(rows.field("v")), groups, q, q_ids, k, factor, largest,
+                got = search_shard(_matrix(rows.field("v")), groups, q, q_ids, k, factor,
                                    seed=batch.column(0)[i].as_py())
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in got], names=["query_id", "vec_id", "score"])
 

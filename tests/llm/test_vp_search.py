@@ -65,3 +65,21 @@ def test_few_candidates_and_empty(spark):
     assert nearest(one, one).count() == 0
     assert nearest(few.limit(0), few.limit(0)).count() == 0
     assert nearest(few, few.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("norms", ["one of 2", "lognormal", "small queries"])
+def test_recall_of_the_production_factor_on_unequal_norms(spark, norms):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(4000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if norms == "one of 2":
+        x[7] *= 2
+    elif norms == "lognormal":
+        x *= rng.lognormal(0, 0.5, len(x))[:, None]
+    else:
+        x[::20] *= 0.01
+    x, ids = x.astype(np.float32), np.arange(len(x))
+    all_ = frame(spark, ids, x)
+    out = nearest(all_, all_.where(F.col("vec_id") % 20 == 0), k=20, factor=0.2, shard_rows=4000).collect()
+    want = {(q, i) for q, found in brute(ids, x, 20).items() for i, _ in found}
+    assert len(want & {(r.query_id, r.vec_id) for r in out}) >= 0.9 * len(want)
