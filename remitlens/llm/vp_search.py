@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 SHARD_ROWS, BLOCK_QUERIES, LEAF = 8_192, 1_024, 256
 BAND, TRIED, LEAST_RECALL = 1.1, 64, 0.95
 SLACK = 1e-7  # of distances on the unit sphere, for rounding
+TIED, MOST_PLACES = 1e-12, 1 << 19  # of products of norms up to 1; places held before a cut
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -113,13 +114,15 @@ class Band:
 
 class Search:
     """The k vectors with the largest products of a shard's bands for a block of
-    queries of norm 1, all at once."""
+    queries of norm 1, all at once. ``best`` holds products; ``found`` (rows,
+    places) also every vector whose product is within rounding of the k-th, cut
+    by ``cut`` when there are many."""
 
-    def __init__(self, some: list[Band], queries: np.ndarray, k: int, factor: float):
-        self.q, self.k, self.factor = queries, k, factor
+    def __init__(self, some: list[Band], queries: np.ndarray, k: int, factor: float, cut=None):
+        self.q, self.k, self.factor, self.cut = queries, k, factor, cut
         self.best = np.full((len(queries), k), -np.inf)
-        self.found = np.full((len(queries), k), -1)
-        self.visited = 0
+        self.found = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.visited, self.parts, self.held, self.limit = 0, [], 0, MOST_PLACES
         for band in some:
             self.band = band
             rows = np.flatnonzero(self.best.min(axis=1) <= band.largest * (1 + SLACK))
@@ -127,6 +130,15 @@ class Search:
                 lifted = np.hstack([queries, np.zeros((len(queries), 1))])
                 self.vantage_distance = distances(lifted, band.vantages)
             self._visit(0, rows)
+        if cut:
+            self._cut()
+
+    def _cut(self):
+        rows, places, score = (np.concatenate([f[i] for f in self.parts] or [np.zeros(0, np.int64)]) for i in range(3))
+        near = score >= self.best.min(axis=1)[rows] - TIED
+        at = np.flatnonzero(near)[self.cut(rows[near], places[near])]
+        self.found, self.parts, self.held = (rows[at], places[at]), [(rows[at], places[at], score[at])], len(at)
+        self.limit = self.held + MOST_PLACES
 
     def _visit(self, node: int, rows: np.ndarray):
         begin, end, vantage, median, left, right = self.band.nodes[node]
@@ -136,10 +148,13 @@ class Search:
             self.visited += len(rows) * (end - begin)
             score = self.q[rows] @ self.band.points[begin:end].T
             both = np.concatenate([self.best[rows], score], axis=1)
-            ids = np.concatenate([self.found[rows], np.broadcast_to(self.band.places[begin:end], score.shape)], axis=1)
-            top = np.argpartition(-both, self.k - 1, axis=1)[:, :self.k]
-            self.best[rows] = np.take_along_axis(both, top, 1)
-            self.found[rows] = np.take_along_axis(ids, top, 1)
+            self.best[rows] = -np.partition(-both, self.k - 1, axis=1)[:, :self.k]
+            if self.cut:
+                i, j = np.nonzero(score >= self.best[rows].min(axis=1)[:, None] - TIED)
+                self.parts.append((rows[i], self.band.places[begin + j], score[i, j]))
+                self.held += len(i)
+                if self.held > self.limit:
+                    self._cut()
             return
         d = self.vantage_distance[:, vantage]
         inner = d[rows] <= median
@@ -170,12 +185,25 @@ def search_shard(points: np.ndarray, ids: list[np.ndarray], queries: np.ndarray,
     scaled = points / largest if largest else points
     some = [Band(scaled[at], norms[at] / largest, at, seed) for at in bands(norms)]
     unit = queries / lengths(queries)[:, None]
-    # an entry may hold the query itself, and rounding may swap ties: look for k + 2 entries
-    most = min(k + 2, max(1, len(points)))
-    found = Search(some, unit, most, held_factor(some, scaled, unit, most, factor)).found
+    least = np.array([own.min() for own in ids])
+    most = min(k + 1, max(1, len(points)))  # an entry may hold the query itself
+
+    def exact(rows, places):
+        step = 1 << 16  # the same order of sums for every pair
+        return np.concatenate([np.zeros(0)] + [(points[places[i:i + step]] * queries[rows[i:i + step]]).sum(axis=1)
+                                               for i in range(0, len(rows), step)])
+
+    def cut(rows, places):
+        """The first ``most`` of each row by exact product, then smallest id."""
+        order = np.lexsort((least[places], -exact(rows, places), rows))
+        by = rows[order]
+        return order[np.arange(len(by)) - np.searchsorted(by, by) < most]
+
+    rows, entry = Search(some, unit, most, held_factor(some, scaled, unit, most, factor), cut).found
+    ends = np.searchsorted(rows, np.arange(len(queries) + 1))  # the last cut left them by row
     out_q, out_id, out_score = [], [], []
-    for i, places in enumerate(found):
-        entries = places[places >= 0]
+    for i in range(len(queries)):
+        entries = entry[ends[i]:ends[i + 1]]
         score = (points[entries] * queries[i]).sum(axis=1)  # the same order of sums for every pair
         own = [ids[e] for e in entries.tolist()]
         flat = np.concatenate(own) if own else np.zeros(0, np.int64)

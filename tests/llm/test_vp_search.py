@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from remitlens.llm import vp_search
 from remitlens.llm.vp_search import nearest
 
 
@@ -83,3 +84,17 @@ def test_recall_of_the_production_factor_on_unequal_norms(spark, norms):
     out = nearest(all_, all_.where(F.col("vec_id") % 20 == 0), k=20, factor=0.2, shard_rows=4000).collect()
     want = {(q, i) for q, found in brute(ids, x, 20).items() for i, _ in found}
     assert len(want & {(r.query_id, r.vec_id) for r in out}) >= 0.9 * len(want)
+
+
+@pytest.mark.parametrize("places", [1 << 19, 50])
+def test_ties_of_many_different_vectors(monkeypatch, places):
+    """Products of 0 and 1 by the hundred: the smaller ids win."""
+    monkeypatch.setattr(vp_search, "MOST_PLACES", places)
+    monkeypatch.setattr(vp_search, "LEAF", 32)
+    rng = np.random.default_rng(6)
+    x = np.unique((rng.random((900, 24)) < 0.1) * 1.0, axis=0)
+    x = rng.permutation(x[x.any(axis=1)])
+    ids = rng.permutation(len(x)) * 20
+    q, i, s = vp_search.search_shard(x, [ids[j:j + 1] for j in range(len(x))], x, ids, 20, 1.0)
+    got = {int(a): [(int(b), float(c)) for b, c in zip(i[q == a], s[q == a], strict=True)] for a in ids}
+    assert got == brute(ids, x, 20)
