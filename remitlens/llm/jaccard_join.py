@@ -14,6 +14,14 @@ are one class. Classes meet through keys made of the smallest hashes of a set:
 
 Linked sets differ in size by t at most, so they send keys of one kind in common.
 
+Every link between two classes is found: token groups of up to ``PAIRED_ROWS``
+classes give all their pairs, larger ones are searched by signature trees, which
+give a pair in the group of its smallest common token only. All pairs are
+verified on their exact sets; those of a tree meet their texts in its group, so a
+text is sent once for a group, not for a pair. Components follow from the links.
+
+Who needs the components only (``all_links=False``) has a shortcut:
+
 1. Each class is compared with one class of every token group (its leader).
 2. What these links connect needs no more comparison. Token groups that still
    hold several components are searched by signature trees: rows sorted by
@@ -26,8 +34,8 @@ Linked sets differ in size by t at most, so they send keys of one kind in common
    thousand; then once every pair that is left between different components.
 3. All these pairs are verified on their exact sets.
 
-So near copies by the thousand cost one link each instead of all pairs, and no
-link between components is lost.
+There near copies by the thousand cost one link each instead of all pairs, and no
+link between components is lost, but links inside a component are not all found.
 """
 
 from __future__ import annotations
@@ -44,7 +52,7 @@ from remitlens.llm.graph import components
 from remitlens.llm.words import Words, mix, slices
 from remitlens.session import materialize, scratch_path
 
-NARROW, GROUP_ROWS, FANOUT = 124, 2_000, 8
+NARROW, GROUP_ROWS, FANOUT, PAIRED_ROWS = 124, 2_000, 8, 32
 LEAST_BITS, MOST_BITS = 1_024, 1 << 17
 FOREST_ROUNDS, FOREST_TOKENS = 2, 8
 
@@ -170,6 +178,24 @@ def _may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def _unpacked_sets(packed: dict, k: int) -> dict:
+    """Sorted shingle hashes of classes from their packed texts."""
+    unpacker, sets, keys = zstandard.ZstdDecompressor(), {}, list(packed)
+    for lo in range(0, len(keys), 256):
+        some = keys[lo:lo + 256]
+        grams, ends = shingle_sets(pa.array([unpacker.decompress(packed[c]).decode() for c in some], pa.string()), k)
+        sets |= {c: grams[ends[j]:ends[j + 1]] for j, c in enumerate(some)}
+    return sets
+
+
+def _linked(sets: dict, a: list, b: list, percent: int) -> list[bool]:
+    ok = []
+    for x, y in zip(a, b, strict=True):
+        common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+        ok.append(100 * common >= percent * (len(sets[x]) + len(sets[y]) - common))
+    return ok
+
+
 def _verified(pairs: DataFrame, described: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose exact sets are linked."""
     near = _stored(pairs, "near")
@@ -180,22 +206,13 @@ def _verified(pairs: DataFrame, described: DataFrame, k: int, percent: int) -> D
     both = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_packed", "b_packed")
 
     def run(batches):
-        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             step = 256
             for lo in range(0, batch.num_rows, step):
                 part = batch.slice(lo, step)
-                ids = part.column(0).to_pylist() + part.column(1).to_pylist()
-                packed = part.column(2).to_pylist() + part.column(3).to_pylist()
-                texts = {i: p for i, p in zip(ids, packed, strict=True)}  # a class is unpacked once
-                column = pa.array([unpacker.decompress(p).decode() for p in texts.values()], pa.string())
-                grams, ends = shingle_sets(column, k)
-                sets = {i: grams[ends[j]:ends[j + 1]] for j, i in enumerate(texts)}
-                ok = []
-                for a, b in zip(ids[:part.num_rows], ids[part.num_rows:], strict=True):
-                    common = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                    ok.append(100 * common >= percent * (len(sets[a]) + len(sets[b]) - common))
-                yield part.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+                a, b, *packed = (part.column(i).to_pylist() for i in range(4))
+                sets = _unpacked_sets(dict(zip(a + b, packed[0] + packed[1], strict=True)), k)  # a class is unpacked once
+                yield part.select([0, 1]).filter(pa.array(_linked(sets, a, b, percent), pa.bool_()))
 
     return both.mapInArrow(run, "a bigint, b bigint")
 
@@ -336,6 +353,69 @@ def _tree_pairs(rows: pa.Table, percent: int, forest: int) -> pa.Table:
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
+def _first_met(rows: pa.Table, token: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether pairs of rows (places) have no common token below ``token``."""
+    tokens = rows["tokens"].combine_chunks()
+    flat, n = tokens.flatten().to_numpy(), np.diff(tokens.offsets.to_numpy())
+    low = flat < token
+    flat, row = flat[low], np.repeat(np.arange(len(n)), n)[low]
+    _, inverse, count = np.unique(flat, return_inverse=True, return_counts=True)
+    name = np.cumsum(count > 1) - 1
+    shared = count[inverse] > 1
+    row, bit = row[shared], name[inverse[shared]]
+    width = 1 + (int(bit.max()) >> 3 if len(bit) else 0)
+    bits = np.zeros((len(n), width), np.uint8)
+    np.bitwise_or.at(bits, (row, bit >> 3), (1 << (bit & 7)).astype(np.uint8))
+    step = max(1, (32 << 20) // width)
+    return np.concatenate([np.zeros(0, bool)] + [~(bits[a[i:i + step]] & bits[b[i:i + step]]).any(axis=1)
+                                                 for i in range(0, len(a), step)])
+
+
+def _all_links(rows: DataFrame, classes: DataFrame, described: DataFrame, k: int, percent: int) -> DataFrame:
+    """All links (a, b) of classes that meet in token groups (class, token), each once."""
+    count = rows.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
+    few = rows.join(count.where(F.col("m") <= PAIRED_ROWS).select("token"), "token") \
+        .groupBy("token").agg(F.collect_list("class").alias("all"))
+    few = few.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b")).where("a < b").distinct()
+    few = _verified(_may_link(few, classes, percent), described, k, percent)
+
+    parts = F.ceil(F.col("m") / GROUP_ROWS).cast("int")
+    split = rows.join(count.where(F.col("m") > PAIRED_ROWS), "token") \
+        .withColumn("side", F.pmod(F.xxhash64("class"), parts).cast("int")) \
+        .select("token", "class", F.col("class").alias("label"), "side",
+                F.explode(F.sequence(F.lit(0), parts - 1)).alias("with")) \
+        .select("token", "class", "label", "side", F.least("side", "with").alias("i"),
+                F.greatest("side", "with").alias("j")) \
+        .join(classes.select("class", "n", "bits", "tokens"), "class")
+
+    def pairs(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        found = _tree_pairs(group, percent, 0)
+        own = group["class"].to_numpy()
+        order = np.argsort(own)
+        a, b = (order[np.searchsorted(own, found[c].to_numpy(), sorter=order)] for c in ("a", "b"))
+        found = found.filter(pa.array(_first_met(group, group["token"][0].as_py(), a, b)))
+        for name in ("j", "i", "token"):
+            found = found.add_column(0, name, pa.array([group[name][0].as_py()] * len(found), group[name].type))
+        return found
+
+    place = ["token", "i", "j"]
+    near = _stored(split.groupBy(*place).applyInArrow(
+        pairs, "token bigint, i int, j int, a bigint, b bigint"), "near")
+    needed = near.select(*place, F.explode(F.array("a", "b")).alias("class")).distinct()
+    texts = _stored(described.select("class", "packed").join(needed.select("class").distinct(), "class", "left_semi")
+                    .dropDuplicates(["class"]), "texts")
+
+    def verify(group: pa.Table, texts: pa.Table) -> pa.Table:
+        a, b = group["a"].to_pylist(), group["b"].to_pylist()
+        sets = _unpacked_sets(dict(zip(texts["class"].to_pylist(), texts["packed"].to_pylist(), strict=True)), k)
+        return group.select(["a", "b"]).filter(pa.array(_linked(sets, a, b, percent), pa.bool_()))
+
+    sent = needed.toDF("in_token", "in_i", "in_j", "class").join(texts, "class").groupBy("in_token", "in_i", "in_j")
+    many = near.groupBy(*place).cogroup(sent).applyInArrow(verify, "a bigint, b bigint")
+    return few.union(many).distinct()
+
+
 def _between_components(rows: DataFrame, classes: DataFrame, links: DataFrame, percent: int,
                         forest: int) -> DataFrame:
     """Pairs (a, b) that may be linked, of token groups whose rows (place, class,
@@ -356,12 +436,25 @@ def _between_components(rows: DataFrame, classes: DataFrame, links: DataFrame, p
         lambda group: _tree_pairs(group, percent, forest), "a bigint, b bigint").distinct()
 
 
+def _connecting_links(rows: DataFrame, classes: DataFrame, described: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) that connect the components, of rows (place, class, token, leader)."""
+    first = rows.where("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
+    links = _stored(_verified(_may_link(first, classes, percent), described, k, percent), "links")
+    for forest in [*range(1, FOREST_ROUNDS + 1), 0]:
+        more = _between_components(rows, classes, links, percent, forest)
+        links = _stored(links.union(_verified(more if forest else more.join(first, ["a", "b"], "left_anti"),
+                                              described, k, percent)).distinct(), "links")
+    return links
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "doc_id",
-                    text: str = "text") -> tuple[DataFrame, DataFrame]:
+                    text: str = "text", all_links: bool = True) -> tuple[DataFrame, DataFrame]:
     """(documents, links). Documents: one row per row of ``docs`` with ``id``,
-    ``at`` (hash of the text), ``n_shingles``, ``class`` (equal sets share one) and ``component_id``, the
-    smallest key that links reach. Links: the verified links between classes
-    (a, b) that connect the components.
+    ``at`` (hash of the text), ``n_shingles``, ``class`` (equal sets share one), ``component_id``, the
+    smallest key that links reach, and ``n_links``, the number of other rows that
+    are linked with it (those of its class and of linked classes). Links: all
+    verified links between classes (a < b). Without ``all_links`` the links are
+    only as many as connect the components, and ``n_links`` is not given.
 
     Two sets are linked if ``100 * intersection >= percent * union``, both in
     whole numbers. A null or empty text, or one without words, has no shingles
@@ -375,21 +468,25 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "
     met = tokens.groupBy("token").agg(F.min("class").alias("leader"), F.max("class").alias("last")) \
         .where("leader < last").drop("last")
     rows = _stored(tokens.join(met, "token"), "met")  # place, class, token, leader
-    first = rows.where("class <> leader").select(F.col("leader").alias("a"), F.col("class").alias("b")).distinct()
-    links = _stored(_verified(_may_link(first, classes, percent), described, k, percent), "links")
-
-    for forest in [*range(1, FOREST_ROUNDS + 1), 0]:
-        more = _between_components(rows, classes, links, percent, forest)
-        links = _stored(links.union(_verified(more if forest else more.join(first, ["a", "b"], "left_anti"),
-                                              described, k, percent)).distinct(), "links")
-
-    labels = components(links)
-    member = described.select("id", "at", "n", "class").join(labels.withColumnRenamed("node", "class"), "class", "left") \
+    if all_links:
+        links = _stored(_all_links(rows.select("class", "token"), classes, described, k, percent), "links")
+    else:
+        links = _connecting_links(rows, classes, described, k, percent)
+
+    labels = components(links).withColumnRenamed("node", "class")
+    if all_links:
+        size = described.where("n > 0").groupBy("class").agg(F.count(F.lit(1)).alias("m"))
+        both = links.union(links.select("b", "a")).toDF("class", "other")
+        linked = both.join(size.toDF("other", "rows"), "other").groupBy("class").agg(F.sum("rows").alias("rows"))
+        labels = size.join(linked, "class", "left").join(labels, "class", "left").select(
+            "class", "label", (F.col("m") - 1 + F.coalesce("rows", F.lit(0))).alias("n_links"))
+    member = described.select("id", "at", "n", "class").join(labels, "class", "left") \
         .withColumn("label", F.coalesce("label", "class"))
     least = member.where("n > 0").groupBy("label").agg(F.min("id").alias("component_id"))
     out = member.join(least, "label", "left").select(
         "id", "at", F.col("n").alias("n_shingles"), "class",
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
+        *([F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).alias("n_links")] if all_links else []))
     return out, links
 
 
@@ -398,7 +495,7 @@ def one_of_each(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "doc_
     smallest key; of rows that repeat this key, the one with the smallest hashed
     text. Rows without shingles stay. A row with a null key stays unless it is
     linked with a row that has one. All columns stay as they are."""
-    found, _ = near_duplicates(docs, percent, k, key, text)
+    found, _ = near_duplicates(docs, percent, k, key, text, all_links=False)
     kept = materialize(found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id", "at").count())
     first = kept.where("id is not null").groupBy("id").agg(F.min("at").alias("at"))
     rows = first.unionByName(kept.where("id is null").select("id", "at")).toDF("__id", "__at")

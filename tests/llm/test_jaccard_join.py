@@ -124,3 +124,29 @@ def test_components_of_long_paths_and_hubs(spark):
         by.setdefault(r.label, set()).add(r.node)
     assert sorted(map(len, by.values())) == [50, 61]
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("paired", [32, 2])
+def test_all_links_inside_components(spark, monkeypatch, paired):
+    """Clusters of different texts that all link pairwise, copies among them: every
+    link between classes and the number of linked rows, from pairs and from trees."""
+    monkeypatch.setattr(jaccard_join, "PAIRED_ROWS", paired)
+    monkeypatch.setattr(jaccard_join, "GROUP_ROWS", 7)
+    rng = random.Random(5)
+    rows = [(100, None), (101, "")]
+    for size in (60, 200):
+        text = sentence(rng, size, 10**6).split()
+        for i in range(12):
+            rows.append((len(rows), " ".join(text[:size - 1 - i // 2] + [f"e{i}"])))
+        rows += [(len(rows) + i, rows[-1][1]) for i in range(3)]
+    found, links = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    found, links = found.collect(), links.collect()
+    sets = {k: shingles(t) for k, t in rows}
+    near = lambda a, b: a and b and 100 * len(a & b) >= 75 * len(a | b)
+    assert {r.id: r.n_links for r in found} == {
+        k: sum(bool(near(s, o)) for i, o in sets.items() if i != k) for k, s in sets.items()}
+    of = {r.id: r["class"] for r in found}
+    want = {frozenset((of[i], of[j])) for i, j in itertools.combinations(sets, 2) if near(sets[i], sets[j])}
+    want = {p for p in want if len(p) == 2}
+    assert len(links) == len(want) >= 2 * 60 and {frozenset((r.a, r.b)) for r in links} == want
+    compare(spark, rows)
