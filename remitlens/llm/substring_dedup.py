@@ -1,4 +1,6 @@
-"""Substring de-duplication (operator 2): seed and extend.
+"""Substring de-duplication (operator 2): anchors, then a join on run hashes.
+
+No match is extended; runs around shared anchors are compared by hash.
 
 Seeds: of every run of ``min_words`` words the smallest hash of its inner
 ``SEED_WORDS``-word runs is its anchor (winnowing), so equal runs have equal
