@@ -1,4 +1,4 @@
-"""The registered queries op1 to op10 and their SQL."""
+"""The registered queries op1 to op13 and their SQL."""
 
 from __future__ import annotations
 
@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from remitlens.llm import bpe, fingerprints, jaccard_join, kneser_ney, line_dedup, packing, substring_dedup, token_counts, toxicity, vp_search
+from remitlens.llm import (
+    bpe, fill_in_middle, fingerprints, jaccard_join, kneser_ney, line_dedup, packing, private_data, substring_dedup,
+    token_counts, toxicity, vp_search,
+)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -132,3 +135,88 @@ def op9(spark, sf_dir):
 @query("op7_quality_perplexity")
 def op7(spark, sf_dir):
     return kneser_ney.perplexities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_fill_in_middle", """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+         sha256('7:' || doc_id) AS s FROM documents),
+h AS (
+  SELECT *, ('0x' || s[1:8])::BIGINT AS h1, ('0x' || s[9:16])::BIGINT AS h2, ('0x' || s[25:32])::BIGINT AS h4 FROM d),
+cut AS (
+  SELECT *, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+part AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+         array_to_string(u[b + 1:], '') AS x FROM cut)
+SELECT doc_id, len(u)::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || x || '<M>' || m
+              ELSE '<S>' || x || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM part""")
+def op11(spark, sf_dir):
+    out = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"), seed="7", percent=100, spm_percent=50)
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+def _kind_sql(name: str, pattern: str, passes: str, edges: tuple[str, str] | None = None, words: str = "",
+              plain_score: float = 1.0, context: float = 0.0) -> str:
+    """The spans of one kind as SQL (a list of start, end)."""
+    edge = "true" if not edges else (f"NOT regexp_matches(substr(t, x.s, 1), '{edges[0]}') "
+                                     f"AND NOT regexp_matches(substr(t, x.e + 1, 1), '{edges[1]}')")
+    near = f"'(?i)(^|[^A-Za-z])({words})([^A-Za-z]|$)'"
+    return f"""
+m_{name} AS (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS f, string_split_regex(t, '{pattern}') AS p FROM docs),
+x_{name} AS (SELECT *, [{{'v': f[i], 'c': right(p[i], 40) || ' ' || left(p[i + 1], 40),
+    's': (list_sum([length(y) FOR y IN p[1:i]]) + coalesce(list_sum([length(y) FOR y IN f[1:i - 1]]), 0))::BIGINT,
+    'e': (list_sum([length(y) FOR y IN p[1:i]]) + list_sum([length(y) FOR y IN f[1:i]]))::BIGINT}}
+    FOR i IN range(1, len(f) + 1)] AS xs FROM m_{name}),
+{name} AS (SELECT doc_id, [{{'s': x.s, 'e': x.e}} FOR x IN xs IF ({passes.replace('$', 'x.v')}) AND {edge}
+    AND {plain_score} + CASE WHEN regexp_matches(x.c, {near}) THEN {context} ELSE 0 END >= 0.5] AS {name} FROM x_{name})"""
+
+
+_DIGITS = "regexp_replace($, '[^0-9]', '', 'g')"
+_LUHN_SQL = (f"length({_DIGITS}) BETWEEN 13 AND 19 AND list_sum([CASE WHEN i % 2 = 1 THEN d ELSE (2 * d) // 10 + (2 * d) % 10 "
+             f"END FOR d, i IN [c::INT FOR c IN string_split(reverse({_DIGITS}), '')]]) % 10 = 0")
+_IBAN_TURNED = "substr(replace($, ' ', ''), 5) || left(replace($, ' ', ''), 4)"
+_MOD_97_SQL = ("list_reduce(list_prepend(0, [CASE WHEN c < 'A' THEN ascii(c) - 48 ELSE ascii(c) - 55 END "
+               f"FOR c IN string_split({_IBAN_TURNED}, '')]), lambda a, b: (a * CASE WHEN b > 9 THEN 100 ELSE 10 END + b) % 97) = 1")
+_KINDS_SQL = ",".join([
+    _kind_sql("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    _kind_sql("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+              "list_bool_and([length(ltrim(y, '0')) < 4 AND ('0' || right(y, 3))::INT <= 255 FOR y IN string_split($, '.')])"),
+    _kind_sql("card", r"[0-9](?:[\x20-]?[0-9])+", _LUHN_SQL),
+    _kind_sql("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+    _kind_sql("iban", private_data.IBAN, _MOD_97_SQL, private_data.EDGES["iban"], "iban|bank|account|transfer", 0.7, 0.3),
+    _kind_sql("ssn", private_data.SSN, "NOT regexp_matches($, '^(000|666|9)|-00-|-0000$')".replace("0000$", "0000\\z"),
+              private_data.EDGES["ssn"], "ssn|social security", 0.3, 0.4),
+    _kind_sql("local", private_data.LOCAL, "true", private_data.EDGES["local"],
+              "phone|tel|telephone|call|mobile|fax", 0.3, 0.4)])
+
+
+@query("op13_private_data", f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),{_KINDS_SQL},
+base AS (
+  SELECT *, [{{'k': 'email', 's': x.s, 'e': x.e}} FOR x IN email] || [{{'k': 'ip', 's': x.s, 'e': x.e}} FOR x IN ip] ||
+    [{{'k': 'card', 's': x.s, 'e': x.e}} FOR x IN card] || [{{'k': 'phone', 's': x.s, 'e': x.e}} FOR x IN phone] AS b,
+    [{{'k': 'iban', 's': x.s, 'e': x.e}} FOR x IN iban] || [{{'k': 'ssn', 's': x.s, 'e': x.e}} FOR x IN ssn] ||
+    [{{'k': 'local', 's': x.s, 'e': x.e}} FOR x IN "local"] AS extra
+  FROM email JOIN ip USING (doc_id) JOIN card USING (doc_id) JOIN phone USING (doc_id) JOIN iban USING (doc_id)
+  JOIN ssn USING (doc_id) JOIN "local" USING (doc_id)),
+everything AS (
+  SELECT *, b || [x FOR x IN extra IF len([y FOR y IN b IF x.s < y.e AND y.s < x.e]) = 0] AS spans FROM base)
+SELECT doc_id, len(email)::BIGINT AS n_email, len(ip)::BIGINT AS n_ip, len(card)::BIGINT AS n_card,
+       len(phone)::BIGINT AS n_phone,
+       sha256(coalesce(array_to_string([x.k || ':' || x.s || ':' || x.e FOR x IN b], ','), '')) AS base_sha256,
+       coalesce(array_to_string([x.k || ':' || x.s || ':' || x.e FOR x IN spans], ','), '') AS spans
+FROM everything""")
+def op13(spark, sf_dir):
+    out = private_data.find_private(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.col("base_spans")
+    return out.select("doc_id", *[private_data.count_of(k.name, base).alias(f"n_{k.name}")
+                                  for k in private_data.KINDS if k.base],
+                      F.sha2(private_data.as_text(base), 256).alias("base_sha256"),
+                      private_data.as_text(F.col("spans")).alias("spans"))
