@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlens.llm import (
-    bpe, fill_in_middle, fingerprints, jaccard_join, kneser_ney, line_dedup, packing, private_data, substring_dedup,
-    token_counts, toxicity, vp_search,
+    bpe, fill_in_middle, fingerprints, jaccard_join, kneser_ney, line_dedup, packing, prefix_trie, private_data,
+    substring_dedup, token_counts, toxicity, vp_search,
 )
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -220,3 +220,44 @@ def op13(spark, sf_dir):
                                   for k in private_data.KINDS if k.base],
                       F.sha2(private_data.as_text(base), 256).alias("base_sha256"),
                       private_data.as_text(F.col("spans")).alias("spans"))
+
+
+_CRC32_SQL = ("xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT FOR c IN string_split(conv_id::VARCHAR, '')]), "
+              "lambda a, b: list_reduce(list_prepend(xor(a, b), [1::BIGINT, 1, 1, 1, 1, 1, 1, 1]), "
+              "lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))), 4294967295::BIGINT)")
+
+
+@query("op12_prefix_trie", f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS donor, {_CRC32_SQL} % 4 AS h FROM t),
+r AS (
+  SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = donor WHERE pos <= h
+  UNION ALL SELECT c.conv_id, pos, role, text FROM c JOIN t USING (conv_id) WHERE pos > h),
+turns AS (
+  SELECT conv_id, row_number() OVER w AS depth, text,
+         list(length(role) || ':' || length(text) || ':' || role || text) OVER w AS path
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+member AS (
+  SELECT conv_id, depth, text, sha256(array_to_string(path, '')) AS node,
+         CASE WHEN depth = 1 THEN 'root' ELSE sha256(array_to_string(path[:-2], '')) END AS up,
+         depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM turns
+  UNION ALL SELECT conv_id, 0, '', 'root', NULL, NOT EXISTS (FROM r WHERE r.conv_id = c.conv_id) FROM c),
+node AS (
+  SELECT depth, node, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * len(regexp_extract_all(any_value(text), '[^\\x20\\x09-\\x0D]+')) AS saved,
+         sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM member GROUP BY depth, node),
+kids AS (SELECT up AS node, count(*) AS n FROM node WHERE up IS NOT NULL GROUP BY up),
+full_node AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids USING (node)),
+below AS (  -- every node under each node: on the path of the lower node's smallest member
+  SELECT m.node, sum(f.saved) AS saved_tokens, count(*) FILTER (f.n_children = 0) AS n_leaves
+  FROM full_node f JOIN member m ON m.conv_id = f.conv_id AND m.depth <= f.depth GROUP BY m.node)
+SELECT f.conv_id, f.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+FROM full_node f JOIN below USING (node) LEFT JOIN node p ON p.node = f.up""")
+def op12(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), group=20)
