@@ -14,8 +14,11 @@ their receiver in one join each. Only the remaining ("tight") senders need the
 ordered fold; their rows are hash-partitioned by sender, sorted inside each
 partition and folded by an Arrow-batched ``mapInPandas`` that streams the
 partition (state is one balance per sender; no group is ever materialised in
-memory) and passes the rows through, so no decision is joined back. The
-flagged rows are checkpointed once and read by all outcomes.
+memory) and passes the rows through, so no decision is joined back. A tight
+sender with more than ``hot_senders.HOT_ROWS`` rows is cut into segments first,
+whose opening balances come from segment summaries; its segments are then folded
+like senders of their own, in many tasks. The flagged rows are checkpointed once
+and read by all outcomes.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from remitlens.operators import hot_senders
 from remitlens.schemas import MONEY
 from remitlens.session import materialize, range_count
 
@@ -87,28 +91,55 @@ def _fold_rows(amt: np.ndarray, known: np.ndarray, bal: int, ok: np.ndarray) ->
     return bal
 
 
-def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Streaming fold over (from_id, created_at, transaction_id)-sorted rows.
+def _folded(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """Streaming fold over rows sorted by (from_id, _pid, created_at,
+    transaction_id): (batch, accepted, closing balances of the (from_id, _pid)
+    units that a batch leaves behind).
 
     Amounts and balances are integer cents (exact). State crosses Arrow batch
-    boundaries: only the current sender's balance is kept. A transfer to an
+    boundaries: only the current unit's balance is kept. A transfer to an
     unknown receiver is debited and refunded, so it never moves the balance.
     """
     cur, bal = None, 0
     for pdf in batches:
-        n = len(pdf)
-        ids = pdf["from_id"].to_numpy()
+        n, closed = len(pdf), []
+        ids, pids = pdf["from_id"].to_numpy(), pdf["_pid"].to_numpy()
         amt = pdf["amount_c"].to_numpy(dtype=np.int64)
         opening = pdf["opening_c"].to_numpy(dtype=np.int64)
         known = pdf["to_known"].to_numpy(dtype=bool)
         ok = np.zeros(n, dtype=bool)
         if n:
-            starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]).tolist() + [n]
+            starts = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (pids[1:] != pids[:-1])]).tolist() + [n]
             for s, e in zip(starts[:-1], starts[1:]):
-                if ids[s] != cur:
-                    cur, bal = ids[s], int(opening[s])
+                if (ids[s], pids[s]) != cur:
+                    if cur is not None:
+                        closed.append((*cur, bal))
+                    cur, bal = (ids[s], pids[s]), int(opening[s])
                 bal = _fold_rows(amt[s:e], known[s:e], bal, ok[s:e])
-        yield pdf[["transaction_id", "from_id", "to_id", "created_at", "to_known", "amount_c"]].assign(accepted=ok)
+        yield pdf, ok, closed
+    if cur is not None:
+        yield None, None, [(*cur, bal)]
+
+
+def _fold_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf, ok, _ in _folded(batches):
+        if pdf is not None:
+            yield pdf[["transaction_id", "from_id", "to_id", "created_at", "to_known", "amount_c"]].assign(accepted=ok)
+
+
+def _closing_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for _, _, closed in _folded(batches):
+        if closed:
+            yield pd.DataFrame(closed, columns=["from_id", "_pid", "closing"])
+
+
+def _in_order(rows: DataFrame) -> DataFrame:
+    return rows.repartition("from_id", "_pid").sortWithinPartitions("from_id", "_pid", "created_at", "transaction_id")
+
+
+def _closing(rows: DataFrame) -> DataFrame:
+    """(from_id, _pid, closing): the balance that each unit ends with."""
+    return _in_order(rows).mapInPandas(_closing_partition, "from_id bigint, _pid int, closing bigint")
 
 
 def settle_batch(transfers: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -118,28 +149,30 @@ def settle_batch(transfers: DataFrame, accounts: DataFrame) -> DataFrame:
         "transaction_id", "from_id", "to_id", "amount", "created_at")
     valid = F.coalesce(F.col("amount") > 0, F.lit(False))
     # What a sender's valid debits need at most; a hot sender collapses map-side.
-    need = pend.where(valid).groupBy("from_id").agg(F.sum("amount").alias("_need"))
+    need = pend.where(valid).groupBy("from_id").agg(F.sum("amount").alias("_need"), F.count(F.lit(1)).alias("_rows"))
     senders = (accounts.select(F.col("account_id").alias("from_id"), F.col("balance").alias("opening"))
                .join(need, "from_id")
-               .withColumn("_safe", F.col("opening") >= F.col("_need")).drop("_need"))
+               .withColumn("_safe", F.col("opening") >= F.col("_need"))
+               .withColumn("_hot", F.col("_rows") > hot_senders.HOT_ROWS).drop("_need", "_rows"))
     receivers = accounts.select(F.col("account_id").alias("to_id"), F.lit(True).alias("_known"))
     # Every outcome below reads ``flagged``: a reliable checkpoint in the shared
     # folder computes the joins once and keeps them after an executor loss.
     flagged = materialize(
         pend.withColumn("valid", valid).join(receivers, "to_id", "left").join(senders, "from_id", "left")
         .select("transaction_id", "from_id", "to_id", "amount", "created_at", "valid",
-                F.col("_known").isNotNull().alias("to_known"), "opening", "_safe"))
+                F.col("_known").isNotNull().alias("to_known"), "opening", "_safe", "_hot"))
 
     cols = ["transaction_id", "from_id", "to_id", "amount", "created_at", "valid", "to_known"]
     ordered = F.col("valid") & F.col("opening").isNotNull() & ~F.coalesce(F.col("_safe"), F.lit(False))
     plain = flagged.where(~ordered).select(*cols, (F.col("valid") & F.col("opening").isNotNull()).alias("accepted"))
-    tight = (flagged.where(ordered)
-             .select("transaction_id", "from_id", "to_id", "created_at", "to_known",
-                     (F.col("amount") * 100).cast("long").alias("amount_c"),
-                     (F.col("opening") * 100).cast("long").alias("opening_c"))
-             .repartition("from_id")
-             .sortWithinPartitions("from_id", "created_at", "transaction_id"))
-    folded = tight.mapInPandas(_fold_partition, FOLD_SCHEMA).select(
+    slim = ["transaction_id", "from_id", "to_id", "created_at", "to_known",
+            (F.col("amount") * 100).cast("long").alias("amount_c"), (F.col("opening") * 100).cast("long").alias("opening_c")]
+    tight = flagged.where(ordered & ~F.col("_hot")).select(*slim, F.lit(0).alias("_pid"))
+    hot = flagged.where(ordered & F.col("_hot")).select(*slim)
+    if not hot.isEmpty():
+        hot = hot_senders.in_segments(hot, hot_senders.SEGMENT_ROWS)
+        tight = tight.unionByName(hot_senders.with_opening(hot, hot_senders.opening_balances(hot, _closing)))
+    folded = _in_order(tight).mapInPandas(_fold_partition, FOLD_SCHEMA).select(
         "transaction_id", "from_id", "to_id",
         (F.col("amount_c").cast(T.DecimalType(18, 0)) * F.lit(0.01).cast(MONEY)).cast(MONEY).alias("amount"),
         "created_at", F.lit(True).alias("valid"), "to_known", "accepted")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from remitlens.functions import scalars as S
+from remitlens.session import materialize
 
 # ---------------------------------------------------------------------------
 # Fixed values of the validation rules.
@@ -158,30 +159,66 @@ def recent_receivers(saved: DataFrame, accounts: DataFrame, k: int = MAX_SAVED_R
 
 def dup_contacts(batch: DataFrame, users: DataFrame, keys=("email", "phone", "identity_card"),
                  seq: str = "seq") -> DataFrame:
-    """Registration rows rejected for a duplicate contact: the key exists among
-    users, or an earlier row of the same batch (first one wins) has it.
-
-    Per key, the users' values and the batch's values go through ONE aggregate
-    by value — whether any user has it, and the batch's first ``seq`` —
-    partially aggregated before the shuffle (a hot value collapses map-side),
-    then one left join back: no per-key sort and one join per key.
+    """Registration rows rejected for a duplicate contact, with their violations:
+    a user has the value (``<key>_exists``), or an earlier row of the batch that
+    was accepted has it (``<key>_duplicate_in_batch``). A rejected row is not
+    stored, so it claims no value. ``seq`` is the order and must be unique; null
+    values are no duplicates.
+
+    Rows that a user's value rejects go first. Then rounds to a fixed point: a
+    row that comes first among the undecided rows for each of its values is
+    accepted, and all other undecided holders of these values are rejected. What
+    is left depends on decided rows only and goes into the next round. A round
+    is one aggregate by value (a value that a third of the rows share collapses
+    before the shuffle, and is decided in its first round) and one join back.
     """
-    flags = []
-    out = batch
-    seq_type = batch.schema[seq].dataType
-    for k in keys:
-        known = users.select(F.col(k).alias("_v"), F.lit(True).alias("_u"), F.lit(None).cast(seq_type).alias("_s"))
-        mine = batch.select(F.col(k).alias("_v"), F.lit(False).alias("_u"), F.col(seq).alias("_s"))
-        per_value = (known.unionByName(mine).where(F.col("_v").isNotNull()).groupBy("_v")
-                     .agg(F.max("_u").alias(f"_exists_{k}"), F.min("_s").alias(f"_first_{k}")))
-        out = out.join(per_value, out[k] == per_value["_v"], "left").drop("_v")
-        flags.append(F.when(F.col(f"_exists_{k}"), F.lit(f"{k}_exists"))
-                     .when(F.col(f"_first_{k}") < F.col(seq), F.lit(f"{k}_duplicate_in_batch")))
-    drop = [c for c in out.columns if c.startswith("_exists_") or c.startswith("_first_")]
-    any_flag = flags[0].isNotNull()
-    for f in flags[1:]:
-        any_flag = any_flag | f.isNotNull()
-    return out.where(any_flag).withColumn("violations", _present(flags)).drop(*drop)
+    values = F.explode(F.array_compact(F.array(*[
+        F.when(F.col(k).isNotNull(), F.struct(F.lit(i).alias("key"), F.col(k).cast("string").alias("value")))
+        for i, k in enumerate(keys)])))
+
+    def held(rows: DataFrame, *cols: str) -> DataFrame:
+        return rows.select(*cols, values.alias("_h")).select(*cols, "_h.key", "_h.value")
+
+    holders = held(batch, seq)
+    taken = held(users).distinct()
+    exists = materialize(holders.join(taken, ["key", "value"], "left_semi"))
+    claims = [holders.sparkSession.createDataFrame([], holders.schema)]
+    free = batch.select(seq).join(exists.select(seq), seq, "left_anti")
+    open_ = materialize(holders.join(free, seq, "left_semi"))
+    while not open_.isEmpty():
+        first = open_.groupBy("key", "value").agg(F.min(seq).alias("_first"))
+        turn = materialize(open_.join(first, ["key", "value"]))
+        accepted = turn.groupBy(seq).agg(F.min((F.col(seq) == F.col("_first")).cast("int")).alias("_all")).where("_all = 1")
+        claimed = materialize(open_.join(accepted.select(seq), seq, "left_semi"))
+        claims.append(claimed)
+        gone = open_.join(claimed.select("key", "value"), ["key", "value"], "left_semi").select(seq).distinct()
+        open_ = materialize(open_.join(gone, seq, "left_anti"))
+    claimed = claims[0]
+    for more in claims[1:]:
+        claimed = claimed.unionByName(more)
+    late = holders.join(claimed.withColumnRenamed(seq, "_by"), ["key", "value"]).where(F.col("_by") < F.col(seq))
+    # "exists" wins over "duplicate in batch" for the same key, as a user's value is looked up first
+    flags = exists.select(seq, "key", F.lit(True).alias("_user")).unionByName(
+        late.select(seq, "key", F.lit(False).alias("_user"))).groupBy(seq).agg(*[
+            F.max(F.when(F.col("key") == i, F.col("_user"))).alias(f"_flag_{i}") for i in range(len(keys))])
+    names = [F.when(F.col(f"_flag_{i}"), F.lit(f"{k}_exists")).when(~F.col(f"_flag_{i}"), F.lit(f"{k}_duplicate_in_batch"))
+             for i, k in enumerate(keys)]
+    return batch.join(flags.select(seq, _present(names).alias("violations")), seq)
+
+
+def profile_conflicts(updates: DataFrame, users: DataFrame, keys=("email", "phone", "identity_card"),
+                      key: str = "user_id", seq: str = "seq") -> DataFrame:
+    """Profile updates rejected because another user has a contact, with their
+    violations. A value that equals the user's present one (both trimmed) is no
+    change and is not looked up. Updates are taken in the order of ``seq``: an
+    accepted one claims its new values against later ones, a rejected one claims
+    nothing, and a value given up is free from the next batch on."""
+    old = users.select(F.col(key), *[F.col(k).alias(f"_old_{k}") for k in keys])
+    new = updates.join(old, key, "left")
+    changed = [F.when(F.trim(F.col(k)).eqNullSafe(F.trim(F.col(f"_old_{k}"))), F.lit(None)).otherwise(F.col(k)).alias(k)
+               for k in keys]
+    found = dup_contacts(new.select(seq, *changed), users, keys, seq)
+    return updates.join(found.select(seq, "violations"), seq)
 
 
 def row_quality(rows: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from remitlens.operators import density, facts
 from remitlens.plans.model_frames import Frames
 from remitlens.plans.registry import register
 from remitlens.session import scratch_path
-from remitlens.sources import fact_store, shards, sinks
+from remitlens.sources import fact_store, fact_table, shards, sinks
 from remitlens.streaming import events, pipeline
 
 SLICE = dict(province="CanTho", district="Building", year=2024, quarter="Q1")
@@ -67,10 +67,14 @@ def q_scan_quarter_glob(spark, sf_dir):
     return _fact_out(fact_store.scan_quarter_glob(_parquet_store(spark, sf_dir), 2024, "Q1"))
 
 
+def _table(spark, sf_dir):
+    return fact_table.create(Frames(spark, sf_dir).fact, fact_table.fresh_name(spark, "fact"))
+
+
 @register("list_partitions", """
 SELECT DISTINCT province, district, CAST(year AS BIGINT) AS year, quarter FROM fact""")
 def q_list_partitions(spark, sf_dir):
-    p = fact_store.list_partitions(_parquet_store(spark, sf_dir))
+    p = fact_table.list_partitions(spark, _table(spark, sf_dir))
     return p.select("province", "district", F.col("year").cast("bigint").alias("year"), "quarter")
 
 
@@ -78,16 +82,25 @@ def q_list_partitions(spark, sf_dir):
 SELECT count(*) > 0 AS "exists" FROM fact
 WHERE province = 'CanTho' AND district = 'Building' AND year = 2024 AND quarter = 'Q1'""")
 def q_partition_exists(spark, sf_dir):
-    return fact_store.partition_exists(_parquet_store(spark, sf_dir), **SLICE)
+    return fact_table.partition_exists(spark, _table(spark, sf_dir), **SLICE)
 
 
-@register("replace_partitions", _FACT_OUT + " FROM fact WHERE province <> 'CanTho' OR status = 'SUCCESS'")
+@register("replace_partitions", _FACT_OUT + " FROM fact WHERE province <> 'CanTho' OR (status = 'SUCCESS' AND district <> 'Building')")
 def q_replace_partitions(spark, sf_dir):
-    path = _store(spark, sf_dir)
-    fact = Frames(spark, sf_dir).fact
-    fact_store.replace_partitions(fact.where((F.col("province") == "CanTho") & (F.col("status") == "SUCCESS")),
-                                  path)
-    return _fact_out(fact_store.read_fact_parquet(spark, path))
+    """One province rewritten with its settled rows of all districts but one,
+    whose slices are cleared; other provinces stay."""
+    name = _table(spark, sf_dir)
+    mine = Frames(spark, sf_dir).fact.where(F.col("province") == "CanTho")
+    fact_table.replace_partitions(mine.where("status = 'SUCCESS' AND district <> 'Building'"), name, gone=mine)
+    return _fact_out(spark.table(name))
+
+
+@register("delete_partition", _FACT_OUT + """ FROM fact
+WHERE NOT (province = 'CanTho' AND district = 'Building' AND year = 2024 AND quarter = 'Q1')""")
+def q_delete_partition(spark, sf_dir):
+    name = _table(spark, sf_dir)
+    fact_table.delete_partition(spark, name, **SLICE)
+    return _fact_out(spark.table(name))
 
 
 @register("result_text_parse", """
@@ -196,11 +209,12 @@ def _results(spark, sf_dir):
     return events.result_events(Frames(spark, sf_dir).geo)
 
 
-def _streamed(spark, sf_dir, rows, name):
-    """Result events as files, read as a stream into a checkpointed Parquet sink."""
+def _streamed(spark, sf_dir, rows, name, copies=1):
+    """Result events as files (each ``copies`` times), read as a stream into a checkpointed Parquet sink."""
     source, sink = scratch_path(spark, f"{name}-events"), scratch_path(spark, f"{name}-sink")
     results = _results(spark, sf_dir)
-    results.write.parquet(source)
+    for _ in range(copies):
+        results.write.mode("append").parquet(source)
     stream = rows(spark.readStream.schema(results.schema).parquet(source))
     pipeline.stream_to_table(stream, sink, scratch_path(spark, f"{name}-ckpt"))
     return spark.read.schema(stream.schema).parquet(sink)
@@ -259,7 +273,9 @@ _NOTIF = _RESULTS + """
 @register("stream_notifications", _NOTIF + """
 SELECT transaction_id, user_id, type, message, created_at, false AS is_read FROM notif""")
 def q_stream_notifications(spark, sf_dir):
-    return _streamed(spark, sf_dir, events.notification_rows, "notifications")
+    """Every result event comes twice; it gives its notifications once."""
+    return _streamed(spark, sf_dir, lambda r: events.notification_rows(pipeline.stream_results_once(r)),
+                     "notifications", copies=2)
 
 
 @register("notification_query", _NOTIF + """

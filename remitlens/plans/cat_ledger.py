@@ -245,42 +245,84 @@ def q_recent_receivers(spark, sf_dir):
     return lookups.recent_receivers(saved, fr.accounts)
 
 
-# Registration rows derived from customers (a batch) and suppliers (users that
-# already exist); phones collide between and within them.
+# Registration rows derived from customers (a batch) and suppliers (users that exist already). Contacts are shared inside
+# the batch and with the users, also by rows that are rejected for another contact; every field is bad in some rows.
 _REG = """
 , reg AS (
-  SELECT c_custkey AS seq, c_name AS full_name, lower(replace(c_name, '#', '.')) || '@mail.vn' AS email,
-         '0' || lpad(CAST((c_custkey * 7919) % 1000000000 AS VARCHAR), 9, '0') AS phone,
-         lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS identity_card,
-         CAST(100000000000 + c_custkey AS VARCHAR) AS account_number, n_name AS province, c_mktsegment AS district
+  SELECT c_custkey AS seq, CASE WHEN c_custkey % 29 = 0 THEN ' ' ELSE c_name END AS full_name,
+         CASE WHEN c_custkey % 31 = 0 THEN c_custkey || '-no-mail'
+              WHEN c_custkey % 25 = 7 THEN 'supplier.' || lpad(CAST(c_custkey // 25 AS VARCHAR), 9, '0') || '@mail.vn'
+              ELSE 'customer.' || CAST(c_custkey - CASE WHEN c_custkey % 10 = 4 THEN 3 ELSE 0 END AS VARCHAR) || '@mail.vn'
+         END AS email,
+         CASE WHEN c_custkey % 17 = 3 THEN '1' || lpad(CAST(c_custkey AS VARCHAR), 9, '0')
+              WHEN c_custkey % 19 <> 8 THEN '09' || lpad(CAST(c_custkey // 3 AS VARCHAR), 8, '1') END AS phone,
+         CASE WHEN c_custkey % 23 = 0 THEN CAST(c_custkey AS VARCHAR)
+              ELSE lpad(CAST(c_custkey - CASE WHEN c_custkey % 9 = 5 THEN 2 ELSE 0 END AS VARCHAR), 12, '0') END AS identity_card,
+         CASE WHEN c_custkey % 43 = 0 THEN '12ab' ELSE CAST(100000000000 + c_custkey AS VARCHAR) END AS account_number,
+         CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE n_name END AS province,
+         CASE WHEN c_custkey % 41 = 0 THEN '' ELSE c_mktsegment END AS district
   FROM customer JOIN nation ON c_nationkey = n_nationkey),
 old AS (
-  SELECT lower(replace(s_name, '#', '.')) || '@mail.vn' AS email,
-         '0' || lpad(CAST((s_suppkey * 104729) % 1000000000 AS VARCHAR), 9, '0') AS phone,
-         lpad(CAST(s_suppkey * 3 AS VARCHAR), 12, '0') AS identity_card
+  SELECT s_suppkey AS user_id, 'supplier.' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') || '@mail.vn' AS email,
+         '09' || lpad(CAST(s_suppkey * 5 AS VARCHAR), 8, '1') AS phone,
+         lpad(CAST(s_suppkey * 7 AS VARCHAR), 12, '0') AS identity_card
   FROM supplier)
 """
 
 
 def _registrations(fr):
     c, n = fr.table("customer"), fr.table("nation")
+    key = F.col("c_custkey")
+
+    def digits(value, width, fill="0"):
+        return F.lpad(value.cast("string"), width, fill)
+
+    def less(every, rest, by):
+        return key - F.when(key % every == rest, by).otherwise(0)
+
+    third, part = F.floor(key / 3), F.floor(key / 25)
     return c.join(n, c.c_nationkey == n.n_nationkey).select(
-        F.col("c_custkey").alias("seq"), F.col("c_name").alias("full_name"),
-        F.concat(F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("."))), F.lit("@mail.vn")).alias("email"),
-        F.concat(F.lit("0"), F.lpad(((F.col("c_custkey") * 7919) % 1000000000).cast("string"), 9, "0"))
-        .alias("phone"),
-        F.lpad(F.col("c_custkey").cast("string"), 12, "0").alias("identity_card"),
-        (F.lit(100000000000) + F.col("c_custkey")).cast("string").alias("account_number"),
-        F.col("n_name").alias("province"), F.col("c_mktsegment").alias("district"))
+        key.alias("seq"), F.when(key % 29 == 0, F.lit(" ")).otherwise(F.col("c_name")).alias("full_name"),
+        F.when(key % 31 == 0, F.concat(key.cast("string"), F.lit("-no-mail")))
+        .when(key % 25 == 7, F.concat(F.lit("supplier."), digits(part, 9), F.lit("@mail.vn")))
+        .otherwise(F.concat(F.lit("customer."), less(10, 4, 3).cast("string"), F.lit("@mail.vn"))).alias("email"),
+        F.when(key % 17 == 3, F.concat(F.lit("1"), digits(key, 9)))
+        .when(key % 19 != 8, F.concat(F.lit("09"), digits(third, 8, "1"))).alias("phone"),
+        F.when(key % 23 == 0, key.cast("string")).otherwise(digits(less(9, 5, 2), 12)).alias("identity_card"),
+        F.when(key % 43 == 0, F.lit("12ab")).otherwise((F.lit(100000000000) + key).cast("string")).alias("account_number"),
+        F.when(key % 37 != 0, F.col("n_name")).alias("province"),
+        F.when(key % 41 == 0, F.lit("")).otherwise(F.col("c_mktsegment")).alias("district"))
 
 
 def _existing(fr):
-    s = fr.table("supplier")
-    return s.select(
-        F.concat(F.lower(F.replace(F.col("s_name"), F.lit("#"), F.lit("."))), F.lit("@mail.vn")).alias("email"),
-        F.concat(F.lit("0"), F.lpad(((F.col("s_suppkey") * 104729) % 1000000000).cast("string"), 9, "0"))
-        .alias("phone"),
-        F.lpad((F.col("s_suppkey") * 3).cast("string"), 12, "0").alias("identity_card"))
+    key = F.col("s_suppkey")
+    return fr.table("supplier").select(
+        key.alias("user_id"), F.concat(F.lit("supplier."), F.lpad(key.cast("string"), 9, "0"), F.lit("@mail.vn")).alias("email"),
+        F.concat(F.lit("09"), F.lpad((key * 5).cast("string"), 8, "1")).alias("phone"),
+        F.lpad((key * 7).cast("string"), 12, "0").alias("identity_card"))
+
+
+# Rows of ``asked`` (seq and three contacts) taken one after the other; an accepted row's contacts join the lists.
+_IN_TURN = """
+, turn AS (SELECT *, row_number() OVER (ORDER BY seq) AS rn FROM asked),
+walk AS (
+  SELECT CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS seq, CAST([] AS VARCHAR[]) AS violations,
+         CAST([] AS VARCHAR[]) AS es, CAST([] AS VARCHAR[]) AS ps, CAST([] AS VARCHAR[]) AS cs
+  UNION ALL
+  SELECT rn, seq, v, CASE WHEN len(v) = 0 THEN list_append(es, email) ELSE es END,
+         CASE WHEN len(v) = 0 THEN list_append(ps, phone) ELSE ps END,
+         CASE WHEN len(v) = 0 THEN list_append(cs, identity_card) ELSE cs END
+  FROM (
+    SELECT t.*, w.es, w.ps, w.cs, list_filter([
+        CASE WHEN t.email IN (SELECT email FROM old) THEN 'email_exists'
+             WHEN list_contains(w.es, t.email) THEN 'email_duplicate_in_batch' END,
+        CASE WHEN t.phone IN (SELECT phone FROM old) THEN 'phone_exists'
+             WHEN list_contains(w.ps, t.phone) THEN 'phone_duplicate_in_batch' END,
+        CASE WHEN t.identity_card IN (SELECT identity_card FROM old) THEN 'identity_card_exists'
+             WHEN list_contains(w.cs, t.identity_card) THEN 'identity_card_duplicate_in_batch' END],
+        lambda x: x IS NOT NULL) AS v
+    FROM walk w JOIN turn t ON t.rn = w.rn + 1))
+SELECT seq, violations FROM walk WHERE len(violations) > 0"""
 
 
 @register("row_quality", _REG + r"""
@@ -297,24 +339,39 @@ def q_row_quality(spark, sf_dir):
     return lookups.row_quality(_registrations(Frames(spark, sf_dir))).select("seq", "violations")
 
 
-@register("dup_contacts", _REG + """
-, flags AS (
-  SELECT r.seq,
-    CASE WHEN r.email IN (SELECT email FROM old) THEN 'email_exists'
-         WHEN r.seq > (SELECT min(seq) FROM reg x WHERE x.email = r.email) THEN 'email_duplicate_in_batch' END AS f1,
-    CASE WHEN r.phone IN (SELECT phone FROM old) THEN 'phone_exists'
-         WHEN r.seq > (SELECT min(seq) FROM reg x WHERE x.phone = r.phone) THEN 'phone_duplicate_in_batch' END AS f2,
-    CASE WHEN r.identity_card IN (SELECT identity_card FROM old) THEN 'identity_card_exists'
-         WHEN r.seq > (SELECT min(seq) FROM reg x WHERE x.identity_card = r.identity_card)
-           THEN 'identity_card_duplicate_in_batch' END AS f3
-  FROM reg r)
-SELECT seq, list_filter([f1, f2, f3], lambda x: x IS NOT NULL) AS violations FROM flags
-WHERE f1 IS NOT NULL OR f2 IS NOT NULL OR f3 IS NOT NULL""")
+@register("dup_contacts", recursive=True, oracle=_REG
+          + ", asked AS (SELECT seq, email, phone, identity_card FROM reg)" + _IN_TURN)
 def q_dup_contacts(spark, sf_dir):
     fr = Frames(spark, sf_dir)
     return lookups.dup_contacts(_registrations(fr), _existing(fr)).select("seq", "violations")
 
 
+@register("profile_conflicts", recursive=True, oracle=_REG + """
+, upd AS (  -- every registration row as an update of a supplier's profile; some keep a contact, with blanks around it
+  SELECT r.seq, o.email AS old_email, o.phone AS old_phone, o.identity_card AS old_card,
+         CASE WHEN r.seq % 4 = 0 THEN ' ' || o.email || ' ' ELSE r.email END AS email,
+         CASE WHEN r.seq % 4 = 1 THEN o.phone ELSE r.phone END AS phone,
+         CASE WHEN r.seq % 3 > 0 THEN o.identity_card ELSE r.identity_card END AS identity_card
+  FROM reg r JOIN old o ON o.user_id = (SELECT min(user_id) FROM old) + r.seq % (SELECT count(*) FROM old)),
+asked AS (
+  SELECT seq, CASE WHEN trim(email) IS DISTINCT FROM trim(old_email) THEN email END AS email,
+         CASE WHEN trim(phone) IS DISTINCT FROM trim(old_phone) THEN phone END AS phone,
+         CASE WHEN trim(identity_card) IS DISTINCT FROM trim(old_card) THEN identity_card END AS identity_card FROM upd)
+""" + _IN_TURN)
+def q_profile_conflicts(spark, sf_dir):
+    fr = Frames(spark, sf_dir)
+    old = _existing(fr)
+    least, n = old.agg(F.min("user_id").alias("x")).scalar(), old.agg(F.count(F.lit(1)).alias("n")).scalar()
+    mine = old.select("user_id", *[F.col(k).alias(f"own_{k}") for k in ("email", "phone", "identity_card")])
+    rows = _registrations(fr).withColumn("user_id", least + F.col("seq") % n).join(mine, "user_id")
+    updates = rows.select(
+        "seq", "user_id",
+        F.when(F.col("seq") % 4 == 0, F.concat(F.lit(" "), F.col("own_email"), F.lit(" "))).otherwise(F.col("email")).alias("email"),
+        F.when(F.col("seq") % 4 == 1, F.col("own_phone")).otherwise(F.col("phone")).alias("phone"),
+        F.when(F.col("seq") % 3 > 0, F.col("own_identity_card")).otherwise(F.col("identity_card")).alias("identity_card"))
+    return lookups.profile_conflicts(updates, old).select("seq", "violations")
+
+
 @register("check_constraints", """
 SELECT 'account_status' AS rule, CAST(account_id AS VARCHAR) AS key_value FROM accounts
 WHERE account_id % 11 = 0 OR account_id % 13 = 0

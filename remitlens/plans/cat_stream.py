@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from remitlens.operators import facts
 from remitlens.plans.cat_ledger import _SETTLE, settle_input
 from remitlens.plans.model_frames import Frames
 from remitlens.plans.registry import register
 from remitlens.session import scratch_path
-from remitlens.streaming import pipeline
+from remitlens.streaming import pipeline, settle
 from remitlens.streaming.events import event_to_fact
 
 _EVENTS_SQL = """
@@ -109,20 +110,43 @@ SELECT 'FAN_OUT', date_trunc('hour', created_at), district, owner_account_id,
 FROM fact WHERE direction = 'OUT'
 GROUP BY district, owner_account_id, date_trunc('hour', created_at) HAVING count(DISTINCT counterparty_account_id) >= 2""")
 def q_stream_velocity(spark, sf_dir):
-    """All three rules, each its own stream; thresholds sized for this data."""
-    from remitlens.operators import facts
-    path = _event_files(spark, sf_dir)
-    found = []
-    for kind in ("RAPID_FIRE", "LARGE_AMOUNT", "FAN_OUT"):
-        fact = facts.fact_geo_explode(event_to_fact(pipeline.transfer_source(spark, kind="files", path=path)))
-        alerts = pipeline.velocity_alerts(fact, large_threshold=50, large_min_per_hour=2, min_counterparties=2)
-        out = _run(spark, alerts[kind], mode="update")
-        found.append(pipeline.latest_rows(spark, out, ["kind", "window_start", "district", "owner_account_id"]))
-    r = found[0].unionByName(found[1]).unionByName(found[2])
+    """All three rules in one stream over events that come twice; thresholds sized
+    for this data. A last event of no account, days later, closes all windows."""
+    path = _event_files(spark, sf_dir, copies=2)
+    last = Frames(spark, sf_dir).etx.agg(F.max("created_at").alias("t")).select(
+        F.lit("heartbeat").alias("transactionId"),
+        F.to_utc_timestamp((F.col("t") + F.expr("INTERVAL 2 DAYS")).cast("timestamp"), "UTC").alias("timestamp"))
+    pipeline.write_event_files(last, path, mode="append")
+    fact = facts.fact_geo_explode(event_to_fact(pipeline.transfer_source(spark, kind="files", path=path)))
+    r = spark.read.parquet(_run(spark, pipeline.velocity_alerts(
+        fact, large_threshold=50, large_min_per_hour=2, min_counterparties=2)))
     return r.select("kind", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "district",
                     "owner_account_id", "n")
 
 
+@register("stream_quarantine", """
+, line AS (
+  SELECT CAST(transaction_id AS VARCHAR) AS id, transaction_id % 20 AS c FROM etx)
+SELECT CASE WHEN c < 4 THEN 'malformed' ELSE 'good' END AS kind,
+       CASE c WHEN 0 THEN '{"transactionId":"' || id || '","amount":' WHEN 1 THEN '{"transactionId":"' || id || '","amount":"n/a"}'
+              WHEN 2 THEN '{"eventId":"' || id || '","amount":1}' WHEN 3 THEN 'no event ' || id ELSE id END AS id_or_text
+FROM line""")
+def q_stream_quarantine(spark, sf_dir):
+    """Events as lines of text; one in five is cut off, of another type, without
+    an id, or no JSON at all."""
+    id_ = F.col("transaction_id").cast("string")
+    c, start = F.col("transaction_id") % 20, F.concat(F.lit('{"transactionId":"'), id_)
+    line = (F.when(c == 0, F.concat(start, F.lit('","amount":'))).when(c == 1, F.concat(start, F.lit('","amount":"n/a"}')))
+            .when(c == 2, F.concat(F.lit('{"eventId":"'), id_, F.lit('","amount":1}')))
+            .when(c == 3, F.concat(F.lit("no event "), id_))
+            .otherwise(F.concat(start, F.lit('","amount":'), F.col("amount").cast("string"), F.lit("}"))))
+    path, out = scratch_path(spark, "event-lines"), scratch_path(spark, "quarantine")
+    Frames(spark, sf_dir).etx.select(line.alias("value")).write.text(path)
+    events = pipeline.transfer_source(spark, kind="files", path=path, with_malformed=True)
+    pipeline.stream_quarantine(events, out, scratch_path(spark, "quarantine-ckpt")).awaitTermination()
+    return spark.read.parquet(out).select("kind", F.coalesce("malformed", "transactionId").alias("id_or_text"))
+
+
 @register("stream_settle", recursive=True, oracle=_SETTLE + """
 SELECT transaction_id, from_id, to_id, CAST(amount AS DOUBLE) AS amount, created_at, status, reason FROM settled""")
 def q_stream_settle(spark, sf_dir):
@@ -135,7 +159,7 @@ def q_stream_settle(spark, sf_dir):
     path, store = scratch_path(spark, "pending-events"), scratch_path(spark, "settle-store")
     pipeline.write_event_files(events.unionByName(events), path)
     src = pipeline.transfer_source(spark, kind="files", path=path)
-    pipeline.stream_settle(src, fr.accounts, store, scratch_path(spark, "settle-ckpt")).awaitTermination()
-    r = spark.read.schema(pipeline.DECISIONS + ", batch bigint").parquet(f"{store}/decisions")
+    settle.stream_settle(src, fr.accounts, store, scratch_path(spark, "settle-ckpt")).awaitTermination()
+    r = spark.read.schema(settle.DECISIONS + ", batch bigint").parquet(f"{store}/decisions")
     return r.select("transaction_id", "from_id", "to_id", F.col("amount").cast("double").alias("amount"),
                     "created_at", "status", "reason")

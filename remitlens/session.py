@@ -20,6 +20,10 @@ _BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming state on disk, looked up by key; its changes are what a checkpoint writes.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Checkpoint files (lineage cuts) are removed once their RDD is unreachable.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
@@ -69,6 +73,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/remitlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder on the file system that Spark reaches it by; False if there was none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialize(df):
     """Compute ``df`` once and cut its lineage: a reliable checkpoint in the
     shared checkpoint folder (survives executor loss; never localCheckpoint).

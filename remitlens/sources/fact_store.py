@@ -27,8 +27,7 @@ PARTITION_SCHEMA = T.StructType([
 ])
 
 
-
-def _partition_safe(fact: DataFrame) -> DataFrame:
+def partition_safe(fact: DataFrame) -> DataFrame:
     def fix(c):
         return F.when(F.col(c).isNull() | (F.trim(F.col(c)) == ""), F.lit("Unknown")).otherwise(F.col(c))
     return fact.withColumn("province", fix("province")).withColumn("district", fix("district"))
@@ -38,7 +37,7 @@ def write_fact_partitioned(fact: DataFrame, path: str, fmt: str = "parquet", mod
                            overwrite: str | None = None) -> None:
     """Append fact rows under their partition directory (new files, never
     overwriting existing ones); ``fmt='csv'`` writes the 13-column text layout."""
-    df = _partition_safe(fact)
+    df = partition_safe(fact)
     if fmt == "csv":
         df = df.select(fact_line(df).alias("value"), *PARTITION_COLUMNS)
     writer = (df.hint("rebalance", *PARTITION_COLUMNS)

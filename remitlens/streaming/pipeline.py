@@ -1,4 +1,4 @@
-"""Structured Streaming jobs: ingest, dedup, settlement, velocity alerts.
+"""Structured Streaming jobs: ingest, dedup, velocity alerts (settlement: ``settle``).
 
 The source is built in one place (``transfer_source``): Kafka in production
 (``startingOffsets=earliest``) or a JSON file folder for tests. How many
@@ -11,13 +11,13 @@ restarted query resumes exactly where it stopped (file sinks are exactly-once).
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from remitlens.functions import scalars as S
-from remitlens.operators import facts, ledger
-from remitlens.schemas import MONEY, PARTITION_COLUMNS, TRANSFER_EVENT_SCHEMA
+from remitlens.operators import facts
+from remitlens.schemas import PARTITION_COLUMNS, TRANSFER_EVENT_SCHEMA
 from remitlens.streaming.events import event_to_fact
 
 # Fixed values of the consumer configuration and the velocity rules.
@@ -27,8 +27,8 @@ LARGE_AMOUNT = 500_000_000
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def write_event_files(events: DataFrame, path: str) -> None:
-    events.write.option("timestampFormat", JSON_TS_FORMAT).json(path)
+def write_event_files(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    events.write.mode(mode).option("timestampFormat", JSON_TS_FORMAT).json(path)
 
 
 def transfer_events(geo: DataFrame) -> DataFrame:
@@ -49,12 +49,24 @@ def transfer_events(geo: DataFrame) -> DataFrame:
         F.to_utc_timestamp(F.col("created_at").cast("timestamp"), "UTC").alias("timestamp"))
 
 
+def parsed_events(values: DataFrame) -> DataFrame:
+    """TransferEvent rows of a ``value`` column of JSON text, and ``malformed``:
+    the text itself where it can't be read as an event (no JSON, a field of
+    another type, no transaction id), null for a good event."""
+    schema = T.StructType(TRANSFER_EVENT_SCHEMA.fields + [T.StructField("_corrupt", T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "timestampFormat": JSON_TS_FORMAT}
+    event = values.select("value", F.from_json(S.json_unwrap(F.col("value")), schema, options).alias("e"))
+    bad = F.col("e").isNull() | F.col("e._corrupt").isNotNull() | F.col("e.transactionId").isNull()
+    return event.select("e.*", F.when(bad, F.coalesce("value", F.lit(""))).alias("malformed")).drop("_corrupt")
+
+
 def transfer_source(spark: SparkSession, kind: str = "kafka", path: str | None = None,
                     bootstrap: str | None = None, topic: str = TRANSFER_TOPIC,
                     max_files_per_trigger: int | None = None,
-                    max_offsets_per_trigger: int | None = None) -> DataFrame:
+                    max_offsets_per_trigger: int | None = None, with_malformed: bool = False) -> DataFrame:
     """Streaming DataFrame of TransferEvent rows; the two ``max_...`` bounds of a
-    micro-batch are unset by default."""
+    micro-batch are unset by default. Malformed events are left out, or kept with
+    their text in ``malformed`` (see ``stream_quarantine``)."""
     if kind == "kafka":
         raw = (spark.readStream.format("kafka")
                .option("kafka.bootstrap.servers", bootstrap)
@@ -62,23 +74,46 @@ def transfer_source(spark: SparkSession, kind: str = "kafka", path: str | None =
                .option("startingOffsets", "earliest"))
         if max_offsets_per_trigger:
             raw = raw.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-        raw = raw.load()
-        value = S.json_unwrap(F.col("value").cast("string"))
-        return raw.select(F.from_json(value, TRANSFER_EVENT_SCHEMA).alias("e")).select("e.*")
-    reader = spark.readStream.schema(TRANSFER_EVENT_SCHEMA).option("timestampFormat", JSON_TS_FORMAT)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
-
-
-def stream_dedup(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Idempotency by transaction id: duplicates arriving within the watermark
-    delay are dropped; state for an id expires once the watermark passes it."""
+        raw = raw.load().select(F.col("value").cast("string").alias("value"))
+    else:
+        reader = spark.readStream
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        raw = reader.text(path).where(F.trim("value") != "")
+    events = parsed_events(raw)
+    return events if with_malformed else events.where("malformed IS NULL").drop("malformed")
+
+
+def stream_quarantine(events: DataFrame, out_path: str, checkpoint: str, available_now: bool = True):
+    """Events of ``transfer_source(..., with_malformed=True)`` → one sink with the
+    good events under ``kind=good`` and the malformed ones, with their text, under
+    ``kind=malformed``. One pass over the source; each batch's files of both kinds
+    are committed together."""
+    kind = F.when(F.col("malformed").isNull(), F.lit("good")).otherwise(F.lit("malformed"))
+    w = (events.withColumn("kind", kind).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint).partitionBy("kind"))
+    return (w.trigger(availableNow=True) if available_now else w).start(out_path)
+
+
+def stream_dedup(events: DataFrame, delay: str | None = None) -> DataFrame:
+    """Idempotency by transaction id. Without ``delay`` an id is skipped for ever:
+    the ids are keyed state (RocksDB keeps recent ones in memory and older ones in
+    sorted files with Bloom filters, so a micro-batch looks up its own ids only).
+    With ``delay`` an id is forgotten once the watermark has passed it by so much,
+    which bounds the state, and a later repeat passes."""
+    if delay is None:
+        return events.dropDuplicates(["transactionId"])
     return events.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["transactionId"])
 
 
+def stream_results_once(results: DataFrame) -> DataFrame:
+    """Result events, each (transaction, status) once for ever, so that a repeated
+    event gives no second notification however late it comes."""
+    return results.dropDuplicates(["transactionId", "status"])
+
+
 def stream_fact_ingest(events: DataFrame, out_path: str, checkpoint: str, available_now: bool = False,
-                       trigger: str | None = None, delay: str = "10 minutes"):
+                       trigger: str | None = None, delay: str | None = None):
     """Transfer events → dedup → OUT/IN fact rows → append to the partitioned store.
 
     A repeated event is dropped before it is exploded (``stream_dedup``). Rows
@@ -99,93 +134,45 @@ def stream_fact_ingest(events: DataFrame, out_path: str, checkpoint: str, availa
 
 def velocity_alerts(fact: DataFrame, delay: str = "10 minutes", min_per_minute: int = 2,
                     large_threshold=LARGE_AMOUNT, large_min_per_hour: int = 3,
-                    min_counterparties: int = 5) -> dict[str, DataFrame]:
-    """Live velocity checks over OUT rows, one stream for each kind: 1-minute
-    windows of a (district, account) with ≥ ``min_per_minute`` transfers
-    (RAPID_FIRE), 1-hour windows with ≥ ``large_min_per_hour`` transfers of at
-    least ``large_threshold`` (LARGE_AMOUNT), and 1-hour windows with ≥
-    ``min_counterparties`` different counterparties (FAN_OUT, the exact set of
-    one account's hour)."""
-    out = (fact.where(F.col("direction") == "OUT")
-           .withColumn("event_ts", F.col("created_at").cast("timestamp"))
-           .withWatermark("event_ts", delay))
-
-    def alerts(kind, rows, width, measure, least):
-        return (rows.groupBy(F.window("event_ts", width), "district", "owner_account_id")
-                .agg(measure.cast("bigint").alias("n")).where(F.col("n") >= least)
-                .select(F.lit(kind).alias("kind"), F.col("window.start").alias("window_start"),
-                        "district", "owner_account_id", "n"))
-
-    return {
-        "RAPID_FIRE": alerts("RAPID_FIRE", out, "1 minute", F.count(F.lit(1)), min_per_minute),
-        "LARGE_AMOUNT": alerts("LARGE_AMOUNT", out.where(F.col("amount") >= F.lit(large_threshold)), "1 hour",
-                               F.count(F.lit(1)), large_min_per_hour),
-        "FAN_OUT": alerts("FAN_OUT", out, "1 hour", F.size(F.collect_set("counterparty_account_id")),
-                          min_counterparties),
-    }
-
-
-# ---------------------------------------------------------------- settlement
-
-def pending_transfers(events: DataFrame) -> DataFrame:
-    """PENDING transfer events in the columns of the batch settlement."""
-    return events.where(F.col("status") == "PENDING").select(
-        F.col("transactionId").cast("long").alias("transaction_id"),
-        F.col("fromAccountId").cast("long").alias("from_id"),
-        F.col("toAccountId").cast("long").alias("to_id"), "amount", "status",
-        F.to_timestamp_ntz(F.date_format(F.col("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("created_at"))
-
-
-def settle_micro_batch(pending: DataFrame, accounts: DataFrame, store: str, batch_id: int) -> None:
-    """Settle one micro-batch against the ledger in ``store`` and add its decisions.
-
-    A transfer that an earlier batch decided, or that this batch repeats, is
-    decided once. Balances are the accounts plus the net movements of earlier
-    batches, so credits are spendable from the next batch on. Decisions and net
-    movements go to this batch's own folders, written anew when the batch is
-    repeated after a failure, so a retry changes nothing.
+                    min_counterparties: int = 5) -> DataFrame:
+    """Live velocity checks over OUT rows, in one stream: (kind, window_start,
+    district, owner_account_id, n) of
+
+    - RAPID_FIRE: at least ``min_per_minute`` transfers of an account in a minute,
+    - LARGE_AMOUNT: at least ``large_min_per_hour`` transfers of
+      ``large_threshold`` or more in an hour,
+    - FAN_OUT: at least ``min_counterparties`` different counterparties in an hour.
+
+    Each row becomes one row a rule, tagged with its window. Two stateful steps
+    follow: a window keeps each transfer (FAN_OUT: each counterparty) once, as
+    rows of keyed state spread over all partitions and not as one set, and the
+    window is counted. An alert comes when its window is closed: the watermark
+    runs on the windows' ends, so it lies an hour (the longest window) and
+    ``delay`` behind the newest transfer. A repeated transfer counts once.
     """
-    spark = pending.sparkSession
-    decided, net = (_earlier(spark, f"{store}/{name}", schema, batch_id) for name, schema in
-                    (("decisions", DECISIONS), ("net", NET)))
-    new = pending.dropDuplicates(["transaction_id"]).join(decided.select("transaction_id"), "transaction_id", "left_anti")
-    balances = accounts.select("account_id", "balance").join(
-        net.groupBy("account_id").agg(F.sum("delta").alias("_net")), "account_id", "left").select(
-        "account_id", (F.col("balance") + F.coalesce("_net", F.lit(0))).cast("decimal(20,2)").alias("balance"))
-    path = f"{store}/decisions/batch={batch_id}"
-    ledger.settle_batch(new, balances).write.mode("overwrite").parquet(path)
-    settled = spark.read.schema(DECISIONS).parquet(path)
-    (ledger.ledger_movements(settled).groupBy("account_id").agg(F.sum("delta").cast("decimal(28,2)").alias("delta"))
-     .write.mode("overwrite").parquet(f"{store}/net/batch={batch_id}"))
-
-
-DECISIONS = (f"transaction_id bigint, from_id bigint, to_id bigint, amount {MONEY.simpleString()}, "
-             "created_at timestamp_ntz, status string, reason string")
-NET = "account_id bigint, delta decimal(28,2)"
-
-
-def _earlier(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
-    """Rows that batches before ``batch_id`` stored (partition pruning)."""
-    try:
-        rows = spark.read.schema(schema + ", batch bigint").parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-    return rows.where(F.col("batch") < batch_id).drop("batch")
-
-
-def stream_settle(events: DataFrame, accounts: DataFrame, store: str, checkpoint: str, available_now: bool = True):
-    """PENDING transfer events → SUCCESS / FAILED with the batch settlement's
-    rules, idempotent by transaction id: debits, credits to the receiver, refund
-    for an unknown receiver, FAILED for an unknown sender or a bad amount. The
-    decisions are the rows of ``store``/decisions; ``ledger.status_events`` makes
-    their status events, ``ledger.ledger_movements`` their ledger."""
-    def settle(batch: DataFrame, batch_id: int) -> None:
-        settle_micro_batch(batch, accounts, store, batch_id)
-
-    w = pending_transfers(events).writeStream.option("checkpointLocation", checkpoint).foreachBatch(settle)
-    return (w.trigger(availableNow=True) if available_now else w).start()
+    ts = F.col("created_at").cast("timestamp")
+    minute, hour = F.date_trunc("minute", ts), F.date_trunc("hour", ts)
+
+    def rule(kind, start, width, once):
+        return F.struct(F.lit(kind).alias("kind"), start.alias("window_start"),
+                        (start + F.expr(f"INTERVAL {width}")).alias("window_end"), once.cast("string").alias("once"))
+
+    transfer = F.col("transaction_id")
+    rules = F.array_compact(F.array(
+        rule("RAPID_FIRE", minute, "1 MINUTE", transfer),
+        F.when(F.col("amount") >= F.lit(large_threshold), rule("LARGE_AMOUNT", hour, "1 HOUR", transfer)),
+        rule("FAN_OUT", hour, "1 HOUR", F.col("counterparty_account_id"))))
+    key = ["kind", "window_start", "window_end", "district", "owner_account_id"]
+    least = (F.when(F.col("kind") == "RAPID_FIRE", min_per_minute).when(F.col("kind") == "LARGE_AMOUNT", large_min_per_hour)
+             .otherwise(min_counterparties))
+    return (fact.where(F.col("direction") == "OUT")
+            .select("district", "owner_account_id", F.explode(rules).alias("r"))
+            .select("district", "owner_account_id", "r.*")
+            .where((F.col("kind") != "FAN_OUT") | F.col("once").isNotNull())
+            .withWatermark("window_end", f"{delay} 1 hour")
+            .dropDuplicates([*key, "once"])
+            .groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") >= least).drop("window_end"))
 
 
 def stream_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:

@@ -34,3 +34,13 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["from_province", "to_province", "total"]
     assert 0 < df.count() <= 5
+
+
+def test_registration_inputs_reach_every_branch(spark):
+    def kinds(name):
+        rows = QUERIES[name](spark, "/root/testdata/sf0.01").selectExpr("explode(violations) AS v").distinct().collect()
+        return {r["v"] for r in rows}
+
+    contacts = {f"{k}_{how}" for k in ("email", "phone", "identity_card") for how in ("exists", "duplicate_in_batch")}
+    assert kinds("dup_contacts") == kinds("profile_conflicts") == contacts
+    assert kinds("row_quality") == {"account_number", "identity_card", "phone", "email", "full_name", "province", "district"}

@@ -102,34 +102,78 @@ def test_recipient_candidates_keep_the_exact_top_k(spark, rows, k):
     assert sorted(tuple(r) for r in recipients.top_recipients(cand, k).collect()) == full
 
 
+def _contacts_brute(batch, taken):
+    """Rows in turn; an accepted row's values are taken for all later ones."""
+    out, claimed = {}, [set(), set(), set()]
+    for seq, *values in sorted(batch):
+        names = [f"{k}_exists" if v in taken[i] else f"{k}_duplicate_in_batch"
+                 for i, (k, v) in enumerate(zip(("email", "phone", "identity_card"), values, strict=True))
+                 if v is not None and (v in taken[i] or v in claimed[i])]
+        if names:
+            out[seq] = names
+        else:
+            for i, v in enumerate(values):
+                claimed[i].add(v)
+    return out
+
+
+_VALUE = st.one_of(st.none(), st.sampled_from("abcdefgh"))
+_CONTACTS = "seq long, email string, phone string, identity_card string"
+
+
 @settings(**SETTINGS)
-@given(st.lists(st.tuples(st.integers(0, 14), st.sampled_from([1, 1, 2, 3, 7]), st.sampled_from([1, 2, 3, 99]),
-                          st.one_of(st.none(), st.integers(-500, 5000))), min_size=1, max_size=24), st.integers(1, 3))
-def test_stream_settlement_equals_batches(spark, tmp_path_factory, rows, size):
-    """Micro-batches with replayed ids: the same decisions as settling each
-    batch's new ids in turn against the ledger so far, also when one is repeated."""
-    from remitlens.streaming import pipeline
-    store = str(tmp_path_factory.mktemp("settle"))
-    balances = {1: D("50.00"), 2: D("9.00"), 3: D("0.00")}
-    accounts = spark.createDataFrame(list(balances.items()), "account_id long, balance decimal(18,2)")
-    want, step = {}, -(-len(rows) // size)
-    for b, lo in enumerate(range(0, len(rows), step)):
-        part = {}
-        for i, s, t, a in rows[lo:lo + step]:
-            part.setdefault(i, (i, s, t, None if a is None else D(a) / 100, T0 + dt.timedelta(minutes=i)))
-        # a repeated id inside a batch is the same event
-        batch = [part[i] for i, *_ in rows[lo:lo + step]]
-        frame = spark.createDataFrame([(i, s, t, a, "PENDING", ts) for i, s, t, a, ts in batch],
-                                      "transaction_id long, from_id long, to_id long, amount decimal(18,2), "
-                                      "status string, created_at timestamp_ntz")
-        for _ in range(1 + b % 2):  # a batch that is repeated after a failure changes nothing
-            pipeline.settle_micro_batch(frame, accounts, store, b)
-        new = [p for i, p in part.items() if i not in want]
-        told = _settle_brute([(i, s, t, a, ts) for i, s, t, a, ts in new], balances)
-        for i, s, t, a, _ in new:
-            if told[i][0] == "SUCCESS":
-                balances[s] -= a
-                balances[t] += a
-        want |= told
-    got = {r["transaction_id"]: (r["status"], r["reason"]) for r in spark.read.parquet(f"{store}/decisions").collect()}
-    assert got == want
+@given(st.lists(st.tuples(_VALUE, _VALUE, _VALUE), min_size=1, max_size=30), st.lists(st.tuples(_VALUE, _VALUE, _VALUE), max_size=3))
+def test_contacts_are_claimed_by_accepted_rows_only(spark, rows, users):
+    from remitlens.operators import lookups
+    batch = [(i, *r) for i, r in enumerate(rows)]
+    taken = [{u[i] for u in users if u[i] is not None} for i in range(3)]
+    got = lookups.dup_contacts(spark.createDataFrame(batch, _CONTACTS),
+                               spark.createDataFrame(users, "email string, phone string, identity_card string"))
+    assert {r["seq"]: r["violations"] for r in got.collect()} == _contacts_brute(batch, taken)
+
+
+def test_contacts_in_a_chain_and_on_one_value(spark):
+    from remitlens.operators import lookups
+    # each row shares its phone with the row before, so every second row is accepted; then one value for a third of all rows
+    chain = [(i, None, f"p{i // 2}", f"c{(i + 1) // 2}") for i in range(12)]
+    batch = chain + [(100 + i, "same", None, None) for i in range(6)]
+    got = lookups.dup_contacts(spark.createDataFrame(batch, _CONTACTS), spark.createDataFrame([], _CONTACTS)).collect()
+    assert {r["seq"]: r["violations"] for r in got} == _contacts_brute(batch, [set()] * 3)
+
+
+@settings(**SETTINGS | dict(max_examples=5))
+@given(st.lists(st.tuples(st.sampled_from([1, 1, 1, 1, 2, 3]), st.sampled_from([1, 2, 3, 99]),
+                          st.one_of(st.integers(1, 40), st.integers(1, 4000)), st.integers(0, 40)), min_size=20, max_size=120),
+       st.lists(st.integers(0, 9000), min_size=3, max_size=3), st.sampled_from([3, 7]))
+def test_hot_senders_by_segments_match_the_sequential_fold(spark, rows, opening, segment):
+    from remitlens.operators import hot_senders
+    balances = {k + 1: D(v) / 100 for k, v in enumerate(opening)}
+    pending = [(i, s, t, D(a) / 100, T0 + dt.timedelta(minutes=m)) for i, (s, t, a, m) in enumerate(rows)]
+    tdf = spark.createDataFrame([(i, s, t, a, "PENDING", ts) for i, s, t, a, ts in pending],
+                                "transaction_id long, from_id long, to_id long, amount decimal(18,2), "
+                                "status string, created_at timestamp_ntz")
+    adf = spark.createDataFrame(list(balances.items()), "account_id long, balance decimal(18,2)")
+    before = hot_senders.HOT_ROWS, hot_senders.SEGMENT_ROWS
+    hot_senders.HOT_ROWS, hot_senders.SEGMENT_ROWS = 8, segment
+    try:
+        got = {r["transaction_id"]: (r["status"], r["reason"]) for r in ledger.settle_batch(tdf, adf).collect()}
+    finally:
+        hot_senders.HOT_ROWS, hot_senders.SEGMENT_ROWS = before
+    assert got == _settle_brute(pending, balances)
+
+
+def test_a_hot_sender_is_cut_into_segments_folded_apart(spark):
+    from remitlens.operators import hot_senders
+    rows = spark.range(3000).selectExpr("id AS transaction_id", "1L AS from_id", "2L AS to_id",
+                                        "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id) AS created_at",
+                                        "true AS to_known", "id % 7 + IF(id % 500 = 3, 3000, 0) + 1 AS amount_c", "9000L AS opening_c")
+    cut = hot_senders.in_segments(rows, 250)
+    starts = {r["_pid"]: r["start"] for r in hot_senders.opening_balances(cut, ledger._closing).collect()}
+    assert len(starts) >= 8
+    plain = sorted(cut.collect(), key=lambda r: r["transaction_id"])
+    bal, seen = 9000, {}
+    for r in plain:
+        seen.setdefault(r["_pid"], bal)
+        if bal >= r["amount_c"]:
+            bal -= r["amount_c"]
+    assert starts == seen
