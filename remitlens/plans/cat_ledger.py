@@ -351,7 +351,7 @@ def q_dup_contacts(spark, sf_dir):
   SELECT r.seq, o.email AS old_email, o.phone AS old_phone, o.identity_card AS old_card,
          CASE WHEN r.seq % 4 = 0 THEN ' ' || o.email || ' ' ELSE r.email END AS email,
          CASE WHEN r.seq % 4 = 1 THEN o.phone ELSE r.phone END AS phone,
-         CASE WHEN r.seq % 3 > 0 THEN o.identity_card ELSE r.identity_card END AS identity_card
+         CASE WHEN r.seq % 4 = 2 THEN o.identity_card ELSE r.identity_card END AS identity_card
   FROM reg r JOIN old o ON o.user_id = (SELECT min(user_id) FROM old) + r.seq % (SELECT count(*) FROM old)),
 asked AS (
   SELECT seq, CASE WHEN trim(email) IS DISTINCT FROM trim(old_email) THEN email END AS email,
@@ -368,7 +368,7 @@ def q_profile_conflicts(spark, sf_dir):
         "seq", "user_id",
         F.when(F.col("seq") % 4 == 0, F.concat(F.lit(" "), F.col("own_email"), F.lit(" "))).otherwise(F.col("email")).alias("email"),
         F.when(F.col("seq") % 4 == 1, F.col("own_phone")).otherwise(F.col("phone")).alias("phone"),
-        F.when(F.col("seq") % 3 > 0, F.col("own_identity_card")).otherwise(F.col("identity_card")).alias("identity_card"))
+        F.when(F.col("seq") % 4 == 2, F.col("own_identity_card")).otherwise(F.col("identity_card")).alias("identity_card"))
     return lookups.profile_conflicts(updates, old).select("seq", "violations")
 
 
