@@ -122,14 +122,15 @@ class Bpe:
 
 
 class PieceCache:
-    """Hash of a piece -> its run of values, in sorted numpy arrays."""
+    """Hash of a piece -> its run of values, in sorted numpy arrays. A second
+    hash of each piece tells pieces of equal first hash apart."""
 
     def __init__(self, limit: int = CACHE_PIECES):
         self.limit = limit
         self.clear()
 
     def clear(self):
-        self.keys = np.zeros(0, np.uint64)
+        self.keys = self.checks = np.zeros(0, np.uint64)
         self.begin = self.size = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int32)
 
@@ -140,23 +141,29 @@ class PieceCache:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, at, -1)
 
-    def add(self, keys: np.ndarray, sizes: np.ndarray, values: np.ndarray):
+    def add(self, keys: np.ndarray, checks: np.ndarray, sizes: np.ndarray, values: np.ndarray):
         """Add sorted new keys with their runs."""
         at = np.searchsorted(self.keys, keys)
         self.begin = np.insert(self.begin, at, len(self.flat) + np.cumsum(sizes) - sizes)
         self.keys, self.size = np.insert(self.keys, at, keys), np.insert(self.size, at, sizes)
+        self.checks = np.insert(self.checks, at, checks)
         self.flat = np.concatenate([self.flat, values.astype(np.int32)])
 
-    def runs(self, key: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
+    def runs(self, key: np.ndarray, check: np.ndarray, make) -> tuple[np.ndarray, np.ndarray]:
         """(values of all pieces in order, number of values of each) by the
-        pieces' hashes; ``make(places)`` gives (sizes, values) of new ones."""
+        pieces' two hashes; ``make(places)`` gives (sizes, values) of new ones."""
         unique, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        if (check[first][inverse] != check).any():  # different pieces of one hash: none is looked up by it
+            return make(np.arange(len(key)))[::-1]
+        at = self.find(unique)
+        if (self.checks[at[at >= 0]] != check[first[at >= 0]]).any():  # the cache holds another piece of this hash
+            self.clear()
         missing = self.find(unique) < 0
         if missing.any():
             if len(self.keys) + int(missing.sum()) > self.limit:
                 self.clear()
                 missing[:] = True
-            self.add(unique[missing], *make(first[missing]))
+            self.add(unique[missing], check[first[missing]], *make(first[missing]))
         at = self.find(unique)[inverse]
         sizes = self.size[at]
         before = np.cumsum(sizes) - sizes
@@ -198,7 +205,7 @@ class WordCodec:
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, row ends with a leading 0) of a string column."""
-        words = Words(column)
+        words = Words(column, check=True)
 
         def make(places):
             pieces = words.joined(places, b"\n")
@@ -207,7 +214,7 @@ class WordCodec:
             runs = [self._special(piece) for piece in pieces[:-1].split(b"\n")]
             return np.array([len(r) for r in runs], np.int64), np.array([i for r in runs for i in r], np.int64)
 
-        ids, sizes = self.cache.runs(words.hash, make)
+        ids, sizes = self.cache.runs(words.hash, words.check, make)
         return ids, np.concatenate([[0], np.cumsum(sizes)])[words.rows]
 
 

@@ -67,7 +67,7 @@ class WholeTokens:
 
     def count(self, column: pa.Array) -> np.ndarray:
         """Number of tokens of each row of a string column."""
-        words = Words(column)
+        words = Words(column, check=True)
         flat, ends = words.flat, words.ends
         out = np.zeros(len(ends) - 1, dtype=np.int64)
         row = words.row_of()
@@ -87,7 +87,8 @@ class WholeTokens:
                 count = self.pre_token_counts([t for t in tokens if t != "\n"])
                 return np.ones(len(places), np.int64), np.bincount(piece, weights=count, minlength=len(places))
 
-            count, _ = self.cache.runs(np.where(led, words.hash * _WITH_SPACE, words.hash), make)
+            count, _ = self.cache.runs(np.where(led, words.hash * _WITH_SPACE, words.hash),
+                                       np.where(led, ~words.check, words.check), make)
             out = np.add.reduceat(np.append(count, 0).astype(np.int64), np.minimum(words.rows[:-1], len(count)))
             out[words.rows[:-1] == words.rows[1:]] = 0
         else:

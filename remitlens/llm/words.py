@@ -3,7 +3,10 @@
 A word is a maximal run of bytes other than space and ``\\x09``-``\\x0D``. All
 functions work on the flat UTF-8 buffer of a slice of rows, so no Python
 object per word is made. Hashes are 64 bits and depend on the bytes alone
-(the same in every process).
+(the same in every process). A word's hash sums mixed products of its bytes and
+their places; the mixing keeps sums of one kind from cancelling out, as they do
+in polynomials modulo 2^64. ``check`` is a second, independent hash of each word
+by which caches tell words of equal hash apart.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 _M1, _M2 = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
-_BASE = U64(0x9E3779B97F4A7C15)
+_BASE, _CHECK = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
 _SPACES = (9, 10, 11, 12, 13, 32)
 
 
@@ -80,8 +83,8 @@ class Words:
     begins, and the total)."""
 
     def __init__(self, column: pa.Array, fold_case: bool = False, letters_only: bool = False,
-                 prefixes: tuple[int, ...] = ()):
-        """``letters_only``: words are runs of letters and non-ASCII bytes.
+                 prefixes: tuple[int, ...] = (), check: bool = False):
+        """``check``: also the second hash of each word. ``letters_only``: words are runs of letters and non-ASCII bytes.
         ``prefixes``: also hash the first so many bytes of each word (``prefix_hash``)."""
         self.flat, ends = buffers(column)
         self.ends = ends
@@ -104,13 +107,23 @@ class Words:
             place[self.begin[0]:] -= np.repeat(self.begin.astype(np.int32), np.diff(np.append(self.begin, len(self.flat))))
             np.minimum(place, longest - 1, out=place)
             values *= _powers(longest)[place]
+            if check:
+                second = values + _CHECK  # before the first hash's mixing: the two share no mixed value
+                second ^= second >> U64(29)
+                second *= _M2
+                second ^= second >> U64(31)
+                second[space] = 0
+                self.check = mix(np.add.reduceat(second, self.begin) ^ sizes.astype(U64))
+            values ^= values >> U64(32)
+            values *= _M1
+            values ^= values >> U64(32)
             if letters_only:
                 values[space] = 0
             self.hash = mix(np.add.reduceat(values, self.begin) + sizes.astype(U64))
             self.prefix_hash = [mix(np.add.reduceat(np.where(place < p, values, U64(0)), self.begin) + U64(1000 + p))
                                 for p in prefixes]
         else:
-            self.hash = np.zeros(0, dtype=U64)
+            self.hash = self.check = np.zeros(0, dtype=U64)
             self.prefix_hash = [self.hash for _ in prefixes]
 
     @staticmethod
