@@ -20,34 +20,45 @@ from remitlens.llm.bpe import id_pieces
 from remitlens.session import materialize
 
 GROUP_PIECES = 32_768
+GAP_CLASSES = 256  # gaps of one token each are nearly all held once or not at all, so their squares tell little
 
 
-def sum_of_squares(lengths: np.ndarray, size: int, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sequence of each piece, gap of each sequence), taking the pieces in ``order``."""
-    count = np.zeros(size + 1, dtype=np.int64)
+def sum_of_squares(lengths: np.ndarray, size: int, order: np.ndarray, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(sequence of each piece, gap of each sequence), taking the pieces in
+    ``order``. Open sequences are counted by gap in classes of ``width`` tokens;
+    among moves between the same classes the tightest gap is taken."""
+    gap_class = np.arange(size + 1) // width
+    count = np.zeros(int(gap_class[-1]) + 1, dtype=np.int64)
+    held = np.zeros(size + 1, dtype=bool)
     open_: list[list[int]] = [[] for _ in range(size + 1)]
     gap: list[int] = []
     out = np.empty(len(lengths), dtype=np.int64)
     never = np.int64(1) << 60
+
+    def opened(g: int, b: int):
+        count[gap_class[g]] += 1
+        held[g] = True
+        open_[g].append(b)
+
     for i in order.tolist():
         s = int(lengths[i])
-        new = 2 * count[size - s] + 1 if s < size else 0
         if s < size:
-            # from gap g to g - s: the squares of both counts change; a filled sequence is no longer open
-            change = 2 * (count[:size - s] - count[s:size]) + 2
-            change[0] = 1 - 2 * count[s]
-            change[count[s:size] == 0] = never
+            # from gap g to g - s: the squares of both classes' counts change; a filled sequence is no longer open
+            of, to = gap_class[s:size], gap_class[:size - s]
+            change = np.where(of == to, 0, 2 * (count[to] - count[of]) + 2)
+            change[0] = 1 - 2 * count[of[0]]
+            change[~held[s:size]] = never
             left = int(change.argmin())
-            if change[left] <= new:
-                out[i] = b = open_[s + left].pop()
-                count[s + left] -= 1
+            if change[left] <= 2 * count[gap_class[size - s]] + 1:
+                g = s + left
+                out[i] = b = open_[g].pop()
+                count[gap_class[g]] -= 1
+                held[g] = bool(open_[g])
                 gap[b] = left
                 if left:
-                    count[left] += 1
-                    open_[left].append(b)
+                    opened(left, b)
                 continue
-            count[size - s] += 1
-            open_[size - s].append(len(gap))
+            opened(size - s, len(gap))
         out[i] = len(gap)
         gap.append(size - s)
     return out, np.array(gap, dtype=np.int64)
@@ -76,7 +87,7 @@ def tightest_gap(lengths: np.ndarray, size: int, order: np.ndarray) -> np.ndarra
 def pack(lengths: np.ndarray, size: int) -> np.ndarray:
     """The sequence (0, 1, ...) of each piece of 1 to ``size`` tokens."""
     order = np.argsort(-lengths, kind="stable")
-    out, gap = sum_of_squares(lengths, size, order)
+    out, gap = sum_of_squares(lengths, size, order, max(1, size // GAP_CLASSES))
     loose = gap[out] > 0
     if loose.any():
         again = tightest_gap(lengths, size, order_of := np.flatnonzero(loose)[np.argsort(-lengths[loose], kind="stable")])
