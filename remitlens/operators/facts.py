@@ -27,12 +27,19 @@ def export_join(transfers: DataFrame, users: DataFrame) -> DataFrame:
     return transfers.join(s, "from_id").join(r, "to_id")
 
 
+def normalized_places(users: DataFrame) -> DataFrame:
+    """``users`` with province and district normalised: once per user instead of
+    on both rows of every transfer (``fact_geo_explode(..., normalize_locations=False)``)."""
+    return users.withColumns({c: S.normalize_location(F.col(c)) for c in ("province", "district")})
+
+
 def fact_geo_explode(geo: DataFrame, normalize_locations: bool = True) -> DataFrame:
     """One transfer → an OUT row at the sender's location and an IN row at the receiver's.
 
     Single scan + ``explode`` of a two-element array (no self-union). Adds the
     partition values year, quarter ('Qn') and month ('yyyy-MM'). Provinces and
-    districts are normalised ('Hà Nội' → 'HaNoi') unless asked otherwise.
+    districts are normalised ('Hà Nội' → 'HaNoi') unless the users' were before
+    the join (``normalized_places``).
     """
     out_row = F.struct(
         F.col("from_user_id").alias("owner_user_id"), F.col("from_account").alias("owner_account_id"),

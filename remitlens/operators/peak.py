@@ -117,29 +117,25 @@ def top_users_peak(spark: SparkSession, fact: DataFrame, month: str, users: Data
     """Top ``k`` users in the peak hour and in the peak day (count desc, amount
     desc, user id asc), with the user's name or a fallback label.
 
-    The peak hour and day come from the hour and day totals (≤ 24 + 31 rows,
-    stored once); users are then counted only inside them, in one scan, and the
-    top-k is a TakeOrderedAndProject per kind. Names are attached after the
-    limit, so the user-dimension join touches at most 2·k rows.
+    One pass over the transfers: they collapse to (hour, day, account) sums,
+    which are stored once. The totals of the hours and days, the peaks, and the
+    users inside the peaks all come from these sums. The top-k is a
+    TakeOrderedAndProject per kind; names are attached after the limit, so the
+    user-dimension join touches at most 2·k rows.
     """
-    totals = materialize(peak_totals(fact, month, ("HOUR_TOTAL", "DAY_TOTAL")))
-    peak_of = lambda level, key: _peak_key(totals, level, key).select("p.k").scalar()
-    inside = F.array(*[F.when(F.col(key) == peak_of(level, key), F.struct(F.lit(kind).alias("kind"), F.col(key).alias("key")))
-                       for kind, level, key in (("HOUR", "HOUR_TOTAL", "hour"), ("DAY", "DAY_TOTAL", "day"))])
-    rows = month_rows(fact, month).select(
-        F.hour("created_at").alias("hour"), F.dayofmonth("created_at").alias("day"),
-        "owner_user_id", "owner_account_id", "amount")
-    counted = (rows.select("owner_user_id", "owner_account_id", "amount", F.explode(inside).alias("in"))
-               .where(F.col("in").isNotNull())
-               .groupBy("in.kind", "in.key", "owner_user_id", "owner_account_id")
-               .agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")))
-    out = None
-    for kind in ("HOUR", "DAY"):
-        top = (counted.where(F.col("kind") == kind)
-               .orderBy(F.desc("n"), F.desc("amount"), F.asc("owner_user_id"))
-               .limit(k).select("kind", F.col("key").cast("bigint").alias("key"),
-                                "owner_user_id", "owner_account_id", "n", "amount"))
-        out = top if out is None else out.unionByName(top)
+    account = ["owner_user_id", "owner_account_id"]
+    sums = materialize(month_rows(fact, month).groupBy(
+        F.hour("created_at").alias("hour"), F.dayofmonth("created_at").alias("day"), *account).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")))
+    tops = []
+    for kind, key in (("HOUR", "hour"), ("DAY", "day")):
+        totals = sums.groupBy(key).agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+        peak_key = _peak_key(totals.withColumn("level", F.lit(kind)), kind, key).select("p.k").scalar()
+        tops.append(sums.where(F.col(key) == peak_key).groupBy(F.col(key).alias("key"), *account)
+                    .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+                    .orderBy(F.desc("n"), F.desc("amount"), F.asc("owner_user_id")).limit(k)
+                    .select(F.lit(kind).alias("kind"), F.col("key").cast("bigint").alias("key"), *account, "n", "amount"))
+    out = materialize(tops[0].unionByName(tops[1]))  # at most 2·k rows, read twice below
     # At most 2·k ids: broadcasting them filters the user dimension map-side,
     # then the tiny name list is joined back (no shuffle of the user table).
     ids = out.select("owner_user_id").distinct()

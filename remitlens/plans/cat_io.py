@@ -6,11 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from remitlens.functions import scalars as S
-from remitlens.operators import density, facts
+from remitlens.operators import density, facts, slice_summary
 from remitlens.plans.model_frames import Frames
 from remitlens.plans.registry import register
 from remitlens.session import scratch_path
-from remitlens.sources import fact_store, fact_table, shards, sinks
+from remitlens.sources import fact_store, fact_table, shards, sinks, stores
 from remitlens.streaming import events, pipeline
 
 SLICE = dict(province="CanTho", district="Building", year=2024, quarter="Q1")
@@ -30,10 +30,21 @@ def _fact_out(df):
                      "district", F.col("year").cast("bigint").alias("year"), "quarter", "month")
 
 
+FACT_TABLES = ("events", "customer", "nation", "region")
+
+
+def _once(spark, sf_dir, name, build, tables=FACT_TABLES):
+    """What ``build(path)`` writes, once per version of the tables it comes from."""
+    def write():
+        path = scratch_path(spark, name)
+        build(path)
+        return path
+    return stores.once(spark, name, [f"{sf_dir}/{t}.parquet" for t in tables], write)
+
+
 def _store(spark, sf_dir, fmt="parquet"):
-    path = scratch_path(spark, f"fact-{fmt}")
-    fact_store.write_fact_partitioned(Frames(spark, sf_dir).fact, path, fmt=fmt)
-    return path
+    return _once(spark, sf_dir, f"fact-{fmt}",
+                 lambda path: fact_store.write_fact_partitioned(Frames(spark, sf_dir).fact, path, fmt=fmt))
 
 
 def _parquet_store(spark, sf_dir):
@@ -47,7 +58,9 @@ def q_scan_fact_csv(spark, sf_dir):
 
 @register("write_fact_partitioned", _FACT_OUT + " FROM fact")
 def q_write_fact_partitioned(spark, sf_dir):
-    return _fact_out(_parquet_store(spark, sf_dir))
+    path = scratch_path(spark, "fact-written")
+    fact_store.write_fact_partitioned(Frames(spark, sf_dir).fact, path)
+    return _fact_out(fact_store.read_fact_parquet(spark, path))
 
 
 @register("scan_partition", _FACT_OUT + """ FROM fact
@@ -68,13 +81,18 @@ def q_scan_quarter_glob(spark, sf_dir):
 
 
 def _table(spark, sf_dir):
+    """The fact as a catalog table of its own, to be changed."""
     return fact_table.create(Frames(spark, sf_dir).fact, fact_table.fresh_name(spark, "fact"))
 
 
+def _shared_table(spark, sf_dir):
+    return stores.once(spark, "fact-table", [f"{sf_dir}/{t}.parquet" for t in FACT_TABLES], lambda: _table(spark, sf_dir))
+
+
 @register("list_partitions", """
 SELECT DISTINCT province, district, CAST(year AS BIGINT) AS year, quarter FROM fact""")
 def q_list_partitions(spark, sf_dir):
-    p = fact_table.list_partitions(spark, _table(spark, sf_dir))
+    p = fact_table.list_partitions(spark, _shared_table(spark, sf_dir))
     return p.select("province", "district", F.col("year").cast("bigint").alias("year"), "quarter")
 
 
@@ -82,7 +100,7 @@ def q_list_partitions(spark, sf_dir):
 SELECT count(*) > 0 AS "exists" FROM fact
 WHERE province = 'CanTho' AND district = 'Building' AND year = 2024 AND quarter = 'Q1'""")
 def q_partition_exists(spark, sf_dir):
-    return fact_table.partition_exists(spark, _table(spark, sf_dir), **SLICE)
+    return fact_table.partition_exists(spark, _shared_table(spark, sf_dir), **SLICE)
 
 
 @register("replace_partitions", _FACT_OUT + " FROM fact WHERE province <> 'CanTho' OR (status = 'SUCCESS' AND district <> 'Building')")
@@ -103,6 +121,65 @@ def q_delete_partition(spark, sf_dir):
     return _fact_out(spark.table(name))
 
 
+@register("compact_partitions", _FACT_OUT + " FROM fact WHERE year = 2024 AND quarter = 'Q1'")
+def q_compact_partitions(spark, sf_dir):
+    """A quarter that came in three parts, compacted; the rows read from the new files."""
+    rows = fact_store.scan_quarter_glob(Frames(spark, sf_dir).fact, 2024, "Q1")
+    name = None
+    for i in range(3):
+        part = rows.where(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == i)
+        if name is None:
+            name = fact_table.create(part, fact_table.fresh_name(spark, "fact"))
+        else:
+            fact_table.append(part, name)
+    fact_table.remove_folders(spark, fact_table.compact(spark, name, most_files=2))
+    return _fact_out(spark.table(name))
+
+
+# ---------------------------------------------------------------- summaries of slices
+
+def _summary(spark, sf_dir):
+    """Summaries of the fact table without one province, then refreshed after
+    its slices came in: the second refresh reads these slices only."""
+    def build():
+        fact = Frames(spark, sf_dir).fact
+        late = F.col("province") == "CanTho"
+        name = fact_table.create(fact.where(~late), fact_table.fresh_name(spark, "fact"))
+        summary = slice_summary.create(spark, name, fact_table.fresh_name(spark, "summary"))
+        slice_summary.refresh(spark, name, summary)
+        fact_table.append(fact.where(late), name)
+        spark.catalog.refreshTable(name)
+        slice_summary.refresh(spark, name, summary)
+        return summary
+    return spark.table(stores.once(spark, "summary", [f"{sf_dir}/{t}.parquet" for t in FACT_TABLES], build))
+
+
+@register("summary_density", "SELECT province, CAST(count(*) AS BIGINT) AS n FROM fact WHERE amount IS NOT NULL GROUP BY province")
+def q_summary_density(spark, sf_dir):
+    return slice_summary.province_density(_summary(spark, sf_dir))
+
+
+@register("summary_peaks", """
+, ok AS (
+  SELECT * FROM fact WHERE direction = 'OUT' AND status IN ('SUCCESS', 'COMPLETED') AND month = '2024-01' AND amount IS NOT NULL)
+SELECT 'HOUR_TOTAL' AS level, CAST(hour(created_at) AS BIGINT) AS key, CAST(count(*) AS BIGINT) AS n, CAST(sum(amount) AS DOUBLE) AS amount
+FROM ok GROUP BY hour(created_at)
+UNION ALL
+SELECT 'DAY_TOTAL', CAST(day(created_at) AS BIGINT), CAST(count(*) AS BIGINT), CAST(sum(amount) AS DOUBLE) FROM ok GROUP BY day(created_at)""")
+def q_summary_peaks(spark, sf_dir):
+    return slice_summary.peak_totals(_summary(spark, sf_dir), "2024-01").select(
+        "level", F.col("key").cast("bigint").alias("key"), "n", F.col("amount").cast("double").alias("amount"))
+
+
+@register("summary_quarters", """
+SELECT quarter, CAST(sum(amount) AS DOUBLE) AS total_amount, CAST(count(*) AS BIGINT) AS tx_count,
+       CAST(count(*) FILTER (upper(status) = 'SUCCESS') AS BIGINT) AS success_count
+FROM fact WHERE year = 2024 AND amount IS NOT NULL AND status <> '' GROUP BY quarter""")
+def q_summary_quarters(spark, sf_dir):
+    return slice_summary.quarter_totals(_summary(spark, sf_dir), 2024).select(
+        "quarter", F.col("total_amount").cast("double").alias("total_amount"), "tx_count", "success_count")
+
+
 @register("result_text_parse", """
 SELECT province, CAST(count(*) AS BIGINT) AS n FROM fact WHERE year = 2024 AND quarter = 'Q1' GROUP BY province""")
 def q_result_text_parse(spark, sf_dir):

@@ -11,7 +11,7 @@ from remitlens.operators import history, recipients, vip
 from remitlens.plans.model_frames import Frames
 from remitlens.plans.registry import register
 from remitlens.session import scratch_path
-from remitlens.sources import fact_store
+from remitlens.sources import fact_store, history_table, stores
 
 VIP_YEAR = 1997
 HIST_START, HIST_END = dt.datetime(1997, 1, 1), dt.datetime(1997, 12, 31, 23, 59, 59)
@@ -173,6 +173,11 @@ def q_pair_filter(spark, sf_dir):
                                                    "created_at")
 
 
+def _history(spark, sf_dir):
+    return stores.once(spark, "history", [f"{sf_dir}/{t}.parquet" for t in ("orders", "customer")],
+                       lambda: history_table.create(Frames(spark, sf_dir).tx_parts))
+
+
 @register("page_history", _PARTS + f"""
 , ranked AS (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY created_at DESC, transaction_id DESC) AS rn,
@@ -182,7 +187,8 @@ SELECT {_PART_COLS}, CAST(total_elements AS BIGINT) AS total_elements,
        CAST(ceil(total_elements / 20.0) AS BIGINT) AS total_pages, CAST(rn - 1 AS BIGINT) AS position
 FROM ranked WHERE rn <= 20""")
 def q_page_history(spark, sf_dir):
-    p = history.page_history(Frames(spark, sf_dir).tx_parts, page=0, size=20)
+    """From the bucketed, sorted history table: no exchange, rows and totals in one read."""
+    p = history_table.pages(spark, _history(spark, sf_dir), page=0, size=20)
     return p.select("transaction_id", "user_id", "direction", "counterparty_account", _d("amount"), "status",
                     "created_at", _b("total_elements"), "total_pages", "position")
 
@@ -327,22 +333,30 @@ def q_top_recipients(spark, sf_dir):
 
 # ---------------------------------------------------------------- account totals (monthly files)
 
+def _monthly_files(spark, sf_dir):
+    """All months as text files (header lines, short and bad lines among them),
+    written once per version of the tables."""
+    def write():
+        tx = Frames(spark, sf_dir).tx
+        month = F.date_format("created_at", "yyyy-MM")
+        line = F.concat_ws(",", "transaction_id", "from_id", F.col("to_id").cast("string"), F.col("amount").cast("string"),
+                           "status", F.col("created_at").cast("string"))
+        odd = F.when(F.col("transaction_id") % 7 == 0, F.array(F.lit("id,from_account,to_account,amount,status,date"),
+                                                               F.concat(F.lit("  "), line), F.lit("1,2,3"),
+                                                               F.lit("9,8,7,not a number,SUCCESS,x"), F.lit("")))
+        path = scratch_path(spark, "monthly")
+        (tx.select(month.alias("month"), F.explode(F.coalesce(odd, F.array(line))).alias("value"))
+         .hint("rebalance", "month").write.partitionBy("month").text(path))
+        return path
+    return stores.once(spark, "monthly", [f"{sf_dir}/{t}.parquet" for t in ("orders", "customer")], write)
+
+
 def _monthly_rows(spark, sf_dir, months=None):
-    """The months' rows written as monthly text files (with a header line, short
-    and bad lines among them) and read back."""
-    tx = Frames(spark, sf_dir).tx
+    """The months' rows read from their text files; the month predicate prunes the folders."""
+    rows = fact_store.scan_monthly_csv(spark, _monthly_files(spark, sf_dir))
     if months:
-        tx = recipients.month_window(tx, *months)
-    month = F.date_format("created_at", "yyyy-MM")
-    line = F.concat_ws(",", "transaction_id", "from_id", F.col("to_id").cast("string"), F.col("amount").cast("string"),
-                       "status", F.col("created_at").cast("string"))
-    odd = F.when(F.col("transaction_id") % 7 == 0, F.array(F.lit("id,from_account,to_account,amount,status,date"),
-                                                           F.concat(F.lit("  "), line), F.lit("1,2,3"),
-                                                           F.lit("9,8,7,not a number,SUCCESS,x"), F.lit("")))
-    path = scratch_path(spark, "monthly")
-    (tx.select(month.alias("month"), F.explode(F.coalesce(odd, F.array(line))).alias("value"))
-     .write.partitionBy("month").text(path))
-    return fact_store.scan_monthly_csv(spark, path).select("month", F.col("from_account").cast("bigint"), "amount")
+        rows = rows.where(F.col("month").between(*months))
+    return rows.select("month", F.col("from_account").cast("bigint"), "amount")
 
 
 @register("total_by_account", """

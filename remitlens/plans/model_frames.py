@@ -46,14 +46,18 @@ class Frames:
     def tx_geo(self) -> DataFrame:
         return facts.export_join(self.tx, self.users)
 
+    def _fact(self, transfers: DataFrame) -> DataFrame:
+        geo = facts.export_join(transfers, facts.normalized_places(self.users))
+        return facts.fact_geo_explode(geo, normalize_locations=False)
+
     @cached_property
     def fact(self) -> DataFrame:
-        return facts.fact_geo_explode(self.geo)
+        return self._fact(self.etx)
 
     @cached_property
     def tx_fact(self) -> DataFrame:
         """History transfers exploded the same way (years 1995..2001)."""
-        return facts.fact_geo_explode(self.tx_geo)
+        return self._fact(self.tx)
 
     @cached_property
     def tx_sides(self) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from remitlens.schemas import PARTITION_COLUMNS
-from remitlens.session import checkpoint_root
+from remitlens.session import checkpoint_root, remove_path
 from remitlens.sources.fact_store import PARTITION_SCHEMA, partition_safe, read_fact_parquet
 
 DATABASE = "remitlens"
@@ -123,3 +123,86 @@ def replace_partitions(fact: DataFrame, name: str, gone: DataFrame | None = None
         empty = gone.select(*PARTITION_COLUMNS).distinct().join(fact, PARTITION_COLUMNS, "left_anti")
         for r in empty.toLocalIterator():  # one row a slice, as the catalog has them
             delete_partition(spark, name, r["province"], r["district"], r["year"], r["quarter"])
+
+
+# ---------------------------------------------------------------- compaction
+
+def location(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+
+
+def slice_files(spark: SparkSession, name: str) -> DataFrame:
+    """(slice, folder, files, bytes) of all slices' present folders, from listings
+    alone: the files' content column is never asked for, so no file is opened."""
+    paths = [r["path"] for r in folders(spark, name).select("path").collect()]  # one row a slice
+    if not paths:
+        return spark.createDataFrame([], "province string, district string, year int, quarter string, path string, "
+                                         "files bigint, bytes bigint")
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths)
+    sizes = listed.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("path")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    return folders(spark, name).join(sizes, "path")
+
+
+def folders(spark: SparkSession, name: str) -> DataFrame:
+    """(slice, path): the folder that the catalog reads each slice from."""
+    session = spark._jsparkSession.sessionState()
+    parts = session.catalog().listPartitions(session.sqlParser().parseTableIdentifier(name),
+                                             spark._jvm.scala.Option.empty())
+    rows = []
+    for i in range(parts.size()):
+        spec = parts.apply(i).spec()
+        path = spark._jvm.org.apache.hadoop.fs.Path(parts.apply(i).location()).toString()  # without the URI's escapes
+        rows.append((spec.apply("province"), spec.apply("district"), int(spec.apply("year")), spec.apply("quarter"), path))
+    return spark.createDataFrame(rows, "province string, district string, year int, quarter string, path string")
+
+
+def compact(spark: SparkSession, name: str, target_bytes: int = 256 << 20, most_files: int = 8) -> list[str]:
+    """Rewrite the slices that have more than ``most_files`` files, and more than
+    their bytes need, into files of about ``target_bytes``.
+
+    One job writes all of them to a fresh folder; then the catalog is pointed to
+    the new folders one by one. A reader sees a slice's old files or its new ones,
+    both with the same rows; the old ones stay until ``remove_folders`` takes the
+    returned list, once no reader uses them. A job that fails half-way leaves the
+    table as it was. Rows that are added to a slice while it is rewritten would be
+    lost, so appends and compaction of a table take turns.
+    """
+    need = F.greatest(F.ceil(F.col("bytes") / F.lit(target_bytes)), F.lit(1))
+    small = [r.asDict() for r in slice_files(spark, name).withColumn("need", need)
+             .where((F.col("files") > most_files) & (F.col("files") > F.col("need"))).collect()]  # one row a slice
+    if not small:
+        return []
+    keys = spark.createDataFrame([(r["province"], r["district"], r["year"], r["quarter"], int(r["need"])) for r in small],
+                                 "province string, district string, year int, quarter string, _need int")
+    fresh = f"{location(spark, name)}/compacted-{uuid.uuid4().hex[:12]}"
+    rows = spark.table(name).join(keys, PARTITION_COLUMNS)
+    # as many tasks, and so files, a slice as its bytes need
+    part = F.floor(F.rand(7) * F.col("_need")).cast("int")
+    (rows.withColumn("_part", part).repartition(max(1, sum(int(r["need"]) for r in small)), *PARTITION_COLUMNS, "_part")
+     .drop("_need", "_part").write.partitionBy(*PARTITION_COLUMNS).parquet(fresh))
+    new = {tuple(r[c] for c in PARTITION_COLUMNS): r["path"] for r in _written(spark, fresh).collect()}
+    for r in small:
+        at = new[tuple(r[c] for c in PARTITION_COLUMNS)]
+        spec = _spec(r["province"], r["district"], r["year"], r["quarter"])
+        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{_quoted(at)}'")
+    spark.catalog.refreshTable(name)
+    return [r["path"] for r in small]
+
+
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _written(spark: SparkSession, path: str) -> DataFrame:
+    """(slice, path) of the slice folders under ``path``."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    folder = F.regexp_extract("path", "/(province=.*)/[^/]*$", 1)
+    return listed.select(F.regexp_replace("path", "/[^/]*$", "").alias("path"), *[
+        _part(folder, i).cast(f.dataType).alias(f.name) for i, f in enumerate(PARTITION_SCHEMA.fields)]).distinct()
+
+
+def remove_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Remove the old folders that ``compact`` returned."""
+    for folder in folders:
+        remove_path(spark, folder)

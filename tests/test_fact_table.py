@@ -75,3 +75,35 @@ def test_a_slice_is_read_alone(spark, table):
     plan = fact_store.scan_partition(spark.table(table), "A", "d", 2024, "Q1")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(province" in text and plan.count() == 2
+
+
+def test_compaction_keeps_rows_and_readers(spark):
+    row = [("1", 1.0, "A", "o'k 100%", 2024, "Q1"), ("2", 2.0, "B", "d", 2024, "Q1")]
+    name = fact_table.create(spark.createDataFrame(row, SCHEMA), fact_table.fresh_name(spark, "t"))
+    for i in range(12):  # micro-batches into the first slice
+        fact_table.append(spark.createDataFrame([(f"x{i}", float(i), *row[0][2:])], SCHEMA).coalesce(1), name)
+    reader = spark.table(name)  # planned before
+    rows, files = _rows(spark, name), len(reader.inputFiles())
+    old = fact_table.compact(spark, name, most_files=4)
+    assert len(old) == 1 and files == 14 and len(spark.table(name).inputFiles()) == 2
+    assert _rows(spark, name) == rows == sorted(tuple(r) for r in reader.select(
+        "transaction_id", "province", "district", "year", "quarter").collect())
+    assert fact_table.compact(spark, name, most_files=4) == []
+    fact_table.remove_folders(spark, old)
+    assert _rows(spark, name) == rows
+    fact_table.append(spark.createDataFrame([("y", 1.0, *row[0][2:])], SCHEMA), name)  # the new folder takes rows too
+    assert len(_rows(spark, name)) == len(rows) + 1
+    fact_table.delete_partition(spark, name, "A", "o'k 100%", 2024, "Q1")
+    assert [r[0] for r in _rows(spark, name)] == ["2"]
+
+
+def test_compaction_makes_files_of_the_target_size(spark):
+    rows = spark.range(20_000).selectExpr("cast(id AS string) AS transaction_id", "rand(1) AS amount", "'A' AS province",
+                                          "'d' AS district", "2024 AS year", "'Q1' AS quarter")
+    name = fact_table.create(rows.limit(0), fact_table.fresh_name(spark, "t"))
+    for i in range(10):
+        fact_table.append(rows.where(f"transaction_id % 10 = {i}").coalesce(1), name)
+    before = fact_table.slice_files(spark, name).first()
+    fact_table.compact(spark, name, target_bytes=before["bytes"] // 3, most_files=5)
+    after = fact_table.slice_files(spark, name).first()
+    assert before["files"] == 10 and 2 <= after["files"] <= 4 and spark.table(name).count() == 20_000

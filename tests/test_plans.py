@@ -17,7 +17,7 @@ def _plan(spark, name):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["top_recipients", "page_history", "notification_query", "recent_receivers"])
+@pytest.mark.parametrize("name", ["top_recipients", "page_after", "notification_query", "recent_receivers"])
 def test_per_key_top_k_is_group_limited(spark, name):
     assert "WindowGroupLimit" in _plan(spark, name)
 
