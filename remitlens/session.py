@@ -68,9 +68,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_SCRATCH: list[str] = []  # the scratch paths given out, in order
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/remitlens/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{checkpoint_root(spark)}/remitlens/{name}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+def scratch_since(mark: int = 0) -> tuple[list[str], int]:
+    """(the scratch paths given out since ``mark``, the mark of now)."""
+    return _SCRATCH[mark:], len(_SCRATCH)
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
