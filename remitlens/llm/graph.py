@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from remitlens.session import materialize
 
 
+ROWS_PER_PART = 50_000  # contracted rows are narrow; later rounds are small and need few tasks and files
+
+
+def _parts(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_PART))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of ``links`` (a, b: long); nodes have equal
     labels if links connect them. Labels are arbitrary numbers.
@@ -15,20 +22,26 @@ def components(links: DataFrame) -> DataFrame:
     Each round renames the nodes at random (a hash with the round's number) and
     merges every node into the smallest name among itself and its neighbours,
     which shrinks the graph by a constant factor on average, whatever its shape.
-    A hub costs one pre-aggregated row per task. Rounds are cut by checkpoints.
+    A hub costs one pre-aggregated row per task. Rounds are cut by checkpoints,
+    with as many parts as the rows that are left need.
     """
     pairs = links.where("a <> b")
     edges = materialize(pairs.select("a", "b").union(pairs.select("b", "a")).distinct())
+    n = edges.count()
     labels = edges.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node"))
     turn = 0
-    while not edges.isEmpty():
+    while n:
         turn += 1
         name = lambda c: F.xxhash64(F.col(c), F.lit(turn))  # noqa: B023,E731
-        edges = edges.select(name("a").alias("a"), name("b").alias("b"))
-        into = materialize(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("p")))
-        labels = materialize(labels.withColumn("label", name("label")).join(
-            into, F.col("label") == F.col("a"), "left").select("node", F.coalesce("p", "label").alias("label")))
+        edges = edges.coalesce(_parts(n)).select(name("a").alias("a"), name("b").alias("b"))
+        into = materialize(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("p")).coalesce(_parts(n)))
+        if turn == 1:
+            nodes = into.count()
+        labels = materialize(labels.coalesce(_parts(nodes)).withColumn("label", name("label")).join(
+            into, F.col("label") == F.col("a"), "left").select("node", F.coalesce("p", "label").alias("label"))
+            .coalesce(_parts(nodes)))
         other = into.select(F.col("a").alias("b"), F.col("p").alias("q"))
         edges = materialize(edges.join(into, "a").join(other, "b").where("p <> q")
-                            .select(F.col("p").alias("a"), F.col("q").alias("b")).distinct())
+                            .select(F.col("p").alias("a"), F.col("q").alias("b")).distinct().coalesce(_parts(n)))
+        n = edges.count()
     return labels

@@ -26,7 +26,7 @@ def test_stages_keep_the_columns_of_documents(spark, tmp_path):
 
 def test_run_and_registration(spark):
     queries = entry.queries()
-    assert [sum(q.startswith(f"op{n}_") for q in queries) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in queries) for n in range(1, 14)] == [1] * 13
     assert queries["pipeline"] is corpus_pipeline.run and set(catalog.ORACLES) <= set(queries)
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert out.count() > 50 and "sequence_id" in out.columns
@@ -46,5 +46,10 @@ def test_queries_return_their_columns(spark, name):
            "near_edited double, near_next double",
         9: "doc_id bigint, held_out boolean, score double, predicted int",
         10: "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+        11: "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output_sha256 string, "
+            "restored_sha256 string",
+        12: "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, "
+            "saved_tokens bigint, ends_sha256 string",
+        13: "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
     }[int(name[2:].split("_")[0])]
     assert ", ".join(" ".join(t) for t in catalog.QUERIES[name](spark, SF_SMALL).dtypes) == want
