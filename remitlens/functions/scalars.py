@@ -26,6 +26,9 @@ MID_PROVINCES = [
 ]
 SUCCESS_STATUSES = ["SUCCESS", "COMPLETED"]
 RISK_HIGH, RISK_MEDIUM, RISK_LOW = "CAO", "TRUNG_BINH", "THAP"
+# The least value of each measure that makes a district's risk high, or medium.
+HIGH_FAIL_RATE, HIGH_REVERSAL_RATE, HIGH_RAPID_FIRE, HIGH_FAN_OUT, HIGH_LARGE_AMOUNT = 20, 15, 1, 5, 1
+MEDIUM_FAIL_RATE, MEDIUM_REVERSAL_RATE, MEDIUM_LARGE_AMOUNT, MEDIUM_FAN_OUT = 10, 5, 2, 2
 UNKNOWN = "UNKNOWN"
 # ---------------------------------------------------------------------------
 
@@ -208,11 +211,11 @@ def money_format(amount: Column) -> Column:
 
 def risk_level(fail_rate: Column, reversal_rate: Column, rapid_fire: Column,
                fan_out: Column, large_amount: Column) -> Column:
-    return (F.when((fail_rate >= 20) | (reversal_rate >= 15) | (rapid_fire > 0)
-                   | (fan_out >= 5) | (large_amount > 0), F.lit(RISK_HIGH))
-            .when((fail_rate >= 10) | (reversal_rate >= 5) | (large_amount >= 2) | (fan_out >= 2),
-                  F.lit(RISK_MEDIUM))
-            .otherwise(F.lit(RISK_LOW)))
+    high = ((fail_rate >= HIGH_FAIL_RATE) | (reversal_rate >= HIGH_REVERSAL_RATE) | (rapid_fire >= HIGH_RAPID_FIRE)
+            | (fan_out >= HIGH_FAN_OUT) | (large_amount >= HIGH_LARGE_AMOUNT))
+    medium = ((fail_rate >= MEDIUM_FAIL_RATE) | (reversal_rate >= MEDIUM_REVERSAL_RATE)
+              | (large_amount >= MEDIUM_LARGE_AMOUNT) | (fan_out >= MEDIUM_FAN_OUT))
+    return F.when(high, F.lit(RISK_HIGH)).when(medium, F.lit(RISK_MEDIUM)).otherwise(F.lit(RISK_LOW))
 
 
 def risk_score(level: Column) -> Column:

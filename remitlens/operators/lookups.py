@@ -287,7 +287,9 @@ def rekey_backfill(users: DataFrame, children: DataFrame, old_key: str = "user_i
     return new_users, new_children
 
 
-def random_sample(df: DataFrame, n: int = 2, seed: int = 42) -> DataFrame:
-    """``n`` random rows: ORDER BY rand(seed) LIMIT n (TakeOrderedAndProject —
-    each task keeps n candidates, no full sort)."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def random_sample(df: DataFrame, n: int = 2, seed: int = 42, key: str = "account_id") -> DataFrame:
+    """``n`` random rows: those with the smallest hashes of seed and key. Every row
+    is as likely as another, and a rerun, or a task repeated after an executor
+    loss, picks the same ones (TakeOrderedAndProject: each task keeps n
+    candidates, no full sort)."""
+    return df.orderBy(F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), 256), key).limit(n)

@@ -249,14 +249,33 @@ def q_export_union_dedup(spark, sf_dir):
     return _shard_out(facts.export_union_dedup(_tagged_shards(spark, sf_dir), REGION_ORDER))
 
 
-@register("distinct_by_key", _SHARDS + """
-SELECT count(DISTINCT transaction_id) AS n_ids, CAST(count(*) AS BIGINT) AS n_rows FROM (
-  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY
-      list_position(['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'], shard) DESC) AS rn
-  FROM shards) WHERE rn = 1""")
+_PLACES = """
+, place AS (
+  SELECT user_id, CASE WHEN province IS NULL THEN 'CENTRAL'
+    WHEN province IN ('Hà Nội', 'Hải Phòng', 'Bắc Ninh', 'Hà Nam', 'Hải Dương', 'Hưng Yên', 'Nam Định', 'Ninh Bình',
+                      'Thái Bình', 'Vĩnh Phúc') THEN 'NORTH'
+    WHEN province IN ('Thanh Hóa', 'Nghệ An', 'Hà Tĩnh', 'Quảng Bình', 'Quảng Trị', 'Thừa Thiên Huế', 'Đà Nẵng',
+                      'Quảng Nam') THEN 'MID' ELSE 'SOUTH' END AS region FROM users),
+stations AS (
+  SELECT t.transaction_id, from_id, to_id, amount, status, created_at, p.region AS shard
+  FROM tx t JOIN place p ON p.user_id = from_id JOIN place q ON q.user_id = to_id
+  UNION ALL
+  SELECT t.transaction_id, from_id, to_id, amount, 'SUCCESS', created_at, q.region
+  FROM tx t JOIN place p ON p.user_id = from_id JOIN place q ON q.user_id = to_id WHERE p.region <> q.region)
+"""
+
+
+@register("distinct_by_key", _PLACES + """
+SELECT transaction_id, from_id, to_id, CAST(amount AS DOUBLE) AS amount, status, created_at, shard FROM stations
+WHERE shard <> 'CENTRAL'
+QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY list_position(['NORTH', 'MID', 'SOUTH'], shard) DESC) = 1""")
 def q_distinct_by_key(spark, sf_dir):
-    d = facts.export_union_dedup(_tagged_shards(spark, sf_dir), REGION_ORDER)
-    return d.agg(F.count_distinct("transaction_id").alias("n_ids"), F.count(F.lit(1)).alias("n_rows"))
+    """The three stations read one after the other: of an id's rows the last station's stays."""
+    fr = Frames(spark, sf_dir)
+    placed = fr.users.withColumn("region", S.region_of_province(F.col("province")))
+    stations = ["NORTH", "MID", "SOUTH"]
+    rows = facts.shard_tag(fr.tx, placed).where(F.col("shard").isin(stations))
+    return _shard_out(facts.export_union_dedup(rows, stations))
 
 
 @register("region_of_province", """

@@ -143,10 +143,17 @@ def q_transfer_validate(spark, sf_dir):
 
 
 @register("accounts_by_user_status", """
-SELECT user_id, min(account_id) AS account_id, CAST(count(*) AS BIGINT) AS n_accounts
-FROM accounts WHERE status = 'ACTIVE' GROUP BY user_id""")
+, several AS (  -- three accounts a user, opened out of order, some on the same day
+  SELECT account_id, account_id // 3 AS user_id, status,
+         TIMESTAMP '2020-01-01' + to_days(CAST((account_id * 37) % 10 AS INTEGER)) AS created_at FROM accounts)
+SELECT user_id, arg_min(account_id, (created_at, account_id)) AS account_id, CAST(count(*) AS BIGINT) AS n_accounts
+FROM several WHERE status = 'ACTIVE' GROUP BY user_id""")
 def q_accounts_by_user_status(spark, sf_dir):
-    return lookups.accounts_by_user_status(Frames(spark, sf_dir).accounts, "ACTIVE")
+    key = F.col("account_id")
+    opened = F.lit("2020-01-01").cast("timestamp_ntz") + F.make_dt_interval(((key * 37) % 10).cast("int"))
+    several = Frames(spark, sf_dir).accounts.select(
+        "account_id", F.floor(key / 3).alias("user_id"), "status", opened.alias("created_at"))
+    return lookups.accounts_by_user_status(several, "ACTIVE")
 
 
 @register("account_lookup", """
@@ -416,11 +423,9 @@ def q_rekey_users(spark, sf_dir):
 
 
 @register("random_sample", """
-SELECT 2 AS n_rows, true AS from_accounts""")
+SELECT account_id, user_id, account_number, CAST(balance AS DOUBLE) AS balance, status FROM accounts
+ORDER BY sha256('7:' || account_id) LIMIT 2""")
 def q_random_sample(spark, sf_dir):
-    """Two random accounts: how many, and whether the accounts hold them."""
-    accounts = Frames(spark, sf_dir).accounts
-    picked = lookups.random_sample(accounts, 2, seed=7)
-    known = picked.join(accounts.select("account_id").distinct(), "account_id", "left_semi").select(
-        F.lit(1).alias("k"), "account_id")
-    return known.agg(F.count(F.lit(1)).cast("int").alias("n_rows"), (F.count_distinct("account_id") == 2).alias("from_accounts"))
+    """Two random accounts."""
+    picked = lookups.random_sample(Frames(spark, sf_dir).accounts, 2, seed=7)
+    return picked.select("account_id", "user_id", "account_number", F.col("balance").cast("double").alias("balance"), "status")
