@@ -66,7 +66,7 @@ def opening_balances(rows: DataFrame, fold: Callable[[DataFrame], DataFrame]) ->
             break
         # one row a segment from here on
         power, expected = _power(F.col("b")), F.col("start") - F.col("small")
-        least = F.lit(2).cast("double") ** F.col("kb")  # exact: a power of two
+        least = F.expr("shiftleft(1L, kb)")
         path = (summary.join(open_, "from_id").where("_pid > done")
                 .groupBy(*_UNIT, "b", power.alias("kb")).agg(
                     F.coalesce(F.sum(F.when(F.col("k") < power, F.col("sum"))), F.lit(0)).alias("small"),
