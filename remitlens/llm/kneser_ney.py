@@ -1,9 +1,10 @@
 """Quality classifier (operator 7): interpolated modified Kneser-Ney perplexity.
 
 An n-gram model over the bytes of texts (``ORDER`` bytes, the start of a text
-padded) is trained on trusted documents. The table is packed once into blocks;
-a block sends each different n-gram, with its count in trusted text, to the
-shard that owns the n-gram. The shards' rows are the n-grams of the whole
+padded) is trained on all trusted documents but a held-back quarter. The table is
+packed once into blocks; a block sends each different n-gram, with its count in
+trusted text, to the shard that owns the n-gram. Which rows of a block train is
+one bit a row, from a join of keys, so no text is shuffled for it. The shards' rows are the n-grams of the whole
 corpus. Counts of all orders, discounts and interpolation weights come from
 joins of these tables on n-gram, context and suffix, and the shards answer each
 block with the log-probabilities of its n-grams. Sums over a document give its
@@ -24,7 +25,8 @@ from remitlens.llm.substring_dedup import packed_blocks, unpacked
 from remitlens.llm.words import buffers, mix, slices
 from remitlens.session import materialize
 
-ORDER, BLOCK_BYTES, SHARD_BLOCKS, MOST_TRUSTED = 5, 16 << 20, 8, 50_000
+ORDER, BLOCK_BYTES, SHARD_BLOCKS, MOST_TRUSTED = 5, 32 << 20, 4, None
+PLACE_BITS = 64 - 8 * ORDER  # what an n-gram leaves of a number
 QUANTILE, SLACK, LEAST_SEEN = 0.99, 1.1, 30
 
 
@@ -46,20 +48,62 @@ def _sliced(column: pa.Array):
         yield lo, hi, *byte_grams(column.slice(lo, hi - lo))
 
 
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Whether each sorted value differs from the one before."""
+    new = np.ones(len(ordered), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return new
+
+
+def _different(parts: list[np.ndarray]) -> np.ndarray:
+    """Sorted different values."""
+    ordered = np.sort(np.concatenate([np.zeros(0, np.uint64), *parts]))
+    return ordered[_firsts(ordered)]
+
+
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different values and how often each comes."""
+    ordered = np.sort(values)
+    at = np.flatnonzero(_firsts(ordered))
+    return ordered[at], np.diff(np.append(at, len(ordered)))
+
+
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted different n-grams and their summed counts."""
     grams, inverse = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
     return grams, np.bincount(inverse, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
 
 
-def block_grams(batch: pa.RecordBatch, text: int, train: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted different n-grams of a block, their counts in training rows)."""
-    parts = []
-    learn = np.array(batch.column(train).to_pylist(), dtype=bool)
-    for lo, hi, grams, ends in _sliced(batch.column(text)):
-        own, inverse = np.unique(grams, return_inverse=True)
-        parts.append((own, np.bincount(inverse, weights=np.repeat(learn[lo:hi], np.diff(ends)), minlength=len(own))))
-    return _merged(parts) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+def _with_places(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted different n-grams, the place of each n-gram among them)."""
+    if len(grams) >> PLACE_BITS:  # one very long text
+        return np.unique(grams, return_inverse=True)
+    both = np.sort((grams << np.uint64(PLACE_BITS)) | np.arange(len(grams), dtype=np.uint64))
+    at = (both & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+    both >>= np.uint64(PLACE_BITS)
+    new = _firsts(both)
+    inverse = np.empty(len(grams), np.int64)
+    inverse[at] = np.cumsum(new) - 1
+    return both[new], inverse
+
+
+def block_grams(column: pa.Array) -> np.ndarray:
+    """The sorted different n-grams of a block's texts."""
+    return _different([_different([grams]) for _, _, grams, _ in _sliced(column)])
+
+
+def trained_grams(column: pa.Array, learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted different n-grams of a block's texts, their counts in the rows that ``learn`` marks)."""
+    every, parts = [], []
+    for lo, hi, grams, ends in _sliced(column):
+        every.append(_different([grams]))
+        parts.append(_counted(grams[np.repeat(learn[lo:hi], np.diff(ends))]))
+    own = _different(every)
+    c = np.zeros(len(own), np.int64)
+    if parts:
+        grams, counts = _merged(parts)
+        c[np.searchsorted(own, grams)] = counts
+    return own, c
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -132,11 +176,37 @@ def good_keys(labels: DataFrame, key: str, label: str) -> DataFrame:
     return labels.where(F.col(key).isNotNull() & (F.col(label) == 1)).select(key).distinct()
 
 
-def trusted_keys(labels: DataFrame, key: str, label: str, most: int) -> DataFrame:
-    """At most ``most`` keys labelled good (the smallest by hash), a quarter of
-    them (by hash) held back from training: (key, train)."""
-    return good_keys(labels, key, label).orderBy(F.xxhash64(key), key).limit(most) \
-        .withColumn("train", F.pmod(F.xxhash64(F.lit("held"), key), F.lit(4)) > 0)
+def trusted_keys(labels: DataFrame, key: str, label: str, most: int | None = None) -> DataFrame:
+    """All keys labelled good: (key, train). Three quarters of them (by hash) train;
+    with ``most``, only of so many (the smallest by hash)."""
+    good, train = good_keys(labels, key, label), F.pmod(F.xxhash64(F.lit("held"), key), F.lit(4)) > 0
+    if most is None:
+        return good.withColumn("train", train)
+    some = good.orderBy(F.xxhash64(key), key).limit(most)
+    return some.withColumn("train", train).unionByName(
+        good.join(some, key, "left_anti").withColumn("train", F.lit(False)))
+
+
+def training_rows(blocks: DataFrame, trusted: DataFrame, key: str, kind: str) -> DataFrame:
+    """(block, learn): one bit for each row of a block, set if its key (the rows' first
+    column) is to train. Only keys and places are shuffled."""
+    def places(batches):
+        for batch in batches:
+            for block, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys = unpacked(rows.as_py()).column(0)
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(keys), pa.int64()),
+                                                  pa.array(range(len(keys)), pa.int32()), keys],
+                                                 names=["block", "place", "key"])
+
+    def bits(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
+                [np.packbits(np.bincount(p.values.to_numpy()).astype(bool)).tobytes() for p in batch.column(1)],
+                pa.binary())], names=["block", "learn"])
+
+    found = blocks.select("block", "rows").mapInArrow(places, f"block bigint, place int, key {kind}") \
+        .join(trusted.where("train").select(F.col(key).alias("key")), "key")
+    return found.groupBy("block").agg(F.collect_list("place")).mapInArrow(bits, "block bigint, learn binary")
 
 
 def quantiles(values: DataFrame, quantile: float) -> DataFrame:
@@ -163,13 +233,14 @@ def quantiles(values: DataFrame, quantile: float) -> DataFrame:
 
 
 def perplexities(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
-                 language: str = "lang", label: str = "quality", most_trusted: int = MOST_TRUSTED,
+                 language: str = "lang", label: str = "quality", most_trusted: int | None = MOST_TRUSTED,
                  quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
     """Per row of ``docs``: key, language, n_bytes, log_prob, perplexity (per
     byte), threshold and keep (perplexity <= threshold).
 
-    Training takes whole texts of at most ``most_trusted`` documents that
-    ``labels`` mark good; scoring gathers the n-grams of all documents. The
+    Training takes whole texts of three quarters of all documents that ``labels``
+    mark good (``most_trusted``, without a limit by default, bounds how many);
+    scoring gathers the n-grams of all documents. The
     threshold is ``slack`` times the language's ``quantile`` of all trusted documents
     that training did not read; a language with fewer than ``LEAST_SEEN`` of them takes that of
     all (infinite without any). A null or empty text has no bytes, a null
@@ -177,27 +248,42 @@ def perplexities(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     a null language is a language; other columns are not read. Without trusted
     text every byte has the chance 1/256.
     """
-    trusted = F.broadcast(trusted_keys(labels, key, label, most_trusted).where("train"))  # at most most_trusted keys
-    flagged = docs.select(key, text, language).join(trusted, key, "left") \
-        .select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(language).alias("language"),
-                F.coalesce("train", F.lit(False)).alias("train"))
-    blocks = packed_blocks(flagged, "text", BLOCK_BYTES, level=12)
+    trusted = trusted_keys(labels, key, label, most_trusted)
+    kind = lambda c: docs.schema[c].dataType.simpleString()
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(language).alias("language"))
+    # matches over the whole block (window) pack texts better than a higher level
+    blocks = packed_blocks(texts, "text", BLOCK_BYTES, level=9, window=25)
     shards = max(4, -(-blocks.count() // SHARD_BLOCKS))
 
+    def by_shard(block, grams, c=None):
+        shard = (mix(grams) % np.uint64(shards)).astype(np.int64)
+        parts = [np.flatnonzero(shard == s) for s in range(shards)]
+        columns = {"shard": pa.array(range(shards), pa.int32()), "block": pa.array([block] * shards, pa.int64()),
+                   "grams": pa.array([_gaps(grams[p]) for p in parts], pa.binary())}
+        if c is not None:
+            columns["counts"] = pa.array([_packed(c[p].astype(np.uint32)) for p in parts], pa.binary())
+        return pa.RecordBatch.from_pydict(columns)
+
+    def send_counts(batches):
+        for batch in batches:
+            for block, rows, learn in zip(batch.column(0).to_pylist(), *batch.columns[1:], strict=True):
+                own = unpacked(rows.as_py())
+                marks = np.zeros(len(own), dtype=bool)
+                if learn.is_valid:
+                    found = np.unpackbits(np.frombuffer(learn.as_py(), np.uint8))[:len(own)]
+                    marks[:len(found)] = found
+                yield by_shard(block, *trained_grams(own.column(1), marks))
+
     def send(batches):
         for batch in batches:
             for block, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                grams, c = block_grams(unpacked(rows.as_py()), 1, 3)
-                shard = (mix(grams) % np.uint64(shards)).astype(np.int64)
-                parts = [np.flatnonzero(shard == s) for s in range(shards)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(shards), pa.int32()), pa.array([block] * shards, pa.int64()),
-                     pa.array([_gaps(grams[p]) for p in parts], pa.binary()),
-                     pa.array([_packed(c[p].astype(np.uint32)) for p in parts], pa.binary())],
-                    names=["shard", "block", "grams", "counts"])
+                yield by_shard(block, block_grams(unpacked(rows.as_py()).column(1)))
 
     # read twice, and cut again from the blocks the second time: storing the n-grams would take as much as the texts
-    sent = blocks.select("block", "rows").mapInArrow(send, "shard int, block bigint, grams binary, counts binary")
+    sent = blocks.select("block", "rows").mapInArrow(send, "shard int, block bigint, grams binary")
+    learn = training_rows(blocks, trusted, key, kind(key))  # a bit for each row of the table in all
+    counted = blocks.select("block", "rows").join(F.broadcast(learn), "block", "left") \
+        .mapInArrow(send_counts, "shard int, block bigint, grams binary, counts binary")
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
         parts = [(_from_gaps(g), _array(c, np.uint32)) for g, c in zip(rows["grams"], rows["counts"], strict=True)]
@@ -207,7 +293,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         return pd.DataFrame({"shard": np.full(len(grams), rows["shard"].iloc[0], np.int32),
                              "gram": grams.astype(np.int64), "c": c.astype(np.int64)})
 
-    corpus = materialize(sent.groupBy("shard").applyInPandas(count, "shard int, gram bigint, c bigint"))
+    corpus = materialize(counted.groupBy("shard").applyInPandas(count, "shard int, gram bigint, c bigint"))
 
     def answer(rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         order = np.argsort(known["gram"].to_numpy(), kind="stable")
@@ -225,26 +311,26 @@ def perplexities(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
             for i in range(batch.num_rows):
                 own = unpacked(batch.column(1)[i].as_py())
                 column = own.column(1)
-                grams, _ = block_grams(own, 1, 3)
+                grams = block_grams(column)
                 shard = (mix(grams) % np.uint64(shards)).astype(np.int64)
                 logp = np.zeros(len(grams))
                 for t in batch.column(2)[i].as_py() or []:
                     logp[shard == t["shard"]] = _floats(t["logp"])
                 total, n = np.zeros(len(column)), np.zeros(len(column), np.int64)
                 for lo, hi, some, ends in _sliced(column):
-                    sums = np.concatenate([[0.0], np.cumsum(logp[np.searchsorted(grams, some)])])
+                    different, place = _with_places(some)
+                    sums = np.concatenate([[0.0], np.cumsum(logp[np.searchsorted(grams, different)][place])])
                     total[lo:hi], n[lo:hi] = sums[ends[1:]] - sums[ends[:-1]], np.diff(ends)
                 yield pa.RecordBatch.from_arrays(
-                    [own.column(0), own.column(2), own.column(3), pa.array(n), pa.array(total)],
-                    names=["key", "language", "train", "n_bytes", "log_prob"])
+                    [own.column(0), own.column(2), pa.array(n), pa.array(total)],
+                    names=["key", "language", "n_bytes", "log_prob"])
 
-    kind = lambda c: docs.schema[c].dataType.simpleString()
     scored = blocks.select("block", "rows").join(per_block.hint("shuffle_hash"), "block", "left").mapInArrow(
-        score, f"key {kind(key)}, language {kind(language)}, train boolean, n_bytes bigint, log_prob double")
+        score, f"key {kind(key)}, language {kind(language)}, n_bytes bigint, log_prob double")
     scored = materialize(scored.withColumn(
         "perplexity", F.when(F.col("n_bytes") > 0, F.exp(-F.col("log_prob") / F.col("n_bytes")))))
-    good = good_keys(labels, key, label).withColumnRenamed(key, "key")
-    held = materialize(scored.where(~F.col("train") & F.col("perplexity").isNotNull()).join(good, "key", "left_semi")
+    unread = trusted.where(~F.col("train")).select(F.col(key).alias("key"))
+    held = materialize(scored.where(F.col("perplexity").isNotNull()).join(unread, "key", "left_semi")
                        .select(F.col("language").alias("of"), F.col("perplexity").alias("x")))
     overall = quantiles(held.withColumn("of", F.lit(0)), quantile).first()
     overall = float("inf") if overall is None else overall["q"]

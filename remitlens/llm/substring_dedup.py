@@ -43,13 +43,17 @@ def _schema(fields) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
 
-def packed_blocks(docs: DataFrame, text: str, size_of: int | None = None, level: int = 3) -> DataFrame:
+def packed_blocks(docs: DataFrame, text: str, size_of: int | None = None, level: int = 3,
+                  window: int = 0) -> DataFrame:
     """The rows of ``docs`` in compressed blocks (block, rows, n_bytes) of about
-    ``size_of`` bytes of text, stored."""
+    ``size_of`` bytes of text, stored. ``window``: matches reach back so many bits of
+    place (0: as the level has it)."""
     place, most = docs.columns.index(text), size_of or BLOCK_BYTES
 
     def run(batches):
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
+        packer = zstandard.ZstdCompressor(level) if not window else zstandard.ZstdCompressor(
+            compression_params=zstandard.ZstdCompressionParameters.from_level(level, window_log=window))
 
         def block():
             table = pa.Table.from_batches(held).combine_chunks()
@@ -57,7 +61,7 @@ def packed_blocks(docs: DataFrame, text: str, size_of: int | None = None, level:
             with pa.ipc.new_stream(sink, table.schema) as writer:
                 writer.write_table(table)
             return pa.RecordBatch.from_arrays(
-                [pa.array([number]), pa.array([zstandard.compress(sink.getvalue(), level)], pa.binary()),
+                [pa.array([number]), pa.array([packer.compress(sink.getvalue())], pa.binary()),
                  pa.array([size], pa.int64())], names=["block", "rows", "n_bytes"])
 
         for batch in batches:

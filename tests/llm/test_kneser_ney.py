@@ -123,3 +123,31 @@ def test_quantiles(spark):
         got = {r.of: (r.q, r.n) for r in kn.quantiles(values, q).collect()}
         assert got.keys() == want.keys()
         assert all(math.isclose(got[o][0], want[o][0], rel_tol=1e-12) and got[o][1] == want[o][1] for o in want)
+
+
+def test_training_reads_all_trusted_documents(spark, monkeypatch):
+    """Without a limit three quarters of all trusted keys train, and each block learns
+    which of its rows do, repeated and null keys among them."""
+    assert kn.MOST_TRUSTED is None
+    lab = spark.range(60_000).selectExpr("id AS doc_id", "1 AS quality")
+    assert 44_000 < kn.trusted_keys(lab, "doc_id", "quality", kn.MOST_TRUSTED).where("train").count() < 46_000
+    monkeypatch.setattr(kn, "BLOCK_BYTES", 900)
+    docs, labels = corpus(60, seed=4)
+    docs += [(None, "zzzz", "en", "x"), docs[0], docs[2], docs[2]]
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string, key string").repartition(3)
+    lab = spark.createDataFrame([*labels, (None, 1, 0)], "doc_id long, quality int, toxic int")
+    train = {r.doc_id for r in kn.trusted_keys(lab, "doc_id", "quality").where("train").collect()}
+    text = [t.encode() for i, t, *_ in docs if i in train]
+    out = kn.perplexities(d, lab).collect()
+    assert len(out) == len(docs)
+    got = {(r.doc_id, r.n_bytes): r.log_prob for r in out}
+    for i, t, *_ in docs[::7] + docs[-4:]:
+        assert math.isclose(got[i, len(t.encode())], brute_log_probability(text, t.encode()), rel_tol=1e-4)
+
+
+def test_places_of_long_texts(monkeypatch):
+    grams = kn.np.random.default_rng(0).integers(0, 1 << 40, 3_000, dtype=kn.np.uint64) // kn.np.uint64(1 << 30)
+    want = kn.np.unique(grams, return_inverse=True)
+    for bits in (24, 4):
+        monkeypatch.setattr(kn, "PLACE_BITS", bits)
+        assert all((a == b).all() for a, b in zip(kn._with_places(grams), want, strict=True))
