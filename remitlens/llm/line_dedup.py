@@ -94,9 +94,10 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, t
         .where(F.char_length("line") >= max(1, min_chars)) \
         .select("doc.id", "doc.at", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"))
     path = scratch_path(spark, "lines")
-    # all rows of a document fall into one batch
+    # all rows of a document fall into one batch; sorted, a file's pages hold a batch each, so that one file a task is
+    # enough (every file that is written takes executor memory for its buffers and its file system commands)
     lines.withColumn("batch", F.pmod(F.xxhash64("id", "at"), F.lit(batches)).cast("int")) \
-        .write.partitionBy("batch").parquet(path)
+        .sortWithinPartitions("batch").write.parquet(path)
     stored = spark.read.schema("id " + docs.schema[key].dataType.simpleString()
                                + ", at long, pos int, h1 long, h2 long, batch int").parquet(path)
     runs = LineRuns(spark, min_docs, fanout)

@@ -1,6 +1,7 @@
 from collections import Counter
 
 from remitlens.llm.line_dedup import LineRuns, drop_common_lines
+from remitlens.session import scratch_since
 from tests.llm.data import edge_docs, edge_rows, empty_docs
 
 STRIP = " \t\n\x0b\x0c\r"
@@ -45,3 +46,16 @@ def test_runs_compact_and_prove(spark):
         runs.add(spark.createDataFrame(rows, "id long, at long, h1 long, h2 long"))
     assert {r.h1 for r in runs.common().collect()} == {0, 1, 2}
     assert all(len(level) < 2 for level in runs.levels) and len(runs.levels) >= 2
+
+
+def test_lines_are_stored_in_one_file_a_task(spark):
+    """The batches share a file of each task, and each is read back from it whole."""
+    rows = [(i, f"common\nown {i}\nshared {i % 4}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    mark = scratch_since()[1]
+    out = {r.doc_id: r.text for r in drop_common_lines(docs, min_docs=10).collect()}
+    assert out == {i: f"own {i}" for i, _ in rows}
+    path, = (p for p in scratch_since(mark)[0] if "/lines-" in p)
+    files = spark.read.parquet(path).inputFiles()
+    assert 1 <= len(files) <= 3
+    assert spark.read.parquet(path).select("batch").distinct().count() == 4
