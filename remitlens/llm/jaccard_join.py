@@ -15,10 +15,13 @@ are one class. Classes meet through keys made of the smallest hashes of a set:
 Linked sets differ in size by t at most, so they send keys of one kind in common.
 
 Every link between two classes is found: token groups of up to ``PAIRED_ROWS``
-classes give all their pairs, larger ones are searched by signature trees, which
-give a pair in the group of its smallest common token only. All pairs are
-verified on their exact sets; those of a tree meet their texts in its group, so a
-text is sent once for a group, not for a pair. Components follow from the links.
+classes give all their pairs of fitting sizes, larger ones are searched by signature
+trees, which give a pair in the group of its smallest common token only. All pairs
+are verified on their exact sets; those of a tree meet their texts in its group, so a
+text is sent once for a group, not for a pair. No row is made for a pair there: each
+class of a group has one row with a list of others, then the number of rows that it
+links with in the group and the smallest class it reaches there, from which counts
+and components follow. Pairs that meet in large and small groups count in the large.
 
 Who needs the components only (``all_links=False``) has a shortcut:
 
@@ -161,8 +164,17 @@ def _stored(rows: DataFrame, name: str) -> DataFrame:
 
 
 def _may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose bitmaps and sizes allow enough overlap."""
-    side = lambda s: classes.select(F.col("class").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"))
+    """The pairs (a, b) whose bitmaps (halved, they are sent for each pair) and sizes
+    allow enough overlap."""
+    def halve(batches):
+        for batch in batches:
+            bits = [np.frombuffer(v, dtype=np.uint64)[None] for v in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(
+                [folded(v, max(v.shape[1] // 2, LEAST_BITS // 128)).tobytes() for v in bits], pa.binary())],
+                names=["class", "n", "bits"])
+
+    some = classes.select("class", "n", "bits").mapInArrow(halve, "class bigint, n bigint, bits binary")
+    side = lambda s: some.select(F.col("class").alias(s), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_n", "b_n", "a_bits", "b_bits")
 
     def run(batches):
@@ -371,22 +383,61 @@ def _first_met(rows: pa.Table, token: int, a: np.ndarray, b: np.ndarray) -> np.n
                                                  for i in range(0, len(a), step)])
 
 
-def _all_links(rows: DataFrame, classes: DataFrame, described: DataFrame, k: int, percent: int) -> DataFrame:
-    """All links (a, b) of classes that meet in token groups (class, token), each once."""
+def _lists(of: np.ndarray, value: np.ndarray, keys: np.ndarray) -> pa.ListArray:
+    """For each of the sorted ``keys`` the values whose ``of`` is this key."""
+    order = np.argsort(of, kind="stable")
+    ends = np.searchsorted(of[order], keys, side="right")
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(value[order], pa.int64()))
+
+
+def _links_of_group(classes: np.ndarray, sets: list, others: list, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of classes (sorted) with their sets and the classes that each may link with, the
+    places (a, b) of those that do."""
+    n = np.array([len(s) for s in sets])
+    token = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    begin, own = np.cumsum(n) - n, np.zeros(len(token), dtype=bool)
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i, some in enumerate(others):
+        mine = token[begin[i]:begin[i] + n[i]]
+        own[mine] = True
+        at = np.searchsorted(classes, np.asarray(some, dtype=np.int64))
+        for part in np.array_split(at, -(-len(at) // 512)) if len(at) else []:
+            first = np.cumsum(n[part]) - n[part]
+            place = np.arange(int(n[part].sum())) + np.repeat(begin[part] - first, n[part])
+            common = np.add.reduceat(own[token[place]], first, dtype=np.int64)
+            linked = part[100 * common >= percent * (n[i] + n[part] - common)]
+            a.append(np.full(len(linked), i))
+            b.append(linked)
+        own[mine] = False
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _all_links(rows: DataFrame, classes: DataFrame, described: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All links of classes that meet in token groups (class, n, token), each once:
+    pairs (a, b), and rows (class, root, n_rows, others) of larger groups with the
+    smallest class reached, the number of linked rows and the larger linked classes."""
     count = rows.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
     few = rows.join(count.where(F.col("m") <= PAIRED_ROWS).select("token"), "token") \
-        .groupBy("token").agg(F.collect_list("class").alias("all"))
-    few = few.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b")).where("a < b").distinct()
+        .groupBy("token").agg(F.collect_list(F.struct("class", "n")).alias("all"))
+    fit = lambda x, y: F.col(f"{x}.n") * 100 >= F.col(f"{y}.n") * percent
+    few = few.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b")) \
+        .where((F.col("a.class") < F.col("b.class")) & fit("a", "b") & fit("b", "a")) \
+        .select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
     few = _verified(_may_link(few, classes, percent), described, k, percent)
 
+    big = _stored(rows.join(count.where(F.col("m") > PAIRED_ROWS), "token"), "big")
+    met = big.groupBy("class").agg(F.collect_list("token").alias("tokens"))
+    side = lambda s: met.select(F.col("class").alias(s), F.col("tokens").alias(f"{s}_tokens"))
+    few = few.join(side("a"), "a", "left").join(side("b"), "b", "left") \
+        .where(~F.coalesce(F.arrays_overlap("a_tokens", "b_tokens"), F.lit(False))).select("a", "b")
+
     parts = F.ceil(F.col("m") / GROUP_ROWS).cast("int")
-    split = rows.join(count.where(F.col("m") > PAIRED_ROWS), "token") \
-        .withColumn("side", F.pmod(F.xxhash64("class"), parts).cast("int")) \
-        .select("token", "class", F.col("class").alias("label"), "side",
+    split = big.withColumn("side", F.pmod(F.xxhash64("class"), parts).cast("int")) \
+        .select("token", "class", "n", F.col("class").alias("label"), "side",
                 F.explode(F.sequence(F.lit(0), parts - 1)).alias("with")) \
-        .select("token", "class", "label", "side", F.least("side", "with").alias("i"),
+        .select("token", "class", "n", "label", "side", F.least("side", "with").alias("i"),
                 F.greatest("side", "with").alias("j")) \
-        .join(classes.select("class", "n", "bits", "tokens"), "class")
+        .join(classes.select("class", "bits").join(met, "class"), "class")
 
     def pairs(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -395,25 +446,35 @@ def _all_links(rows: DataFrame, classes: DataFrame, described: DataFrame, k: int
         order = np.argsort(own)
         a, b = (order[np.searchsorted(own, found[c].to_numpy(), sorter=order)] for c in ("a", "b"))
         found = found.filter(pa.array(_first_met(group, group["token"][0].as_py(), a, b)))
-        for name in ("j", "i", "token"):
-            found = found.add_column(0, name, pa.array([group[name][0].as_py()] * len(found), group[name].type))
-        return found
-
-    place = ["token", "i", "j"]
-    near = _stored(split.groupBy(*place).applyInArrow(
-        pairs, "token bigint, i int, j int, a bigint, b bigint"), "near")
-    needed = near.select(*place, F.explode(F.array("a", "b")).alias("class")).distinct()
-    texts = _stored(described.select("class", "packed").join(needed.select("class").distinct(), "class", "left_semi")
-                    .dropDuplicates(["class"]), "texts")
-
-    def verify(group: pa.Table, texts: pa.Table) -> pa.Table:
-        a, b = group["a"].to_pylist(), group["b"].to_pylist()
-        sets = _unpacked_sets(dict(zip(texts["class"].to_pylist(), texts["packed"].to_pylist(), strict=True)), k)
-        return group.select(["a", "b"]).filter(pa.array(_linked(sets, a, b, percent), pa.bool_()))
-
-    sent = needed.toDF("in_token", "in_i", "in_j", "class").join(texts, "class").groupBy("in_token", "in_i", "in_j")
-    many = near.groupBy(*place).cogroup(sent).applyInArrow(verify, "a bigint, b bigint")
-    return few.union(many).distinct()
+        a, b = found["a"].to_numpy(), found["b"].to_numpy()
+        needed = np.unique(np.concatenate([a, b]))
+        place = [pa.array([group[c][0].as_py()] * len(needed), group[c].type) for c in ("token", "i", "j")]
+        return pa.table([*place, pa.array(needed), _lists(a, b, needed)], names=["token", "i", "j", "class", "others"])
+
+    near = _stored(split.groupBy("token", "i", "j").applyInArrow(
+        pairs, "token bigint, i int, j int, class bigint, others array<bigint>"), "near")
+    texts = described.select("class", "packed").join(near.select("class").distinct(), "class", "left_semi") \
+        .groupBy("class").agg(F.any_value("packed").alias("packed"), F.count(F.lit(1)).alias("m"))
+
+    def verify(group: pa.Table) -> pa.Table:
+        group = group.sort_by("class").combine_chunks()
+        own, m = group["class"].to_numpy(), group["m"].to_numpy()
+        sets = _unpacked_sets(dict(zip(own.tolist(), group["packed"].to_pylist(), strict=True)), k)
+        a, b = _links_of_group(own, [sets[c] for c in own.tolist()], group["others"].to_pylist(), percent)
+        root, before = np.arange(len(own)), None
+        while before is None or (root != before).any():  # the smallest place that links reach
+            before = root.copy()
+            np.minimum.at(root, a, root[b])
+            np.minimum.at(root, b, root[a])
+            root = root[root]
+        n_rows = np.bincount(a, weights=m[b], minlength=len(own)) + np.bincount(b, weights=m[a], minlength=len(own))
+        out = pa.table([pa.array(own), pa.array(own[root]), pa.array(n_rows.astype(np.int64)),
+                        _lists(own[a], own[b], own)], names=["class", "root", "n_rows", "others"])
+        return out.filter(pa.array(n_rows > 0))
+
+    many = near.join(texts, "class").groupBy("token", "i", "j").applyInArrow(
+        verify, "class bigint, root bigint, n_rows bigint, others array<bigint>")
+    return _stored(few, "links"), _stored(many, "lists")
 
 
 def _between_components(rows: DataFrame, classes: DataFrame, links: DataFrame, percent: int,
@@ -464,20 +525,23 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "
     """
     described = _stored(_described(docs, key, text, k, percent), "described")
     classes = _stored(described.where("n > 0").select("class", "n", "tokens", "bits").dropDuplicates(["class"]), "classes")
-    tokens = classes.select("class", F.posexplode("tokens").alias("place", "token"))
+    tokens = classes.select("class", *(["n"] if all_links else []), F.posexplode("tokens").alias("place", "token"))
     met = tokens.groupBy("token").agg(F.min("class").alias("leader"), F.max("class").alias("last")) \
         .where("leader < last").drop("last")
     rows = _stored(tokens.join(met, "token"), "met")  # place, class, token, leader
     if all_links:
-        links = _stored(_all_links(rows.select("class", "token"), classes, described, k, percent), "links")
+        few, many = _all_links(rows.select("class", "n", "token"), classes, described, k, percent)
+        links = few.union(many.select("class", F.explode("others")))  # made only if it is read
+        joined = few.union(many.select("root", "class"))
     else:
-        links = _connecting_links(rows, classes, described, k, percent)
+        joined = links = _connecting_links(rows, classes, described, k, percent)
 
-    labels = components(links).withColumnRenamed("node", "class")
+    labels = components(joined).withColumnRenamed("node", "class")
     if all_links:
         size = described.where("n > 0").groupBy("class").agg(F.count(F.lit(1)).alias("m"))
-        both = links.union(links.select("b", "a")).toDF("class", "other")
-        linked = both.join(size.toDF("other", "rows"), "other").groupBy("class").agg(F.sum("rows").alias("rows"))
+        both = few.union(few.select("b", "a")).toDF("class", "other")
+        linked = both.join(size.toDF("other", "rows"), "other").select("class", "rows") \
+            .union(many.select("class", "n_rows")).groupBy("class").agg(F.sum("rows").alias("rows"))
         labels = size.join(linked, "class", "left").join(labels, "class", "left").select(
             "class", "label", (F.col("m") - 1 + F.coalesce("rows", F.lit(0))).alias("n_links"))
     member = described.select("id", "at", "n", "class").join(labels, "class", "left") \

@@ -150,3 +150,35 @@ def test_all_links_inside_components(spark, monkeypatch, paired):
     want = {p for p in want if len(p) == 2}
     assert len(links) == len(want) >= 2 * 60 and {frozenset((r.a, r.b)) for r in links} == want
     compare(spark, rows)
+
+
+def test_large_groups_of_near_copies_make_no_row_for_a_pair(spark, monkeypatch):
+    """Near copies in groups beyond ``PAIRED_ROWS``: one row a class and group (with
+    lists), and pairs that also meet in small groups are counted once."""
+    made = []
+    stored = jaccard_join._stored
+    monkeypatch.setattr(jaccard_join, "_stored", lambda rows, name: made.append((name, out := stored(rows, name))) or out)
+    monkeypatch.setattr(jaccard_join, "PAIRED_ROWS", 10)
+    rng = random.Random(2)
+    text = sentence(rng, 150, 10**6).split()
+    rows = []
+    for i in range(40):
+        own = list(text)
+        own[7 * (i % 20)] = f"e{i % 20}"  # pairs i, i + 20 have an edit in common
+        own[149 - i % 9] = f"f{i}"
+        rows.append((i, " ".join(own)))
+    rows.append((40, rows[0][1]))
+    found, links = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
+    groups = {name: df for name, df in made}
+    classes = groups["classes"].count()
+    near = groups["near"]
+    assert near.columns == ["token", "i", "j", "class", "others"]
+    assert near.groupBy("token", "i", "j").count().where(f"count > {classes}").isEmpty()
+    sets = {k: shingles(t) for k, t in rows}
+    linked = lambda a, b: 100 * len(a & b) >= 75 * len(a | b)
+    assert {r.id: r.n_links for r in found.collect()} == {
+        k: sum(linked(s, o) for i, o in sets.items() if i != k) for k, s in sets.items()}
+    links = [(r.a, r.b) for r in links.collect()]
+    assert len(links) == len(set(links)) and all(a < b for a, b in links)
+    assert groups["lists"].count() < len(links)
+    compare(spark, rows)
