@@ -95,3 +95,13 @@ def test_velocity_rules_in_one_stream(spark):
     pipeline.stream_to_table(alerts, out, checkpoint)
     got = sorted((r["kind"], r["window_start"], r["district"], r["owner_account_id"], r["n"]) for r in spark.read.parquet(out).collect())
     assert got == _velocity_brute(rows, 60, 2, 3, 4) and {r[0] for r in got} == {"RAPID_FIRE", "LARGE_AMOUNT", "FAN_OUT"}
+
+
+def test_an_event_is_parsed_once_for_the_velocity_rules(spark):
+    """Neither the filter of good events nor the rules repeat the parsing of the text."""
+    values = spark.createDataFrame([('{"transactionId":"1","amount":2.5}',)], "value string")
+    good = pipeline.parsed_events(values).where("malformed IS NULL").drop("malformed")
+    assert [r["transactionId"] for r in good.collect()] == ["1"]
+    alerts = pipeline.velocity_alerts(facts.fact_geo_explode(event_to_fact(good)))
+    plan = alerts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("columnNameOfCorruptRecord") == 1 and "lambdafunction" not in plan
