@@ -412,20 +412,29 @@ def _links_of_group(classes: np.ndarray, sets: list, others: list, percent: int)
     return np.concatenate(a), np.concatenate(b)
 
 
+def _met(classes: DataFrame, all_links: bool) -> DataFrame:
+    """The keys that several classes send: (class, n, token, m: how many send it), or
+    (place, class, token, leader: the smallest of them) for the components only. Most
+    keys are sent once, so all of them are dealt by token once and not joined."""
+    group = Window.partitionBy("token")
+    tokens = classes.select("class", *(["n"] if all_links else []), F.posexplode("tokens").alias("place", "token"))
+    met = tokens.select("*", F.min("class").over(group).alias("leader"), F.max("class").over(group).alias("last"),
+                        *([F.count(F.lit(1)).over(group).alias("m")] if all_links else [])).where("leader < last")
+    return met.select(*(["class", "n", "token", "m"] if all_links else ["place", "class", "token", "leader"]))
+
+
 def _all_links(rows: DataFrame, classes: DataFrame, described: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """All links of classes that meet in token groups (class, n, token), each once:
+    """All links of classes that meet in token groups (class, n, token, m), each once:
     pairs (a, b), and rows (class, root, n_rows, others) of larger groups with the
     smallest class reached, the number of linked rows and the larger linked classes."""
-    count = rows.groupBy("token").agg(F.count(F.lit(1)).alias("m"))
-    few = rows.join(count.where(F.col("m") <= PAIRED_ROWS).select("token"), "token") \
-        .groupBy("token").agg(F.collect_list(F.struct("class", "n")).alias("all"))
+    few = rows.where(F.col("m") <= PAIRED_ROWS).groupBy("token").agg(F.collect_list(F.struct("class", "n")).alias("all"))
     fit = lambda x, y: F.col(f"{x}.n") * 100 >= F.col(f"{y}.n") * percent
     few = few.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b")) \
         .where((F.col("a.class") < F.col("b.class")) & fit("a", "b") & fit("b", "a")) \
         .select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
     few = _verified(_may_link(few, classes, percent), described, k, percent)
 
-    big = _stored(rows.join(count.where(F.col("m") > PAIRED_ROWS), "token"), "big")
+    big = rows.where(F.col("m") > PAIRED_ROWS)
     met = big.groupBy("class").agg(F.collect_list("token").alias("tokens"))
     side = lambda s: met.select(F.col("class").alias(s), F.col("tokens").alias(f"{s}_tokens"))
     few = few.join(side("a"), "a", "left").join(side("b"), "b", "left") \
@@ -525,12 +534,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "
     """
     described = _stored(_described(docs, key, text, k, percent), "described")
     classes = _stored(described.where("n > 0").select("class", "n", "tokens", "bits").dropDuplicates(["class"]), "classes")
-    tokens = classes.select("class", *(["n"] if all_links else []), F.posexplode("tokens").alias("place", "token"))
-    met = tokens.groupBy("token").agg(F.min("class").alias("leader"), F.max("class").alias("last")) \
-        .where("leader < last").drop("last")
-    rows = _stored(tokens.join(met, "token"), "met")  # place, class, token, leader
+    rows = _stored(_met(classes, all_links), "met")
     if all_links:
-        few, many = _all_links(rows.select("class", "n", "token"), classes, described, k, percent)
+        few, many = _all_links(rows, classes, described, k, percent)
         links = few.union(many.select("class", F.explode("others")))  # made only if it is read
         joined = few.union(many.select("root", "class"))
     else:

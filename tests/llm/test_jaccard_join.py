@@ -182,3 +182,16 @@ def test_large_groups_of_near_copies_make_no_row_for_a_pair(spark, monkeypatch):
     assert len(links) == len(set(links)) and all(a < b for a, b in links)
     assert groups["lists"].count() < len(links)
     compare(spark, rows)
+
+
+@pytest.mark.parametrize("all_links", [True, False])
+def test_keys_are_dealt_by_token_once(spark, all_links):
+    """Of all keys that classes send, those that meet are found in one shuffle, without a join."""
+    classes = spark.createDataFrame([(1, 9, [5, 6, 7]), (2, 8, [6, 8]), (3, 7, [8, 6]), (4, 3, [1])],
+                                    "class long, n long, tokens array<long>")
+    met = jaccard_join._met(classes, all_links)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    got = sorted(tuple(r) for r in met.collect())
+    assert got == ([(1, 9, 6, 3), (2, 8, 6, 3), (2, 8, 8, 2), (3, 7, 6, 3), (3, 7, 8, 2)] if all_links
+                   else [(0, 2, 6, 1), (0, 3, 8, 2), (1, 1, 6, 1), (1, 2, 8, 2), (1, 3, 6, 1)])
