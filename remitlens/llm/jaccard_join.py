@@ -13,12 +13,14 @@ are one class. Classes meet through keys made of the smallest hashes of a set:
   share rarely makes a pair, which keeps such documents apart from the start.
 
 Linked sets differ in size by t at most, so they send keys of one kind in common.
+Sets that send both kinds need neighbours for larger sets only.
 
 Every link between two classes is found: token groups of up to ``PAIRED_ROWS``
 classes give all their pairs of fitting sizes, larger ones are searched by signature
 trees, which give a pair in the group of its smallest common token only. All pairs
 are verified on their exact sets; those of a tree meet their texts in its group, so a
-text is sent once for a group, not for a pair. No row is made for a pair there: each
+text is sent once for a group, not for a pair. A task takes parts of ``BLOCKS`` times
+``GROUP_ROWS`` classes and searches them block by block. No row is made for a pair there: each
 class of a group has one row with a list of others, then the number of rows that it
 links with in the group and the smallest class it reaches there, from which counts
 and components follow. Pairs that meet in large and small groups count in the large.
@@ -44,9 +46,11 @@ link between components is lost, but links inside a component are not all found.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,8 +60,10 @@ from remitlens.llm.words import Words, mix, slices
 from remitlens.session import materialize, scratch_path
 
 NARROW, GROUP_ROWS, FANOUT, PAIRED_ROWS = 124, 2_000, 8, 32
+BLOCKS = 4  # a task of all links takes parts of so many times GROUP_ROWS, and searches them in blocks of GROUP_ROWS
 LEAST_BITS, MOST_BITS = 1_024, 1 << 17
 FOREST_ROUNDS, FOREST_TOKENS = 2, 8
+SKETCH_PARTS, SKETCH_BITS = 1_024, 32_768  # 4 MB of bits; 32,768 is the length of Spark's bitmaps
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,18 +103,22 @@ def paired(percent: int, chance: float = 1e-19) -> int:
     return math.ceil(math.log(chance) / math.log(rate))
 
 
+def narrow(percent: int) -> int:
+    """Sets of up to ``narrow`` / t shingles send single tokens, those of ``narrow`` or more neighbours."""
+    return max(NARROW, 2 * paired(percent) // 3 * 2)
+
+
 def sent_keys(grams: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys that sets send, ends of each set's keys with a leading 0)."""
+    """(keys that sets send, ends of each set's keys with a leading 0). Keys of single
+    tokens are even, those of neighbours odd."""
     n = np.diff(ends)
     row = np.repeat(np.arange(len(n)), n)
     at = np.arange(len(grams)) - np.repeat(ends[:-1], n)
-    pairs = paired(percent)
-    narrow = max(NARROW, 2 * pairs // 3 * 2)
-    single = np.where(n * percent <= narrow * 100, np.minimum(prefix_size(n, percent), n), 0)
-    double = np.where(n >= narrow, np.minimum(n - 1, pairs), 0)
+    single = np.where(n * percent <= narrow(percent) * 100, np.minimum(prefix_size(n, percent), n), 0)
+    double = np.where(n >= narrow(percent), np.minimum(n - 1, paired(percent)), 0)
     one = at < single[row]
     two = np.flatnonzero(at < double[row])
-    key = np.concatenate([grams[one], mix(grams[two] * np.uint64(3) + mix(grams[two + 1]))])
+    key = np.concatenate([grams[one] & ~np.uint64(1), mix(grams[two] * np.uint64(3) + mix(grams[two + 1])) | np.uint64(1)])
     of = np.concatenate([row[one], row[two]])
     return key[np.argsort(of, kind="stable")], np.concatenate([[0], np.cumsum(single + double)])
 
@@ -163,6 +173,20 @@ def _stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def _some(rows: DataFrame, needed: DataFrame) -> DataFrame:
+    """The rows whose class is in ``needed`` (one row a class), with its columns. Rows
+    are long, so a bitmap of needed classes, as large for any input, first drops most
+    others where they are read; only what passes is dealt out for the exact join (an
+    inner one: a semi join would be moved below the bitmap's)."""
+    bit = F.pmod(F.col("class"), F.lit(SKETCH_PARTS * SKETCH_BITS))
+    part, at = F.floor(bit / SKETCH_BITS).cast("int"), F.pmod(bit, F.lit(SKETCH_BITS))
+    sketch = needed.groupBy(part.alias("__part")).agg(F.bitmap_construct_agg(at).alias("__bits"))
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return rows.join(F.broadcast(sketch), part == F.col("__part")) \
+        .where(F.getbit(byte, F.pmod(at, F.lit(8)).cast("int")) == 1) \
+        .select(*rows.columns).join(needed, "class")
+
+
 def _may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose bitmaps (halved, they are sent for each pair) and sizes
     allow enough overlap."""
@@ -212,8 +236,7 @@ def _verified(pairs: DataFrame, described: DataFrame, k: int, percent: int) -> D
     """The pairs (a, b) of classes whose exact sets are linked."""
     near = _stored(pairs, "near")
     needed = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    texts = _stored(described.select("class", "packed").join(needed, "class", "left_semi")
-                    .dropDuplicates(["class"]), "texts")
+    texts = _stored(_some(described.select("class", "packed"), _stored(needed, "needed")).dropDuplicates(["class"]), "texts")
     side = lambda s: texts.select(F.col("class").alias(s), F.col("packed").alias(f"{s}_packed"))
     both = near.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_packed", "b_packed")
 
@@ -365,6 +388,28 @@ def _tree_pairs(rows: pa.Table, percent: int, forest: int) -> pa.Table:
     return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
+def _blocks(rows: pa.Table, size: int, percent: int):
+    """Parts of a task's rows for ``_tree_pairs``: the rows of its side or sides, sorted
+    by size, in blocks of ``size``; each pair of blocks whose sizes fit, with the token
+    and the blocks' numbers in the whole group."""
+    token, *ij = (rows[c][0].as_py() for c in ("token", "i", "j"))
+    sides = []
+    for at in dict.fromkeys(ij):
+        own = rows.filter(pc.equal(rows["side"], at)).sort_by([("n", "ascending"), ("class", "ascending")])
+        sides.append([(at << 10 | k, own.slice(lo, size)) for k, lo in enumerate(range(0, own.num_rows, size))])
+    for p, (i, a) in enumerate(sides[0]):
+        for q, (j, b) in enumerate(sides[-1]):
+            low, high = max(x["n"][0].as_py() for x in (a, b)), min(x["n"][-1].as_py() for x in (a, b))
+            if len(sides) == 1 and q < p or high * 100 < low * percent:  # the block of smaller sets ends too early
+                continue
+            both = [(0, a)] if i == j else [(0, a), (1, b)]
+            group = pa.concat_tables([x.set_column(x.column_names.index("side"), "side", pa.array([s] * len(x), pa.int32()))
+                                      for s, x in both])
+            for c, at in (("i", 0), ("j", len(both) - 1)):
+                group = group.set_column(group.column_names.index(c), c, pa.array([at] * len(group), pa.int32()))
+            yield token, i, j, group.combine_chunks()
+
+
 def _first_met(rows: pa.Table, token: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether pairs of rows (places) have no common token below ``token``."""
     tokens = rows["tokens"].combine_chunks()
@@ -412,14 +457,19 @@ def _links_of_group(classes: np.ndarray, sets: list, others: list, percent: int)
     return np.concatenate(a), np.concatenate(b)
 
 
-def _met(classes: DataFrame, all_links: bool) -> DataFrame:
+def _met(classes: DataFrame, all_links: bool, percent: int = 75) -> DataFrame:
     """The keys that several classes send: (class, n, token, m: how many send it), or
     (place, class, token, leader: the smallest of them) for the components only. Most
-    keys are sent once, so all of them are dealt by token once and not joined."""
+    keys are sent once, so all of them are dealt by token once and not joined. Sets small
+    enough to send single tokens meet by these, so neighbours that only such sets send
+    are left out."""
     group = Window.partitionBy("token")
-    tokens = classes.select("class", *(["n"] if all_links else []), F.posexplode("tokens").alias("place", "token"))
+    tokens = classes.select("class", "n", F.posexplode("tokens").alias("place", "token"))
     met = tokens.select("*", F.min("class").over(group).alias("leader"), F.max("class").over(group).alias("last"),
-                        *([F.count(F.lit(1)).over(group).alias("m")] if all_links else [])).where("leader < last")
+                        F.max("n").over(group).alias("widest"),
+                        *([F.count(F.lit(1)).over(group).alias("m")] if all_links else [])) \
+        .where((F.col("leader") < F.col("last"))
+               & ((F.pmod("token", F.lit(2)) == 0) | (F.col("widest") * percent > narrow(percent) * 100)))
     return met.select(*(["class", "n", "token", "m"] if all_links else ["place", "class", "token", "leader"]))
 
 
@@ -435,34 +485,36 @@ def _all_links(rows: DataFrame, classes: DataFrame, described: DataFrame, k: int
     few = _verified(_may_link(few, classes, percent), described, k, percent)
 
     big = rows.where(F.col("m") > PAIRED_ROWS)
-    met = big.groupBy("class").agg(F.collect_list("token").alias("tokens"))
+    met = _stored(big.groupBy("class").agg(F.collect_list("token").alias("tokens")), "large")
     side = lambda s: met.select(F.col("class").alias(s), F.col("tokens").alias(f"{s}_tokens"))
     few = few.join(side("a"), "a", "left").join(side("b"), "b", "left") \
         .where(~F.coalesce(F.arrays_overlap("a_tokens", "b_tokens"), F.lit(False))).select("a", "b")
 
-    parts = F.ceil(F.col("m") / GROUP_ROWS).cast("int")
+    parts = F.ceil(F.col("m") / (BLOCKS * GROUP_ROWS)).cast("int")
     split = big.withColumn("side", F.pmod(F.xxhash64("class"), parts).cast("int")) \
         .select("token", "class", "n", F.col("class").alias("label"), "side",
                 F.explode(F.sequence(F.lit(0), parts - 1)).alias("with")) \
         .select("token", "class", "n", "label", "side", F.least("side", "with").alias("i"),
                 F.greatest("side", "with").alias("j")) \
-        .join(classes.select("class", "bits").join(met, "class"), "class")
-
-    def pairs(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        found = _tree_pairs(group, percent, 0)
-        own = group["class"].to_numpy()
-        order = np.argsort(own)
-        a, b = (order[np.searchsorted(own, found[c].to_numpy(), sorter=order)] for c in ("a", "b"))
-        found = found.filter(pa.array(_first_met(group, group["token"][0].as_py(), a, b)))
-        a, b = found["a"].to_numpy(), found["b"].to_numpy()
-        needed = np.unique(np.concatenate([a, b]))
-        place = [pa.array([group[c][0].as_py()] * len(needed), group[c].type) for c in ("token", "i", "j")]
-        return pa.table([*place, pa.array(needed), _lists(a, b, needed)], names=["token", "i", "j", "class", "others"])
+        .join(_some(classes.select("class", "bits"), met), "class")
+    rows_of_block = GROUP_ROWS
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for token, i, j, group in _blocks(pa.Table.from_batches(batches), rows_of_block, percent):
+            found = _tree_pairs(group, percent, 0)
+            own = group["class"].to_numpy()
+            order = np.argsort(own)
+            a, b = (order[np.searchsorted(own, found[c].to_numpy(), sorter=order)] for c in ("a", "b"))
+            found = found.filter(pa.array(_first_met(group, token, a, b)))
+            a, b = found["a"].to_numpy(), found["b"].to_numpy()
+            needed = np.unique(np.concatenate([a, b]))
+            place = [pa.array([x] * len(needed), kind) for x, kind in ((token, pa.int64()), (i, pa.int32()), (j, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*place, pa.array(needed), _lists(a, b, needed)],
+                                             names=["token", "i", "j", "class", "others"])
 
     near = _stored(split.groupBy("token", "i", "j").applyInArrow(
         pairs, "token bigint, i int, j int, class bigint, others array<bigint>"), "near")
-    texts = described.select("class", "packed").join(near.select("class").distinct(), "class", "left_semi") \
+    texts = _some(described.select("class", "packed"), _stored(near.select("class").distinct(), "needed")) \
         .groupBy("class").agg(F.any_value("packed").alias("packed"), F.count(F.lit(1)).alias("m"))
 
     def verify(group: pa.Table) -> pa.Table:
@@ -534,7 +586,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 5, key: str = "
     """
     described = _stored(_described(docs, key, text, k, percent), "described")
     classes = _stored(described.where("n > 0").select("class", "n", "tokens", "bits").dropDuplicates(["class"]), "classes")
-    rows = _stored(_met(classes, all_links), "met")
+    rows = _stored(_met(classes, all_links, percent), "met")
     if all_links:
         few, many = _all_links(rows, classes, described, k, percent)
         links = few.union(many.select("class", F.explode("others")))  # made only if it is read

@@ -195,3 +195,50 @@ def test_keys_are_dealt_by_token_once(spark, all_links):
     got = sorted(tuple(r) for r in met.collect())
     assert got == ([(1, 9, 6, 3), (2, 8, 6, 3), (2, 8, 8, 2), (3, 7, 6, 3), (3, 7, 8, 2)] if all_links
                    else [(0, 2, 6, 1), (0, 3, 8, 2), (1, 1, 6, 1), (1, 2, 8, 2), (1, 3, 6, 1)])
+
+
+def test_neighbours_of_small_sets_only_are_left_out(spark):
+    """Near copies small enough for single tokens meet by these (even keys); pairs of
+    neighbours (odd keys) count only where a larger set sends them too."""
+    classes = spark.createDataFrame([(1, 140, [4, 5, 7]), (2, 150, [4, 5, 7]), (3, 170, [7])],
+                                    "class long, n long, tokens array<long>")
+    for all_links in (True, False):
+        met = jaccard_join._met(classes, all_links, 75).select("class", "token").collect()
+        assert sorted(map(tuple, met)) == [(1, 4), (1, 7), (2, 4), (2, 7), (3, 7)]
+    rng = random.Random(3)
+    text = sentence(rng, 150, 10**6).split()
+    grams, ends = jaccard_join.shingle_sets(jaccard_join.pa.array([" ".join(text)]), 5)
+    keys, _ = jaccard_join.sent_keys(grams, ends, 75)
+    assert (keys % 2).sum() == jaccard_join.paired(75) and (keys % 2 == 0).sum() == 146 - 110 + 1
+
+
+def test_long_rows_of_other_classes_are_dropped_before_they_are_dealt(spark):
+    """Only rows whose bit is set are dealt by class; classes of equal bits are told apart."""
+    span = jaccard_join.SKETCH_PARTS * jaccard_join.SKETCH_BITS
+    rows = [(c, f"t{c}") for c in (5, 5, 5 + span, -7, -7 - span, 6, 32_767, 32_768, -2**63, 2**63 - 1, 0)]
+    docs = spark.createDataFrame(rows, "class long, packed string")
+    for needed in ([5, -7, 32_768, 2**63 - 1], [0, -2**63, 32_767], []):
+        some = jaccard_join._some(docs, spark.createDataFrame([(c,) for c in needed], "class long"))
+        assert sorted(map(tuple, some.collect())) == sorted(r for r in rows if r[0] in needed)
+        plan = some._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("[class", plan.index("Join")) < plan.index("getbit") < plan.index("__part", plan.index("getbit"))
+
+
+@pytest.mark.parametrize("parts", [1, 2])
+def test_blocks_meet_once(parts):
+    """Each pair of rows of fitting sizes of a task lies in one pair of blocks."""
+    pa = jaccard_join.pa
+    rng = random.Random(parts)
+    n = [rng.choice([20, 25, 40, 60, 61, 200]) for _ in range(40)]
+    rows = pa.table({"token": [9] * 40, "class": list(range(40)), "n": n, "side": pa.array([c % parts for c in range(40)], pa.int32()),
+                     "i": pa.array([0] * 40, pa.int32()), "j": pa.array([parts - 1] * 40, pa.int32())})
+    met, places = [], set()
+    for token, i, j, group in jaccard_join._blocks(rows, 6, 75):
+        assert token == 9 and (i, j) not in places and len(group) <= 12
+        places.add((i, j))
+        own = list(zip(group["class"].to_pylist(), group["side"].to_pylist(), strict=True))
+        met += [(min(a, b), max(a, b)) for (a, x), (b, y) in itertools.combinations(own, 2)
+                if x != y or group["i"][0].as_py() == group["j"][0].as_py()]
+    fits = [(a, b) for a, b in itertools.combinations(range(40), 2)
+            if (parts == 1 or a % 2 != b % 2) and 100 * min(n[a], n[b]) >= 75 * max(n[a], n[b])]
+    assert len(met) == len(set(met)) and set(fits) <= set(met)
