@@ -242,3 +242,38 @@ def test_blocks_meet_once(parts):
     fits = [(a, b) for a, b in itertools.combinations(range(40), 2)
             if (parts == 1 or a % 2 != b % 2) and 100 * min(n[a], n[b]) >= 75 * max(n[a], n[b])]
     assert len(met) == len(set(met)) and set(fits) <= set(met)
+
+
+def exchanges_of(spark, build):
+    """How many exchanges the jobs of ``build`` have (each holds a thread of the driver for a minute)."""
+    before = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getThreadMXBean
+    names = lambda: {i.getThreadId(): i.getThreadName() for i in before().getThreadInfo(before().getAllThreadIds()) if i}
+    was = names()
+    build()
+    return sum("shuffle-exchange" in v or "broadcast-exchange" in v for k, v in names().items() if k not in was)
+
+
+@pytest.mark.parametrize("last", [200_000, 40, 0])
+def test_few_links_are_contracted_in_one_task(spark, monkeypatch, last):
+    """Components are the same however many links one task contracts; a small table costs
+    a few exchanges, however many rounds it would need."""
+    from remitlens.llm import graph
+    monkeypatch.setattr(graph, "LAST_ROWS", last)
+    rng = random.Random(5)
+    path = [(i, i + 1) for i in range(60)]
+    rows = path + [(100 + rng.randrange(30), 100 + rng.randrange(30)) for _ in range(25)] + [(500, 500), (-2**63, 2**63 - 1)]
+    rng.shuffle(rows)
+    links = spark.createDataFrame(rows, "a long, b long")
+    made = []
+    used = exchanges_of(spark, lambda: made.extend(components(links).collect()))
+    want = {x: x for pair in rows if pair[0] != pair[1] for x in pair}
+    for _ in want:
+        for a, b in rows:
+            if a != b:
+                want[a] = want[b] = min(want[a], want[b])
+    got = {r.node: r.label for r in made}
+    assert len(made) == len(got) and set(got) == set(want)
+    assert len({(got[x], want[x]) for x in want}) == len(set(got.values())) == len(set(want.values()))
+    if last > 1_000:
+        assert used <= 3
+    assert components(links.where("a = b")).count() == 0
